@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analyses this library covers read finite yearly / daily files and write once; there is no
+event-time window, watermark or state in them. The batch operators work unchanged on a
+``readStream`` source inside ``foreachBatch`` if a caller wants incremental runs, so nothing
+streaming-specific is provided here.
+"""
