@@ -71,8 +71,9 @@ def forecast_error(df: DataFrame, keys, actual: str = "targets", pred: str = "pr
     k = _keys(keys)
     ex = df.select(*k, F.inline(F.arrays_zip(F.col(actual).alias("a"), F.col(pred).alias("p"))))
     d = F.col("a") - F.col("p")
+    dd = d.cast("double")
     return ex.groupBy(*k).agg(F.count(d).alias("n"), F.avg(F.abs(d)).alias("mae"),
-                              F.avg(d * d).alias("mse"))
+                              F.avg(dd * dd).alias("mse"))
 
 
 def cumulative_sum(df: DataFrame, order: str, value: str, out: str, keys=()) -> DataFrame:

@@ -21,7 +21,7 @@ from fipsight.functions import (bool_text_flag, composite_id, day_of_year0, equa
 from fipsight.functions.casts import try_typed
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.lookup import fips_lookup
-from fipsight.operators.project import exclude_label, min_length, select_keep
+from fipsight.operators.project import exclude_label, feature_prep, min_length, select_keep
 from fipsight.operators.profile import (frequency_screen, keep_selected, unpivot_features,
                                         value_histogram)
 from fipsight.sources.json_flat import flatten_json
@@ -424,3 +424,332 @@ def q_merge_pollutants(spark, d):
         ["county_id", "pollutant", "beta"], ["periods", "xs", "ys"], ["period", "x", "y"])
     return flat.select("county_id", "pollutant", "period", rnd("x", 4).alias("x"), "y",
                        "beta")
+
+
+# ---------------------------------------------------------------------------------------------
+# 2.6 windows / series (daily mean price per nation as the AQI series)
+# ---------------------------------------------------------------------------------------------
+
+HOLDOUT = 300
+
+
+def nation_windows(spark, d):
+    return series.sliding_windows(nation_daily(spark, d), "n_nationkey", "dt", "mean_price",
+                                  width=15, n_inputs=10)
+
+
+SQL_WINDOWS = f"""
+WITH d AS ({SQL_DAILY}),
+w AS (SELECT n_nationkey, dt,
+             cast(row_number() OVER (PARTITION BY n_nationkey ORDER BY dt) - 1 AS integer) AS start,
+             count(*) OVER (PARTITION BY n_nationkey) AS n,
+             list(mean_price) OVER (PARTITION BY n_nationkey ORDER BY dt
+                                    ROWS BETWEEN CURRENT ROW AND 14 FOLLOWING) AS win
+      FROM d),
+wins AS (SELECT n_nationkey, start, dt AS first_dt, win[1:10] AS inputs, win[11:15] AS targets
+         FROM w WHERE start <= n - 16),
+hold AS (SELECT *, start > max(start) OVER (PARTITION BY n_nationkey) - {HOLDOUT} AS is_test
+         FROM wins)"""
+
+
+@query("series_lag_window", SQL_WINDOWS + """
+SELECT * FROM wins""")
+def q_series_lag_window(spark, d):
+    return nation_windows(spark, d)
+
+
+@query("tail_holdout", SQL_WINDOWS + """
+SELECT n_nationkey, start, is_test FROM hold""")
+def q_tail_holdout(spark, d):
+    return series.tail_holdout(nation_windows(spark, d), "n_nationkey", n_test=HOLDOUT) \
+        .select("n_nationkey", "start", "is_test")
+
+
+def naive_predictions(spark, d):
+    """Persistence stand-in forecast: step s repeats input 6+s (the last five readings)."""
+    h = series.tail_holdout(nation_windows(spark, d), "n_nationkey", n_test=HOLDOUT)
+    return h.where("is_test").withColumn("pred", F.slice("inputs", 6, 5))
+
+
+@query("overlap_resolve", SQL_WINDOWS + """,
+e AS (SELECT n_nationkey, start, start + i AS pos, inputs[6 + i] AS pred
+      FROM hold, range(0, 5) r(i) WHERE is_test)
+SELECT n_nationkey, cast(pos AS integer) AS pos, arg_max(pred, start) AS pred
+FROM e GROUP BY 1, 2""")
+def q_overlap_resolve(spark, d):
+    return series.overlap_resolve(naive_predictions(spark, d), "n_nationkey")
+
+
+@query("forecast_error", SQL_WINDOWS + f""",
+e AS (SELECT n_nationkey,
+             cast(floor(targets[1 + i] * 1e6 + 0.5) AS bigint)
+             - cast(floor(inputs[6 + i] * 1e6 + 0.5) AS bigint) AS dm
+      FROM hold, range(0, 5) r(i) WHERE is_test)
+SELECT n_nationkey, count(dm) AS n,
+       {R('sum(abs(dm))::double / count(dm) / 1e6', 4)} AS mae,
+       {R('avg(pow(dm, 2)) / 1e12', 0)} AS mse
+FROM e GROUP BY 1""")
+def q_forecast_error(spark, d):
+    def micro(c):
+        return F.transform(c, lambda v: F.floor(v * F.lit(1e6) + F.lit(0.5)))
+    p = naive_predictions(spark, d).select("n_nationkey", micro("targets").alias("targets"),
+                                          micro("pred").alias("pred"))
+    e = series.forecast_error(p, "n_nationkey", "targets", "pred")
+    return e.select("n_nationkey", "n", rnd(F.col("mae") / F.lit(1e6), 4).alias("mae"),
+                    rnd(F.col("mse") / F.lit(1e12), 0).alias("mse"))
+
+
+@query("forecast_ar")
+def q_forecast_ar(spark, d):
+    from fipsight.operators.forecast import fit_ar, predict_ar
+    h = series.tail_holdout(nation_windows(spark, d), "n_nationkey", n_test=HOLDOUT)
+    coef = fit_ar(h.where(~F.col("is_test")), "n_nationkey", n_inputs=10, horizon=5)
+    return predict_ar(h.where("is_test"), coef, "n_nationkey")
+
+
+# ---------------------------------------------------------------------------------------------
+# accidents: persons (line items) rolled up per accident (order)
+# ---------------------------------------------------------------------------------------------
+
+
+def persons(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select(
+        "l_orderkey",
+        (F.col("l_quantity").cast("int") * 2 - 1).alias("age"),
+        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+         .otherwise(9).alias("sex"),
+        (F.round(F.col("l_discount") * 100).cast("int") * 2).alias("ru"),
+        F.year("l_shipdate").alias("yr"))
+
+
+SQL_PERSON_ROLLUP = """
+WITH p AS (SELECT l_orderkey, cast(l_quantity AS integer) * 2 - 1 AS age,
+                  CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 9 END AS sex,
+                  cast(round(l_discount * 100) AS integer) * 2 AS ru,
+                  year(l_shipdate) AS yr FROM lineitem),
+q AS (SELECT *, age NOT IN (99, 999) AS known,
+             (ru IN (17, 20) OR (yr < 2009 AND ru = 0)) AS unused FROM p)
+SELECT l_orderkey,
+  cast(count(*) FILTER (WHERE known AND age < 16) AS integer) AS age_lt16,
+  cast(count(*) FILTER (WHERE known AND age >= 16 AND age < 30) AS integer) AS age_16_29,
+  cast(count(*) FILTER (WHERE known AND age >= 30 AND age < 60) AS integer) AS age_30_59,
+  cast(count(*) FILTER (WHERE known AND age >= 60) AS integer) AS age_60p,
+  cast(count(*) FILTER (WHERE sex = 1) AS integer) AS sex1,
+  cast(count(*) FILTER (WHERE sex = 2) AS integer) AS sex2,
+  cast(count(*) FILTER (WHERE unused) AS integer) AS restraint_unused,
+  cast(count(*) FILTER (WHERE NOT unused AND ru < 17) AS integer) AS restraint_used
+FROM q GROUP BY 1"""
+
+
+def person_counts(spark, d):
+    return rollup.person_rollup(persons(spark, d), "l_orderkey", "age", "sex", "ru", year="yr")
+
+
+@query("person_rollup", SQL_PERSON_ROLLUP)
+def q_person_rollup(spark, d):
+    return person_counts(spark, d)
+
+
+@query("accident_person_join", f"""
+WITH c AS ({SQL_PERSON_ROLLUP})
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, c.* EXCLUDE (l_orderkey)
+FROM orders JOIN c ON o_orderkey = c.l_orderkey""")
+def q_accident_person_join(spark, d):
+    acc = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice",
+                                           "o_orderpriority")
+    cnt = person_counts(spark, d).withColumnRenamed("l_orderkey", "o_orderkey")
+    return rollup.attach_person_counts(acc, cnt, "o_orderkey")
+
+
+@query("fips_lookup", """
+WITH lk AS (SELECT n_nationkey + 1000 AS fips, n_name || ' County' AS name,
+                   cast(n_regionkey AS varchar) AS state FROM nation
+            WHERE n_nationkey + 1000 > 1000),
+pr AS (SELECT c_custkey, n_name AS county, cast(n_regionkey AS varchar) AS state
+       FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, county, pr.state, fips
+FROM pr LEFT JOIN lk ON pr.county || ' County' = lk.name AND pr.state = lk.state""")
+def q_fips_lookup(spark, d):
+    n = table(spark, d, "nation")
+    lk = n.select((F.col("n_nationkey") + 1000).alias("fips"),
+                  F.concat("n_name", F.lit(" County")).alias("name"),
+                  F.col("n_regionkey").cast("string").alias("state"))
+    probe = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .select("c_custkey", F.col("n_name").alias("county"),
+                F.col("n_regionkey").cast("string").alias("state"))
+    return fips_lookup(probe, lk, "county", "state").select("c_custkey", "county", "state",
+                                                            "fips")
+
+
+# ---------------------------------------------------------------------------------------------
+# 2.9 dates and clocks (events)
+# ---------------------------------------------------------------------------------------------
+
+SQL_HOURS = "round_even((epoch_us({e}) - epoch_us({s})) / 3.6e9 * 100.0, 0) / 100.0"
+
+
+@query("date_parts", f"""
+SELECT event_id, cast(year(ts) AS integer) AS year, cast(month(ts) AS integer) AS month,
+       cast(dayofyear(ts) - 1 AS integer) AS day_of_year,
+       {SQL_HOURS.format(s="date_trunc('day', ts)", e="ts")} AS hours
+FROM events""")
+def q_date_parts(spark, d):
+    e = table(spark, d, "events")
+    s = parse_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return e.select("event_id", F.year(s).alias("year"), F.month(s).alias("month"),
+                    day_of_year0(s).alias("day_of_year"),
+                    hours_between(F.date_trunc("DAY", s), F.col("ts").cast("timestamp"))
+                    .alias("hours"))
+
+
+def _arrival(e):
+    mins = F.floor(F.col("value") * 3).cast("int")
+    return e.withColumn("arr", F.col("ts") + F.make_dt_interval(mins=mins))
+
+
+SQL_ARRIVAL = """SELECT *, ts + to_minutes(cast(floor(value * 3) AS bigint)) AS arr FROM events"""
+
+
+@query("response_minutes", f"""
+WITH t AS ({SQL_ARRIVAL}),
+u AS (SELECT event_id, hour(ts) AS ch, minute(ts) AS cm,
+             CASE WHEN event_type = 'error' THEN 99 ELSE hour(arr) END AS ah,
+             minute(arr) AS am FROM t)
+SELECT event_id, cast(ch AS integer) AS crash_hour, cast(cm AS integer) AS crash_min,
+       cast(ah AS integer) AS arr_hour, cast(am AS integer) AS arr_min,
+       CASE WHEN ah BETWEEN 0 AND 23 AND am BETWEEN 0 AND 59 AND ch BETWEEN 0 AND 23
+                 AND cm BETWEEN 0 AND 59
+            THEN cast(abs((ah * 60 + am) - (ch * 60 + cm)
+                          + CASE WHEN ah < ch THEN 1440 ELSE 0 END) AS integer) END AS minutes
+FROM u""")
+def q_response_minutes(spark, d):
+    e = _arrival(table(spark, d, "events"))
+    c = e.select("event_id", F.hour("ts").alias("crash_hour"), F.minute("ts").alias("crash_min"),
+                 F.when(F.col("event_type") == "error", F.lit(99)).otherwise(F.hour("arr"))
+                  .alias("arr_hour"), F.minute("arr").alias("arr_min"))
+    return c.withColumn("minutes", response_minutes("arr_hour", "arr_min", "crash_hour",
+                                                    "crash_min"))
+
+
+@query("feature_prep", f"""
+WITH t AS (SELECT event_id, user_id, ts, arr,
+                  CASE WHEN event_type = 'view' THEN 'R' ELSE 'L' END AS side,
+                  json_extract_string(props, '$.k') AS k_text
+           FROM ({SQL_ARRIVAL}))
+SELECT event_id, user_id, cast(year(ts) AS integer) AS year, cast(month(ts) AS integer) AS month,
+       cast(dayofyear(ts) - 1 AS integer) AS day_of_year,
+       {SQL_HOURS.format(s="ts", e="arr")} AS duration_h,
+       CASE WHEN side = 'R' THEN 1 ELSE 0 END AS side_flag,
+       try_cast(k_text AS bigint) AS k_text,
+       CASE WHEN try_cast(k_text AS bigint) > 50 THEN 1 ELSE 0 END AS flag
+FROM t""")
+def q_feature_prep(spark, d):
+    e = _arrival(table(spark, d, "events"))
+    k = F.get_json_object("props", "$.k")
+    e = e.select("event_id", "user_id", "ts", "arr", "value", "props",
+                 F.when(F.col("event_type") == "view", "R").otherwise("L").alias("side"),
+                 k.alias("k_text"),
+                 F.when(k.try_cast("bigint") > 50, "True").otherwise("False").alias("flag"))
+    return feature_prep(e, "ts", "arr", "side", flags=["flag"], numeric={"k_text": "bigint"},
+                        keep=["event_id", "user_id", "k_text"], drop=["props", "value"])
+
+
+# ---------------------------------------------------------------------------------------------
+# 2.5 profiles: histograms, screen, selection (suppliers as counties)
+# ---------------------------------------------------------------------------------------------
+
+PROFILE_FEATURES = ["l_linenumber", "flag_code", "discount_pct"]
+
+
+def profile_long(spark, d, ids=("l_suppkey",)):
+    li = table(spark, d, "lineitem")
+    w = li.select(*ids, "l_linenumber",
+                  F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+                   .otherwise(3).alias("flag_code"),
+                  F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"))
+    return unpivot_features(w, list(ids), PROFILE_FEATURES)
+
+
+SQL_PROFILE_WIDE = """
+SELECT {ids}, cast(l_linenumber AS double) AS l_linenumber,
+       cast(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS double) AS flag_code,
+       cast(round(l_discount * 100) AS double) AS discount_pct FROM lineitem"""
+SQL_HIST = f"""
+WITH li AS ({SQL_PROFILE_WIDE.format(ids='l_suppkey')}),
+lg AS (UNPIVOT li ON l_linenumber, flag_code, discount_pct INTO NAME feature VALUE value),
+h AS (SELECT l_suppkey, feature, value, count(*) AS cnt FROM lg GROUP BY ALL),
+hist AS (SELECT h.*, cast(sum(cnt) OVER (PARTITION BY l_suppkey, feature) AS bigint) AS n_rows
+         FROM h),
+screen AS (SELECT l_suppkey, feature,
+                  cast(count(*) FILTER (WHERE cnt * 100 >= n_rows * 10) AS integer) AS n_frequent
+           FROM hist GROUP BY ALL HAVING count(*) FILTER (WHERE cnt * 100 >= n_rows * 10) >= 2)"""
+
+
+def supplier_histogram(spark, d):
+    return value_histogram(profile_long(spark, d), "l_suppkey")
+
+
+@query("value_histogram", SQL_HIST + """
+SELECT * FROM hist""")
+def q_value_histogram(spark, d):
+    return supplier_histogram(spark, d)
+
+
+@query("frequency_screen", SQL_HIST + """
+SELECT * FROM screen""")
+def q_frequency_screen(spark, d):
+    return frequency_screen(supplier_histogram(spark, d), "l_suppkey")
+
+
+@query("selected_features_semi", SQL_HIST + f""",
+wide AS ({SQL_PROFILE_WIDE.format(ids='l_suppkey, l_orderkey, l_linenumber AS line_no')}),
+lg2 AS (UNPIVOT wide ON l_linenumber, flag_code, discount_pct INTO NAME feature VALUE value)
+SELECT * FROM lg2 SEMI JOIN screen USING (l_suppkey, feature)""")
+def q_selected_features_semi(spark, d):
+    li = table(spark, d, "lineitem").withColumn("line_no", F.col("l_linenumber"))
+    w = li.select("l_suppkey", "l_orderkey", "line_no", "l_linenumber",
+                  F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+                   .otherwise(3).alias("flag_code"),
+                  F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"))
+    long = unpivot_features(w, ["l_suppkey", "l_orderkey", "line_no"], PROFILE_FEATURES)
+    screen = frequency_screen(supplier_histogram(spark, d), "l_suppkey")
+    return keep_selected(long, screen, "l_suppkey")
+
+
+# ---------------------------------------------------------------------------------------------
+# 2.11 regression from Gram tables (line items by return flag x line status)
+# ---------------------------------------------------------------------------------------------
+
+OLS_KEYS = ["l_returnflag", "l_linestatus"]
+OLS_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+OLS_TARGET = "l_extendedprice"
+
+
+def _sql_gram() -> str:
+    parts = []
+    pairs = [(a, b) for i, a in enumerate(OLS_FEATURES) for b in OLS_FEATURES[i:] + [OLS_TARGET]]
+    pairs.append((OLS_TARGET, OLS_TARGET))
+    for a, b in pairs:
+        if a == b:
+            g = f"CASE WHEN stddev_pop({a}) > 0 THEN count(*)::double END"
+        else:
+            g = f"count(*) * covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0)"
+        parts.append(f"SELECT l_returnflag, l_linestatus, '{a}' AS f1, '{b}' AS f2, "
+                     f"{R(g, 4)} AS g, count(*) AS n FROM lineitem GROUP BY 1, 2")
+    return "\nUNION ALL ".join(parts)
+
+
+def line_gram(spark, d):
+    li = table(spark, d, "lineitem")
+    return stats.gram_table(li, OLS_KEYS, OLS_FEATURES, OLS_TARGET)
+
+
+@query("group_ols_gram", _sql_gram())
+def q_group_ols_gram(spark, d):
+    return line_gram(spark, d).withColumn("g", rnd("g", 4))
+
+
+@query("group_ols")
+def q_group_ols(spark, d):
+    return stats.ols(line_gram(spark, d), OLS_KEYS, OLS_FEATURES, OLS_TARGET)
