@@ -753,3 +753,107 @@ def q_group_ols_gram(spark, d):
 @query("group_ols")
 def q_group_ols(spark, d):
     return stats.ols(line_gram(spark, d), OLS_KEYS, OLS_FEATURES, OLS_TARGET)
+
+
+# ---------------------------------------------------------------------------------------------
+# 2.11 nearest neighbours, feature selection, principal components (embeddings / line items)
+# ---------------------------------------------------------------------------------------------
+
+KNN_K = 5
+KNN_FOLDS = 5
+EMB_DIMS = 64
+
+
+def _sql_knn() -> str:
+    f = KNN_FOLDS
+
+    def upto(m, g):
+        return f"floor(({m} - {g} + {f}) / {f})"
+
+    cum, terms = [], []
+    for g in range(f - 1):
+        cum.append(f"({upto('s_k + n_k - 1', g)} - {upto('s_k - 1', g)})")
+        terms.append(f"CASE WHEN {' + '.join(cum)} <= rk THEN 1 ELSE 0 END")
+    fold = " + ".join(terms)
+    return f"""
+WITH p AS (SELECT 0 AS grp, vec_id AS id, cast(label AS bigint) AS label,
+                  cast(embedding AS double[]) AS v FROM embeddings),
+c AS (SELECT grp, label, count(*) AS n_k FROM p GROUP BY 1, 2),
+s AS (SELECT grp, label, n_k, coalesce(sum(n_k) OVER (PARTITION BY grp ORDER BY label
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s_k FROM c),
+r AS (SELECT p.*, row_number() OVER (PARTITION BY p.grp, p.label ORDER BY p.id) - 1 AS rk,
+             s.n_k, s.s_k FROM p JOIN s USING (grp, label)),
+f AS (SELECT grp, id, label, v, cast({fold} AS integer) AS fold FROM r),
+pairs AS (SELECT q.grp, q.id AS qid, q.label AS ql, q.fold AS qf, t.id AS tid, t.label AS tl,
+                 list_sum(list_transform(range(1, {EMB_DIMS + 1}),
+                          lambda i: (q.v[i] - t.v[i]) * (q.v[i] - t.v[i]))) AS d
+          FROM f q JOIN f t ON q.grp = t.grp AND q.fold <> t.fold),
+nn AS (SELECT * FROM pairs
+       QUALIFY row_number() OVER (PARTITION BY grp, qid ORDER BY d, tid) <= {KNN_K}),
+votes AS (SELECT grp, qid, ql, qf, tl, count(*) AS c FROM nn GROUP BY ALL),
+pred AS (SELECT * FROM votes
+         QUALIFY row_number() OVER (PARTITION BY grp, qid ORDER BY c DESC, tl) = 1)
+SELECT grp, cast(qf AS integer) AS fold, count(*) AS n_test,
+       count(*) FILTER (WHERE tl = ql) AS n_correct,
+       count(*) FILTER (WHERE tl = ql) / count(*) AS accuracy
+FROM pred GROUP BY 1, 2"""
+
+
+@query("knn_cv_accuracy", _sql_knn())
+def q_knn_cv_accuracy(spark, d):
+    from fipsight.operators.select import knn_cv_accuracy
+    e = table(spark, d, "embeddings").withColumn("grp", F.lit(0))
+    return knn_cv_accuracy(e, "grp", "vec_id", "label", "embedding", k=KNN_K, folds=KNN_FOLDS)
+
+
+SELECT_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "ship_month",
+                   "ship_dow", "flag_code"]
+
+
+@query("select_features")
+def q_select_features(spark, d):
+    from fipsight.operators.select import select_features
+    li = table(spark, d, "lineitem")
+    w = li.select("l_suppkey", "l_orderkey", "l_extendedprice",
+                  *[c for c in SELECT_FEATURES if c.startswith("l_")],
+                  F.month("l_shipdate").alias("ship_month"),
+                  F.dayofweek("l_shipdate").alias("ship_dow"),
+                  F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+                   .otherwise(3).alias("flag_code"))
+    long = unpivot_features(w, ["l_suppkey", "l_orderkey"], SELECT_FEATURES)
+    screen = frequency_screen(value_histogram(long, "l_suppkey"), "l_suppkey")
+    gram = stats.gram_table(w, "l_suppkey", SELECT_FEATURES, "l_extendedprice")
+    return select_features(gram, "l_suppkey", SELECT_FEATURES, "l_extendedprice", k=3,
+                           allowed=screen)
+
+
+PCA_K = 10
+
+
+def _pca(spark, d):
+    from fipsight.operators.decompose import pca_fit
+    return pca_fit(table(spark, d, "embeddings"), "embedding", PCA_K, keep=["vec_id", "label"])
+
+
+@query("pca_scores")
+def q_pca_scores(spark, d):
+    from fipsight.operators.decompose import pca_scores
+    return pca_scores(_pca(spark, d), keep=["vec_id", "label"])
+
+
+@query("pca_cumvar")
+def q_pca_cumvar(spark, d):
+    from fipsight.operators.decompose import explained_variance
+    return explained_variance(spark, _pca(spark, d))
+
+
+@query("pca_loadings")
+def q_pca_loadings(spark, d):
+    from fipsight.operators.decompose import loadings
+    return loadings(spark, _pca(spark, d))
+
+
+@query("pca_significance")
+def q_pca_significance(spark, d):
+    from fipsight.operators.decompose import loadings, significance
+    return significance(loadings(spark, _pca(spark, d)))
