@@ -63,10 +63,11 @@ def predict_ar(windows: DataFrame, coef: DataFrame, keys, inputs: str = "inputs"
     """Apply fitted coefficients to windows: ``pred[h] = c[h][0] + Σ c[h][i] * inputs[i-1]``.
 
     The coefficient table has one row per key; it is broadcast when its row count is bounded,
-    otherwise joined by key like any other table."""
+    otherwise joined by key like any other table. Windows of a key without a fitted model
+    (no training windows) are kept with a NULL prediction."""
     k = _keys(keys)
     c = broadcast_if_bounded(coef.select(*k, "coef"))
-    j = windows.join(c, on=k, how="inner")
+    j = windows.join(c, on=k, how="left")
     x = F.col(inputs).cast("array<double>")
 
     def step(cv):

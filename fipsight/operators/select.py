@@ -241,7 +241,7 @@ def select_features(gram: DataFrame, keys, features: Sequence[str], target: str,
         allow = pdf["_allowed"].iloc[0]
         allow = None if allow is None or (isinstance(allow, float) and math.isnan(allow)) \
             else set(allow)
-        gv = {(a, b): v for a, b, v in zip(pdf["f1"], pdf["f2"], pdf["g"])}
+        gv = {(a, b): v for a, b, v in zip(pdf["f1"], pdf["f2"], pdf["gram"])}
 
         def val(a, b):
             v = gv.get((a, b), gv.get((b, a)))

@@ -74,10 +74,10 @@ def group_correlation(pairs: DataFrame, keys, x: str, y: str, period: str | None
 def gram_table(df: DataFrame, keys, features: Sequence[str], target: str) -> DataFrame:
     """Long Gram table of z-scored features and target per group, from one moment aggregate.
 
-    Rows ``(keys, f1, f2, g, n)`` with ``g = Σ z_f1 z_f2 = n·covar_pop/(std·std)`` for every
+    Rows ``(keys, f1, f2, gram, n)`` with ``gram = Σ z_f1 z_f2 = n·covar_pop/(std·std)`` for every
     feature pair (f1 <= f2 in the given order), every feature with the target
     (``f2 = target``: X'y), and the target with itself (``y'y = n``). A constant column has
-    std 0 and its rows get ``g = NULL``; ``ols`` drops such features and reports them.
+    std 0 and its rows get ``gram = NULL``; ``ols`` drops such features and reports them.
     """
     k = _keys(keys)
     feats = list(features)
@@ -98,9 +98,9 @@ def gram_table(df: DataFrame, keys, features: Sequence[str], target: str) -> Dat
         else:
             g = (F.col("_n") * F.col(f"_c__{a}__{b}") /
                  F.nullif(F.col(f"_s__{a}") * F.col(f"_s__{b}"), F.lit(0.0)))
-        rows.append(F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), g.alias("g")))
+        rows.append(F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), g.alias("gram")))
     return m.select(*k, F.col("_n").cast("long").alias("n"), F.inline(F.array(*rows))) \
-            .select(*k, "f1", "f2", "g", "n")
+            .select(*k, "f1", "f2", "gram", "n")
 
 
 _OLS_FIELDS = [T.StructField("feature", T.StringType()), T.StructField("beta", T.DoubleType()),
@@ -129,7 +129,7 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         key_vals = {c: pdf[c].iloc[0] for c in k}
         n = int(pdf["n"].iloc[0])
-        g = {(r.f1, r.f2): r.g for r in pdf.itertuples(index=False)}
+        g = {(a, b): v for a, b, v in zip(pdf["f1"], pdf["f2"], pdf["gram"])}
         diag_ok = [f for f in feats if g.get((f, f)) is not None and not pd.isna(g.get((f, f)))]
         const = [f for f in feats if f not in diag_ok]
         out = []

@@ -736,7 +736,7 @@ def _sql_gram() -> str:
         else:
             g = f"count(*) * covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0)"
         parts.append(f"SELECT l_returnflag, l_linestatus, '{a}' AS f1, '{b}' AS f2, "
-                     f"{R(g, 4)} AS g, count(*) AS n FROM lineitem GROUP BY 1, 2")
+                     f"{R(g, 4)} AS gram, count(*) AS n FROM lineitem GROUP BY 1, 2")
     return "\nUNION ALL ".join(parts)
 
 
@@ -747,7 +747,7 @@ def line_gram(spark, d):
 
 @query("group_ols_gram", _sql_gram())
 def q_group_ols_gram(spark, d):
-    return line_gram(spark, d).withColumn("g", rnd("g", 4))
+    return line_gram(spark, d).withColumn("gram", rnd("gram", 4))
 
 
 @query("group_ols")
