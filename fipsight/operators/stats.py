@@ -109,7 +109,7 @@ _OLS_FIELDS = [T.StructField("feature", T.StringType()), T.StructField("beta", T
 
 
 def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "pooled",
-        tails: int = 1) -> DataFrame:
+        tails: int = 1, allowed: DataFrame | None = None) -> DataFrame:
     """Standardized multivariate OLS per group with t statistics and p-values.
 
     Input is ``gram_table`` output. Per group (a bounded set of rows) numpy solves
@@ -118,17 +118,26 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
     ``se='pooled'`` uses one standard error ``sqrt(s² / ΣX²)`` for every coefficient (ΣX² over the
     whole standardized matrix); ``se='coef'`` uses ``sqrt(s² · pinv(G)_ii)``. The tail probability
     is evaluated JVM-side (``t_tail``), one-sided by default. Features that are constant in a
-    group are left out of its fit and reported with status ``constant``.
+    group are left out of its fit and reported with status ``constant``. ``allowed`` rows
+    ``(keys, feature)`` (e.g. a per-group selection) restrict each group's fit to its features.
     """
     k = _keys(keys)
-    feats = list(features)
+    all_feats = list(features)
     if se not in ("pooled", "coef"):
         raise ValueError("se must be 'pooled' or 'coef'")
     schema = T.StructType([gram.schema[c] for c in k] + _OLS_FIELDS)
+    if allowed is not None:
+        al = allowed.groupBy(*k).agg(F.collect_set("feature").alias("_allowed"))
+        gram = gram.join(al, on=k, how="inner")
+    else:
+        gram = gram.withColumn("_allowed", F.lit(None).cast("array<string>"))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         key_vals = {c: pdf[c].iloc[0] for c in k}
         n = int(pdf["n"].iloc[0])
+        allow = pdf["_allowed"].iloc[0]
+        feats = all_feats if allow is None or not hasattr(allow, "__len__") \
+            else [f for f in all_feats if f in set(allow)]
         g = {(a, b): v for a, b, v in zip(pdf["f1"], pdf["f2"], pdf["gram"])}
         diag_ok = [f for f in feats if g.get((f, f)) is not None and not pd.isna(g.get((f, f)))]
         const = [f for f in feats if f not in diag_ok]

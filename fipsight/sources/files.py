@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
-             header: bool = True, encoding: str | None = None, corrupt_col: str | None = None,
+def read_csv(spark: SparkSession, paths: str | Sequence[str],
+             schema: T.StructType | str | None = None, header: bool = True,
+             encoding: str | None = None, corrupt_col: str | None = None,
              sep: str = ",") -> DataFrame:
-    """CSV with a header line in every file, columns typed by ``schema``.
+    """CSV with a header line in every file.
+
+    With ``schema`` the columns are typed by it *by position* (the file's full column list);
+    without it every column is a string named by the header, to be selected by name (wide
+    source files of which a few columns are used). Nothing is inferred from the data.
 
     ``encoding`` handles non-UTF-8 files (e.g. ``'ISO-8859-1'``). With ``corrupt_col`` malformed
     lines are kept (PERMISSIVE) and their raw text lands in that string column.
@@ -27,6 +32,9 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
     if encoding:
         r = r.option("encoding", encoding)
+    if schema is None:
+        return r.option("inferSchema", False).csv(
+            list(paths) if not isinstance(paths, str) else paths)
     if corrupt_col:
         if isinstance(schema, str):
             schema = T.DataType.fromDDL(schema)
