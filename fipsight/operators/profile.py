@@ -31,6 +31,22 @@ def value_histogram(long: DataFrame, keys, var: str = "feature", val: str = "val
     return h.join(tot, on=[*k, var], how="inner")
 
 
+def feature_histogram(df: DataFrame, keys, features: Sequence[str], var: str = "feature",
+                      val: str = "value") -> DataFrame:
+    """``value_histogram`` straight from wide rows: per (group, feature, value) the count and the
+    group's row count, in the same shape. Features travel through the shuffle as a small
+    integer position (cheaper to hash than the name); names are attached to the aggregated
+    rows. NULL values are counted like any other value."""
+    k = _keys(keys)
+    names = F.array(*[F.lit(f) for f in features])
+    arr = F.array(*[F.col(f).cast("double") for f in features])
+    long = df.select(*k, F.posexplode(arr).alias("_fi", val))
+    h = long.groupBy(*k, "_fi", val).agg(F.count(F.lit(1)).alias("cnt"))
+    tot = h.groupBy(*k, "_fi").agg(F.sum("cnt").alias("n_rows"))
+    j = h.join(tot, on=[*k, "_fi"], how="inner")
+    return j.select(*k, F.element_at(names, F.col("_fi") + 1).alias(var), val, "cnt", "n_rows")
+
+
 def histogram_map(hist: DataFrame, keys, var: str = "feature", val: str = "value") -> DataFrame:
     """Histogram rows -> ``map<value, count>`` per (group, feature) (bounded by distinct values)."""
     k = _keys(keys)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fipsight.operators.rollup import _keys
+from fipsight.operators.stats import map_gram_groups
 from fipsight.session import ensure_checkpoint_dir
 
 
@@ -224,39 +225,24 @@ def select_features(gram: DataFrame, keys, features: Sequence[str], target: str,
     """
     kk = _keys(keys)
     names = [f for f in features if f not in set(exclude)]
-    g = gram
-    if allowed is not None:
-        al = allowed.groupBy(*kk).agg(F.collect_set("feature").alias("_allowed"))
-        g = g.join(al, on=kk, how="left")
-    else:
-        g = g.withColumn("_allowed", F.lit(None).cast("array<string>"))
     schema = T.StructType([gram.schema[c] for c in kk] + [
         T.StructField("features", T.ArrayType(T.StringType())),
         T.StructField("r2", T.DoubleType()), T.StructField("n", T.LongType()),
         T.StructField("status", T.StringType())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        key_vals = [pdf[c].iloc[0] for c in kk]
-        n = int(pdf["n"].iloc[0])
-        allow = pdf["_allowed"].iloc[0]
-        allow = None if allow is None or (isinstance(allow, float) and math.isnan(allow)) \
-            else set(allow)
-        gv = {(a, b): v for a, b, v in zip(pdf["f1"], pdf["f2"], pdf["gram"])}
-
+    def run(n: int, gv: dict, allow) -> list[tuple]:
         def val(a, b):
-            v = gv.get((a, b), gv.get((b, a)))
-            return None if v is None or pd.isna(v) else float(v)
+            return gv.get((a, b), gv.get((b, a)))
 
         usable = [f for f in names if (allow is None or f in allow) and val(f, f) is not None]
         if n < min_rows:
-            row = key_vals + [[], None, n, "too_few_rows"]
-        elif len(usable) < k or val(target, target) is None:
-            row = key_vals + [[], None, n, "too_few_features"]
-        else:
-            R = np.array([[val(a, b) / n for b in usable] for a in usable])
-            r = np.array([val(a, target) / n for a in usable])
-            chosen, score = floating_forward(R, r, k)
-            row = key_vals + [[usable[i] for i in chosen], score, n, "ok"]
-        return pd.DataFrame([row], columns=[*kk, "features", "r2", "n", "status"])
-
-    return g.groupBy(*kk).applyInPandas(run, schema)
+            return [([], None, n, "too_few_rows")]
+        if len(usable) < k or val(target, target) is None:
+            return [([], None, n, "too_few_features")]
+        R = np.array([[val(a, b) / n for b in usable] for a in usable])
+        r = np.array([val(a, target) / n for a in usable])
+        chosen, score = floating_forward(R, r, k)
+        return [([usable[i] for i in chosen], score, n, "ok")]
+
+    return map_gram_groups(gram, kk, run, schema, ["features", "r2", "n", "status"],
+                           allowed=allowed)

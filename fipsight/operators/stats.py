@@ -71,33 +71,58 @@ def group_correlation(pairs: DataFrame, keys, x: str, y: str, period: str | None
     return g
 
 
-def gram_table(df: DataFrame, keys, features: Sequence[str], target: str) -> DataFrame:
+def gram_table(df: DataFrame, keys, features: Sequence[str], target: str,
+               shift: dict[str, float] | None = None, const_tol: float = 1e-12) -> DataFrame:
     """Long Gram table of z-scored features and target per group, from one moment aggregate.
 
-    Rows ``(keys, f1, f2, gram, n)`` with ``gram = Σ z_f1 z_f2 = n·covar_pop/(std·std)`` for every
+    Rows ``(keys, f1, f2, gram, n)`` with ``gram = Σ z_f1 z_f2 = n·cov/(std·std)`` for every
     feature pair (f1 <= f2 in the given order), every feature with the target
-    (``f2 = target``: X'y), and the target with itself (``y'y = n``). A constant column has
-    std 0 and its rows get ``gram = NULL``; ``ols`` drops such features and reports them.
+    (``f2 = target``: X'y), and the target with itself (``y'y = n``).
+
+    One pass of plain sums: ``n``, ``Σx`` and ``Σx·y`` per group (all codegen'd sums with
+    map-side partial aggregation), then ``cov = (Σxy - ΣxΣy/n)/n``. Rows with a NULL in any of
+    the columns are left out (complete cases, as a regression needs). The raw-moment form loses
+    precision only when a column's mean is huge against its spread (relative error about
+    eps·(mean/std)²); ``shift`` subtracts a per-column constant first for such columns. A
+    column whose centered sum of squares is below ``const_tol`` of its raw sum of squares is
+    constant: its rows get ``gram = NULL`` and ``ols`` drops and reports it.
     """
     k = _keys(keys)
     feats = list(features)
     cols = feats + [target]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.stddev_pop(c).alias(f"_s__{c}") for c in cols]
+    shift = shift or {}
+    complete = df.where(F.greatest(*[F.col(c).isNull() for c in cols]) == F.lit(False)) \
+        if len(cols) > 1 else df.where(F.col(cols[0]).isNotNull())
+    base = complete.select(*k, *[(F.col(c).cast("double") - F.lit(float(shift.get(c, 0.0))))
+                                 .alias(f"_v{i}") for i, c in enumerate(cols)])
+    idx = {c: i for i, c in enumerate(cols)}
     pairs = []
     for i, a in enumerate(feats):
         for b in feats[i:] + [target]:
             pairs.append((a, b))
-            aggs.append(F.covar_pop(a, b).alias(f"_c__{a}__{b}"))
     pairs.append((target, target))
-    m = df.groupBy(*k).agg(*aggs)
+    need = sorted({(min(idx[a], idx[b]), max(idx[a], idx[b])) for a, b in pairs} |
+                  {(i, i) for i in range(len(cols))})
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.sum(f"_v{i}").alias(f"_s{i}") for i in range(len(cols))]
+    aggs += [F.sum(F.col(f"_v{i}") * F.col(f"_v{j}")).alias(f"_q{i}_{j}") for i, j in need]
+    m = base.groupBy(*k).agg(*aggs)
+    n = F.col("_n").cast("double")
+
+    def centered(i, j):
+        return F.col(f"_q{i}_{j}") - F.col(f"_s{i}") * F.col(f"_s{j}") / n
+
+    def spread(i):
+        v = centered(i, i)
+        return F.when(v > F.lit(const_tol) * F.abs(F.col(f"_q{i}_{i}")), v)
+
     rows = []
     for a, b in pairs:
+        i, j = sorted((idx[a], idx[b]))
         if a == b:
-            g = F.when(F.col(f"_s__{a}") > 0, F.col("_n").cast("double"))
+            g = F.when(spread(i).isNotNull(), n)
         else:
-            g = (F.col("_n") * F.col(f"_c__{a}__{b}") /
-                 F.nullif(F.col(f"_s__{a}") * F.col(f"_s__{b}"), F.lit(0.0)))
+            g = n * centered(i, j) / F.sqrt(spread(i) * spread(j))
         rows.append(F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), g.alias("gram")))
     return m.select(*k, F.col("_n").cast("long").alias("n"), F.inline(F.array(*rows))) \
             .select(*k, "f1", "f2", "gram", "n")
@@ -125,60 +150,84 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
     all_feats = list(features)
     if se not in ("pooled", "coef"):
         raise ValueError("se must be 'pooled' or 'coef'")
-    schema = T.StructType([gram.schema[c] for c in k] + _OLS_FIELDS)
-    if allowed is not None:
-        al = allowed.groupBy(*k).agg(F.collect_set("feature").alias("_allowed"))
-        gram = gram.join(al, on=k, how="inner")
-    else:
-        gram = gram.withColumn("_allowed", F.lit(None).cast("array<string>"))
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        key_vals = {c: pdf[c].iloc[0] for c in k}
-        n = int(pdf["n"].iloc[0])
-        allow = pdf["_allowed"].iloc[0]
-        feats = all_feats if allow is None or not hasattr(allow, "__len__") \
-            else [f for f in all_feats if f in set(allow)]
-        g = {(a, b): v for a, b, v in zip(pdf["f1"], pdf["f2"], pdf["gram"])}
-        diag_ok = [f for f in feats if g.get((f, f)) is not None and not pd.isna(g.get((f, f)))]
+    out_cols = ["feature", "beta", "t", "dof", "status"]
+
+    def solve(n: int, g: dict, allow) -> list[tuple]:
+        feats = all_feats if allow is None else [f for f in all_feats if f in allow]
+        diag_ok = [f for f in feats if g.get((f, f)) is not None]
         const = [f for f in feats if f not in diag_ok]
         out = []
         yy = g.get((target, target))
-        if not diag_ok or yy is None or pd.isna(yy):
+        if not diag_ok or yy is None:
             for f in feats:
                 out.append((f, None, None, None, "constant" if f in const else "constant_target"))
-        else:
-            kk = len(diag_ok)
-            G = np.zeros((kk, kk))
-            xy = np.zeros(kk)
-            for i, a in enumerate(diag_ok):
-                xy[i] = g[(a, target)]
-                for j, b in enumerate(diag_ok):
-                    v = g.get((a, b), g.get((b, a)))
-                    G[i, j] = v
-            P = np.linalg.pinv(G)
-            b = P @ xy
-            rss = float(yy - 2.0 * b @ xy + b @ G @ b)
-            dof = n - (1 + kk)
-            for i, f in enumerate(diag_ok):
-                if dof <= 0:
-                    out.append((f, float(b[i]), None, dof, "too_few_rows"))
-                    continue
-                s2 = max(rss, 0.0) / dof
-                if se == "pooled":
-                    sei = np.sqrt(s2 / np.trace(G))
-                else:
-                    sei = np.sqrt(s2 * P[i, i])
-                t = float(b[i] / sei) if sei > 0 else None
-                out.append((f, float(b[i]), t, dof, "ok"))
-            for f in const:
-                out.append((f, None, None, dof, "constant"))
-        res = pd.DataFrame(out, columns=["feature", "beta", "t", "dof", "status"])
-        res["dof"] = res["dof"].astype("Int64")
-        res["beta"] = res["beta"].astype("float64")
-        res["t"] = res["t"].astype("float64")
-        for c in k:
-            res.insert(0, c, key_vals[c])
-        return res[[*k, "feature", "beta", "t", "dof", "status"]]
-
-    fitted = gram.groupBy(*k).applyInPandas(solve, schema)
+            return out
+        kk = len(diag_ok)
+        G = np.array([[g.get((a, b), g.get((b, a))) for b in diag_ok] for a in diag_ok],
+                     dtype=float)
+        xy = np.array([g[(a, target)] for a in diag_ok], dtype=float)
+        P = np.linalg.pinv(G)
+        b = P @ xy
+        rss = float(yy - 2.0 * b @ xy + b @ G @ b)
+        dof = n - (1 + kk)
+        for i, f in enumerate(diag_ok):
+            if dof <= 0:
+                out.append((f, float(b[i]), None, dof, "too_few_rows"))
+                continue
+            s2 = max(rss, 0.0) / dof
+            sei = np.sqrt(s2 / np.trace(G)) if se == "pooled" else np.sqrt(s2 * P[i, i])
+            t = float(b[i] / sei) if sei > 0 else None
+            out.append((f, float(b[i]), t, dof, "ok"))
+        for f in const:
+            out.append((f, None, None, dof, "constant"))
+        return out
+
+    schema = T.StructType([gram.schema[c] for c in k] + _OLS_FIELDS)
+    fitted = map_gram_groups(gram, k, solve, schema, out_cols, allowed=allowed)
     return fitted.withColumn("p_value", t_tail("t", "dof", tails=tails))
+
+
+def pack_gram(gram: DataFrame, keys, allowed: DataFrame | None = None) -> DataFrame:
+    """One row per group: ``(keys, n, entries array<struct<f1,f2,gram>>, allowed)``.
+
+    A group's Gram has ``k(k+1)/2 + k + 1`` entries whatever the data volume, so the packed
+    row is bounded. ``allowed`` (``(keys, feature)`` rows) becomes a per-group feature set."""
+    k = _keys(keys)
+    packed = gram.groupBy(*k).agg(F.first("n").alias("n"),
+                                  F.collect_list(F.struct("f1", "f2", "gram")).alias("entries"))
+    if allowed is not None:
+        al = allowed.groupBy(*k).agg(F.collect_set("feature").alias("allowed"))
+        return packed.join(al, on=k, how="left")
+    return packed.withColumn("allowed", F.lit(None).cast("array<string>"))
+
+
+def map_gram_groups(gram: DataFrame, keys, fn, schema: T.StructType, out_cols: list[str],
+                    allowed: DataFrame | None = None) -> DataFrame:
+    """Run ``fn(n, {(f1, f2): gram}, allowed_set_or_None) -> [tuple(out_cols)]`` for every group
+    on its packed Gram row; many groups share one Arrow batch (``mapInPandas``), so there is no
+    per-group Python call overhead and no shuffle beyond the packing aggregate."""
+    k = _keys(keys)
+    packed = pack_gram(gram, k, allowed)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for rec in pdf.to_dict("records"):
+                g = {}
+                for e in rec["entries"]:
+                    v = e["gram"]
+                    g[(e["f1"], e["f2"])] = None if v is None or v != v else float(v)
+                allow = rec["allowed"]
+                allow = None if allow is None or (isinstance(allow, float) and allow != allow) \
+                    else set(allow)
+                for out in fn(int(rec["n"]), g, allow):
+                    rows.append([rec[c] for c in k] + list(out))
+            res = pd.DataFrame(rows, columns=[*k, *out_cols])
+            for f in schema.fields:
+                if isinstance(f.dataType, (T.LongType, T.IntegerType)) and f.name not in k:
+                    res[f.name] = res[f.name].astype("Int64")
+                elif isinstance(f.dataType, T.DoubleType):
+                    res[f.name] = res[f.name].astype("float64")
+            yield res
+
+    return packed.mapInPandas(run, schema)

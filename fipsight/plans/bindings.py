@@ -22,8 +22,8 @@ from fipsight.functions.casts import try_typed
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.lookup import fips_lookup
 from fipsight.operators.project import exclude_label, feature_prep, min_length, select_keep
-from fipsight.operators.profile import (frequency_screen, keep_selected, unpivot_features,
-                                        value_histogram)
+from fipsight.operators.profile import (feature_histogram, frequency_screen, keep_selected,
+                                        unpivot_features)
 from fipsight.sources.json_flat import flatten_json
 from fipsight.sources.tuple_text import parse_tuple_text
 from fipsight.sources.yearly import column_presence, merge_years
@@ -662,15 +662,6 @@ def q_feature_prep(spark, d):
 PROFILE_FEATURES = ["l_linenumber", "flag_code", "discount_pct"]
 
 
-def profile_long(spark, d, ids=("l_suppkey",)):
-    li = table(spark, d, "lineitem")
-    w = li.select(*ids, "l_linenumber",
-                  F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
-                   .otherwise(3).alias("flag_code"),
-                  F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"))
-    return unpivot_features(w, list(ids), PROFILE_FEATURES)
-
-
 SQL_PROFILE_WIDE = """
 SELECT {ids}, cast(l_linenumber AS double) AS l_linenumber,
        cast(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS double) AS flag_code,
@@ -686,8 +677,16 @@ screen AS (SELECT l_suppkey, feature,
            FROM hist GROUP BY ALL HAVING count(*) FILTER (WHERE cnt * 100 >= n_rows * 10) >= 2)"""
 
 
+def profile_wide(spark, d, ids=("l_suppkey",)):
+    li = table(spark, d, "lineitem")
+    return li.select(*ids, "l_linenumber",
+                     F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+                      .otherwise(3).alias("flag_code"),
+                     F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"))
+
+
 def supplier_histogram(spark, d):
-    return value_histogram(profile_long(spark, d), "l_suppkey")
+    return feature_histogram(profile_wide(spark, d), "l_suppkey", PROFILE_FEATURES)
 
 
 @query("value_histogram", SQL_HIST + """
@@ -820,8 +819,7 @@ def q_select_features(spark, d):
                   F.dayofweek("l_shipdate").alias("ship_dow"),
                   F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
                    .otherwise(3).alias("flag_code"))
-    long = unpivot_features(w, ["l_suppkey", "l_orderkey"], SELECT_FEATURES)
-    screen = frequency_screen(value_histogram(long, "l_suppkey"), "l_suppkey")
+    screen = frequency_screen(feature_histogram(w, "l_suppkey", SELECT_FEATURES), "l_suppkey")
     gram = stats.gram_table(w, "l_suppkey", SELECT_FEATURES, "l_extendedprice")
     return select_features(gram, "l_suppkey", SELECT_FEATURES, "l_extendedprice", k=3,
                            allowed=screen)

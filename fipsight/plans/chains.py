@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from fipsight.functions import fips_from_float_text, fips_from_parts, safe_double
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.forecast import fit_ar, predict_ar
-from fipsight.operators.profile import frequency_screen, unpivot_features, value_histogram
+from fipsight.operators.profile import feature_histogram, frequency_screen
 from fipsight.operators.project import exclude_label, min_length
 from fipsight.operators.select import select_features
 from fipsight.sources.files import read_csv, with_path_token
@@ -125,8 +125,7 @@ def accident_severity(persons: DataFrame, accidents: DataFrame, features: Sequen
     feats = [f for f in list(features) + rollup.PERSON_COUNT_COLUMNS if f not in set(exclude)]
     numeric = acc.select(county, accident_id, F.col(target).cast("double").alias(target),
                          *[F.col(f).cast("double").alias(f) for f in feats])
-    long = unpivot_features(numeric, [county, accident_id], feats)
-    screen = frequency_screen(value_histogram(long, county), county)
+    screen = frequency_screen(feature_histogram(numeric, county, feats), county)
     gram = stats.gram_table(numeric, county, feats, target)
     sel = select_features(gram, county, feats, target, k=k, allowed=screen)
     chosen = sel.select(county, F.explode("features").alias("feature"))

@@ -132,3 +132,13 @@ def test_sinks(spark, tmp_dir):
     write_single_csv(df, f"{tmp_dir}/csv")
     parts = [p for p in os.listdir(f"{tmp_dir}/csv") if p.endswith(".csv")]
     assert len(parts) == 1
+
+
+def test_feature_histogram_equals_long_form(spark):
+    from fipsight.operators.profile import feature_histogram, unpivot_features, value_histogram
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 1, None), ("a", 2, 2.0), ("b", 3, 4.0)],
+                               "g string, x int, y double")
+    one = sorted((tuple(r) for r in feature_histogram(df, "g", ["x", "y"]).collect()), key=repr)
+    two = sorted((tuple(r) for r in value_histogram(unpivot_features(df, "g", ["x", "y"]), "g")
+                  .select("g", "feature", "value", "cnt", "n_rows").collect()), key=repr)
+    assert one == two and ("a", "y", None, 1, 3) in one
