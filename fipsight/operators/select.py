@@ -80,13 +80,59 @@ def stratified_folds(df: DataFrame, group, label: str, id_col: str, folds: int =
     return j.withColumn(out, fold.cast("int")).drop("_r", "_nk", "_sk")
 
 
+def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
+          k: int, chunk: int = 4096, max_elems: int = 1 << 22):
+    """Exact k nearest rows of ``Tm`` for every row of ``Q`` among rows of another fold;
+    squared Euclidean distance, ties to the smaller id. Returns (query row, train row, dist)
+    arrays ordered by query row, then rank. Memory is bounded by chunking the query rows."""
+    step = max(1, min(chunk, max_elems // max(1, Tm.shape[0])))
+    rs, cs, ds = [], [], []
+    for s in range(0, len(Q), step):
+        Qc = Q[s:s + step]
+        D = np.zeros((len(Qc), len(Tm)))
+        for j in range(Q.shape[1]):                    # dimensions summed in order
+            diff = Qc[:, j][:, None] - Tm[:, j][None, :]
+            D += diff * diff
+        D[qf[s:s + step, None] == tf[None, :]] = np.inf
+        kk = min(k, D.shape[1])
+        if kk == 0:
+            continue
+        kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
+        r, c = np.nonzero(D <= kth[:, None])           # k best plus distance ties
+        d = D[r, c]
+        fin = np.isfinite(d)
+        r, c, d = r[fin], c[fin], d[fin]
+        o = np.lexsort((tids[c], d, r))                # per row: by distance, then id
+        r, c, d = r[o], c[o], d[o]
+        pos = np.arange(len(r))
+        first = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
+        rank = pos - np.maximum.accumulate(np.where(first, pos, 0))
+        keep = rank < k
+        rs.append(r[keep] + s)
+        cs.append(c[keep])
+        ds.append(d[keep])
+    if not rs:
+        e = np.zeros(0, int)
+        return e, e, np.zeros(0)
+    return np.concatenate(rs), np.concatenate(cs), np.concatenate(ds)
+
+
+def _majority(qrow: np.ndarray, labels: np.ndarray, n_rows: int) -> np.ndarray:
+    """Majority label per query row (ties to the smallest label); -1 for rows without votes."""
+    classes, code = np.unique(labels, return_inverse=True)
+    counts = np.zeros((n_rows, max(1, len(classes))), dtype=np.int64)
+    np.add.at(counts, (qrow, code), 1)
+    pred = classes[np.argmax(counts, axis=1)] if len(classes) else np.full(n_rows, -1)
+    return np.where(counts.sum(axis=1) > 0, pred, -1)
+
+
 _CAND_FIELDS = [T.StructField("qid", T.LongType()), T.StructField("qlabel", T.LongType()),
                 T.StructField("qfold", T.IntegerType()), T.StructField("tid", T.LongType()),
                 T.StructField("tlabel", T.LongType()), T.StructField("dist", T.DoubleType())]
 
 
 def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
-                   chunk: int = 128) -> DataFrame:
+                   chunk: int = 4096) -> DataFrame:
     """For every point, its ``k`` nearest points of the same group in other folds.
 
     ``points``: ``(group..., id long, label long, fold int, vec array<double>)``. Distance is
@@ -117,21 +163,10 @@ def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
         Tm = np.stack(t["vec"].to_numpy()).astype(np.float64)
         qf, tf = q["fold"].to_numpy(), t["fold"].to_numpy()
         tids = t["id"].to_numpy()
-        frames = []
-        for s in range(0, len(Q), chunk):
-            D = ((Q[s:s + chunk, None, :] - Tm[None, :, :]) ** 2).sum(axis=-1)
-            D[qf[s:s + chunk, None] == tf[None, :]] = np.inf
-            order = np.lexsort((np.broadcast_to(tids, D.shape), D), axis=-1)[:, :k]
-            rows = np.repeat(np.arange(D.shape[0]), order.shape[1])
-            cidx = order.reshape(-1)
-            dist = D[rows, cidx]
-            keep = np.isfinite(dist)
-            qi = rows[keep] + s
-            frames.append(pd.DataFrame({
-                "qid": q["id"].to_numpy()[qi], "qlabel": q["label"].to_numpy()[qi],
-                "qfold": qf[qi], "tid": tids[cidx[keep]],
-                "tlabel": t["label"].to_numpy()[cidx[keep]], "dist": dist[keep]}))
-        res = pd.concat(frames, ignore_index=True)
+        r, c, d = _topk(Q, Tm, qf, tf, tids, k, chunk)
+        res = pd.DataFrame({"qid": q["id"].to_numpy()[r], "qlabel": q["label"].to_numpy()[r],
+                            "qfold": qf[r], "tid": tids[c],
+                            "tlabel": t["label"].to_numpy()[c], "dist": d})
         for c in reversed(g):
             res.insert(0, c, pdf[c].iloc[0])
         return res[cols]
@@ -141,6 +176,58 @@ def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
     return cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 
+def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
+                    size_col: str | None = None) -> DataFrame:
+    """Per (group, fold): test points scored and correctly classified by a k-NN majority vote
+    (ties to the smallest label) trained on the other folds of the group.
+
+    Groups of at most ``block_rows`` points are one task each: neighbours, votes and the fold
+    tally are computed together and only the tally leaves the task. Larger groups go through
+    the tiled ``knn_candidates`` path and a distributed vote.
+    """
+    g = _keys(group)
+    if size_col is not None:          # group sizes already known: a filter, no shuffle
+        small = points.where(F.col(size_col) <= block_rows)
+        big = points.where(F.col(size_col) > block_rows)
+    else:
+        sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+        small = points.join(sizes.where(F.col("_n") <= block_rows).select(*g), on=g,
+                            how="left_semi")
+        big = points.join(sizes.where(F.col("_n") > block_rows).select(*g), on=g,
+                          how="left_semi")
+    schema = T.StructType([points.schema[c] for c in g] + [
+        T.StructField("fold", T.IntegerType()), T.StructField("n_test", T.LongType()),
+        T.StructField("n_correct", T.LongType())])
+
+    def whole_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+        fold = pdf["fold"].to_numpy()
+        ids, labels = pdf["id"].to_numpy(), pdf["label"].to_numpy()
+        r, c, _ = _topk(X, X, fold, fold, ids, k)
+        pred = _majority(r, labels[c], len(X))
+        voted = pred != -1
+        folds_here = np.unique(fold[voted])
+        pos = np.searchsorted(folds_here, fold[voted])
+        out = pd.DataFrame({
+            "fold": folds_here,
+            "n_test": np.bincount(pos, minlength=len(folds_here)),
+            "n_correct": np.bincount(pos, weights=(pred == labels)[voted],
+                                     minlength=len(folds_here)).astype(np.int64)})
+        for col in reversed(g):
+            out.insert(0, col, pdf[col].iloc[0])
+        return out.astype({"fold": "int32", "n_test": "int64", "n_correct": "int64"})
+
+    small_counts = small.groupBy(*g).applyInPandas(whole_group, schema)
+    cand = knn_candidates(big, g, k=k, block_rows=block_rows)
+    votes = cand.groupBy(*g, "qid", "qlabel", "qfold", "tlabel").agg(F.count(F.lit(1)).alias("c"))
+    wv = Window.partitionBy(*g, "qid").orderBy(F.desc("c"), "tlabel")
+    pred = votes.withColumn("_r", F.row_number().over(wv)).where("_r = 1")
+    big_counts = pred.groupBy(*g, F.col("qfold").alias("fold")).agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.count_if(F.col("tlabel") == F.col("qlabel")).alias("n_correct"))
+    return small_counts.unionByName(big_counts)
+
+
 def knn_cv_accuracy(df: DataFrame, group, id_col: str, label: str, features, k: int = 5,
                     folds: int = 5, block_rows: int = 1024) -> DataFrame:
     """Accuracy of a k-nearest-neighbour classifier under stratified ``folds``-fold CV per group.
@@ -157,14 +244,8 @@ def knn_cv_accuracy(df: DataFrame, group, id_col: str, label: str, features, k:
     pts = df.select(*g, F.col(id_col).cast("long").alias("id"),
                     F.col(label).cast("long").alias("label"), vec.alias("vec"))
     pts = stratified_folds(pts, g, "label", "id", folds)
-    cand = knn_candidates(pts, g, k=k, block_rows=block_rows)
-    votes = cand.groupBy(*g, "qid", "qlabel", "qfold", "tlabel").agg(F.count(F.lit(1)).alias("c"))
-    wv = Window.partitionBy(*g, "qid").orderBy(F.desc("c"), "tlabel")
-    pred = votes.withColumn("_r", F.row_number().over(wv)).where("_r = 1")
-    return (pred.groupBy(*g, F.col("qfold").alias("fold"))
-                .agg(F.count(F.lit(1)).alias("n_test"),
-                     F.count_if(F.col("tlabel") == F.col("qlabel")).alias("n_correct"))
-                .withColumn("accuracy", F.col("n_correct") / F.col("n_test")))
+    counts = knn_fold_counts(pts, g, k=k, block_rows=block_rows)
+    return counts.withColumn("accuracy", F.col("n_correct") / F.col("n_test"))
 
 
 # ------------------------------------------------------------------------------------------
@@ -246,3 +327,135 @@ def select_features(gram: DataFrame, keys, features: Sequence[str], target: str,
 
     return map_gram_groups(gram, kk, run, schema, ["features", "r2", "n", "status"],
                            allowed=allowed)
+
+
+# ------------------------------------------------------------------------------------------
+# floating forward selection scored by k-NN cross-validation (the original scoring rule)
+# ------------------------------------------------------------------------------------------
+
+
+def _cv_scores(pts: DataFrame, cands: DataFrame, group: list[str], n_neighbors: int,
+               block_rows: int) -> DataFrame:
+    """Mean fold accuracy of every candidate subset: ``cands`` rows ``(group, cand, idx)`` with
+    ``idx`` the 0-based feature positions; one KNN cross-validation per (group, cand)."""
+    p = pts.join(cands.select(*group, "cand", "idx"), on=group, how="inner")
+    p = p.select(*group, "cand", "id", "label", "fold", "_gn",
+                 F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
+    gk = [*group, "cand"]
+    counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows, size_col="_gn")
+    per_fold = counts.select(*gk, (F.col("n_correct") / F.col("n_test")).alias("acc"))
+    return per_fold.groupBy(*gk).agg(F.avg("acc").alias("score"))
+
+
+def _best_per_group(scored: DataFrame, group: list[str]) -> DataFrame:
+    """Highest score per group; ties to the candidate listed first (lowest position)."""
+    w = Window.partitionBy(*group).orderBy(F.desc("score"), "cand")
+    return scored.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def select_features_knn(df: DataFrame, group, id_col: str, label: str, features: Sequence[str],
+                        k: int = 10, n_neighbors: int = 2, folds: int = 5,
+                        allowed: DataFrame | None = None, exclude: Sequence[str] = (),
+                        min_rows: int = 10, block_rows: int = 1024,
+                        max_rounds: int | None = None) -> DataFrame:
+    """Sequential forward floating selection of ``k`` features per group, each subset scored by
+    the mean accuracy of a ``n_neighbors``-NN classifier under stratified ``folds``-fold
+    cross-validation (features unscaled, ties to the lower feature position).
+
+    The driver loops over *rounds*; every round is one Spark job that scores all groups and all
+    their candidate subsets at once (points replicated per candidate, exact tiled KNN). The
+    per-group search state (current subset, best subset per size) is a small DataFrame,
+    checkpointed every round. Result ``(group, features, score, n, status)``.
+    """
+    g = _keys(group)
+    names = [f for f in features if f not in set(exclude)]
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    pts = df.select(*g, F.col(id_col).cast("long").alias("id"),
+                    F.col(label).cast("long").alias("label"),
+                    F.array(*[F.col(f).cast("double") for f in names]).alias("x"))
+    pts = stratified_folds(pts, g, "label", "id", folds)
+    sizes = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    pts = pts.join(sizes.select(*g, F.col("n").alias("_gn")), on=g, how="inner") \
+        .checkpoint(eager=True)
+    all_idx = F.array(*[F.lit(i) for i in range(len(names))])
+    if allowed is not None:
+        pos = spark.createDataFrame([(f, i) for i, f in enumerate(names)],
+                                    "feature string, _pos int")
+        al = allowed.join(pos, on="feature", how="inner").groupBy(*g) \
+            .agg(F.sort_array(F.collect_set("_pos")).alias("pool"))
+        groups = sizes.join(al, on=g, how="left") \
+            .withColumn("pool", F.coalesce("pool", F.array().cast("array<int>")))
+    else:
+        groups = sizes.withColumn("pool", all_idx)
+    groups = groups.withColumn(
+        "status", F.when(F.col("n") < min_rows, "too_few_rows")
+                   .when(F.size("pool") < k, "too_few_features").otherwise("ok"))
+    state = groups.where("status = 'ok'").select(
+        *g, "pool", F.array().cast("array<int>").alias("subset"),
+        F.lit(-1).alias("added")).checkpoint(eager=True)
+    best = spark.createDataFrame([], T.StructType(
+        [sizes.schema[c] for c in g] + [T.StructField("size", T.IntegerType()),
+                                        T.StructField("score", T.DoubleType()),
+                                        T.StructField("subset", T.ArrayType(T.IntegerType()))]))
+
+    def record(best, picked):
+        new = picked.select(*g, F.size("subset").alias("size"), "score",
+                            F.sort_array("subset").alias("subset"))
+        both = best.unionByName(new)
+        w = Window.partitionBy(*g, "size").orderBy(F.desc("score"))
+        return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r") \
+                   .checkpoint(eager=True)
+
+    rounds = 0
+    while True:
+        rounds += 1
+        if max_rounds is not None and rounds > max_rounds:
+            break
+        active = state.where(F.size("subset") < k)
+        if active.isEmpty():
+            break
+        # forward: every unused feature of the pool, one candidate each
+        cands = active.select(*g, "subset", F.explode(F.array_except("pool", "subset"))
+                              .alias("cand"))
+        cands = cands.withColumn("idx", F.concat("subset", F.array("cand")))
+        scored = _cv_scores(pts, cands, g, n_neighbors, block_rows)
+        picked = _best_per_group(scored.join(cands, on=[*g, "cand"]), g) \
+            .select(*g, F.col("idx").alias("subset"), "score", F.col("cand").alias("added")) \
+            .checkpoint(eager=True)
+        best = record(best, picked)
+        state = state.join(picked.select(*g, F.col("subset").alias("_s"), F.col("added").alias("_a")),
+                           on=g, how="left") \
+            .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"),
+                    F.coalesce("_a", "added").alias("added")).checkpoint(eager=True)
+        # floating: drop one feature (never the one just added) while that beats the best
+        # subset of the smaller size found so far
+        while True:
+            big = state.where(F.size("subset") > 2)
+            rem = big.select(*g, "subset", F.explode(F.array_remove("subset", F.col("added")))
+                             .alias("cand"))
+            if rem.isEmpty():
+                break
+            rem = rem.withColumn("idx", F.array_remove("subset", F.col("cand")))
+            scored = _cv_scores(pts, rem, g, n_neighbors, block_rows)
+            cand_best = _best_per_group(scored.join(rem, on=[*g, "cand"]), g)
+            prev = best.select(*g, F.col("size").alias("_sz"), F.col("score").alias("_prev"))
+            better = cand_best.join(prev, on=[*g], how="left") \
+                .where((F.col("_sz") == F.size("idx")) | F.col("_sz").isNull()) \
+                .groupBy(*g).agg(F.first("idx").alias("idx"), F.first("score").alias("score"),
+                                 F.max("_prev").alias("_prev"))
+            better = better.where(F.col("_prev").isNull() | (F.col("score") > F.col("_prev")))
+            better = better.select(*g, F.col("idx").alias("subset"), "score").checkpoint(eager=True)
+            if better.isEmpty():
+                break
+            best = record(best, better)
+            state = state.join(better.select(*g, F.col("subset").alias("_s")), on=g, how="left") \
+                .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"), "added") \
+                .checkpoint(eager=True)
+    names_arr = F.array(*[F.lit(f) for f in names])
+    final = best.where(F.col("size") == k).select(
+        *g, F.transform("subset", lambda i: F.element_at(names_arr, i + 1)).alias("features"),
+        "score")
+    out = groups.join(final, on=g, how="left")
+    return out.select(*g, F.coalesce("features", F.array().cast("array<string>")).alias("features"),
+                      "score", F.col("n").cast("long").alias("n"), "status")

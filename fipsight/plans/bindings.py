@@ -855,3 +855,22 @@ def q_pca_loadings(spark, d):
 def q_pca_significance(spark, d):
     from fipsight.operators.decompose import loadings, significance
     return significance(loadings(spark, _pca(spark, d)))
+
+
+@query("select_features_knn")
+def q_select_features_knn(spark, d):
+    """Same selection with the original scoring rule: 2-NN accuracy under stratified 5-fold CV,
+    the line item's return flag as the class to predict (suppliers as counties)."""
+    from fipsight.operators.select import select_features_knn
+    li = table(spark, d, "lineitem")
+    w = li.select("l_suppkey", "l_orderkey", "l_linenumber",
+                  (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+                  F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+                   .otherwise(3).alias("flag_code"),
+                  "l_quantity", "l_discount", "l_tax",
+                  F.month("l_shipdate").alias("ship_month"),
+                  F.dayofweek("l_shipdate").alias("ship_dow"))
+    feats = ["l_linenumber", "l_quantity", "l_discount", "l_tax", "ship_month", "ship_dow"]
+    screen = frequency_screen(feature_histogram(w, "l_suppkey", feats), "l_suppkey")
+    return select_features_knn(w, "l_suppkey", "row_id", "flag_code", feats, k=3,
+                               n_neighbors=2, allowed=screen)

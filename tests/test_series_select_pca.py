@@ -166,3 +166,46 @@ def test_pca_matches_numpy(spark):
     assert np.allclose(cum, np.cumsum(fit.ratio))
     sig = significance(loadings(spark, fit)).collect()
     assert sig[0].significance >= sig[-1].significance
+
+
+def _sffs_knn_reference(X, labels, k, n_neighbors, folds=5):
+    """Plain-Python floating forward selection with the same KNN cross-validation."""
+    fold_ids = _sk_folds(labels, folds)
+
+    def score(sub):
+        return float(np.mean(list(_knn_brute(X[:, sub], labels, fold_ids, n_neighbors).values())))
+
+    p = X.shape[1]
+    subset, best = [], {}
+    while len(subset) < k:
+        s, f = max((score(subset + [f]), -f) for f in range(p) if f not in subset)
+        added = -f
+        subset = subset + [added]
+        if len(subset) not in best or s > best[len(subset)][0]:
+            best[len(subset)] = (s, sorted(subset))
+        while len(subset) > 2:
+            s2, x = max((score([y for y in subset if y != x]), -x) for x in subset if x != added)
+            if s2 > best[len(subset) - 1][0]:
+                subset = [y for y in subset if y != -x]
+                best[len(subset)] = (s2, sorted(subset))
+            else:
+                break
+    return best[k]
+
+
+def test_select_features_knn_matches_reference(spark):
+    from fipsight.operators.select import select_features_knn
+    rng = np.random.default_rng(21)
+    n, p = 60, 5
+    X = rng.integers(0, 4, size=(n, p)).astype(float)
+    labels = ((X[:, 1] + X[:, 3] + rng.integers(0, 2, size=n)) > 3).astype(int)
+    rows = [("c", i, int(labels[i]), *map(float, X[i])) for i in range(n)]
+    rows += [("small", 100 + i, 0, 1.0, 2.0, 3.0, 4.0, 5.0) for i in range(5)]
+    names = ["a", "b", "c", "d", "e"]
+    df = spark.createDataFrame(rows, "g string, id long, y long, " + ", ".join(f"{c} double" for c in names))
+    res = {r.g: r for r in select_features_knn(df, "g", "id", "y", names, k=3, n_neighbors=2).collect()}
+    want_score, want_subset = _sffs_knn_reference(X, labels, 3, 2)
+    assert res["c"].status == "ok"
+    assert res["c"].features == [names[i] for i in want_subset]
+    assert abs(res["c"].score - want_score) < 1e-12
+    assert res["small"].status == "too_few_rows" and res["small"].features == []
