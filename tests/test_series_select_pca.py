@@ -209,3 +209,20 @@ def test_select_features_knn_matches_reference(spark):
     assert res["c"].features == [names[i] for i in want_subset]
     assert abs(res["c"].score - want_score) < 1e-12
     assert res["small"].status == "too_few_rows" and res["small"].features == []
+
+
+def test_select_features_knn_tiled_path_agrees(spark):
+    """Same search with groups forced through the replicated, tiled path (block_rows tiny)."""
+    from fipsight.operators.select import select_features_knn
+    rng = np.random.default_rng(4)
+    n, p = 45, 4
+    X = rng.integers(0, 3, size=(n, p)).astype(float)
+    labels = ((X[:, 0] + rng.integers(0, 2, size=n)) > 1).astype(int)
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([("c", i, int(labels[i]), *map(float, X[i])) for i in range(n)],
+                               "g string, id long, y long, " + ", ".join(f"{c} double" for c in names))
+    one = select_features_knn(df, "g", "id", "y", names, k=2, n_neighbors=3).first()
+    tiled = select_features_knn(df, "g", "id", "y", names, k=2, n_neighbors=3, block_rows=8).first()
+    want_score, want_subset = _sffs_knn_reference(X, labels, 2, 3)
+    assert one.features == tiled.features == [names[i] for i in want_subset]
+    assert abs(one.score - want_score) < 1e-12 and abs(tiled.score - want_score) < 1e-12
