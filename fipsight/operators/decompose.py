@@ -40,16 +40,17 @@ def pca_fit(df: DataFrame, features: Sequence[str] | str, k: int,
     or the name of one array column (its positions become ``f0, f1, ...``)."""
     if isinstance(features, str):
         arr = F.col(features).cast("array<double>")
-        width = df.select(F.max(F.size(features))).first()[0] or 0
-        names = [f"f{i}" for i in range(width)]
+        stats_row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("w")).first()
+        names = [f"f{i}" for i in range(stats_row["w"] or 0)]
     else:
         arr = F.array(*[F.col(c).cast("double") for c in features])
+        stats_row = df.agg(F.count(F.lit(1)).alias("n")).first()
         names = list(features)
     base = df.select(*keep, array_to_vector(arr).alias("_x"))
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="_x", outputCol="_z").fit(base)
     scaled = scaler.transform(base)
     model = PCA(k=k, inputCol="_z", outputCol="_pc").fit(scaled)
-    n = scaled.count()
+    n = int(stats_row["n"])
     pc = model.pc.toArray().copy()
     for j in range(pc.shape[1]):
         if pc[np.argmax(np.abs(pc[:, j])), j] < 0:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fipsight.operators.lookup import broadcast_if_bounded
 from fipsight.operators.rollup import _keys
 
 
@@ -28,14 +27,13 @@ def fit_ar(windows: DataFrame, keys, inputs: str = "inputs", targets: str = "tar
     p = n_inputs + 1
     x = F.concat(F.array(F.lit(1.0)), F.col(inputs).cast("array<double>"))
     base = windows.select(*k, x.alias("_x"), F.col(targets).cast("array<double>").alias("_y"))
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    # one SQL expression per moment keeps plan construction cheap (~120 aggregates)
+    exprs = ["count(1) AS _n"]
     for i in range(p):
-        for j in range(i, p):
-            aggs.append(F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"xx_{i}_{j}"))
-        for h in range(horizon):
-            aggs.append(F.sum(F.col("_x")[i] * F.col("_y")[h]).alias(f"xy_{i}_{h}"))
-    moments = base.groupBy(*k).agg(*aggs)
-    key_fields = [moments.schema[c] for c in k]
+        exprs += [f"sum(_x[{i}] * _x[{j}]) AS xx_{i}_{j}" for j in range(i, p)]
+        exprs += [f"sum(_x[{i}] * _y[{h}]) AS xy_{i}_{h}" for h in range(horizon)]
+    moments = base.groupBy(*k).agg(*[F.expr(e) for e in exprs])
+    key_fields = [windows.schema[c] for c in k]
     schema = T.StructType(key_fields + [
         T.StructField("n_windows", T.LongType()),
         T.StructField("coef", T.ArrayType(T.ArrayType(T.DoubleType())))])
@@ -62,11 +60,12 @@ def predict_ar(windows: DataFrame, coef: DataFrame, keys, inputs: str = "inputs"
                out: str = "pred") -> DataFrame:
     """Apply fitted coefficients to windows: ``pred[h] = c[h][0] + Σ c[h][i] * inputs[i-1]``.
 
-    The coefficient table has one row per key; it is broadcast when its row count is bounded,
-    otherwise joined by key like any other table. Windows of a key without a fitted model
-    (no training windows) are kept with a NULL prediction."""
+    The coefficient table has one row per key and is only known after the fit, so no size
+    check is run up front (it would execute the fit twice); adaptive execution broadcasts it
+    from its measured size at runtime. Windows of a key without a fitted model (no training
+    windows) are kept with a NULL prediction."""
     k = _keys(keys)
-    c = broadcast_if_bounded(coef.select(*k, "coef"))
+    c = coef.select(*k, "coef")
     j = windows.join(c, on=k, how="left")
     x = F.col(inputs).cast("array<double>")
 
