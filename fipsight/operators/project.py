@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fipsight.functions.casts import bool_text_flag, equals_flag
+from fipsight.functions.casts import bool_text_flag, equals_flag, safe_double
 from fipsight.functions.clock import day_of_year0, hours_between, parse_timestamp
 
 
@@ -31,9 +31,9 @@ def min_length(df: DataFrame, col: str, longer_than: int) -> DataFrame:
 
 
 def numeric_where(df: DataFrame, cond: Column, value: str) -> DataFrame:
-    """Rows meeting ``cond`` whose ``value`` text parses as a finite number."""
-    d = F.col(value).try_cast("double")
-    return df.where(cond & d.isNotNull() & ~F.isnan(d))
+    """Rows meeting ``cond`` whose ``value`` text parses as a finite number (blank, garbage,
+    NaN and infinity are rejected)."""
+    return df.where(cond & safe_double(value).isNotNull())
 
 
 def feature_prep(df: DataFrame, start: str, end: str, side: str, flags: Sequence[str],

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fipsight.functions.clock import DEFAULT_TS_FORMAT  # noqa: F401  (re-exported for callers)
 from fipsight.functions.keys import year_of_id
 
 

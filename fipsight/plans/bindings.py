@@ -15,13 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fipsight.functions import (bool_text_flag, composite_id, day_of_year0, equals_flag,
-                                fips_from_float_text, fips_from_parts, hours_between, pad_min,
-                                parse_timestamp, response_minutes, safe_double, year_of_id)
+from fipsight.functions import (composite_id, day_of_year0, fips_from_float_text,
+                                fips_from_parts, hours_between, pad_min, parse_timestamp,
+                                response_minutes, safe_double, year_of_id)
 from fipsight.functions.casts import try_typed
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.lookup import fips_lookup
-from fipsight.operators.project import exclude_label, feature_prep, min_length, select_keep
+from fipsight.operators.project import (exclude_label, feature_prep, min_length, numeric_where,
+                                        select_keep)
 from fipsight.operators.profile import (feature_histogram, frequency_screen, keep_selected,
                                         unpivot_features)
 from fipsight.sources.json_flat import flatten_json
@@ -172,10 +173,9 @@ FROM events
 WHERE event_type = 'click' AND try_cast(json_extract_string(props, '$.k') AS double) IS NOT NULL
   AND isfinite(try_cast(json_extract_string(props, '$.k') AS double))""")
 def q_filter_numeric(spark, d):
-    e = table(spark, d, "events")
-    k = safe_double(F.get_json_object("props", "$.k"))
-    return e.where((F.col("event_type") == "click") & k.isNotNull()) \
-            .select("event_id", "user_id", k.alias("k"))
+    e = table(spark, d, "events").withColumn("k_text", F.get_json_object("props", "$.k"))
+    return numeric_where(e, F.col("event_type") == "click", "k_text") \
+        .select("event_id", "user_id", safe_double("k_text").alias("k"))
 
 
 @query("safe_cast", """

@@ -141,3 +141,23 @@ def test_ols_matches_numpy(spark):
     # constant feature f2 in group d is reported, not fed to the solver
     d = {r.feature: r for r in res if r.g == "d"}
     assert d["f2"].status == "constant" and d["f1"].status == "ok"
+
+
+def test_ols_per_coefficient_se_two_sided(spark):
+    rng = np.random.default_rng(17)
+    n = 50
+    X = rng.normal(size=(n, 2))
+    y = 0.7 * X[:, 0] + rng.normal(size=n)
+    df = spark.createDataFrame([("g", float(a), float(b), float(c)) for (a, b), c in zip(X, y)],
+                               "k string, a double, b double, y double")
+    res = {r.feature: r for r in stats.ols(stats.gram_table(df, "k", ["a", "b"], "y"), "k",
+                                           ["a", "b"], "y", se="coef", tails=2).collect()}
+    Xn = (X - X.mean(0)) / X.std(0)
+    yn = (y - y.mean()) / y.std()
+    inv = np.linalg.inv(Xn.T @ Xn)
+    b = inv @ Xn.T @ yn
+    s2 = np.sum((yn - Xn @ b) ** 2) / (n - 3)
+    for i, f in enumerate(["a", "b"]):
+        assert abs(res[f].t - b[i] / np.sqrt(s2 * inv[i, i])) < 1e-8
+        assert 0 <= res[f].p_value <= 1
+    assert res["a"].p_value < 1e-4

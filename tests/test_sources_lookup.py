@@ -142,3 +142,22 @@ def test_feature_histogram_equals_long_form(spark):
     two = sorted((tuple(r) for r in value_histogram(unpivot_features(df, "g", ["x", "y"]), "g")
                   .select("g", "feature", "value", "cnt", "n_rows").collect()), key=repr)
     assert one == two and ("a", "y", None, 1, 3) in one
+
+
+def test_series_text_and_histogram_map(spark, tmp_dir):
+    from fipsight.operators.profile import histogram_map
+    from fipsight.sources.files import read_series_text
+    _write(f"{tmp_dir}/s/part-0", "01073,1980-01-03,76.5\n01073,1980-01-10,16.0\n")
+    df = read_series_text(spark, f"{tmp_dir}/s")
+    assert sorted((r.fips, str(r.dt), r.aqi) for r in df.collect()) == [
+        ("01073", "1980-01-03", 76.5), ("01073", "1980-01-10", 16.0)]
+    h = spark.createDataFrame([("c", "f", 1.0, 3), ("c", "f", 2.0, 1)],
+                              "g string, feature string, value double, cnt long")
+    assert histogram_map(h, "g").first().histogram == {1.0: 3, 2.0: 1}
+
+
+def test_numeric_where(spark):
+    from fipsight.operators.project import numeric_where
+    df = spark.createDataFrame([("8-HR", "70"), ("8-HR", ""), ("8-HR", "abc"), ("1-HR", "5"),
+                                ("8-HR", "inf")], "d string, v string")
+    assert [r.v for r in numeric_where(df, F.col("d") == "8-HR", "v").collect()] == ["70"]
