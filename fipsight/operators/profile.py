@@ -76,3 +76,18 @@ def keep_selected(long: DataFrame, selection: DataFrame, keys, var: str = "featu
     when small)."""
     k = _keys(keys)
     return long.join(selection.select(*k, var).distinct(), on=[*k, var], how="left_semi")
+
+
+def selected_histograms(selection: DataFrame, hist: DataFrame, keys, var: str = "feature",
+                        features_col: str = "features", as_map: bool = False) -> DataFrame:
+    """Histograms of the features chosen per group (``selection`` holds an array of names per
+    group, e.g. ``select_features`` output).
+
+    Long rows ``(group, feature, value, cnt, n_rows)`` by default: a continuous feature can have
+    as many distinct values as the group has rows, so the rows stay rows. ``as_map=True`` folds
+    them into ``map<value, count>`` per (group, feature), which is meant for categorical
+    features (bounded number of distinct values)."""
+    k = _keys(keys)
+    chosen = selection.select(*k, F.explode(features_col).alias(var))
+    rows = hist.join(chosen, on=[*k, var], how="left_semi")
+    return histogram_map(rows, k, var) if as_map else rows

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from fipsight.functions import fips_from_float_text, fips_from_parts, safe_double
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.forecast import fit_ar, predict_ar
-from fipsight.operators.profile import feature_histogram, frequency_screen
+from fipsight.operators.profile import (feature_histogram, frequency_screen,
+                                        selected_histograms)
 from fipsight.operators.project import exclude_label, min_length
 from fipsight.operators.select import select_features
 from fipsight.sources.files import read_csv, with_path_token
@@ -105,6 +106,7 @@ class AccidentResult:
     accidents: DataFrame    # accident rows with counts
     screen: DataFrame       # (county, feature, n_frequent)
     selection: DataFrame    # (county, features, r2, n, status)
+    histograms: DataFrame   # (county, feature, value, cnt, n_rows) of the selected features
     ols: DataFrame          # (county, feature, beta, t, dof, status, p_value)
 
 
@@ -125,12 +127,14 @@ def accident_severity(persons: DataFrame, accidents: DataFrame, features: Sequen
     feats = [f for f in list(features) + rollup.PERSON_COUNT_COLUMNS if f not in set(exclude)]
     numeric = acc.select(county, accident_id, F.col(target).cast("double").alias(target),
                          *[F.col(f).cast("double").alias(f) for f in feats])
-    screen = frequency_screen(feature_histogram(numeric, county, feats), county)
+    hist = feature_histogram(numeric, county, feats)
+    screen = frequency_screen(hist, county)
     gram = stats.gram_table(numeric, county, feats, target)
     sel = select_features(gram, county, feats, target, k=k, allowed=screen)
     chosen = sel.select(county, F.explode("features").alias("feature"))
     fit = stats.ols(gram, county, feats, target, tails=tails, allowed=chosen)
-    return AccidentResult(counts, acc, screen, sel, fit)
+    hists = selected_histograms(sel, hist, county)
+    return AccidentResult(counts, acc, screen, sel, hists, fit)
 
 
 @dataclass

@@ -70,6 +70,9 @@ def test_accident_chain(spark):
     assert {r.feature for r in ols} == set(sel["1-0-3"].features)
     best = {r.feature: r.p_value for r in ols}
     assert best["f3"] < 1e-6
+    hist = res.histograms.where("LOCATION = '1-0-3'").collect()
+    assert {r.feature for r in hist} == set(sel["1-0-3"].features)
+    assert all(r.n_rows == 100 for r in hist)
 
 
 def test_forecast_chain(spark):
