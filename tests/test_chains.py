@@ -84,3 +84,20 @@ def test_forecast_chain(spark):
     assert res.predictions.count() == 50 + 4
     err = res.errors.first()
     assert err.n == 250 and err.mae < 1e-6
+
+
+def test_cli_pollution_and_forecast(spark, tmp_dir):
+    from fipsight.plans.cli import main
+    head = "State Code,County Code,Site Num,Parameter Code,Sample Duration,Date Local,AQI\n"
+    lines = [f"1,73,1,44201,8-HR,{1990 + i // 40}-{1 + (i // 2) % 12:02d}-{1 + i % 2:02d},{20 + i % 7}"
+             for i in range(480)]
+    _write(f"{tmp_dir}/epa/daily_44201_1990.csv", head + "\n".join(lines) + "\n")
+    mort = ["location_name,FIPS,cause_id,sex_id,year_id,mx"] + \
+        [f"Autauga,1073.0,508,3,{y},{5 + y % 4}" for y in range(1990, 2002)]
+    _write(f"{tmp_dir}/mort.csv", "\n".join(mort) + "\n")
+    main(["pollution", "--epa", f"{tmp_dir}/epa/*.csv", "--condition", "8-HR",
+          "--mortality", f"{tmp_dir}/mort.csv", "--out", f"{tmp_dir}/out"])
+    reg = spark.read.parquet(f"{tmp_dir}/out/regression").collect()
+    assert len(reg) == 1 and reg[0].n == 12 and str(reg[0].pollutant) == "44201"
+    main(["forecast", "--daily", f"{tmp_dir}/out/daily", "--n-test", "20", "--out", f"{tmp_dir}/fc"])
+    assert spark.read.parquet(f"{tmp_dir}/fc/errors").count() == 1
