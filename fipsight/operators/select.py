@@ -79,6 +79,40 @@ def stratified_folds(df: DataFrame, group, label: str, id_col: str, folds: int =
     return j.withColumn(out, fold.cast("int")).drop("_r", "_nk", "_sk")
 
 
+def _nearest_from_distances(D: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
+                            k: int):
+    """Given squared distances ``D`` (query rows x train rows), the k nearest train rows of
+    another fold per query row, ties to the smaller id. Returns (query row, train row, dist)
+    ordered by query row, then rank. ``D`` is not modified."""
+    D = np.where(qf[:, None] == tf[None, :], np.inf, D)
+    kk = min(k, D.shape[1])
+    if kk == 0 or D.shape[0] == 0:
+        e = np.zeros(0, int)
+        return e, e, np.zeros(0)
+    kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
+    r, c = np.nonzero(D <= kth[:, None])           # k best plus distance ties
+    d = D[r, c]
+    fin = np.isfinite(d)
+    r, c, d = r[fin], c[fin], d[fin]
+    o = np.lexsort((tids[c], d, r))                # per row: by distance, then id
+    r, c, d = r[o], c[o], d[o]
+    pos = np.arange(len(r))
+    first = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
+    rank = pos - np.maximum.accumulate(np.where(first, pos, 0))
+    keep = rank < k
+    return r[keep], c[keep], d[keep]
+
+
+def _sq_dist(Qc: np.ndarray, Tm: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
+    """Squared Euclidean distances, dimensions added in column order onto ``base`` (zeros when
+    omitted), so a prefix's matrix extended by one column equals the full computation."""
+    D = np.zeros((len(Qc), len(Tm))) if base is None else base.copy()
+    for j in range(Qc.shape[1]):
+        diff = Qc[:, j][:, None] - Tm[:, j][None, :]
+        D += diff * diff
+    return D
+
+
 def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
           k: int, chunk: int = 4096, max_elems: int = 1 << 22):
     """Exact k nearest rows of ``Tm`` for every row of ``Q`` among rows of another fold;
@@ -87,29 +121,11 @@ def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: n
     step = max(1, min(chunk, max_elems // max(1, Tm.shape[0])))
     rs, cs, ds = [], [], []
     for s in range(0, len(Q), step):
-        Qc = Q[s:s + step]
-        D = np.zeros((len(Qc), len(Tm)))
-        for j in range(Q.shape[1]):                    # dimensions summed in order
-            diff = Qc[:, j][:, None] - Tm[:, j][None, :]
-            D += diff * diff
-        D[qf[s:s + step, None] == tf[None, :]] = np.inf
-        kk = min(k, D.shape[1])
-        if kk == 0:
-            continue
-        kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
-        r, c = np.nonzero(D <= kth[:, None])           # k best plus distance ties
-        d = D[r, c]
-        fin = np.isfinite(d)
-        r, c, d = r[fin], c[fin], d[fin]
-        o = np.lexsort((tids[c], d, r))                # per row: by distance, then id
-        r, c, d = r[o], c[o], d[o]
-        pos = np.arange(len(r))
-        first = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
-        rank = pos - np.maximum.accumulate(np.where(first, pos, 0))
-        keep = rank < k
-        rs.append(r[keep] + s)
-        cs.append(c[keep])
-        ds.append(d[keep])
+        r, c, d = _nearest_from_distances(_sq_dist(Q[s:s + step], Tm), qf[s:s + step], tf,
+                                          tids, k)
+        rs.append(r + s)
+        cs.append(c)
+        ds.append(d)
     if not rs:
         e = np.zeros(0, int)
         return e, e, np.zeros(0)
@@ -368,9 +384,21 @@ def _cv_scores(pts: DataFrame, cands: DataFrame, group: list[str], n_neighbors:
         fold = pt["fold"].to_numpy().astype(np.int64)
         ids, labels = pt["id"].to_numpy().astype(np.int64), pt["label"].to_numpy().astype(np.int64)
         rows = []
+        prefix_cache: dict[tuple, np.ndarray] = {}
+
+        def distances(idx: list[int]) -> np.ndarray:
+            # a forward candidate is the current subset plus one feature: its distances are the
+            # shared prefix's distances plus one dimension (bit-identical to a full recompute)
+            head = tuple(idx[:-1])
+            if head not in prefix_cache:
+                prefix_cache.clear()
+                prefix_cache[head] = _sq_dist(X[:, list(head)], X[:, list(head)])
+            last = X[:, idx[-1:]]
+            return _sq_dist(last, last, base=prefix_cache[head])
+
         for cand, idx in zip(cd["cand"], cd["idx"]):
             idx = list(idx)
-            r, cc, _ = _topk(X[:, idx], X[:, idx], fold, fold, ids, n_neighbors)
+            r, cc, _ = _nearest_from_distances(distances(idx), fold, fold, ids, n_neighbors)
             pred = _majority(r, labels[cc], len(X))
             voted = pred != -1
             for f in np.unique(fold[voted]):
