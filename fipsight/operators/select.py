@@ -349,37 +349,35 @@ def select_features(gram: DataFrame, keys, features: Sequence[str], target: str,
 # ------------------------------------------------------------------------------------------
 
 
-def _cv_scores(pts: DataFrame, cands: DataFrame, group: list[str], n_neighbors: int,
-               block_rows: int, width: int) -> DataFrame:
+def _small_points(pts: DataFrame, group: list[str], width: int, block_rows: int) -> DataFrame:
+    """Points of groups that fit one block, features as plain double columns, hash-partitioned
+    by group and checkpointed: every selection round reuses this partitioning, so only the
+    (small) candidate table moves per round."""
+    xcols = [f"_x{j}" for j in range(width)]
+    small = pts.where(F.col("_gn") <= block_rows).select(
+        *group, "id", "label", "fold", *[F.col("x")[j].alias(c) for j, c in enumerate(xcols)])
+    return small.repartition(*group).checkpoint(eager=True)
+
+
+def _cv_scores(small_pts: DataFrame, big_pts: DataFrame, cands: DataFrame, group: list[str],
+               n_neighbors: int, block_rows: int, width: int) -> DataFrame:
     """Mean fold accuracy of every candidate subset: ``cands`` rows ``(group, cand, idx)`` with
     ``idx`` the 0-based feature positions; one KNN cross-validation per (group, cand).
 
     Groups of at most ``block_rows`` points are scored in one task for all their candidates
-    (the candidate list of a group is bounded by the number of features). Larger groups are
-    replicated per candidate and go through the tiled path."""
+    (``small_pts``, co-grouped with the candidate rows; the candidate list of a group is bounded
+    by the number of features). Larger groups (``big_pts``) are replicated per candidate and
+    go through the tiled path."""
     gk = [*group, "cand"]
-    small_pts = pts.where(F.col("_gn") <= block_rows)
-    big_pts = pts.where(F.col("_gn") > block_rows)
-    # small groups: the group's points (features as plain double columns) and its candidate
-    # rows (role 1) meet in one task; nested values never travel per point
     xcols = [f"_x{j}" for j in range(width)]
-    pt_rows = small_pts.select(*group, F.lit(0).alias("_role"), "id", "label", "fold",
-                               *[F.col("x")[j].alias(c) for j, c in enumerate(xcols)],
-                               F.lit(None).cast("int").alias("cand"),
-                               F.lit(None).cast("array<int>").alias("idx"))
-    cd_rows = cands.join(small_pts.select(*group).distinct(), on=group, how="left_semi") \
-        .select(*group, F.lit(1).alias("_role"), F.lit(None).cast("long").alias("id"),
-                F.lit(None).cast("long").alias("label"), F.lit(None).cast("int").alias("fold"),
-                *[F.lit(None).cast("double").alias(c) for c in xcols],
-                F.col("cand").cast("int").alias("cand"), "idx")
-    sp = pt_rows.unionByName(cd_rows)
-    schema = T.StructType([pts.schema[c] for c in group] + [
+    schema = T.StructType([small_pts.schema[c] for c in group] + [
         T.StructField("cand", T.IntegerType()), T.StructField("fold", T.IntegerType()),
         T.StructField("n_test", T.LongType()), T.StructField("n_correct", T.LongType())])
+    out_cols = [*group, "cand", "fold", "n_test", "n_correct"]
 
-    def all_candidates(pdf: pd.DataFrame) -> pd.DataFrame:
-        pt = pdf[pdf["_role"] == 0]
-        cd = pdf[pdf["_role"] == 1]
+    def all_candidates(pt: pd.DataFrame, cd: pd.DataFrame) -> pd.DataFrame:
+        if pt.empty or cd.empty:
+            return pd.DataFrame(columns=out_cols)
         X = pt[xcols].to_numpy(dtype=np.float64)
         fold = pt["fold"].to_numpy().astype(np.int64)
         ids, labels = pt["id"].to_numpy().astype(np.int64), pt["label"].to_numpy().astype(np.int64)
@@ -397,7 +395,7 @@ def _cv_scores(pts: DataFrame, cands: DataFrame, group: list[str], n_neighbors:
             return _sq_dist(last, last, base=prefix_cache[head])
 
         for cand, idx in zip(cd["cand"], cd["idx"]):
-            idx = list(idx)
+            idx = [int(i) for i in idx]
             r, cc, _ = _nearest_from_distances(distances(idx), fold, fold, ids, n_neighbors)
             pred = _majority(r, labels[cc], len(X))
             voted = pred != -1
@@ -406,13 +404,15 @@ def _cv_scores(pts: DataFrame, cands: DataFrame, group: list[str], n_neighbors:
                 rows.append((int(cand), int(f), int(m.sum()), int((pred[m] == labels[m]).sum())))
         out = pd.DataFrame(rows, columns=["cand", "fold", "n_test", "n_correct"])
         for col in reversed(group):
-            out.insert(0, col, pdf[col].iloc[0])
+            out.insert(0, col, pt[col].iloc[0])
         return out
 
-    small_counts = sp.groupBy(*group).applyInPandas(all_candidates, schema)
+    small_cands = cands.select(*group, F.col("cand").cast("int").alias("cand"), "idx")
+    small_counts = small_pts.groupBy(*group).cogroup(small_cands.groupBy(*group)) \
+        .applyInPandas(all_candidates, schema)
     # large groups: points replicated per candidate, exact tiled neighbours
     p = big_pts.join(cands.select(*group, "cand", "idx"), on=group, how="inner")
-    p = p.select(*group, "cand", "id", "label", "fold", "_gn",
+    p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold", "_gn",
                  F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
     big_counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows, size_col="_gn") \
         .select(*gk, "fold", "n_test", "n_correct")
@@ -452,6 +452,8 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     sizes = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     pts = pts.join(sizes.select(*g, F.col("n").alias("_gn")), on=g, how="inner") \
         .checkpoint(eager=True)
+    small_pts = _small_points(pts, g, len(names), block_rows)
+    big_pts = pts.where(F.col("_gn") > block_rows)
     all_idx = F.array(*[F.lit(i) for i in range(len(names))])
     if allowed is not None:
         pos = spark.createDataFrame([(f, i) for i, f in enumerate(names)],
@@ -493,7 +495,7 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
         cands = active.select(*g, "subset", F.explode(F.array_except("pool", "subset"))
                               .alias("cand"))
         cands = cands.withColumn("idx", F.concat("subset", F.array("cand")))
-        scored = _cv_scores(pts, cands, g, n_neighbors, block_rows, len(names))
+        scored = _cv_scores(small_pts, big_pts, cands, g, n_neighbors, block_rows, len(names))
         picked = _best_per_group(scored.join(cands, on=[*g, "cand"]), g) \
             .select(*g, F.col("idx").alias("subset"), "score", F.col("cand").alias("added")) \
             .checkpoint(eager=True)
@@ -511,7 +513,8 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
             if rem.isEmpty():
                 break
             rem = rem.withColumn("idx", F.array_remove("subset", F.col("cand")))
-            scored = _cv_scores(pts, rem, g, n_neighbors, block_rows, len(names))
+            scored = _cv_scores(small_pts, big_pts, rem, g, n_neighbors, block_rows,
+                                len(names))
             cand_best = _best_per_group(scored.join(rem, on=[*g, "cand"]), g)
             prev = best.select(*g, F.col("size").alias("_sz"), F.col("score").alias("_prev"))
             better = cand_best.join(prev, on=[*g], how="left") \
