@@ -13,3 +13,19 @@ DataFrame; nothing creates or stops a SparkSession. Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value when Spark sends them to Python workers, so
+    executors need not have the package installed or on their path (pandas UDFs defined here
+    then work from any driver working directory)."""
+    try:
+        import sys
+
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle: executors need the package
+        pass
+
+
+_ship_by_value()
