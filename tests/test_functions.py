@@ -100,3 +100,10 @@ def test_t_tail_two_sided_and_reference_point(spark):
     two = [r[0] for r in df.select(t_tail("t", "dof", tails=2)).collect()]
     assert abs(one[0] - 0.05) < 1e-6 and abs(two[0] - 0.1) < 2e-6
     assert one[1] is None and one[2] is None
+
+
+def test_package_pickled_by_value():
+    """Executors need not have the package: its functions travel by value to Python workers."""
+    import fipsight.operators.select as sel
+    from pyspark import cloudpickle
+    assert cloudpickle.cloudpickle._is_registered_pickle_by_value(sel)
