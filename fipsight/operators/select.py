@@ -437,9 +437,12 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     cross-validation (features unscaled, ties to the lower feature position).
 
     The driver loops over *rounds*; every round is one Spark job that scores all groups and all
-    their candidate subsets at once (points replicated per candidate, exact tiled KNN). The
-    per-group search state (current subset, best subset per size) is a small DataFrame,
-    checkpointed every round. Result ``(group, features, score, n, status)``.
+    their candidate subsets at once. Groups of at most ``block_rows`` points are partitioned
+    once and co-grouped with their candidate list each round (one task per group, forward
+    candidates reuse the shared prefix distances). Larger groups are replicated per candidate
+    and scored with the exact tiled KNN. The per-group search state (current subset, best
+    subset per size) is a small DataFrame, checkpointed every round. Result
+    ``(group, features, score, n, status)``.
     """
     g = _keys(group)
     names = [f for f in features if f not in set(exclude)]
