@@ -21,9 +21,16 @@ from pyspark.sql import types as T
 
 
 def _path(parent: str, key: str | int) -> str:
+    """Variant path segment: ``[i]`` for a position, ``['key']`` or ``["key"]`` for a member
+    (variant paths have no escapes, so the quote the key does not contain is used)."""
     if isinstance(key, int):
         return f"{parent}[{key}]"
-    return parent + "['" + key.replace("'", "\\'") + "']"
+    if "'" not in key:
+        return f"{parent}['{key}']"
+    if '"' not in key:
+        return f'{parent}["{key}"]'
+    raise ValueError(f"JSON member name {key!r} holds both quote characters; it cannot be "
+                     "addressed by a variant path")
 
 
 def _spark_type(ddl: str) -> T.DataType:

@@ -161,3 +161,11 @@ def test_numeric_where(spark):
     df = spark.createDataFrame([("8-HR", "70"), ("8-HR", ""), ("8-HR", "abc"), ("1-HR", "5"),
                                 ("8-HR", "inf")], "d string, v string")
     assert [r.v for r in numeric_where(df, F.col("d") == "8-HR", "v").collect()] == ["70"]
+
+
+def test_json_flatten_odd_keys_and_nested_lists(spark):
+    doc = """{"a b": 1, "it's": "x", "m": [[1, 2], [3]], "n": {"k": null}}"""
+    out = flatten_json(spark.createDataFrame([(doc,)], "j string"), "j")
+    r = out.first().asDict()
+    assert r["@a b"] == 1 and r["@it's"] == "x"
+    assert r["@m0"] == "[1,2]" and r["@m1"] == "[3]"
