@@ -80,11 +80,17 @@ def stratified_folds(df: DataFrame, group, label: str, id_col: str, folds: int =
 
 
 def _nearest_from_distances(D: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
-                            k: int):
+                            k: int, same_fold: np.ndarray | None = None,
+                            inplace: bool = False):
     """Given squared distances ``D`` (query rows x train rows), the k nearest train rows of
     another fold per query row, ties to the smaller id. Returns (query row, train row, dist)
-    ordered by query row, then rank. ``D`` is not modified."""
-    D = np.where(qf[:, None] == tf[None, :], np.inf, D)
+    ordered by query row, then rank. ``same_fold`` may pass the precomputed fold mask;
+    ``inplace=True`` lets the function overwrite ``D`` (a scratch matrix) instead of copying."""
+    mask = qf[:, None] == tf[None, :] if same_fold is None else same_fold
+    if inplace:
+        np.putmask(D, mask, np.inf)
+    else:
+        D = np.where(mask, np.inf, D)
     kk = min(k, D.shape[1])
     if kk == 0 or D.shape[0] == 0:
         e = np.zeros(0, int)
@@ -122,7 +128,7 @@ def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: n
     rs, cs, ds = [], [], []
     for s in range(0, len(Q), step):
         r, c, d = _nearest_from_distances(_sq_dist(Q[s:s + step], Tm), qf[s:s + step], tf,
-                                          tids, k)
+                                          tids, k, inplace=True)
         rs.append(r + s)
         cs.append(c)
         ds.append(d)
@@ -394,9 +400,11 @@ def _cv_scores(small_pts: DataFrame, big_pts: DataFrame, cands: DataFrame, group
             last = X[:, idx[-1:]]
             return _sq_dist(last, last, base=prefix_cache[head])
 
+        same_fold = fold[:, None] == fold[None, :]
         for cand, idx in zip(cd["cand"], cd["idx"]):
             idx = [int(i) for i in idx]
-            r, cc, _ = _nearest_from_distances(distances(idx), fold, fold, ids, n_neighbors)
+            r, cc, _ = _nearest_from_distances(distances(idx), fold, fold, ids, n_neighbors,
+                                               same_fold=same_fold, inplace=True)
             pred = _majority(r, labels[cc], len(X))
             voted = pred != -1
             for f in np.unique(fold[voted]):
