@@ -42,6 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="fipsight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        try:  # only records the choice; some deployments reject runtime core settings
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:
+            pass
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
