@@ -365,8 +365,8 @@ def _small_points(pts: DataFrame, group: list[str], width: int, block_rows: int)
     return small.repartition(*group).checkpoint(eager=True)
 
 
-def _cv_scores(small_pts: DataFrame, big_pts: DataFrame, cands: DataFrame, group: list[str],
-               n_neighbors: int, block_rows: int, width: int) -> DataFrame:
+def _cv_scores(small_pts: DataFrame, big_pts: DataFrame | None, cands: DataFrame,
+               group: list[str], n_neighbors: int, block_rows: int, width: int) -> DataFrame:
     """Mean fold accuracy of every candidate subset: ``cands`` rows ``(group, cand, idx)`` with
     ``idx`` the 0-based feature positions; one KNN cross-validation per (group, cand).
 
@@ -418,13 +418,15 @@ def _cv_scores(small_pts: DataFrame, big_pts: DataFrame, cands: DataFrame, group
     small_cands = cands.select(*group, F.col("cand").cast("int").alias("cand"), "idx")
     small_counts = small_pts.groupBy(*group).cogroup(small_cands.groupBy(*group)) \
         .applyInPandas(all_candidates, schema)
-    # large groups: points replicated per candidate, exact tiled neighbours
-    p = big_pts.join(cands.select(*group, "cand", "idx"), on=group, how="inner")
-    p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold", "_gn",
-                 F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
-    big_counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows, size_col="_gn") \
-        .select(*gk, "fold", "n_test", "n_correct")
-    counts = small_counts.unionByName(big_counts)
+    counts = small_counts
+    if big_pts is not None:
+        # large groups: points replicated per candidate, exact tiled neighbours
+        p = big_pts.join(cands.select(*group, "cand", "idx"), on=group, how="inner")
+        p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold",
+                     "_gn", F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
+        big_counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows,
+                                     size_col="_gn").select(*gk, "fold", "n_test", "n_correct")
+        counts = counts.unionByName(big_counts)
     per_fold = counts.select(*gk, (F.col("n_correct") / F.col("n_test")).alias("acc"))
     return per_fold.groupBy(*gk).agg(F.avg("acc").alias("score"))
 
@@ -464,7 +466,10 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     pts = pts.join(sizes.select(*g, F.col("n").alias("_gn")), on=g, how="inner") \
         .checkpoint(eager=True)
     small_pts = _small_points(pts, g, len(names), block_rows)
+    # the tiled path is planned only when some group exceeds one block (sizes are known)
     big_pts = pts.where(F.col("_gn") > block_rows)
+    if sizes.where(F.col("n") > block_rows).isEmpty():
+        big_pts = None
     all_idx = F.array(*[F.lit(i) for i in range(len(names))])
     if allowed is not None:
         pos = spark.createDataFrame([(f, i) for i, f in enumerate(names)],
