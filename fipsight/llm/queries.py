@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
 from fipsight.llm.packing import pack_documents, piece_digests
 
@@ -13,6 +14,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encoding_digests(encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "'<|im_end|><|im_start|>assistant ok'"
@@ -27,6 +33,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
