@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
+from fipsight.llm.langid import identify
 from fipsight.llm.packing import pack_documents, piece_digests
 from fipsight.llm.quality import classify
 
@@ -19,6 +20,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_read(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encoding_digests(encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
@@ -39,6 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op4_language": op4_language,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,

@@ -1,0 +1,101 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from fipsight.llm.langid import PLACES, identify, infer, learn, word_trigrams
+from fipsight.llm.text import chunks
+
+
+@pytest.fixture(scope="module")
+def got(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return identify(docs).toPandas().merge(docs.toPandas(), on="doc_id"), docs.count()
+
+
+def test_held_out_accuracy(got):
+    m, n = got
+    assert len(m) == n and m.score.between(0, 1).all()
+    assert (m.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in m.doc_id]).all()
+    h = m[m.held_out]
+    assert (h.lang_pred == h.lang).mean() > 0.98
+
+
+def words_of(text):
+    out, word = [], b""
+    for b in text.encode() + b" ":
+        c = bytes([b]).lower() if b < 128 else bytes([b])
+        if c.isalpha() or b >= 128:
+            word += c
+        elif word:
+            out.append(b" " + word + b" ")
+            word = b""
+    return out
+
+
+def place_of(g):
+    return ((int.from_bytes(g, "big") * 0x9E3779B1) % (1 << 32)) >> 14
+
+
+def test_trigrams_are_those_of_the_words():
+    texts = ["Ab cé, x1y", "", "z", "Zz"]
+    (_, _, data, off), = chunks(pa.array(texts))
+    place, first, doc = word_trigrams(data, off)
+    want = [(t, [place_of(w[k:k + 3]) for k in range(len(w) - 2)]) for t, x in enumerate(texts) for w in words_of(x)]
+    edge = np.append(first, len(place))
+    assert [(int(d), place[a:b].tolist()) for d, a, b in zip(doc, edge, edge[1:])] == want
+
+
+def mixture(like, allowed):
+    pi = np.array(allowed, float) / sum(allowed)
+    for _ in range(12):
+        r = like * pi
+        pi = (r / r.sum(1, keepdims=True)).mean(0)
+    return pi, np.log((like * pi).sum(1)).sum()
+
+
+def test_mixture_equals_a_plain_computation():
+    rng = np.random.default_rng(4)
+    model = np.log(rng.dirichlet(np.full(PLACES, 0.3), size=3).T + 1e-9).astype(np.float32)
+    texts = ["alpha beta gamma delta", "one two three four five six seven eight nine ten", "a"]
+    (_, _, data, off), = chunks(pa.array(texts))
+    ids, share = infer(*word_trigrams(data, off)[:2], word_trigrams(data, off)[2], model, 0.3)
+    for t, x in enumerate(texts):
+        log = np.array([[model[place_of(w[k:k + 3])] for k in range(len(w) - 2)] for w in words_of(x)], dtype=object)
+        log = np.array([np.sum(np.stack(v), 0) for v in log], float)
+        like = np.exp(np.maximum(log - log.max(1, keepdims=True), -60))
+        full, _ = mixture(like, [1, 1, 1])
+        order = np.argsort(-full, kind="stable")
+        best, keep = None, None
+        for k in range(1, 4):
+            pi, v = mixture(like, [float(l in order[:k]) for l in range(3)])
+            if k == 1:
+                best, keep = v, pi
+            elif v - best > 0.3 * np.log(len(like) + 1):
+                best, keep = v, pi
+            else:
+                break
+        assert share[t] == pytest.approx(keep, abs=1e-9)
+
+
+def test_odd_rows(spark, odd_docs):
+    rows = {(r.doc_id, r.lang_pred, r.score) for r in identify(odd_docs).collect()}
+    pred = {i: p for i, p, _ in rows}
+    assert {i for i, p in pred.items() if p == "und"} == {0, 1, 2, 9}
+    assert all(s == 0 for _, p, s in rows if p == "und")
+    assert identify(odd_docs).count() == odd_docs.count()
+    assert identify(odd_docs.where("false")).count() == 0
+    assert {r.lang_pred for r in identify(odd_docs.drop("lang").withColumn("lang", odd_docs.lang.substr(9, 1))
+                                          .where("doc_id < 3")).collect()} == {"und"}
+
+
+def test_two_languages_are_both_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names, model = learn(docs.where("doc_id % 3 != 1"))
+    t = {r.lang: r.text for r in docs.where("length(text) between 1500 and 3000").collect()}
+    mixed = t["en"][:800] + " " + t["fr"][:800]
+    (_, _, data, off), = chunks(pa.array([mixed]))
+    _, share = infer(*word_trigrams(data, off), model, 2.0)
+    s = dict(zip(names, share[0]))
+    assert s["en"] > 0.3 and s["fr"] > 0.3
