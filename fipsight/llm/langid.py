@@ -106,7 +106,7 @@ def _em(like: np.ndarray, doc: np.ndarray, first: np.ndarray, n: np.ndarray, all
 def infer(place: np.ndarray, first: np.ndarray, doc: np.ndarray, model: np.ndarray, penalty: float):
     """(texts that have words, proportions over the chosen language sets)."""
     langs = model.shape[1]
-    log = np.add.reduceat(model[place], first, axis=0).astype(np.float64)
+    log = np.add.reduceat(model[place], first, axis=0, dtype=np.float64)
     like = np.exp(np.maximum(log - log.max(1, keepdims=True), -60.0))
     start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     texts, n = doc[start], np.diff(np.append(start, len(doc)))
