@@ -61,6 +61,10 @@ class WordTable:
         self.size += len(keys)
         return slots
 
+    def rename(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """Give known keys other slots."""
+        self.slots[np.searchsorted(self.keys, keys)] = slots
+
 
 def split_words(data: np.ndarray, off: np.ndarray):
     """(starts, ends, first occurrence of each distinct word, sorted distinct hashes, inverse)."""
