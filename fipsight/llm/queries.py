@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
 from fipsight.llm.langid import identify
+from fipsight.llm.neardup import near_duplicates
 from fipsight.llm.packing import pack_documents, piece_digests
 from fipsight.llm.quality import classify
 
@@ -20,6 +21,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_language": op4_language,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_chat_format": op9_chat_format,
