@@ -14,15 +14,21 @@ def sigmoid(z):
 
 
 def ftrl_train(index: list[np.ndarray], value: list[np.ndarray], label: np.ndarray, dims: int, alpha: float = 0.3,
-               beta: float = 1.0, l1: float = 0.2, l2: float = 0.1, epochs: int = 3, seed: int = 7) -> np.ndarray:
+               beta: float = 1.0, l1: float = 0.2, l2: float = 0.1, epochs: int = 3, seed: int = 7,
+               keep: float = 1.0) -> np.ndarray:
     """Per-coordinate FTRL-proximal: z collects gradients corrected by the weight moved, n their
     squares; a weight is zero while |z| <= l1. Each row's indexes must be distinct; entry ``dims - 1``
-    of every model is free for the caller's bias."""
+    of every model is free for the caller's bias. With ``keep`` < 1 each visit of a row sees a random
+    share of its features (never without its last one), so that no feature leans on its company."""
     z, n = np.zeros(dims), np.zeros(dims)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(index)).tolist():
             at, x = index[i], value[i]
+            if keep < 1.0:
+                some = rng.random(len(at)) < keep
+                some[-1:] = True
+                at, x = at[some], x[some]
             zi, ni = z[at], n[at]
             root = np.sqrt(ni)
             w = np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((beta + root) / alpha + l2))

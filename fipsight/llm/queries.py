@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
@@ -11,6 +12,7 @@ from fipsight.llm.langid import identify
 from fipsight.llm.neardup import near_duplicates
 from fipsight.llm.packing import pack_documents, piece_digests
 from fipsight.llm.quality import classify
+from fipsight.llm.toxicity import classify_toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +31,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain of the two categories that ``labels`` has: low quality, then toxic."""
+    chain = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+    return classify_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), chain)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encoding_digests(encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
@@ -51,6 +59,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language": op4_language,
+    "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
