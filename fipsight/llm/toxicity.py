@@ -33,7 +33,7 @@ from fipsight.llm.text import SEPARATORS, _edges, chunks, lower_table, mix, run_
 U = np.uint64
 FOLDS = 3
 STEMS = (4, 5, 6)  # bytes of a word's beginning
-LEAST_TEXTS = 4  # sample texts that must hold a feature, at least; and
+LEAST_TEXTS = 8  # sample texts that must hold a feature, at least; and
 LEAST_SHARE = 0.001  # the share of them
 KEEP = 0.4  # features that a training visit sees: one toxic word must do, without the others of its text
 
