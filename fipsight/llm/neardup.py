@@ -46,7 +46,7 @@ WORDS = 5
 ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 LEAST = 97  # of 160 registers; 0.8 - 6 standard deviations
-TILE = 128
+TILE = 512
 GOLD = U(0x9E3779B97F4A7C15)
 
 
@@ -176,13 +176,15 @@ def shared_bands(rows: DataFrame) -> DataFrame:
 
 
 def _pack_bag(key: np.ndarray, times: np.ndarray) -> bytes:
-    return key.astype("<u8").tobytes() + times.astype("<u4").tobytes()
+    """Sorted shingles; behind them the times, unless all are 1."""
+    n = len(key).to_bytes(4, "little")
+    return n + key.astype("<u8").tobytes() + (times.astype("<u4").tobytes() if (times > 1).any() else b"")
 
 
 def _bag(raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
-    n = len(raw) // 12
-    times = np.frombuffer(raw, "<u4", n, 8 * n)
-    return np.frombuffer(raw, "<u8", n), times, int(times.sum())
+    n = int.from_bytes(raw[:4], "little")
+    times = np.frombuffer(raw, "<u4", n, 4 + 8 * n) if len(raw) > 4 + 8 * n else np.ones(n, np.int64)
+    return np.frombuffer(raw, "<u8", n, 4), times, int(times.sum())
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -243,7 +245,9 @@ def star_links(shared: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
 
 def tiles(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """band, i, j, side, key, label: the tiles whose pairs are still open."""
-    rows = (shared.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    least = shared.groupBy("band").agg(F.min("key").alias("least"))  # compared with all by the star
+    rows = (shared.join(least, "band").where("key <> least")
+            .join(labels.withColumnRenamed("node", "key"), "key", "left")
             .select("band", "key", F.coalesce("label", "key").alias("label")))
     sizes = rows.groupBy("band", "label").agg(F.count("*").alias("n"))
     bands = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
@@ -328,3 +332,20 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     classes = named.groupBy("c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return named.join(classes.withColumnRenamed("c", "k"), F.col("c").eqNullSafe(F.col("k"))).select(
         "doc_id", "class_id", "class_size")
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without those that a class has beside its least doc_id, and
+    one row of a repeated doc_id. Rows with a null doc_id cannot be named and stay."""
+    folder = Folder(docs.sparkSession, "one-of-each")
+    classes = folder.keep(near_duplicates(docs, threshold, id_col, text_col).where("doc_id IS NOT NULL"), "classes")
+    ids = classes.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("class_id")).alias("goes"),
+                                        F.count("*").alias("times"))
+    goes = ids.where("goes").select(F.col("doc_id").alias("near_copy_id"))
+    twice = ids.where("NOT goes AND times > 1").select(F.col("doc_id").alias("near_copy_id"))
+    named = F.col(id_col).cast("long") == F.col("near_copy_id")
+    kept = docs.join(goes, named, "left_anti")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, named, "left_semi").dropDuplicates([id_col])
+    return kept.join(twice, named, "left_anti").unionByName(again)
