@@ -165,6 +165,31 @@ def predict(docs: DataFrame, names: list[str], model: np.ndarray, penalty: float
             .mapInArrow(run, "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"))
 
 
+def keep_language(docs: DataFrame, least: float = 0.5, languages: list[str] | None = None, penalty: float = 2.0,
+                  id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, all columns, that have a language (one of ``languages``, if given) in at
+    least the share ``least`` of their words; learns from ``docs`` as ``identify``."""
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                    F.col(lang_col).cast("string").alias("lang"))
+    names, model = learn(d.where((id_remainder(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull()))
+    wanted = np.array([languages is None or n in languages for n in names], bool)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, off in chunks(batch.column(at), 1 << 18):
+                good = np.zeros(j - i, bool)
+                place, first, doc = word_trigrams(data, off)
+                if len(first) and names:
+                    texts, share = infer(place, first, doc, sent.value, penalty)
+                    best = share.argmax(1)
+                    good[texts] = (share[np.arange(len(texts)), best] >= least) & wanted[best]
+                yield batch.slice(i, j - i).filter(pa.array(good))
+    # a text whose only high bytes are signs has no letter
+    return docs.where(F.col(text_col).rlike(r"\p{L}")).mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score, languages, shares; ids with remainder 1 are never learned from."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),

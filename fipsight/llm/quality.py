@@ -132,6 +132,26 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, max_rows: int = 20_000, id_col: str = "doc_id",
+              text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``least``; learns as ``classify``."""
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    learn = sampled_labels(labels, {"label": F.col(label_col).cast("int")}, id_remainder(F.col("doc_id"), 3) != 1,
+                           max_rows)
+    model = docs.sparkSession.sparkContext.broadcast(train(d, learn))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = model.value
+            for i, j, data, off in chunks(batch.column(at), 1 << 18):
+                key, doc = token_features(data, off)
+                total = np.bincount(doc, w[(key % U(DIMS - 1)).astype(np.int64)], minlength=j - i)
+                good = sigmoid(total * _share(doc, j - i) + w[DIMS - 1]) >= least
+                yield batch.slice(i, j - i).filter(pa.array(good))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id",
              text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted of every document; ids with remainder 1 are never learned from."""
