@@ -1,12 +1,35 @@
-"""Corpus preparation: each stage's result is written as Parquet and reread as the next one's documents."""
+"""Corpus preparation: quality classifier, language ID, near-duplicate removal, packing.
+
+Each stage takes (spark, docs, sf_dir); its result is written as Parquet and reread as the next
+stage's documents. All but the last return the columns of documents, filtered; the last returns the
+pieces of the packed sequences. A repeated doc_id with different texts counts as one document.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fipsight.llm.langid import keep_language
+from fipsight.llm.neardup import one_of_each
 from fipsight.llm.packing import pack_documents, piece_digests
-from fipsight.session import ensure_checkpoint_dir
+from fipsight.llm.quality import keep_good
+from fipsight.llm.store import Folder
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is at least 0.5."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language that holds at least 0.4 of their words; texts without letters go."""
+    return keep_language(docs, least=0.4)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the least doc_id) of each class of near-duplicates."""
+    return one_of_each(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +37,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_digests(pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality_classifier", quality_classifier), ("language_id", language_id), ("near_dedup", near_dedup),
+          ("packing", packing)]
 
 #: Trained models, sketches and a tokenizer: not expressible in SQL; tested against brute force.
 ORACLE_SQL = None
@@ -22,11 +46,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; returns the rows of the last one."""
-    import uuid
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = Folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for name, stage in STAGES:
+        docs = folder.keep(stage(spark, docs, sf_dir), name)
     return docs
