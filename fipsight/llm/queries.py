@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fipsight.llm.ann import neighbours_of_rows
+from fipsight.llm.bm25 import search
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
 from fipsight.llm.langid import identify
 from fipsight.llm.neardup import near_duplicates
+from fipsight.llm.ngram_lm import score_documents
 from fipsight.llm.packing import pack_documents, piece_digests
 from fipsight.llm.quality import classify
 from fipsight.llm.toxicity import classify_toxicity
@@ -23,6 +26,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -42,6 +49,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours_of_rows(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op8_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_read(spark, sf_dir, "documents"), F.col("doc_id") % 100 == 0)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "'<|im_end|><|im_start|>assistant ok'"
@@ -57,10 +72,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_language_model": op2_language_model,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_nearest": op7_nearest,
+    "op8_bm25": op8_bm25,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
