@@ -9,7 +9,6 @@ DataFrame; nothing creates or stops a SparkSession. Sub-packages:
 * ``operators`` – relational / statistical operators (rollups, joins, windows, moments,
                   regression, PCA, KNN, feature selection)
 * ``plans``     – the end-to-end chains and the bindings of every query to the test tables
-* ``streaming`` – intentionally empty (the analytics are batch-only)
 """
 
 __version__ = "0.1.0"

@@ -24,6 +24,12 @@ def safe_long(col) -> Column:
     return _col(col).try_cast("bigint")
 
 
+def int_code(col) -> Column:
+    """Whole number of a code column of any type (12, 12.0, '12', '12.0'), or NULL."""
+    d = safe_double(_col(col).cast("string"))
+    return F.when(d == F.floor(d), d).try_cast("int")
+
+
 def equals_flag(col, value: str) -> Column:
     """1 when the text equals ``value`` (e.g. side ``'R'``), else 0 (NULL included)."""
     return F.when(_col(col) == F.lit(value), F.lit(1)).otherwise(F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fipsight.functions.casts import _col
+from fipsight.functions.casts import _col, int_code
 
 DEFAULT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -31,7 +31,7 @@ def hours_between(start, end, digits: int = 2) -> Column:
 
 
 def _clock_part(c, upper: int) -> Column:
-    v = _col(c).cast("string").try_cast("int")
+    v = int_code(c)
     return F.when((v >= 0) & (v <= upper), v)
 
 

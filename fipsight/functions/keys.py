@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fipsight.functions.casts import _col
+from fipsight.functions.casts import _col, int_code, safe_double
 
 
 def pad_min(col, width: int, fill: str = "0") -> Column:
@@ -33,9 +33,11 @@ def fips_from_float_text(col) -> Column:
 
 
 def composite_id(case_col, year_col) -> Column:
-    """Accident id: integer case number followed by the integer year (``'1002' ‖ '2008'``)."""
-    return F.concat(_col(case_col).cast("bigint").cast("string"),
-                    _col(year_col).cast("int").cast("string"))
+    """Accident id: integer case number followed by the integer year (``'1002' ‖ '2008'``). Numbers
+    may be written as floats (``12.0``); anything else gives NULL."""
+    case = F.coalesce(_col(case_col).cast("string").try_cast("bigint"),
+                      safe_double(_col(case_col).cast("string")).try_cast("bigint"))
+    return F.concat(case.cast("string"), int_code(year_col).cast("string"))
 
 
 def year_of_id(id_col) -> Column:

@@ -70,7 +70,7 @@ def predict_ar(windows: DataFrame, coef: DataFrame, keys, inputs: str = "inputs"
     x = F.col(inputs).cast("array<double>")
 
     def step(cv):
-        prods = F.zip_with(F.slice(cv, 2, 10_000), x, lambda a, b: a * b)
+        prods = F.zip_with(F.slice(cv, F.lit(2), F.size(cv)), x, lambda a, b: a * b)
         return cv[0] + F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v)
 
     return j.select(*[c_ for c_ in windows.columns], F.transform("coef", step).alias(out))

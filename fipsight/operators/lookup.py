@@ -1,48 +1,27 @@
-"""Dimension lookups with a proven size bound before any broadcast."""
+"""Dimension lookups."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads no more than ``max_rows + 1`` rows
-    (a limited count), so the check stays cheap even on a large input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise the planner / AQE decides
-    (sort-merge join, switched to broadcast at runtime when the side turns out small)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
 
 def fips_lookup(df: DataFrame, lookup: DataFrame, name: str, state: str | None,
                 lk_fips: str = "fips", lk_name: str = "name", lk_state: str = "state",
                 suffix: str = " County", min_fips: int = 1000, out: str = "fips",
-                on_name_only: bool = False, order_col: str | None = None,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                on_name_only: bool = False, order_col: str | None = None) -> DataFrame:
     """County key by name: ``name + suffix`` (and state) looked up in a FIPS table.
 
     Lookup rows with ``fips <= min_fips`` (state-level rows) are dropped. By default the key is
     (name, state), since one county name occurs in many states. ``on_name_only=True`` keys by
-    name alone with the original last-row-wins rule (``order_col`` gives the row order; file
-    order when omitted). Unknown names give NULL (left join) instead of failing the job.
+    name alone. A key that occurs in several rows takes the last one by ``order_col`` (rows of a
+    table have no order of their own; without the column the largest FIPS code wins), so the lookup
+    never multiplies rows. Unknown names give NULL (left join) instead of failing the job.
     """
     lk = lookup.where(F.col(lk_fips) > min_fips)
-    if on_name_only:
-        order = F.col(order_col) if order_col else F.monotonically_increasing_id()
-        lk = (lk.select(lk_name, lk_fips, order.alias("_ord")).groupBy(lk_name)
-                .agg(F.max_by(lk_fips, "_ord").alias(lk_fips)))
-        keys = [lk_name]
-    else:
-        keys = [lk_name, lk_state]
-    lk = lk.select(*[F.col(c).alias("_lk_" + c) for c in keys],
-                   F.col(lk_fips).alias(out))
-    lk = broadcast_if_bounded(lk, max_broadcast_rows)
+    keys = [lk_name] if on_name_only else [lk_name, lk_state]
+    order = F.struct(F.col(order_col or lk_fips), F.col(lk_fips))
+    lk = lk.groupBy(*[F.col(c).alias("_lk_" + c) for c in keys]).agg(F.max_by(lk_fips, order).alias(out))
     cond = F.concat(F.col(name), F.lit(suffix)) == F.col("_lk_" + lk_name)
     if not on_name_only:
         cond = cond & (F.col(state) == F.col("_lk_" + lk_state))

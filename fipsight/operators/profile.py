@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fipsight.operators.rollup import _keys
+from fipsight.operators.rollup import _keys, join_groups
 
 
 def unpivot_features(df: DataFrame, ids, features: Sequence[str], var: str = "feature",
@@ -28,7 +28,7 @@ def value_histogram(long: DataFrame, keys, var: str = "feature", val: str = "val
     k = _keys(keys)
     h = long.groupBy(*k, var, val).agg(F.count(F.lit(1)).alias("cnt"))
     tot = h.groupBy(*k, var).agg(F.sum("cnt").alias("n_rows"))
-    return h.join(tot, on=[*k, var], how="inner")
+    return join_groups(h, tot, [*k, var])
 
 
 def feature_histogram(df: DataFrame, keys, features: Sequence[str], var: str = "feature",
@@ -43,7 +43,7 @@ def feature_histogram(df: DataFrame, keys, features: Sequence[str], var: str = "
     long = df.select(*k, F.posexplode(arr).alias("_fi", val))
     h = long.groupBy(*k, "_fi", val).agg(F.count(F.lit(1)).alias("cnt"))
     tot = h.groupBy(*k, "_fi").agg(F.sum("cnt").alias("n_rows"))
-    j = h.join(tot, on=[*k, "_fi"], how="inner")
+    j = join_groups(h, tot, [*k, "_fi"])
     return j.select(*k, F.element_at(names, F.col("_fi") + 1).alias(var), val, "cnt", "n_rows")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fipsight.functions.casts import int_code
 from fipsight.functions.keys import year_of_id
 
 
@@ -14,6 +15,17 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on group keys in which a NULL key matches a NULL key; the keys come once."""
+    k = _keys(keys)
+    named = right.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(k)],
+                         *[c for c in right.columns if c not in k])
+    cond = F.lit(True)
+    for i, c in enumerate(k):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return left.join(named, cond, how).drop(*[f"_k{i}" for i in range(len(k))])
+
+
 def mean_expr(value: Column | str) -> Column:
     """Mean as ``sum / count`` of the non-NULL values (the partial/final aggregation Spark plans)."""
     v = F.col(value) if isinstance(value, str) else value
@@ -25,11 +37,11 @@ def daily_mean(df: DataFrame, keys, ts: str, value: str, out: str = "mean",
     """Mean reading per (key, calendar day) across all monitors of the key.
 
     One hash aggregate with map-side partial sums: rows of a hot key are combined before the
-    shuffle, so skew on the key does not reach the reducers.
+    shuffle, so skew on the key does not reach the reducers. Text that is no date gives a NULL day.
     """
     k = _keys(keys)
     return (df.where(F.col(value).isNotNull())
-              .groupBy(*k, F.to_date(F.col(ts)).alias(day))
+              .groupBy(*k, F.col(ts).try_cast("date").alias(day))
               .agg(mean_expr(value).alias(out), F.count(value).alias("n_readings")))
 
 
@@ -87,15 +99,15 @@ def paired_series(exposure: DataFrame, outcome: DataFrame, keys, period: str,
                   x: str, y: str) -> DataFrame:
     """Exposure and outcome side by side per (key, period) for every key present in both tables.
 
-    Left join of exposure to outcome on (key, period), restricted to keys that also occur in the
-    outcome (semi join): keys with no common period still get their rows, with NULL ``y``, so the
-    statistic downstream reports them with ``n = 0`` instead of dropping them.
+    The outcome (one row per key and period) is folded to one map per key, bounded by its periods,
+    and joined once on the key: keys with no common period still get their rows, with NULL ``y``,
+    so the statistic downstream reports them with ``n = 0`` instead of dropping them.
     """
     k = _keys(keys)
-    out_keys = outcome.select(*k).distinct()
-    pairs = exposure.join(outcome.select(*k, period, F.col(y).alias(y)), on=[*k, period],
-                          how="left")
-    return pairs.join(out_keys, on=k, how="left_semi")
+    entry = F.when(F.col(period).isNotNull(), F.struct(F.col(period), F.col(y)))
+    folded = outcome.groupBy(*k).agg(F.map_from_entries(F.collect_list(entry)).alias("_y"))
+    pairs = exposure.join(folded, on=k, how="inner")
+    return pairs.withColumn(y, F.try_element_at("_y", F.col(period))).drop("_y")
 
 
 def valid_pair(x: str, y: str, zero_is_missing: bool = True) -> Column:
@@ -145,10 +157,8 @@ def person_rollup(persons: DataFrame, id_col: str, age: str, sex: str, restraint
     test, ``((year < 2009) & code) == 0``, true from 2009 on and for every even code before.
     The year comes from ``year`` or, by default, from the last four characters of the id.
     """
-    a = F.col(age).cast("string").try_cast("int")
-    s = F.col(sex).cast("string").try_cast("int")
-    r = F.col(restraint).cast("string").try_cast("int")
-    yr = F.col(year).cast("int") if year else year_of_id(id_col)
+    a, s, r = int_code(age), int_code(sex), int_code(restraint)
+    yr = int_code(year) if year else year_of_id(id_col)
     known = a.isNotNull() & ~a.isin(99, 999)
     if restraint_rule == "intended":
         unused = r.isin(17, 20) | ((yr < 2009) & (r == 0))

@@ -18,11 +18,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fipsight.operators.rollup import _keys
+from fipsight.operators.rollup import _keys, join_groups
 from fipsight.operators.stats import map_gram_groups
 from fipsight.session import ensure_checkpoint_dir
 
@@ -46,25 +46,26 @@ def distributed_row_number(df: DataFrame, keys, order: Sequence[str], out: str =
     counts = s.groupBy("_pid", *k).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy(*k).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    j = s.join(counts.select("_pid", *k, "_off", "_m0"), on=["_pid", *k], how="inner")
+    j = join_groups(s, counts.select("_pid", *k, "_off", "_m0"), ["_pid", *k])
     return j.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long")) \
             .drop("_pid", "_mid", "_off", "_m0")
 
 
 def stratified_folds(df: DataFrame, group, label: str, id_col: str, folds: int = 5,
                      out: str = "fold") -> DataFrame:
-    """Stratified k-fold assignment as in scikit-learn's ``StratifiedKFold`` without shuffling.
+    """Stratified k-fold assignment without shuffling.
 
-    Per group, classes are taken in ascending order; the per-fold share of class c is the number
+    Per group, classes are taken in ascending order (libraries that number classes by first
+    appearance can differ); the per-fold share of class c is the number
     of positions ``j ≡ f (mod folds)`` inside that class's slice of the label-sorted group; the
     members of c (in ``id`` order) fill fold 0 first, then fold 1, ... .
     """
     g = _keys(group)
     ranked = distributed_row_number(df, [*g, label], [id_col], out="_r")
-    cls = df.groupBy(*g, label).agg(F.count(F.lit(1)).alias("_nk"))
+    cls = ranked.groupBy(*g, label).agg(F.count(F.lit(1)).alias("_nk"))
     wc = Window.partitionBy(*g).orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
     cls = cls.withColumn("_sk", F.coalesce(F.sum("_nk").over(wc), F.lit(0)))
-    j = ranked.join(cls, on=[*g, label], how="inner")
+    j = join_groups(ranked, cls, [*g, label])
     s, n = F.col("_sk"), F.col("_nk")
 
     def upto(m, f):   # count of j in [0, m] with j % folds == f  (m >= -1)
@@ -138,13 +139,13 @@ def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: n
     return np.concatenate(rs), np.concatenate(cs), np.concatenate(ds)
 
 
-def _majority(qrow: np.ndarray, labels: np.ndarray, n_rows: int) -> np.ndarray:
-    """Majority label per query row (ties to the smallest label); -1 for rows without votes."""
+def _majority(qrow: np.ndarray, labels: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(majority label, has any vote) per query row; ties go to the smallest label."""
     classes, code = np.unique(labels, return_inverse=True)
     counts = np.zeros((n_rows, max(1, len(classes))), dtype=np.int64)
     np.add.at(counts, (qrow, code), 1)
-    pred = classes[np.argmax(counts, axis=1)] if len(classes) else np.full(n_rows, -1)
-    return np.where(counts.sum(axis=1) > 0, pred, -1)
+    pred = classes[np.argmax(counts, axis=1)] if len(classes) else np.zeros(n_rows, np.int64)
+    return pred, counts.sum(axis=1) > 0
 
 
 _CAND_FIELDS = [T.StructField("qid", T.LongType()), T.StructField("qlabel", T.LongType()),
@@ -163,7 +164,7 @@ def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
     sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.withColumn("_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows)))
                              .cast("int"))
-    p = points.join(sizes.select(*g, "_nb"), on=g, how="inner")
+    p = join_groups(points, sizes.select(*g, "_nb"), g)
     p = p.withColumn("_blk", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
     others = F.sequence(F.lit(0), F.col("_nb") - 1)
     as_query = p.select(*g, F.col("_blk").alias("_qb"), F.explode(others).alias("_tb"),
@@ -212,10 +213,9 @@ def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024
         big = points.where(F.col(size_col) > block_rows)
     else:
         sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-        small = points.join(sizes.where(F.col("_n") <= block_rows).select(*g), on=g,
-                            how="left_semi")
-        big = points.join(sizes.where(F.col("_n") > block_rows).select(*g), on=g,
-                          how="left_semi")
+        sized = join_groups(points, sizes, g)
+        small = sized.where(F.col("_n") <= block_rows).drop("_n")
+        big = sized.where(F.col("_n") > block_rows).drop("_n")
     schema = T.StructType([points.schema[c] for c in g] + [
         T.StructField("fold", T.IntegerType()), T.StructField("n_test", T.LongType()),
         T.StructField("n_correct", T.LongType())])
@@ -225,8 +225,7 @@ def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024
         fold = pdf["fold"].to_numpy()
         ids, labels = pdf["id"].to_numpy(), pdf["label"].to_numpy()
         r, c, _ = _topk(X, X, fold, fold, ids, k)
-        pred = _majority(r, labels[c], len(X))
-        voted = pred != -1
+        pred, voted = _majority(r, labels[c], len(X))
         folds_here = np.unique(fold[voted])
         pos = np.searchsorted(folds_here, fold[voted])
         out = pd.DataFrame({
@@ -249,12 +248,42 @@ def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024
     return small_counts.unionByName(big_counts)
 
 
+def _complete(vec) -> Column:
+    return vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
+def _points(df: DataFrame, group: list[str], id_col: str, label: str, vec: Column, name: str) -> DataFrame:
+    """(group, id, label, features) of the complete rows, with ids and labels as integers that keep
+    the order of the originals (ties go to the smaller id or label)."""
+    p = df.select(*group, F.col(id_col).alias("id"), F.col(label).alias("label"), vec.alias(name))
+    p = p.where(F.col("id").isNotNull() & F.col("label").isNotNull() & _complete(F.col(name)))
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+    if not isinstance(p.schema["label"].dataType, whole):
+        # the distinct labels of a classifier are few; their rank replaces them
+        codes = p.select("label").distinct().withColumn("_code", F.rank().over(Window.orderBy("label")))
+        p = p.join(codes, "label").drop("label").withColumnRenamed("_code", "label")
+    if not isinstance(p.schema["id"].dataType, whole):
+        p = distributed_row_number(p, group, ["id"], out="_id").drop("id").withColumnRenamed("_id", "id")
+    return p.select(*group, F.col("id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), name)
+
+
+def incomplete_points(df: DataFrame, group, id_col: str, label: str, features) -> DataFrame:
+    """Rows per group that the k-NN operators leave out: ``(group, n_rows, n_incomplete)``."""
+    vec = F.col(features).cast("array<double>") if isinstance(features, str) else \
+        F.array(*[F.col(c).cast("double") for c in features])
+    ok = F.col(id_col).isNotNull() & F.col(label).isNotNull() & _complete(vec)
+    return df.groupBy(*_keys(group)).agg(F.count(F.lit(1)).alias("n_rows"),
+                                         F.count_if(~F.coalesce(ok, F.lit(False))).alias("n_incomplete"))
+
+
 def knn_cv_accuracy(df: DataFrame, group, id_col: str, label: str, features, k: int = 5,
                     folds: int = 5, block_rows: int = 1024) -> DataFrame:
     """Accuracy of a k-nearest-neighbour classifier under stratified ``folds``-fold CV per group.
 
     ``features``: a list of numeric columns or the name of one array column. Majority vote of
-    the k neighbours, ties to the smallest label. Returns ``(group, fold, n_test, n_correct,
+    the k neighbours, ties to the smallest label. Ids and labels may have any orderable type. Rows
+    with a missing (NULL, NaN) feature, label or id have no distance and are left out before the
+    folds are made; ``incomplete_points`` counts them. Returns ``(group, fold, n_test, n_correct,
     accuracy)``; the mean over folds is the cross-validation score.
     """
     g = _keys(group)
@@ -262,8 +291,7 @@ def knn_cv_accuracy(df: DataFrame, group, id_col: str, label: str, features, k:
         vec = F.col(features).cast("array<double>")
     else:
         vec = F.array(*[F.col(c).cast("double") for c in features])
-    pts = df.select(*g, F.col(id_col).cast("long").alias("id"),
-                    F.col(label).cast("long").alias("label"), vec.alias("vec"))
+    pts = _points(df, g, id_col, label, vec, "vec")
     pts = stratified_folds(pts, g, "label", "id", folds)
     counts = knn_fold_counts(pts, g, k=k, block_rows=block_rows)
     return counts.withColumn("accuracy", F.col("n_correct") / F.col("n_test"))
@@ -284,15 +312,15 @@ def _r2(R: np.ndarray, r: np.ndarray, subset: Sequence[int]) -> float:
 
 def floating_forward(R: np.ndarray, r: np.ndarray, k: int) -> tuple[list[int], float]:
     """SFFS: add the best feature; then drop features (never the one just added) while a
-    smaller subset beats the best subset of that size seen so far. Ties go to the lower index.
-    Returns the best subset of size ``min(k, p)`` and its score."""
+    smaller subset beats the best subset of that size seen so far (the published variant that
+    compares with the current subset's score stops earlier). Ties go to the lower index. Ends, since
+    every step back raises the best score of a size. Returns the best subset of size ``min(k, p)``
+    and its score."""
     p = len(r)
     k = min(k, p)
     subset: list[int] = []
     best: dict[int, tuple[float, list[int]]] = {}
-    guard = 0
-    while len(subset) < k and guard < 10 * p * p + 10:
-        guard += 1
+    while len(subset) < k:
         cands = [f for f in range(p) if f not in subset]
         s, neg = max((_r2(R, r, subset + [f]), -f) for f in cands)
         added = -neg
@@ -308,10 +336,7 @@ def floating_forward(R: np.ndarray, r: np.ndarray, k: int) -> tuple[list[int], f
                 best[smaller] = (s2, sorted(subset))
             else:
                 break
-    size = k if k in best else max(best) if best else 0
-    if not size:
-        return [], 0.0
-    return best[size][1], best[size][0]
+    return (best[k][1], best[k][0]) if k else ([], 0.0)
 
 
 def select_features(gram: DataFrame, keys, features: Sequence[str], target: str, k: int = 10,
@@ -405,8 +430,7 @@ def _cv_scores(small_pts: DataFrame, big_pts: DataFrame | None, cands: DataFrame
             idx = [int(i) for i in idx]
             r, cc, _ = _nearest_from_distances(distances(idx), fold, fold, ids, n_neighbors,
                                                same_fold=same_fold, inplace=True)
-            pred = _majority(r, labels[cc], len(X))
-            voted = pred != -1
+            pred, voted = _majority(r, labels[cc], len(X))
             for f in np.unique(fold[voted]):
                 m = voted & (fold == f)
                 rows.append((int(cand), int(f), int(m.sum()), int((pred[m] == labels[m]).sum())))
@@ -421,7 +445,7 @@ def _cv_scores(small_pts: DataFrame, big_pts: DataFrame | None, cands: DataFrame
     counts = small_counts
     if big_pts is not None:
         # large groups: points replicated per candidate, exact tiled neighbours
-        p = big_pts.join(cands.select(*group, "cand", "idx"), on=group, how="inner")
+        p = join_groups(big_pts, cands.select(*group, "cand", "idx"), group)
         p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold",
                      "_gn", F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
         big_counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows,
@@ -440,8 +464,7 @@ def _best_per_group(scored: DataFrame, group: list[str]) -> DataFrame:
 def select_features_knn(df: DataFrame, group, id_col: str, label: str, features: Sequence[str],
                         k: int = 10, n_neighbors: int = 2, folds: int = 5,
                         allowed: DataFrame | None = None, exclude: Sequence[str] = (),
-                        min_rows: int = 10, block_rows: int = 1024,
-                        max_rounds: int | None = None) -> DataFrame:
+                        min_rows: int = 10, block_rows: int = 1024) -> DataFrame:
     """Sequential forward floating selection of ``k`` features per group, each subset scored by
     the mean accuracy of a ``n_neighbors``-NN classifier under stratified ``folds``-fold
     cross-validation (features unscaled, ties to the lower feature position).
@@ -458,13 +481,10 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     names = [f for f in features if f not in set(exclude)]
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    pts = df.select(*g, F.col(id_col).cast("long").alias("id"),
-                    F.col(label).cast("long").alias("label"),
-                    F.array(*[F.col(f).cast("double") for f in names]).alias("x"))
+    pts = _points(df, g, id_col, label, F.array(*[F.col(f).cast("double") for f in names]), "x")
     pts = stratified_folds(pts, g, "label", "id", folds)
     sizes = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    pts = pts.join(sizes.select(*g, F.col("n").alias("_gn")), on=g, how="inner") \
-        .checkpoint(eager=True)
+    pts = join_groups(pts, sizes.select(*g, F.col("n").alias("_gn")), g).checkpoint(eager=True)
     small_pts = _small_points(pts, g, len(names), block_rows)
     # the tiled path is planned only when some group exceeds one block (sizes are known)
     big_pts = pts.where(F.col("_gn") > block_rows)
@@ -476,7 +496,7 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
                                     "feature string, _pos int")
         al = allowed.join(pos, on="feature", how="inner").groupBy(*g) \
             .agg(F.sort_array(F.collect_set("_pos")).alias("pool"))
-        groups = sizes.join(al, on=g, how="left") \
+        groups = join_groups(sizes, al, g, "left") \
             .withColumn("pool", F.coalesce("pool", F.array().cast("array<int>")))
     else:
         groups = sizes.withColumn("pool", all_idx)
@@ -499,11 +519,7 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
         return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r") \
                    .checkpoint(eager=True)
 
-    rounds = 0
     while True:
-        rounds += 1
-        if max_rounds is not None and rounds > max_rounds:
-            break
         active = state.where(F.size("subset") < k)
         if active.isEmpty():
             break
@@ -512,12 +528,12 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
                               .alias("cand"))
         cands = cands.withColumn("idx", F.concat("subset", F.array("cand")))
         scored = _cv_scores(small_pts, big_pts, cands, g, n_neighbors, block_rows, len(names))
-        picked = _best_per_group(scored.join(cands, on=[*g, "cand"]), g) \
+        picked = _best_per_group(join_groups(scored, cands, [*g, "cand"]), g) \
             .select(*g, F.col("idx").alias("subset"), "score", F.col("cand").alias("added")) \
             .checkpoint(eager=True)
         best = record(best, picked)
-        state = state.join(picked.select(*g, F.col("subset").alias("_s"), F.col("added").alias("_a")),
-                           on=g, how="left") \
+        state = join_groups(state, picked.select(*g, F.col("subset").alias("_s"), F.col("added").alias("_a")),
+                            g, "left") \
             .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"),
                     F.coalesce("_a", "added").alias("added")).checkpoint(eager=True)
         # floating: drop one feature (never the one just added) while that beats the best
@@ -531,9 +547,9 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
             rem = rem.withColumn("idx", F.array_remove("subset", F.col("cand")))
             scored = _cv_scores(small_pts, big_pts, rem, g, n_neighbors, block_rows,
                                 len(names))
-            cand_best = _best_per_group(scored.join(rem, on=[*g, "cand"]), g)
+            cand_best = _best_per_group(join_groups(scored, rem, [*g, "cand"]), g)
             prev = best.select(*g, F.col("size").alias("_sz"), F.col("score").alias("_prev"))
-            better = cand_best.join(prev, on=[*g], how="left") \
+            better = join_groups(cand_best, prev, g, "left") \
                 .where((F.col("_sz") == F.size("idx")) | F.col("_sz").isNull()) \
                 .groupBy(*g).agg(F.first("idx").alias("idx"), F.first("score").alias("score"),
                                  F.max("_prev").alias("_prev"))
@@ -542,13 +558,13 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
             if better.isEmpty():
                 break
             best = record(best, better)
-            state = state.join(better.select(*g, F.col("subset").alias("_s")), on=g, how="left") \
+            state = join_groups(state, better.select(*g, F.col("subset").alias("_s")), g, "left") \
                 .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"), "added") \
                 .checkpoint(eager=True)
     names_arr = F.array(*[F.lit(f) for f in names])
     final = best.where(F.col("size") == k).select(
         *g, F.transform("subset", lambda i: F.element_at(names_arr, i + 1)).alias("features"),
         "score")
-    out = groups.join(final, on=g, how="left")
+    out = join_groups(groups, final, g, "left")
     return out.select(*g, F.coalesce("features", F.array().cast("array<string>")).alias("features"),
                       "score", F.col("n").cast("long").alias("n"), "status")

@@ -74,11 +74,3 @@ def forecast_error(df: DataFrame, keys, actual: str = "targets", pred: str = "pr
     dd = d.cast("double")
     return ex.groupBy(*k).agg(F.count(d).alias("n"), F.avg(F.abs(d)).alias("mae"),
                               F.avg(dd * dd).alias("mse"))
-
-
-def cumulative_sum(df: DataFrame, order: str, value: str, out: str, keys=()) -> DataFrame:
-    """Running total of ``value`` in ``order`` (per key when given)."""
-    k = _keys(keys) if keys else []
-    w = (Window.partitionBy(*k) if k else Window).orderBy(order) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(w))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fipsight.functions.tails import t_tail
-from fipsight.operators.rollup import _keys, valid_pair
+from fipsight.operators.rollup import _keys, join_groups, valid_pair
 
 
 def group_standardize(df: DataFrame, keys, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
@@ -29,7 +29,7 @@ def group_standardize(df: DataFrame, keys, cols: Sequence[str], suffix: str = "_
     k = _keys(keys)
     stats = df.groupBy(*k).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                                *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    j = df.join(stats, on=k, how="inner")
+    j = join_groups(df, stats, k)
     return j.select(*df.columns, *[((F.col(c) - F.col(f"_m_{c}")) /
                                      F.nullif(F.col(f"_s_{c}"), F.lit(0.0))).alias(c + suffix)
                                     for c in cols])
@@ -71,61 +71,39 @@ def group_correlation(pairs: DataFrame, keys, x: str, y: str, period: str | None
     return g
 
 
-def gram_table(df: DataFrame, keys, features: Sequence[str], target: str,
-               shift: dict[str, float] | None = None, const_tol: float = 1e-12) -> DataFrame:
+def gram_table(df: DataFrame, keys, features: Sequence[str], target: str) -> DataFrame:
     """Long Gram table of z-scored features and target per group, from one moment aggregate.
 
-    Rows ``(keys, f1, f2, gram, n)`` with ``gram = Σ z_f1 z_f2 = n·cov/(std·std)`` for every
-    feature pair (f1 <= f2 in the given order), every feature with the target
-    (``f2 = target``: X'y), and the target with itself (``y'y = n``).
-
-    One pass of plain sums: ``n``, ``Σx`` and ``Σx·y`` per group (all codegen'd sums with
-    map-side partial aggregation), then ``cov = (Σxy - ΣxΣy/n)/n``. Rows with a NULL in any of
-    the columns are left out (complete cases, as a regression needs). The raw-moment form loses
-    precision only when a column's mean is huge against its spread (relative error about
-    eps·(mean/std)²); ``shift`` subtracts a per-column constant first for such columns. A
-    column whose centered sum of squares is below ``const_tol`` of its raw sum of squares is
-    constant: its rows get ``gram = NULL`` and ``ols`` drops and reports it.
+    Rows ``(keys, f1, f2, gram, n)`` with ``gram = Σ z_f1 z_f2 = n·r(f1, f2)`` for every feature
+    pair (f1 <= f2 in the given order), every feature with the target (``f2 = target``: X'y), and
+    the target with itself (``y'y = n``). ``n`` counts the group's rows with a target.
+
+    Correlations come from merged central moments (``covar_pop`` over the two standard deviations,
+    partial aggregation), so a large mean costs no precision. Available cases: a pair's covariance
+    uses the rows in which both columns are present, a deviation all rows of its column (NULL and NaN
+    are missing), so a column that drifts out of some years does not remove the other columns' rows.
+    A feature without spread, or without rows, in a group has ``gram = NULL``; ``ols`` reports it.
+    The aggregate is written as SQL text, which keeps plan building cheap for many features.
     """
     k = _keys(keys)
     feats = list(features)
     cols = feats + [target]
-    shift = shift or {}
-    complete = df.where(F.greatest(*[F.col(c).isNull() for c in cols]) == F.lit(False)) \
-        if len(cols) > 1 else df.where(F.col(cols[0]).isNotNull())
-    base = complete.select(*k, *[(F.col(c).cast("double") - F.lit(float(shift.get(c, 0.0))))
-                                 .alias(f"_v{i}") for i, c in enumerate(cols)])
-    idx = {c: i for i, c in enumerate(cols)}
-    pairs = []
-    for i, a in enumerate(feats):
-        for b in feats[i:] + [target]:
-            pairs.append((a, b))
-    pairs.append((target, target))
-    need = sorted({(min(idx[a], idx[b]), max(idx[a], idx[b])) for a, b in pairs} |
-                  {(i, i) for i in range(len(cols))})
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(f"_v{i}").alias(f"_s{i}") for i in range(len(cols))]
-    aggs += [F.sum(F.col(f"_v{i}") * F.col(f"_v{j}")).alias(f"_q{i}_{j}") for i, j in need]
-    m = base.groupBy(*k).agg(*aggs)
-    n = F.col("_n").cast("double")
-
-    def centered(i, j):
-        return F.col(f"_q{i}_{j}") - F.col(f"_s{i}") * F.col(f"_s{j}") / n
-
-    def spread(i):
-        v = centered(i, i)
-        return F.when(v > F.lit(const_tol) * F.abs(F.col(f"_q{i}_{i}")), v)
-
+    last = len(cols) - 1
+    base = df.select(*k, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_v{i}")
+                           for i, c in enumerate(cols)])
+    pairs = [(i, j) for i in range(len(feats)) for j in [*range(i, len(feats)), last]] + [(last, last)]
+    aggs = [f"count(_v{last}) AS _n"]
+    aggs += [f"stddev_pop(_v{i}) AS _d{i}" for i in range(len(cols))]
+    aggs += [f"covar_pop(_v{i}, _v{j}) AS _c{i}_{j}" for i, j in pairs if i != j]
+    m = base.groupBy(*k).agg(*[F.expr(a) for a in aggs])
     rows = []
-    for a, b in pairs:
-        i, j = sorted((idx[a], idx[b]))
-        if a == b:
-            g = F.when(spread(i).isNotNull(), n)
-        else:
-            g = n * centered(i, j) / F.sqrt(spread(i) * spread(j))
-        rows.append(F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), g.alias("gram")))
-    return m.select(*k, F.col("_n").cast("long").alias("n"), F.inline(F.array(*rows))) \
-            .select(*k, "f1", "f2", "gram", "n")
+    for i, j in pairs:
+        spread = f"_d{i} > 0 AND _d{j} > 0"
+        value = "_n" if i == j else f"_n * _c{i}_{j} / (_d{i} * _d{j})"
+        rows.append(f"struct({i} AS _i, {j} AS _j, CASE WHEN {spread} THEN CAST({value} AS DOUBLE) END AS gram)")
+    name = F.array(*[F.lit(c) for c in cols])
+    return (m.select(*k, F.col("_n").cast("long").alias("n"), F.expr(f"inline(array({', '.join(rows)}))"))
+            .select(*k, F.get(name, F.col("_i")).alias("f1"), F.get(name, F.col("_j")).alias("f2"), "gram", "n"))
 
 
 _OLS_FIELDS = [T.StructField("feature", T.StringType()), T.StructField("beta", T.DoubleType()),
@@ -144,7 +122,9 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
     whole standardized matrix); ``se='coef'`` uses ``sqrt(s² · pinv(G)_ii)``. The tail probability
     is evaluated JVM-side (``t_tail``), one-sided by default. Features that are constant in a
     group are left out of its fit and reported with status ``constant``. ``allowed`` rows
-    ``(keys, feature)`` (e.g. a per-group selection) restrict each group's fit to its features.
+    ``(keys, feature)`` (e.g. a per-group selection) restrict each group's fit to its features; a
+    group without any allowed feature is one row without a feature, status ``not_selected``. A
+    perfect fit has an infinite t and p = 0.
     """
     k = _keys(keys)
     all_feats = list(features)
@@ -154,6 +134,8 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
 
     def solve(n: int, g: dict, allow) -> list[tuple]:
         feats = all_feats if allow is None else [f for f in all_feats if f in allow]
+        if not feats:
+            return [(None, None, None, None, "not_selected")]
         diag_ok = [f for f in feats if g.get((f, f)) is not None]
         const = [f for f in feats if f not in diag_ok]
         out = []
@@ -176,7 +158,7 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
                 continue
             s2 = max(rss, 0.0) / dof
             sei = np.sqrt(s2 / np.trace(G)) if se == "pooled" else np.sqrt(s2 * P[i, i])
-            t = float(b[i] / sei) if sei > 0 else None
+            t = float(b[i] / sei) if sei > 0 else float(np.copysign(np.inf, b[i]))
             out.append((f, float(b[i]), t, dof, "ok"))
         for f in const:
             out.append((f, None, None, dof, "constant"))
@@ -188,7 +170,8 @@ def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "
 
 
 def pack_gram(gram: DataFrame, keys, allowed: DataFrame | None = None) -> DataFrame:
-    """One row per group: ``(keys, n, entries array<struct<f1,f2,gram>>, allowed)``.
+    """One row per group: ``(keys, n, entries array<struct<f1,f2,gram>>, allowed)``; ``allowed`` is
+    NULL without a restriction and empty for a group that the restriction does not name.
 
     A group's Gram has ``k(k+1)/2 + k + 1`` entries whatever the data volume, so the packed
     row is bounded. ``allowed`` (``(keys, feature)`` rows) becomes a per-group feature set."""
@@ -197,7 +180,8 @@ def pack_gram(gram: DataFrame, keys, allowed: DataFrame | None = None) -> DataFr
                                   F.collect_list(F.struct("f1", "f2", "gram")).alias("entries"))
     if allowed is not None:
         al = allowed.groupBy(*k).agg(F.collect_set("feature").alias("allowed"))
-        return packed.join(al, on=k, how="left")
+        joined = join_groups(packed, al, k, "left")
+        return joined.withColumn("allowed", F.coalesce("allowed", F.array().cast("array<string>")))
     return packed.withColumn("allowed", F.lit(None).cast("array<string>"))
 
 

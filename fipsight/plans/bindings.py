@@ -258,14 +258,12 @@ def q_json_flatten(spark, d):
     return flatten_json(table(spark, d, "events"), "props", keep=["event_id"])
 
 
-YEARS = list(range(1995, 2003))
-
-
 def yearly_orders(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice",
                                          "o_orderpriority")
+    first, last = o.select(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
     frames = {}
-    for y in YEARS:
+    for y in range(first, last + 1):
         f = o.where((F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) &
                     (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")))
         frames[y] = f if y % 2 else f.drop("o_orderpriority")
@@ -277,7 +275,7 @@ SQL_MERGED = """
 SELECT o_orderkey, o_orderdate, o_totalprice,
        CASE WHEN year(o_orderdate) % 2 = 1 THEN o_orderpriority END AS o_orderpriority,
        cast(year(o_orderdate) AS integer) AS file_year
-FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2002"""
+FROM orders"""
 
 
 @query("merge_years", SQL_MERGED)
@@ -313,7 +311,7 @@ SQL_YEARLY = f"""
 WITH d AS ({SQL_DAILY_MICRO})
 SELECT n_nationkey, cast(year(dt) AS integer) AS year,
        sum(micro)::double / count(*) / 1e6 AS mean_price, count(*) AS n_days
-FROM d GROUP BY 1, 2"""
+FROM d WHERE year(dt) BETWEEN 1980 AND 2019 GROUP BY 1, 2"""
 
 
 def nation_yearly(spark, d):

@@ -22,10 +22,12 @@ from fipsight.sources.files import write_table
 
 
 def _pollution(spark, a):
-    daily = chains.read_pollution(spark, a.epa, a.condition)
+    write_table(chains.read_pollution(spark, a.epa, a.condition), f"{a.out}/readings")
+    daily = spark.read.parquet(f"{a.out}/readings")  # the raw files are read once
     mort = chains.clean_mortality(spark.read.option("header", True).csv(a.mortality))
     res = chains.pollution_mortality(daily, mort, sex_code=a.sex, min_years=a.min_years)
     write_table(res.daily, f"{a.out}/daily", partition_by=["pollutant"])
+    write_table(res.dense, f"{a.out}/yearly", partition_by=["pollutant"])
     write_table(res.regression, f"{a.out}/regression", partition_by=["pollutant"])
     write_table(res.overall, f"{a.out}/overall", partition_by=["pollutant"])
 
@@ -34,19 +36,12 @@ def _accidents(spark, a):
     persons = spark.read.option("header", True).csv(a.persons)
     accidents = spark.read.option("header", True).csv(a.accidents)
     feats = [f for f in a.features.split(",") if f]
-    res = chains.accident_severity(persons, accidents, feats, k=a.k,
-                                   exclude=[e for e in a.exclude.split(",") if e])
-    selection = res.selection
-    if a.knn:
-        from fipsight.operators.select import select_features_knn
-        numeric = res.accidents.select(
-            "LOCATION", F.col("ID").alias("_id_text"),
-            F.xxhash64("ID").alias("_row"), F.col("SEVERITY").cast("long").alias("SEVERITY"),
-            *[F.col(f).cast("double").alias(f) for f in feats])
-        selection = select_features_knn(numeric, "LOCATION", "_row", "SEVERITY", feats, k=a.k,
-                                        allowed=res.screen)
-    write_table(res.counts, f"{a.out}/person_counts")
-    write_table(selection, f"{a.out}/selection")
+    def keep(df, name):
+        write_table(df, f"{a.out}/{name}")
+        return spark.read.parquet(f"{a.out}/{name}")
+
+    res = chains.accident_severity(persons, accidents, feats, k=a.k, criterion="knn" if a.knn else "r2",
+                                   exclude=[e for e in a.exclude.split(",") if e], keep=keep)
     write_table(res.histograms, f"{a.out}/histograms")
     write_table(res.ols, f"{a.out}/ols")
 

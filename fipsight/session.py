@@ -33,7 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to a shared (HDFS/object-store) path and it is only read
-    here. Only when it is unset (local tests) a fresh temporary folder is taken.
+    here. Where it is unset, a local session (one machine, as in tests) takes a fresh temporary
+    folder; a cluster raises, since executors do not see each other's disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -41,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="fipsight-ckpt-")
         try:  # only records the choice; some deployments reject runtime core settings
             spark.conf.set("spark.checkpoint.dir", conf_dir)
