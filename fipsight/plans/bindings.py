@@ -872,3 +872,119 @@ def q_select_features_knn(spark, d):
     screen = frequency_screen(feature_histogram(w, "l_suppkey", feats), "l_suppkey")
     return select_features_knn(w, "l_suppkey", "row_id", "flag_code", feats, k=3,
                                n_neighbors=2, allowed=screen)
+
+
+# ---------------------------------------------------------------------------------------------
+# small bindings of the solver operators that SQL can express in closed form
+# ---------------------------------------------------------------------------------------------
+
+#: One feature: beta = r, rss = n (1 - r^2), one standard error sqrt(rss / dof / n).
+SQL_OLS_ONE = f"""
+WITH m AS (SELECT l_returnflag, l_linestatus, count(*) AS n, corr(l_quantity, l_extendedprice) AS r
+           FROM lineitem GROUP BY ALL),
+f AS (SELECT l_returnflag, l_linestatus, 'l_quantity' AS feature, {R('r', 6)} AS beta,
+             {R('r / sqrt((1 - r * r) / (n - 2))', 3)} AS t, n - 2 AS dof, 'ok' AS status FROM m)"""
+
+
+def _ols_one(spark, d, allowed=None):
+    li = table(spark, d, "lineitem")
+    gram = stats.gram_table(li, OLS_KEYS, ["l_quantity"], OLS_TARGET)
+    fit = stats.ols(gram, OLS_KEYS, ["l_quantity"], OLS_TARGET, allowed=allowed)
+    return fit.select(*OLS_KEYS, "feature", rnd("beta", 6).alias("beta"), rnd("t", 3).alias("t"), "dof",
+                      "status")
+
+
+@query("group_ols_one", SQL_OLS_ONE + """
+SELECT * FROM f""")
+def q_group_ols_one(spark, d):
+    return _ols_one(spark, d)
+
+
+@query("group_ols_selected", SQL_OLS_ONE + """
+SELECT * FROM f WHERE l_returnflag <> 'N'
+UNION ALL SELECT l_returnflag, l_linestatus, NULL, NULL, NULL, NULL, 'not_selected'
+FROM m WHERE l_returnflag = 'N'""")
+def q_group_ols_selected(spark, d):
+    """A selection that does not name the groups of one return flag: they stay, unfitted."""
+    named = table(spark, d, "lineitem").where("l_returnflag <> 'N'").select(
+        *OLS_KEYS, F.lit("l_quantity").alias("feature")).distinct()
+    return _ols_one(spark, d, named)
+
+
+@query("select_two_features", f"""
+WITH m AS (SELECT l_suppkey, count(*) AS n, corr(l_quantity, l_extendedprice) AS rq,
+                  corr(l_discount, l_extendedprice) AS rd, corr(l_tax, l_extendedprice) AS rt,
+                  corr(l_quantity, l_discount) AS qd, corr(l_quantity, l_tax) AS qt, corr(l_discount, l_tax) AS dt
+           FROM lineitem GROUP BY l_suppkey),
+s AS (SELECT *, CASE WHEN rq * rq >= greatest(rd * rd, rt * rt) THEN 'q'
+                     WHEN rd * rd >= rt * rt THEN 'd' ELSE 't' END AS best,
+             (rq * rq + rd * rd - 2 * rq * rd * qd) / (1 - qd * qd) AS r_qd,
+             (rq * rq + rt * rt - 2 * rq * rt * qt) / (1 - qt * qt) AS r_qt,
+             (rd * rd + rt * rt - 2 * rd * rt * dt) / (1 - dt * dt) AS r_dt FROM m),
+p AS (SELECT *, CASE best WHEN 'q' THEN CASE WHEN r_qd >= r_qt THEN 'qd' ELSE 'qt' END
+                          WHEN 'd' THEN CASE WHEN r_qd >= r_dt THEN 'qd' ELSE 'dt' END
+                          ELSE CASE WHEN r_qt >= r_dt THEN 'qt' ELSE 'dt' END END AS pair FROM s)
+SELECT l_suppkey, n, CASE WHEN n < 10 THEN 'too_few_rows' ELSE 'ok' END AS status,
+       CASE WHEN n < 10 THEN '' WHEN pair = 'qd' THEN 'l_quantity,l_discount'
+            WHEN pair = 'qt' THEN 'l_quantity,l_tax' ELSE 'l_discount,l_tax' END AS chosen,
+       CASE WHEN n >= 10 THEN {R("CASE pair WHEN 'qd' THEN r_qd WHEN 'qt' THEN r_qt ELSE r_dt END", 6)} END AS r2
+FROM p""")
+def q_select_two_features(spark, d):
+    from fipsight.operators.select import select_features
+    li, feats = table(spark, d, "lineitem"), OLS_FEATURES
+    sel = select_features(stats.gram_table(li, "l_suppkey", feats, OLS_TARGET), "l_suppkey", feats, OLS_TARGET, k=2)
+    return sel.select("l_suppkey", "n", "status", F.array_join("features", ",").alias("chosen"), rnd("r2", 6).alias("r2"))
+
+
+def _scaled_price():
+    return (F.col("mean_price") - F.lit(150000.0)) / F.lit(100000.0)
+
+
+@query("forecast_ar_one", f"""
+WITH d AS (SELECT n_nationkey, dt, (mean_price - 150000.0::double) / 100000.0::double AS v FROM ({SQL_DAILY})),
+w AS (SELECT n_nationkey, v AS x, lead(v) OVER (PARTITION BY n_nationkey ORDER BY dt) AS y,
+             row_number() OVER (PARTITION BY n_nationkey ORDER BY dt) - 1 AS start,
+             count(*) OVER (PARTITION BY n_nationkey) AS n FROM d)
+SELECT n_nationkey, count(*) AS n_windows, {R('regr_intercept(y, x)', 6)} AS intercept,
+       {R('regr_slope(y, x)', 6)} AS slope
+FROM w WHERE start <= n - 3 GROUP BY n_nationkey""")
+def q_forecast_ar_one(spark, d):
+    """One lag, one step: the fit is simple regression of each reading on the one before."""
+    from fipsight.operators.forecast import fit_ar
+    s = nation_daily(spark, d).select("n_nationkey", "dt", _scaled_price().alias("v"))
+    w = series.sliding_windows(s, "n_nationkey", "dt", "v", width=2, n_inputs=1)
+    c = fit_ar(w, "n_nationkey", n_inputs=1, horizon=1)
+    return c.select("n_nationkey", "n_windows", rnd(F.col("coef")[0][0], 6).alias("intercept"),
+                    rnd(F.col("coef")[0][1], 6).alias("slope"))
+
+
+#: Two standardised columns: eigenvalues 1 + |r| and 1 - |r|, components (1, ±1) / sqrt(2).
+SQL_PCA_TWO = """
+WITH m AS (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem)"""
+
+
+def _pca_two(spark, d):
+    from fipsight.operators.decompose import pca_fit
+    return pca_fit(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"], 2)
+
+
+@query("pca_two_variance", SQL_PCA_TWO + f"""
+SELECT 0 AS component, {R('(1 + abs(r)) / 2', 6)} AS ratio, {R('(1 + abs(r)) / 2', 6)} AS cumulative FROM m
+UNION ALL SELECT 1, {R('(1 - abs(r)) / 2', 6)}, 1.0::double FROM m""")
+def q_pca_two_variance(spark, d):
+    from fipsight.operators.decompose import explained_variance
+    v = explained_variance(spark, _pca_two(spark, d))
+    return v.select("component", rnd("ratio", 6).alias("ratio"), rnd("cumulative", 6).alias("cumulative"))
+
+
+@query("composite_id_dirty", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0
+       THEN cast(o_orderkey AS varchar) || cast(year(o_orderdate) AS varchar) END AS id
+FROM orders""")
+def q_composite_id_dirty(spark, d):
+    """Case numbers written as floats, years as doubles, and text that is no number."""
+    o = table(spark, d, "orders").select(
+        "o_orderkey", F.year("o_orderdate").cast("double").alias("year"),
+        F.when(F.col("o_orderkey") % 7 == 0, "unknown")
+        .otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0"))).alias("case"))
+    return o.select("o_orderkey", composite_id("case", "year").alias("id"))
