@@ -380,77 +380,76 @@ def select_features(gram: DataFrame, keys, features: Sequence[str], target: str,
 # ------------------------------------------------------------------------------------------
 
 
-def _small_points(pts: DataFrame, group: list[str], width: int, block_rows: int) -> DataFrame:
-    """Points of groups that fit one block, features as plain double columns, hash-partitioned
-    by group and checkpointed: every selection round reuses this partitioning, so only the
-    (small) candidate table moves per round."""
-    xcols = [f"_x{j}" for j in range(width)]
-    small = pts.where(F.col("_gn") <= block_rows).select(
-        *group, "id", "label", "fold", *[F.col("x")[j].alias(c) for j, c in enumerate(xcols)])
-    return small.repartition(*group).checkpoint(eager=True)
-
-
-def _cv_scores(small_pts: DataFrame, big_pts: DataFrame | None, cands: DataFrame,
-               group: list[str], n_neighbors: int, block_rows: int, width: int) -> DataFrame:
-    """Mean fold accuracy of every candidate subset: ``cands`` rows ``(group, cand, idx)`` with
-    ``idx`` the 0-based feature positions; one KNN cross-validation per (group, cand).
-
-    Groups of at most ``block_rows`` points are scored in one task for all their candidates
-    (``small_pts``, co-grouped with the candidate rows; the candidate list of a group is bounded
-    by the number of features). Larger groups (``big_pts``) are replicated per candidate and
-    go through the tiled path."""
-    gk = [*group, "cand"]
-    xcols = [f"_x{j}" for j in range(width)]
-    schema = T.StructType([small_pts.schema[c] for c in group] + [
-        T.StructField("cand", T.IntegerType()), T.StructField("fold", T.IntegerType()),
-        T.StructField("n_test", T.LongType()), T.StructField("n_correct", T.LongType())])
-    out_cols = [*group, "cand", "fold", "n_test", "n_correct"]
-
-    def all_candidates(pt: pd.DataFrame, cd: pd.DataFrame) -> pd.DataFrame:
-        if pt.empty or cd.empty:
-            return pd.DataFrame(columns=out_cols)
-        X = pt[xcols].to_numpy(dtype=np.float64)
-        fold = pt["fold"].to_numpy().astype(np.int64)
-        ids, labels = pt["id"].to_numpy().astype(np.int64), pt["label"].to_numpy().astype(np.int64)
-        rows = []
-        prefix_cache: dict[tuple, np.ndarray] = {}
-
-        def distances(idx: list[int]) -> np.ndarray:
-            # a forward candidate is the current subset plus one feature: its distances are the
-            # shared prefix's distances plus one dimension (bit-identical to a full recompute)
-            head = tuple(idx[:-1])
-            if head not in prefix_cache:
-                prefix_cache.clear()
-                prefix_cache[head] = _sq_dist(X[:, list(head)], X[:, list(head)])
-            last = X[:, idx[-1:]]
-            return _sq_dist(last, last, base=prefix_cache[head])
-
-        same_fold = fold[:, None] == fold[None, :]
-        for cand, idx in zip(cd["cand"], cd["idx"]):
-            idx = [int(i) for i in idx]
-            r, cc, _ = _nearest_from_distances(distances(idx), fold, fold, ids, n_neighbors,
-                                               same_fold=same_fold, inplace=True)
-            pred, voted = _majority(r, labels[cc], len(X))
-            for f in np.unique(fold[voted]):
-                m = voted & (fold == f)
-                rows.append((int(cand), int(f), int(m.sum()), int((pred[m] == labels[m]).sum())))
-        out = pd.DataFrame(rows, columns=["cand", "fold", "n_test", "n_correct"])
+def _group_scorer(X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.ndarray, n_neighbors: int):
+    """Function from feature positions to the mean fold accuracy in one group that fits a task. A
+    forward candidate's distances are those of the current subset plus one dimension."""
+    same_fold = fold[:, None] == fold[None, :]
+    prefix: dict[tuple, np.ndarray] = {}
+
+    def score(idx: Sequence[int]) -> float:
+        head = tuple(idx[:-1])
+        if head not in prefix:
+            prefix.clear()
+            prefix[head] = _sq_dist(X[:, list(head)], X[:, list(head)])
+        last = X[:, list(idx[-1:])]
+        r, c, _ = _nearest_from_distances(_sq_dist(last, last, base=prefix[head]), fold, fold, ids,
+                                          n_neighbors, same_fold=same_fold, inplace=True)
+        pred, voted = _majority(r, labels[c], len(X))
+        right = pred == labels
+        return float(np.mean([right[voted & (fold == f)].mean() for f in np.unique(fold[voted])]))
+
+    return score
+
+
+def _search_group(score, pool: Sequence[int], k: int) -> tuple[list[int], float]:
+    """Floating forward search over ``pool``: the round rules of ``select_features_knn``."""
+    subset: list[int] = []
+    best: dict[int, tuple[float, list[int]]] = {}
+    while len(subset) < k:
+        value, neg = max((score([*subset, f]), -f) for f in pool if f not in subset)
+        added = -neg
+        subset = [*subset, added]
+        if len(subset) not in best or value > best[len(subset)][0]:
+            best[len(subset)] = (value, sorted(subset))
+        while len(subset) > 2:
+            value, neg = max((score([x for x in subset if x != y]), -y) for y in subset if y != added)
+            size = len(subset) - 1
+            if size in best and value <= best[size][0]:
+                break
+            subset = [x for x in subset if x != -neg]
+            best[size] = (value, sorted(subset))
+    return best[k][1], best[k][0]
+
+
+def _select_small(points: DataFrame, groups: DataFrame, group: list[str], k: int, n_neighbors: int) -> DataFrame:
+    """(group, subset, score) of groups that fit one block: one task runs a group's whole search."""
+    schema = T.StructType([points.schema[c] for c in group] + [
+        T.StructField("subset", T.ArrayType(T.IntegerType())), T.StructField("score", T.DoubleType())])
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
+        scorer = _group_scorer(X, pdf["fold"].to_numpy().astype(np.int64), pdf["id"].to_numpy().astype(np.int64),
+                               pdf["label"].to_numpy().astype(np.int64), n_neighbors)
+        subset, score = _search_group(scorer, [int(i) for i in pdf["pool"].iloc[0]], k)
+        out = pd.DataFrame({"subset": [subset], "score": [score]})
         for col in reversed(group):
-            out.insert(0, col, pt[col].iloc[0])
+            out.insert(0, col, pdf[col].iloc[0])
         return out
 
-    small_cands = cands.select(*group, F.col("cand").cast("int").alias("cand"), "idx")
-    small_counts = small_pts.groupBy(*group).cogroup(small_cands.groupBy(*group)) \
-        .applyInPandas(all_candidates, schema)
-    counts = small_counts
-    if big_pts is not None:
-        # large groups: points replicated per candidate, exact tiled neighbours
-        p = join_groups(big_pts, cands.select(*group, "cand", "idx"), group)
-        p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold",
-                     "_gn", F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
-        big_counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows,
-                                     size_col="_gn").select(*gk, "fold", "n_test", "n_correct")
-        counts = counts.unionByName(big_counts)
+    rows = join_groups(points, groups.where("status = 'ok'").select(*group, "pool"), group)
+    return rows.select(*group, "id", "label", "fold", "x", "pool").groupBy(*group).applyInPandas(search, schema)
+
+
+def _cv_scores(points: DataFrame, cands: DataFrame, group: list[str], n_neighbors: int,
+               block_rows: int) -> DataFrame:
+    """Mean fold accuracy of every candidate subset of the large groups: ``cands`` rows ``(group,
+    cand, idx)`` with ``idx`` the 0-based feature positions; points replicated per candidate, exact
+    tiled neighbours."""
+    gk = [*group, "cand"]
+    p = join_groups(points, cands.select(*group, "cand", "idx"), group)
+    p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold",
+                 "_gn", F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
+    counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows, size_col="_gn")
     per_fold = counts.select(*gk, (F.col("n_correct") / F.col("n_test")).alias("acc"))
     return per_fold.groupBy(*gk).agg(F.avg("acc").alias("score"))
 
@@ -469,13 +468,11 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     the mean accuracy of a ``n_neighbors``-NN classifier under stratified ``folds``-fold
     cross-validation (features unscaled, ties to the lower feature position).
 
-    The driver loops over *rounds*; every round is one Spark job that scores all groups and all
-    their candidate subsets at once. Groups of at most ``block_rows`` points are partitioned
-    once and co-grouped with their candidate list each round (one task per group, forward
-    candidates reuse the shared prefix distances). Larger groups are replicated per candidate
-    and scored with the exact tiled KNN. The per-group search state (current subset, best
-    subset per size) is a small DataFrame, checkpointed every round. Result
-    ``(group, features, score, n, status)``.
+    Groups of at most ``block_rows`` points are searched whole in one task each. For larger groups
+    the driver loops over *rounds*; every round is one Spark job that scores all groups and all their
+    candidate subsets at once with the exact tiled k-NN (points replicated per candidate); the search
+    state (current subset, best subset per size) is a small DataFrame, checkpointed every round. Both
+    follow the same rules. Result ``(group, features, score, n, status)``.
     """
     g = _keys(group)
     names = [f for f in features if f not in set(exclude)]
@@ -485,11 +482,7 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     pts = stratified_folds(pts, g, "label", "id", folds)
     sizes = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     pts = join_groups(pts, sizes.select(*g, F.col("n").alias("_gn")), g).checkpoint(eager=True)
-    small_pts = _small_points(pts, g, len(names), block_rows)
-    # the tiled path is planned only when some group exceeds one block (sizes are known)
     big_pts = pts.where(F.col("_gn") > block_rows)
-    if sizes.where(F.col("n") > block_rows).isEmpty():
-        big_pts = None
     all_idx = F.array(*[F.lit(i) for i in range(len(names))])
     if allowed is not None:
         pos = spark.createDataFrame([(f, i) for i, f in enumerate(names)],
@@ -503,7 +496,8 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     groups = groups.withColumn(
         "status", F.when(F.col("n") < min_rows, "too_few_rows")
                    .when(F.size("pool") < k, "too_few_features").otherwise("ok"))
-    state = groups.where("status = 'ok'").select(
+    small = _select_small(pts.where(F.col("_gn") <= block_rows), groups, g, k, n_neighbors)
+    state = groups.where(F.col("n") > block_rows).where("status = 'ok'").select(
         *g, "pool", F.array().cast("array<int>").alias("subset"),
         F.lit(-1).alias("added")).checkpoint(eager=True)
     best = spark.createDataFrame([], T.StructType(
@@ -527,7 +521,7 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
         cands = active.select(*g, "subset", F.explode(F.array_except("pool", "subset"))
                               .alias("cand"))
         cands = cands.withColumn("idx", F.concat("subset", F.array("cand")))
-        scored = _cv_scores(small_pts, big_pts, cands, g, n_neighbors, block_rows, len(names))
+        scored = _cv_scores(big_pts, cands, g, n_neighbors, block_rows)
         picked = _best_per_group(join_groups(scored, cands, [*g, "cand"]), g) \
             .select(*g, F.col("idx").alias("subset"), "score", F.col("cand").alias("added")) \
             .checkpoint(eager=True)
@@ -545,8 +539,7 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
             if rem.isEmpty():
                 break
             rem = rem.withColumn("idx", F.array_remove("subset", F.col("cand")))
-            scored = _cv_scores(small_pts, big_pts, rem, g, n_neighbors, block_rows,
-                                len(names))
+            scored = _cv_scores(big_pts, rem, g, n_neighbors, block_rows)
             cand_best = _best_per_group(join_groups(scored, rem, [*g, "cand"]), g)
             prev = best.select(*g, F.col("size").alias("_sz"), F.col("score").alias("_prev"))
             better = join_groups(cand_best, prev, g, "left") \
@@ -562,7 +555,8 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
                 .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"), "added") \
                 .checkpoint(eager=True)
     names_arr = F.array(*[F.lit(f) for f in names])
-    final = best.where(F.col("size") == k).select(
+    chosen = best.where(F.col("size") == k).select(*g, "subset", "score").unionByName(small)
+    final = chosen.select(
         *g, F.transform("subset", lambda i: F.element_at(names_arr, i + 1)).alias("features"),
         "score")
     out = join_groups(groups, final, g, "left")

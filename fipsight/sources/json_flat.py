@@ -1,83 +1,115 @@
-"""Nested JSON documents -> flat columns.
+"""Nested JSON documents -> flat columns or flat rows.
 
 Object members are joined with a separator (``@a@b``); array positions are appended to the
 member name (``@d0@e``, ``@d1@e``); scalars inside arrays are stored under that name (``@f0``);
-an array element that is itself an array is kept as JSON text; empty arrays and objects give no
-column. The column set is the union over all documents.
+an array element that is itself an array is kept as JSON text; empty arrays and objects give
+nothing. Every document is flattened on its own: a member that is a scalar in one document and an
+object in another gives ``@a`` for the first and ``@a@c`` for the second.
 
-Spark-side: documents are parsed once into VARIANT, the merged shape comes from the
-``schema_of_variant_agg`` aggregate and the longest array at each position from ``max(size)``
-aggregates (one small job per nesting depth, like schema inference in ``spark.read.json``);
-the values are then extracted with ``variant_get`` in a single narrow projection.
+``flatten_json_long`` gives one row per document and leaf, whatever the documents hold: an array of
+any length is rows, never columns. ``flatten_json`` gives one column per leaf name (the union over
+all documents), so it suits documents with a bounded set of names.
+
+Spark-side: documents are parsed once into VARIANT and exploded one nesting level at a time
+(``variant_explode``); a small job per level finds out whether a further level exists.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def _path(parent: str, key: str | int) -> str:
-    """Variant path segment: ``[i]`` for a position, ``['key']`` or ``["key"]`` for a member
-    (variant paths have no escapes, so the quote the key does not contain is used)."""
-    if isinstance(key, int):
-        return f"{parent}[{key}]"
-    if "'" not in key:
-        return f"{parent}['{key}']"
-    if '"' not in key:
-        return f'{parent}["{key}"]'
-    raise ValueError(f"JSON member name {key!r} holds both quote characters; it cannot be "
-                     "addressed by a variant path")
+def _member_path(parent: Column, key: Column) -> Column:
+    """Variant path of a member: variant paths have no escapes, so the quote that the key does not
+    contain is used; a key with both quote characters cannot be addressed and has no path."""
+    single, double = F.contains(key, F.lit("'")), F.contains(key, F.lit('"'))
+    return (F.when(~single, F.concat(parent, F.lit("['"), key, F.lit("']")))
+            .when(~double, F.concat(parent, F.lit('["'), key, F.lit('"]'))))
+
+
+def _kind(v: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+
+
+def _documents(df: DataFrame, col: str, keep: Sequence[str], record_path: str | None) -> DataFrame:
+    base = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"))
+    if record_path:
+        base = base.select(*keep, F.explode(F.try_variant_get("_v", record_path, "array<variant>")).alias("_v"))
+    return base
+
+
+def _leaves(base: DataFrame, keep: Sequence[str], sep: str, prefix: str) -> DataFrame:
+    """keep, name, path, value (VARIANT) of every leaf of the documents ``_v``."""
+    level = base.where("_v IS NOT NULL").select(*keep, F.lit(prefix).alias("name"), F.lit("$").alias("path"),
+                                                F.col("_v").alias("value"), F.lit("").alias("within"))
+    out = None
+    while True:
+        level = level.withColumn("kind", _kind(F.col("value")))
+        # an array inside an array stays JSON text
+        deeper = (F.col("kind") == "OBJECT") | ((F.col("kind") == "ARRAY") & (F.col("within") != "ARRAY"))
+        leaf = level.where(~deeper & (F.col("name") != "")).select(*keep, "name", "path", "value")
+        out = leaf if out is None else out.unionByName(leaf)
+        nested = level.where(deeper)
+        if nested.isEmpty():
+            return out
+        level = (nested.select(*keep, "name", "path", "kind", F.col("value").alias("_parent"))
+                 .selectExpr(*[f"`{c}`" for c in keep], "name", "path", "kind",
+                             "explode(CASE WHEN kind = 'ARRAY' THEN transform(try_variant_get(_parent, '$', "
+                             "'array<variant>'), (x, i) -> struct(i AS pos, CAST(NULL AS STRING) AS key, x AS value)) "
+                             "ELSE transform(map_entries(try_variant_get(_parent, '$', 'map<string, variant>')), "
+                             "e -> struct(-1 AS pos, e.key AS key, e.value AS value)) END) AS e"))
+        member = F.col("e.key").isNotNull()
+        level = level.select(
+            *keep,
+            F.when(member, F.concat("name", F.lit(sep), "e.key")).otherwise(
+                F.concat("name", F.col("e.pos").cast("string"))).alias("name"),
+            F.when(member, _member_path(F.col("path"), F.col("e.key"))).otherwise(
+                F.concat("path", F.lit("["), F.col("e.pos").cast("string"), F.lit("]"))).alias("path"),
+            F.col("e.value").alias("value"), F.col("kind").alias("within"))
 
 
-def _spark_type(ddl: str) -> T.DataType:
-    return T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
+def _text(v: Column) -> Column:
+    """A scalar as plain text, an array as JSON text."""
+    return F.when(_kind(v).isin("ARRAY", "OBJECT"), F.to_json(v)).otherwise(F.try_variant_get(v, "$", "string"))
+
+
+def flatten_json_long(df: DataFrame, col: str, sep: str = "@", keep: Sequence[str] = (),
+                      record_path: str | None = None, prefix: str = "") -> DataFrame:
+    """One row per document and leaf: the ``keep`` columns, ``name``, ``value`` (text; NULL for a JSON
+    null). Documents that do not parse or hold nothing give no row."""
+    keep = list(keep)
+    leaves = _leaves(_documents(df, col, keep, record_path), keep, sep, prefix)
+    return leaves.select(*keep, "name", _text(F.col("value")).alias("value"))
 
 
 def flatten_json(df: DataFrame, col: str, sep: str = "@", keep: Sequence[str] = (),
                  record_path: str | None = None, prefix: str = "") -> DataFrame:
     """Flatten the JSON text column ``col``; ``record_path`` (e.g. ``'$.value'``) turns each element
-    of that array into its own row (the API-response layout). ``keep`` columns are carried."""
+    of that array into its own row (the API-response layout). ``keep`` columns are carried. A name
+    whose values have one type over all documents gets that type, otherwise it is text."""
     keep = list(keep)
-    base = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"))
-    if record_path:
-        base = base.select(*keep, F.explode(F.try_variant_get("_v", record_path,
-                                                              "array<variant>")).alias("_v"))
-    shape = base.agg(F.schema_of_variant_agg("_v").alias("s")).first()["s"]
-    if shape is None:
-        return base.select(*keep)
-    leaves: list[tuple[str, str, T.DataType | None]] = []   # (name, path, type | None=json)
-    pending = [(prefix, "$", _spark_type(shape))]
-    while pending:
-        arrays = []
-        nxt = []
-        for name, path, dt in pending:
-            if isinstance(dt, T.StructType):
-                for f in dt.fields:
-                    nxt.append((name + sep + f.name, _path(path, f.name), f.dataType))
-            elif isinstance(dt, T.ArrayType):
-                arrays.append((name, path, dt))
-            elif name:
-                leaves.append((name, path, dt))
-        if arrays:
-            sizes = base.agg(*[F.max(F.array_size(F.try_variant_get("_v", p, "array<variant>")))
-                               .alias(f"s{i}") for i, (_, p, _) in enumerate(arrays)]).first()
-            for i, (name, path, dt) in enumerate(arrays):
-                for j in range(int(sizes[f"s{i}"] or 0)):
-                    el = dt.elementType
-                    if isinstance(el, T.ArrayType):
-                        leaves.append((name + str(j), _path(path, j), None))
-                    else:
-                        nxt.append((name + str(j), _path(path, j), el))
-        pending = [(n, p, d) for n, p, d in nxt]
+    base = _documents(df, col, keep, record_path)
+    leaves = _leaves(base, [], sep, prefix)
+    if not leaves.where("path IS NULL").isEmpty():
+        raise ValueError("a JSON member name holds both quote characters; it cannot be addressed by a variant path")
+    found = (leaves.groupBy("name", "path").agg(F.schema_of_variant_agg("value").alias("type"))
+             .orderBy("name", "path").collect())  # one row per output column
+    by_name: dict[str, list[tuple[str, str]]] = {}
+    for r in found:
+        by_name.setdefault(r.name, []).append((r.path, r.type))
     cols = []
-    for name, path, dt in leaves:
-        if dt is None or isinstance(dt, (T.VariantType, T.NullType)):
-            c = F.to_json(F.try_variant_get("_v", path, "variant"))
-        else:
-            c = F.try_variant_get("_v", path, dt.simpleString())
-        cols.append(c.alias(name))
+    for name, places in by_name.items():
+        plain = len({t for _, t in places}) == 1 and places[0][1] not in ("VARIANT", "VOID") and \
+            not places[0][1].startswith(("ARRAY", "OBJECT"))
+        values = []
+        for path, kind in places:
+            v = F.try_variant_get("_v", path, "variant")
+            if plain:
+                values.append(F.try_variant_get("_v", path, kind))
+            else:  # a document that holds an object here has its own names for it
+                values.append(F.when(~_kind(v).isin("OBJECT"), _text(v)))
+        cols.append(F.coalesce(*values).alias(name))
     return base.select(*keep, *cols)

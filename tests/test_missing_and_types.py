@@ -17,6 +17,7 @@ from fipsight.operators.select import (incomplete_points, knn_cv_accuracy, selec
 from fipsight.operators.stats import gram_table, group_standardize, ols
 from fipsight.plans import chains, cli
 from fipsight.sources.files import read_csv
+from fipsight.sources.json_flat import flatten_json, flatten_json_long
 
 
 def _reg(spark, groups, n=40, seed=1):
@@ -175,3 +176,15 @@ def test_accident_command(spark, tmp_path, knn):
         assert got == chosen["1001"]
     short = read["ols"].where("LOCATION = '1003'").collect()
     assert chosen["1003"] or {r.status for r in short} == {"not_selected"}
+
+
+def test_json_members_of_mixed_kinds(spark):
+    docs = ['{"b":"x","a":1,"n":[1,2]}', '{"b":3,"a":{"c":2},"n":[]}', 'not json', '{"n":[[1,2],{"z":null}]}', None]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, j string")
+    got = {r.id: r.asDict() for r in flatten_json(df, "j", keep=["id"]).collect()}
+    assert [got[i]["@b"] for i in range(5)] == ["x", "3", None, None, None]
+    assert (got[0]["@a"], got[0]["@a@c"], got[1]["@a"], got[1]["@a@c"]) == (1, None, None, 2)
+    assert (got[0]["@n0"], got[0]["@n1"], got[3]["@n0"], got[3]["@n1@z"]) == ("1", 2, "[1,2]", None)
+    rows = sorted((r.id, r.name, r.value) for r in flatten_json_long(df, "j", keep=["id"]).collect())
+    assert rows == [(0, "@a", "1"), (0, "@b", "x"), (0, "@n0", "1"), (0, "@n1", "2"), (1, "@a@c", "2"), (1, "@b", "3"),
+                    (3, "@n0", "[1,2]"), (3, "@n1@z", None)]
