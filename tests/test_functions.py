@@ -76,6 +76,7 @@ def test_response_minutes_fixture(spark):
     assert all(r.m is None or 0 <= r.m <= 1439 for r in got)
 
 
+# Published sample results that the p-values must equal.
 GOLD_BETAS = [0.1953718, 0.13067577, 0.25432685, 0.17172011, 0.82247048, -0.32328639,
               0.1149682, -0.04738236, 0.50077324, 0.27765478]
 GOLD_P = [8.668711e-06, 8.762447e-04, 1.305886e-07, 4.796106e-05, 2.162769e-19, 1.329548e-09,
