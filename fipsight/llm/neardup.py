@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fipsight.llm.graph import components
-from fipsight.llm.store import Folder
+from fipsight.llm.store import Folder, broadcast_ids
 from fipsight.llm.text import chunks, mix, ngram_hashes, run_lengths, word_hashes
 
 U = np.uint64
@@ -197,11 +197,11 @@ def similarity(a: tuple, b: tuple) -> float:
     return both / (a[2] + b[2] - both)
 
 
-def bag_rows(docs: DataFrame, rows: DataFrame, shared: DataFrame) -> DataFrame:
+def bag_rows(docs: DataFrame, rows: DataFrame, shared: DataFrame, folder: Folder) -> DataFrame:
     """key, bag, sig, bands of every node that shares a band; one text stands for each node."""
-    one = (rows.where("key IS NOT NULL").join(shared.select("key").distinct(), "key", "left_semi")
-           .groupBy("key").agg(F.min_by(F.struct("doc_id", "sig", "bands"), F.coalesce("doc_id", F.lit(2 ** 63 - 1))).alias("x"))
-           .select("x.doc_id", "key", "x.sig", "x.bands"))
+    inside = rows.where("key IS NOT NULL").join(shared.select("key").distinct(), "key", "left_semi")
+    one = folder.keep(inside.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "texts")
+    signed = inside.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,15 +213,13 @@ def bag_rows(docs: DataFrame, rows: DataFrame, shared: DataFrame) -> DataFrame:
                 edge = np.searchsorted(text, np.arange(j - i + 1))
                 out = [_pack_bag(shingle[a:b], times[a:b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
                 ok = pa.array(key.view(np.int64) == want[i:j])  # a repeated doc_id can have another text
-                got = pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(i, j - i), pa.array(out, pa.binary()), batch.column(2).slice(i, j - i),
-                     batch.column(3).slice(i, j - i)], ["key", "bag", "sig", "bands"])
-                yield got.filter(ok)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(out, pa.binary())],
+                                                 ["key", "bag"]).filter(ok)
 
-    # the few nodes are the hash side; the texts are shuffled once and not sorted
     cond = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id"))
-    return (docs.alias("d").join(one.alias("o").hint("shuffle_hash"), cond).select("text", "key", "sig", "bands")
-            .mapInArrow(run, "key long, bag binary, sig binary, bands array<long>").dropDuplicates(["key"]))
+    bag = (docs.alias("d").join(broadcast_ids(one).alias("o"), cond).select("text", "key")
+           .mapInArrow(run, "key long, bag binary").dropDuplicates(["key"]))
+    return bag.join(signed, "key")
 
 
 def star_links(shared: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -320,7 +318,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     folder = Folder(docs.sparkSession, "neardup")
     rows = folder.keep(signature_rows(d), "signatures")
     shared = folder.keep(shared_bands(rows), "bands")
-    nodes = folder.keep(bag_rows(d, rows, shared), "bags")
+    nodes = folder.keep(bag_rows(d, rows, shared, folder), "bags")
     star = folder.keep(star_links(shared, nodes, threshold), "star")
     rest = tile_links(tiles(shared, components(star, folder)), nodes, threshold)
     links = folder.keep(star.unionByName(rest), "links")
@@ -341,11 +339,11 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     classes = folder.keep(near_duplicates(docs, threshold, id_col, text_col).where("doc_id IS NOT NULL"), "classes")
     ids = classes.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("class_id")).alias("goes"),
                                         F.count("*").alias("times"))
-    goes = ids.where("goes").select(F.col("doc_id").alias("near_copy_id"))
-    twice = ids.where("NOT goes AND times > 1").select(F.col("doc_id").alias("near_copy_id"))
+    goes = folder.keep(ids.where("goes").select(F.col("doc_id").alias("near_copy_id")), "goes")
+    twice = folder.keep(ids.where("NOT goes AND times > 1").select(F.col("doc_id").alias("near_copy_id")), "twice")
     named = F.col(id_col).cast("long") == F.col("near_copy_id")
-    kept = docs.join(goes, named, "left_anti")
+    kept = docs.join(broadcast_ids(goes), named, "left_anti")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice, named, "left_semi").dropDuplicates([id_col])
-    return kept.join(twice, named, "left_anti").unionByName(again)
+    again = kept.join(broadcast_ids(twice), named, "left_semi").dropDuplicates([id_col])
+    return kept.join(broadcast_ids(twice), named, "left_anti").unionByName(again)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fipsight.session import ensure_checkpoint_dir
 
@@ -23,3 +24,9 @@ class Folder:
         path = f"{self.path}/{self.count}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_ids(stored: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """Mark a stored table of a few integer columns for broadcasting if it has at most ``most`` rows
+    (some 30 MB); a larger one is left to a shuffle join."""
+    return F.broadcast(stored) if stored.count() <= most else stored
