@@ -39,9 +39,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chain of the two categories that ``labels`` has: low quality, then toxic."""
+    """Chain of the two categories that ``labels`` has: low quality, then toxic. ``score`` and
+    ``predicted`` are those of toxic."""
     chain = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
-    return classify_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), chain)
+    got = classify_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), chain)
+    return got.select("doc_id", "held_out", F.col("toxic_score").alias("score"), F.col("toxic").alias("predicted"),
+                      "low_quality_score", "low_quality")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

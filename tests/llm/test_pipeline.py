@@ -47,7 +47,7 @@ def test_quality_stage(spark, stages):
 
 def test_language_stage(stages):
     _, before, after = stages[1]
-    assert ids(after) == ids(identify(before).where("lang_pred <> 'und' AND score >= 0.4"))
+    assert ids(after) == ids(identify(before).where("lang_pred <> 'und' AND score >= 0.3"))
     assert after.count() >= 0.995 * before.count()
 
 
