@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that holds at least 0.4 of their words; texts without letters go."""
-    return keep_language(docs, least=0.4)
+    """Documents with a language that holds at least 0.3 of their words; texts without letters go."""
+    return keep_language(docs, least=0.3)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
