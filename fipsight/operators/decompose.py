@@ -32,25 +32,29 @@ class PcaFit:
     variance: np.ndarray       # explained variance (population-scaled data), k
     n: int
     features: list[str]
+    incomplete: DataFrame      # kept columns of the rows that lack a value
 
 
 def pca_fit(df: DataFrame, features: Sequence[str] | str, k: int,
             keep: Sequence[str] = ()) -> PcaFit:
     """Standardize and fit ``k`` principal components. ``features``: list of numeric columns
-    or the name of one array column (its positions become ``f0, f1, ...``)."""
+    or the name of one array column (its positions become ``f0, f1, ...``). Rows that lack a value
+    (NULL, NaN, a shorter array) take no part in the fit; ``pca_scores`` keeps them without scores."""
     if isinstance(features, str):
         arr = F.col(features).cast("array<double>")
-        stats_row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("w")).first()
-        names = [f"f{i}" for i in range(stats_row["w"] or 0)]
+        width = df.agg(F.max(F.size(features))).first()[0] or 0
+        names = [f"f{i}" for i in range(width)]
     else:
         arr = F.array(*[F.col(c).cast("double") for c in features])
-        stats_row = df.agg(F.count(F.lit(1)).alias("n")).first()
         names = list(features)
-    base = df.select(*keep, array_to_vector(arr).alias("_x"))
+    whole = F.coalesce((F.size("_a") == len(names)) & F.forall("_a", lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))
+    rows = df.select(*keep, arr.alias("_a"))
+    base = rows.where(whole).select(*keep, array_to_vector("_a").alias("_x"))
+    incomplete = rows.where(~whole).select(*keep)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="_x", outputCol="_z").fit(base)
     scaled = scaler.transform(base)
     model = PCA(k=k, inputCol="_z", outputCol="_pc").fit(scaled)
-    n = int(stats_row["n"])
+    n = base.count()
     pc = model.pc.toArray().copy()
     for j in range(pc.shape[1]):
         if pc[np.argmax(np.abs(pc[:, j])), j] < 0:
@@ -60,7 +64,7 @@ def pca_fit(df: DataFrame, features: Sequence[str] | str, k: int,
     total = float(np.sum(std > 0))          # each non-constant scaled column has variance 1
     factor = n / (n - 1) if n > 1 else 1.0
     variance = ratio * total * factor
-    return PcaFit(scaled, model, pc, ratio, variance, n, names)
+    return PcaFit(scaled, model, pc, ratio, variance, n, names, incomplete)
 
 
 def pca_scores(fit: PcaFit, keep: Sequence[str] = (), out: str = "scores") -> DataFrame:
@@ -72,7 +76,8 @@ def pca_scores(fit: PcaFit, keep: Sequence[str] = (), out: str = "scores") -> Da
     mult = F.array(*[F.lit(s * float(np.sqrt(fit.n / (fit.n - 1)) if fit.n > 1 else 1.0))
                      for s in signs])
     arr = vector_to_array(F.col("_pc"))
-    return raw.select(*keep, F.zip_with(arr, mult, lambda a, b: a * b).alias(out))
+    scored = raw.select(*keep, F.zip_with(arr, mult, lambda a, b: a * b).alias(out))
+    return scored.unionByName(fit.incomplete.select(*keep, F.lit(None).cast("array<double>").alias(out)))
 
 
 def explained_variance(spark, fit: PcaFit) -> DataFrame:

@@ -188,3 +188,15 @@ def test_json_members_of_mixed_kinds(spark):
     rows = sorted((r.id, r.name, r.value) for r in flatten_json_long(df, "j", keep=["id"]).collect())
     assert rows == [(0, "@a", "1"), (0, "@b", "x"), (0, "@n0", "1"), (0, "@n1", "2"), (1, "@a@c", "2"), (1, "@b", "3"),
                     (3, "@n0", "[1,2]"), (3, "@n1@z", None)]
+
+
+def test_pca_keeps_rows_that_lack_a_value(spark):
+    from fipsight.operators.decompose import pca_fit, pca_scores
+    rng = np.random.default_rng(4)
+    rows = [(i, float(a), float(2 * a + b)) for i, (a, b) in enumerate(rng.normal(size=(40, 2)))]
+    whole = spark.createDataFrame(rows, "id int, a double, b double")
+    holes = whole.unionByName(spark.createDataFrame([(100, None, 1.0), (101, float("nan"), 1.0)], whole.schema))
+    f, g = pca_fit(whole, ["a", "b"], 1, keep=["id"]), pca_fit(holes, ["a", "b"], 1, keep=["id"])
+    assert g.n == 40 and g.components == pytest.approx(f.components)
+    got = {r.id: r.scores for r in pca_scores(g, keep=["id"]).collect()}
+    assert len(got) == 42 and got[100] is None and got[101] is None and got[0] is not None
