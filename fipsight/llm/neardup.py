@@ -199,9 +199,11 @@ def similarity(a: tuple, b: tuple) -> float:
 
 def bag_rows(docs: DataFrame, rows: DataFrame, shared: DataFrame, folder: Folder) -> DataFrame:
     """key, bag, sig, bands of every node that shares a band; one text stands for each node."""
-    inside = rows.where("key IS NOT NULL").join(shared.select("key").distinct(), "key", "left_semi")
-    one = folder.keep(inside.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "texts")
-    signed = inside.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    # copies meet in the partial sums of their task before they are dealt by key
+    nodes = rows.where("key IS NOT NULL").groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    inside = folder.keep(nodes.join(shared.select("key").distinct(), "key", "left_semi"), "texts")
+    one, signed = inside.select("doc_id", "key"), inside.select("key", "sig", "bands")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
