@@ -7,10 +7,12 @@ The graph starts from brute force inside the leaves of random hyperplane trees;
 ``LEAF`` nodes is dealt at random to several. NN-descent then repeats Spark joins: every node
 introduces a sample of its forward and reverse neighbours to each other (pairs with at least one
 new member), and each node keeps its ``degree`` best. A hub's reverse neighbours are sampled before
-they meet, so no group grows with the data. Rounds end when few edges change.
+they meet, so no group grows with the data. An edge stays new in a direction until it was in that
+direction's sample. Rounds end when few edges are new.
 
 A search starts at given nodes, expands the best unexpanded nodes of every query's list through the
-graph in rounds of joins, and ends when each list's best nodes are all expanded.
+graph's edges and each node's ``degree`` best reverse edges in rounds of joins, and ends when each
+list's best nodes are all expanded.
 
 Cases: null and zero vectors, vectors with null or non-finite components and vectors of another
 length than most take no part; ties go to the smaller vec_id; repeated rows with one vec_id count
@@ -81,12 +83,13 @@ def best_edges(rows: DataFrame, most: int, parts: int) -> DataFrame:
     return rows.repartition(parts, "node").sortWithinPartitions("node").mapInArrow(run, rows.schema)
 
 
+FORWARD, REVERSE = 1, 2  # bits of ``fresh``: the edge has not been introduced at its node, at its neighbour
 EDGE = "node long, nbr long, sim float, fresh int"
 
 
 def _edges(node, nbr, sim) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(nbr, pa.int64()), pa.array(sim, pa.float32()),
-                                       pa.array(np.ones(len(node), np.int32))], ["node", "nbr", "sim", "fresh"])
+                                       pa.array(np.full(len(node), FORWARD | REVERSE, np.int32))], ["node", "nbr", "sim", "fresh"])
 
 
 def leaf_edges(nodes: DataFrame, count: int, size: int, parts: int, degree: int, seed: int = 1) -> DataFrame:
@@ -123,18 +126,33 @@ def leaf_edges(nodes: DataFrame, count: int, size: int, parts: int, degree: int,
     return dealt.repartition(parts, "leaf").sortWithinPartitions("leaf").mapInArrow(brute, EDGE)
 
 
-def introduced(edges: DataFrame, nodes: DataFrame, parts: int, turn: int) -> DataFrame:
-    """New edges between neighbours of one node that are better than what they have."""
-    def some(e: DataFrame, mine: str, other: str) -> DataFrame:
-        # a sample of each node's new and old neighbours, by the order of a hash
-        near = e.select(F.col(mine).alias("hub"), F.col(other).alias("node"), "fresh")
+def sampled(edges: DataFrame, turn: int) -> DataFrame:
+    """hub, node, side, fresh (0/1): what each node introduces in a round, a sample, by the order of a
+    hash, of its new and old neighbours in each direction."""
+    def some(mine: str, other: str, side: int) -> DataFrame:
+        near = edges.select(F.col(mine).alias("hub"), F.col(other).alias("node"), F.lit(side).alias("side"),
+                            (F.col("fresh").bitwiseAND(side) > 0).cast("int").alias("fresh"))
         w = Window.partitionBy("hub", "fresh").orderBy(F.xxhash64("node", "hub", F.lit(turn)))
         return near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= SAMPLE // 2).drop("r")
 
+    return some("node", "nbr", FORWARD).unionByName(some("nbr", "node", REVERSE))
+
+
+def aged(edges: DataFrame, met: DataFrame) -> DataFrame:
+    """The edges, no longer new in the directions in which ``met`` introduced them."""
+    new, ahead = met.where("fresh = 1"), F.col("side") == FORWARD
+    used = (new.select(F.when(ahead, F.col("hub")).otherwise(F.col("node")).alias("node"),
+                       F.when(ahead, F.col("node")).otherwise(F.col("hub")).alias("nbr"), "side")
+            .groupBy("node", "nbr").agg(F.sum("side").cast("int").alias("used")))
+    left = F.col("fresh") - F.coalesce(F.col("used"), F.lit(0))  # only bits that are set can be used
+    return edges.join(used, ["node", "nbr"], "left").select("node", "nbr", "sim", left.alias("fresh"))
+
+
+def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
+    """New edges between neighbours of one node (``met``) that are better than what they have."""
     worst = edges.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n"))
     worst = worst.select("node", F.when(F.col("n") >= DEGREE, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
-    met = (some(edges, "node", "nbr").unionByName(some(edges, "nbr", "node"))
-           .groupBy("hub", "node").agg(F.min("fresh").alias("fresh")))
+    met = met.groupBy("hub", "node").agg(F.max("fresh").alias("fresh"))
     full = met.join(nodes.join(worst, "node"), "node").select("hub", "node", "fresh", "worst", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,11 +175,19 @@ def introduced(edges: DataFrame, nodes: DataFrame, parts: int, turn: int) -> Dat
     return full.repartition(parts, "hub").sortWithinPartitions("hub").mapInArrow(run, EDGE)
 
 
+def both_ways(edges: DataFrame, degree: int) -> DataFrame:
+    """node, nbr: the edges and each node's ``degree`` best reverse ones."""
+    w = Window.partitionBy("nbr").orderBy(F.desc("sim"), "node")
+    back = edges.withColumn("r", F.row_number().over(w)).where(F.col("r") <= degree)
+    return edges.select("node", "nbr").union(back.select("nbr", "node")).distinct()
+
+
 class Graph:
-    """nodes (node, vec with the extra component), members (node, vec_id, vec) and edges (node, nbr)."""
+    """nodes (node, vec with the extra component), members (node, vec_id, vec) and edges (node, nbr)
+    that a search follows."""
 
     def __init__(self, rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", degree: int = DEGREE,
-                 rounds: int = 9, least_change: float = 0.05):
+                 rounds: int = 30, least_change: float = 0.02):
         spark = rows.sparkSession
         self.folder = Folder(spark, "ann")
         self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -175,12 +201,12 @@ class Graph:
         edges = self.folder.keep(best_edges(leaf_edges(self.nodes, count, size + 1, self.parts, degree), degree,
                                             self.parts), "edges")
         for turn in range(rounds if count else 0):
-            known = edges.withColumn("fresh", F.lit(0))
-            found = introduced(edges, self.nodes, self.parts, turn)
-            edges = self.folder.keep(best_edges(known.unionByName(found), degree, self.parts), "edges")
-            if edges.where("fresh = 1").count() < least_change * degree * count:
+            met = self.folder.keep(sampled(edges, turn), "met")
+            known = aged(edges, met).unionByName(introduced(edges, met, self.nodes, self.parts))
+            edges = self.folder.keep(best_edges(known, degree, self.parts), "edges")
+            if edges.where("fresh > 0").count() < least_change * degree * count:
                 break
-        self.edges = edges.select("node", "nbr")
+        self.edges = self.folder.keep(both_ways(edges, degree), "both")
 
     def longest(self) -> list[int]:
         """The ENTRIES nodes of the longest vectors: by inner product, answers lie around them."""

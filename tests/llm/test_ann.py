@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fipsight.llm.ann import neighbours_of_rows
+from fipsight.llm.ann import FORWARD, REVERSE, SAMPLE, aged, both_ways, neighbours_of_rows, sampled
 
 
 def brute(ids, x, queries, k):
@@ -57,3 +57,23 @@ def test_odd_vectors(spark):
     assert [tuple(r) for r in got] == [(0, 1, 8, 0.5), (0, 2, 20, 0.0), (20, 1, 0, 0.0), (20, 2, 8, -0.5)]
     assert neighbours_of_rows(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
     assert neighbours_of_rows(df.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_edges_stay_new_until_they_are_introduced(spark):
+    """Node 0 has 40 new neighbours: each is introduced once, none is forgotten."""
+    rows = [(0, i, float(-i), FORWARD | REVERSE) for i in range(1, 41)]
+    edges, seen = spark.createDataFrame(rows, "node long, nbr long, sim float, fresh int"), []
+    for turn in range(3):
+        met = spark.createDataFrame(sampled(edges, turn).collect(), "hub long, node long, side int, fresh int")
+        new = [r.node for r in met.collect() if r.side == FORWARD and r.fresh]
+        assert len(new) <= SAMPLE // 2
+        seen += new
+        edges = spark.createDataFrame(aged(edges, met).collect(), "node long, nbr long, sim float, fresh int")
+        left = {r.nbr for r in edges.collect() if r.fresh & FORWARD}
+        assert left == set(range(1, 41)) - set(seen) and edges.where(f"fresh >= {REVERSE}").isEmpty()
+    assert sorted(seen) == list(range(1, 41))
+
+
+def test_a_search_follows_edges_back(spark):
+    edges = spark.createDataFrame([(9, 1, 0.5, 0), (1, 2, 0.9, 0), (2, 1, 0.9, 0)], "node long, nbr long, sim float, fresh int")
+    assert sorted(map(tuple, both_ways(edges, 2).collect())) == [(1, 2), (1, 9), (2, 1), (9, 1)]
