@@ -1,18 +1,20 @@
-"""Language-model scoring with sharded Elias-Fano bigram tries.
+"""Language-model scoring with sharded Elias-Fano n-gram tries.
 
 Tokens are words (runs without white space, A-Z lower-cased) and one end per text; the context of
-the first token is a begin mark. The model is a bigram model with Dirichlet smoothing::
+the first token is a begin mark. The model is of order 2 or 3, with Dirichlet smoothing::
 
-    p(w)     = (count(w) + 1) / (tokens + distinct + 1)
-    p(w | u) = (count(u w) + MU p(w)) / (count(u) + MU)
+    p(w)       = (count(w) + 1) / (tokens + distinct + 1)
+    p(w | u)   = (count(u w) + MU p(w)) / (count(u) + MU)
+    p(w | u v) = (count(u v w) + MU p(w | v)) / (count(u v) + MU)
 
-with counts over all learning texts. A block (a run of a task's texts) counts its words and pairs
-and sends each shard one row with what belongs there. A shard of words adds up exact counts; a
-shard of pairs builds an ``NgramTrie`` of its pairs with quantised counts and answers the pairs of
-every block from it. The answers go back to the blocks, which score their texts. Pairs are dealt by
-their first word and a part (one of ``SALT``) of their second, so that a word that a third of all
-tokens follow is spread, and a block names each pair once. No task holds the model: memory follows
-the block size and the number of shards (the session's shuffle partitions).
+with counts over all learning texts; the first token of a text has no context beyond the begin mark,
+so it takes p(w | u) in both orders. A block (a run of a task's texts) counts its words, pairs and
+triples and sends each shard one row with what belongs there. A shard of words adds up exact counts;
+a shard of pairs or triples builds an ``NgramTrie`` of them with quantised counts and answers those of
+every block from it. The answers go back to the blocks, which score their texts. Pairs and triples are
+dealt by their context and a part (one of ``SALT``) of their last word, so that a word that a third of
+all tokens follow is spread, and a block names each once. No task holds the model: memory follows the
+block size and the number of shards (the session's shuffle partitions, ``FINER`` times for triples).
 
 Both branches read the same rows, so ``docs`` must be deterministic (a table scan).
 
@@ -39,7 +41,8 @@ U = np.uint64
 BEGIN, END = 1, 2  # stand-ins for hashes
 MU = 4.0
 SALT = 8
-WORDS, PAIRS, TOTALS = 0, 1, 2  # kinds of rows
+FINER = 4
+WORDS, PAIRS, TOTALS, TRIPLES = 0, 1, 2, 3  # kinds of rows
 SHARD = "shard long, block long, kind int, keys binary, sizes binary, counts binary"
 ANSWER = "block long, shard long, kind int, counts binary"
 
@@ -71,6 +74,21 @@ class Block:
         count = np.bincount(pair[self.learned], minlength=len(key))
         return key // len(self.words), key % len(self.words), count, pair
 
+    def triples(self, first: np.ndarray, second: np.ndarray, pair: np.ndarray):
+        """(slots of u, v, w, learned count) of distinct triples in order, given ``pairs()``; each
+        token's triple but those of the first tokens of texts, and the places of these tokens."""
+        inner = np.ones(len(self.slots), bool)
+        inner[np.cumsum(self.sizes) - self.sizes] = False
+        at = np.flatnonzero(inner)
+        key, triple = np.unique(pair[at - 1] * len(self.words) + self.slots[at], return_inverse=True)
+        count = np.bincount(triple[self.learned[at]], minlength=len(key))
+        before = key // len(self.words)
+        return first[before], second[before], key % len(self.words), count, triple, at
+
+    def triple_shards(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, shards: int) -> np.ndarray:
+        context = mix(self.words[u] + U(3)) + self.words[v]
+        return (mix(context + mix(mix(self.words[w]) % U(SALT) + U(9))) % U(FINER * shards)).astype(np.int64)
+
     def word_shards(self, shards: int) -> np.ndarray:
         return (mix(self.words) % U(shards)).astype(np.int64)
 
@@ -111,19 +129,25 @@ def _blocks(batches, block_bytes: int):
         yield give()
 
 
-def shard_rows(docs: DataFrame, block_bytes: int, shards: int) -> DataFrame:
-    """What each block sends to the shards of words and of pairs."""
+def shard_rows(docs: DataFrame, block_bytes: int, shards: int, order: int) -> DataFrame:
+    """What each block sends to the shards of words, of pairs and of triples. A row of triples holds
+    its distinct words, and in ``sizes`` the places of all u, all v and all w among them."""
     def run(batches):
         for block, _, _, b in _blocks(batches, block_bytes):
             rows = []
             count = np.bincount(b.slots[b.learned], minlength=len(b.words))
             for s, at in _runs(b.word_shards(shards)):
                 rows.append((s, block, WORDS, b.words[at].tobytes(), None, pack_numbers(count[at])))
-            u, w, count, _ = b.pairs()
+            u, w, count, pair = b.pairs()
             for s, at in _runs(b.pair_shards(u, w, shards)):
                 start, size = run_lengths(u[at])
                 keys = np.concatenate([b.words[u[at][start]], b.words[w[at]]])
                 rows.append((shards + s, block, PAIRS, keys.tobytes(), pack_numbers(size), pack_numbers(count[at])))
+            u, v, w, count, _, _ = b.triples(u, w, pair)
+            for s, at in _runs(b.triple_shards(u, v, w, shards)) if order > 2 else []:
+                own, place = np.unique(np.concatenate([u[at], v[at], w[at]]), return_inverse=True)
+                rows.append((2 * shards + s, block, TRIPLES, b.words[own].tobytes(), pack_numbers(place),
+                             pack_numbers(count[at])))
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
@@ -145,8 +169,8 @@ def text_rows(docs: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def answers(rows: DataFrame) -> DataFrame:
-    """Exact word counts and quantised pair counts of every block's words and pairs, in its order,
-    and a row of totals (tokens, distinct words) of each shard of words."""
+    """Exact word counts and quantised pair and triple counts of every block's words, pairs and triples,
+    in its order, and a row of totals (tokens, distinct words) of each shard of words."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
         if not table.num_rows:
@@ -163,19 +187,19 @@ def answers(rows: DataFrame) -> DataFrame:
             got = total[at]
             extra = [(None, shard, TOTALS, np.array([total.sum(), (total > 0).sum()], np.int64).tobytes())]
         else:
-            first, second = [], []
+            named = []
             for k, size in zip(keys, table.column("sizes")):
                 n = unpack_numbers(size.as_py())
-                first.append(np.repeat(k[:len(n)], n))
-                second.append(k[len(n):])
-            u, w = np.concatenate(first), np.concatenate(second)
-            order = np.lexsort((w, u))
-            start, _ = run_lengths(u[order], w[order])
-            u, w = u[order][start], w[order][start]
+                named.append([np.repeat(k[:len(n)], n), k[len(n):]] if kind == PAIRS else k[n.astype(np.int64)].reshape(3, -1))
+            grams = [np.concatenate(g) for g in zip(*named)]
+            order = np.lexsort(grams[::-1])
+            grams = [g[order] for g in grams]
+            start, _ = run_lengths(*grams)
+            grams = [g[start] for g in grams]
             total = np.add.reduceat(count[order], start) if len(start) else count
             known = total > 0
-            trie = NgramTrie([u[known], w[known]], quantise(total[known]))
-            code = trie.find([u, w])
+            trie = NgramTrie([g[known] for g in grams], quantise(total[known]))
+            code = trie.find(grams)
             each = np.zeros(len(order), np.int64)
             each[order] = np.repeat(code, np.diff(np.append(start, len(order))))
             got, extra = each, []
@@ -186,7 +210,7 @@ def answers(rows: DataFrame) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(run, ANSWER)
 
 
-def score_blocks(texts: DataFrame, found: DataFrame, shards: int, tokens: int, distinct: int) -> DataFrame:
+def score_blocks(texts: DataFrame, found: DataFrame, shards: int, tokens: int, distinct: int, order: int) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every text."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         size, payload = left.column("size").to_pylist(), left.column("payload")
@@ -207,31 +231,38 @@ def score_blocks(texts: DataFrame, found: DataFrame, shards: int, tokens: int, d
         # the begin mark stands before every text, as the end behind it
         context = word_count.copy()
         context[b.begin] = word_count[np.searchsorted(words, U(END))]
-        p = (restore(code) + MU * p_word[w]) / (context[u] + MU)
+        p = ((restore(code) + MU * p_word[w]) / (context[u] + MU))[pair]
+        if order > 2:
+            x, y, z, _, triple, inner = b.triples(u, w, pair)
+            code3 = np.zeros(len(x), np.int64)
+            for s, place in _runs(b.triple_shards(x, y, z, shards)):
+                code3[place] = unpack_numbers(got[2 * shards + s, TRIPLES].as_py())
+            p[inner] = (restore(code3)[triple] + MU * p[inner]) / (restore(code)[pair[inner - 1]] + MU)
         first = np.cumsum(sizes) - sizes
         return pa.table([
             left.column("doc_id").take(pa.array(at)), pa.array(sizes),
             pa.array(np.add.reduceat((word_count[slots] > 0).astype(np.int64), first)),
-            pa.array(np.add.reduceat(np.log10(p_word)[slots], first)), pa.array(np.add.reduceat(np.log10(p)[pair], first))],
+            pa.array(np.add.reduceat(np.log10(p_word)[slots], first)), pa.array(np.add.reduceat(np.log10(p), first))],
             ["doc_id", "n_tokens", "n_known", "base_score", "score"])
     return (texts.groupBy("block").cogroup(found.groupBy("block"))
             .applyInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double"))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    block_bytes: int = 12 << 20) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text; ids with
-    crc32 remainder 2 modulo 7 are not learned from."""
+                    block_bytes: int = 12 << 20, order: int = 2) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (of the model of ``order``)
+    of every text; ids with crc32 remainder 2 modulo 7 are not learned from."""
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = F.coalesce(id_remainder(F.col("doc_id"), 7) == 2, F.lit(False))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     d = d.select("doc_id", "text", (F.col("doc_id").isNotNull() & ~out).alias("learn"))
-    found = Folder(spark, "lm").keep(answers(shard_rows(d, block_bytes, shards)), "answers")
+    found = Folder(spark, "lm").keep(answers(shard_rows(d, block_bytes, shards, order)), "answers")
     tokens = distinct = 0
     for r in found.where(F.col("kind") == TOTALS).select("counts").collect():  # one row per shard
         n = np.frombuffer(bytes(r.counts), np.int64)
         tokens, distinct = tokens + int(n[0]), distinct + int(n[1])
-    scored = score_blocks(text_rows(d, block_bytes), found.where(F.col("kind") != TOTALS), shards, tokens, distinct)
+    scored = score_blocks(text_rows(d, block_bytes), found.where(F.col("kind") != TOTALS), shards, tokens, distinct,
+                          order)
     return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known",
                          F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

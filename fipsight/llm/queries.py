@@ -27,7 +27,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(_read(spark, sf_dir, "documents"))
+    return score_documents(_read(spark, sf_dir, "documents"), order=3)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

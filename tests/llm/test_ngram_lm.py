@@ -45,6 +45,32 @@ def test_scores_equal_a_plain_count(spark, sf, odd_docs, block):
             assert g.base_score == pytest.approx(w[4], rel=1e-12) and g.score == pytest.approx(w[5], rel=1e-9)
 
 
+@pytest.mark.parametrize("block", [1, 12 << 20])
+def test_order_three_equals_a_plain_count(spark, sf, odd_docs, block):
+    for docs in (spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), odd_docs.repartition(2, "doc_id")):
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        uni, bi, tri = Counter(), Counter(), Counter()
+        learn = [tokens_of(t) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+        for t in learn:
+            uni.update(t)
+            bi.update(zip(["<s>", *t[:-1]], t))
+            tri.update(zip(["<s>", *t[:-2]], t[:-1], t[1:]))
+        n, v, want = sum(uni.values()), len(uni), []
+        for i, text in rows:
+            t, total = tokens_of(text), 0.0
+            for k, w in enumerate(t):
+                u = t[k - 1] if k else "<s>"
+                p = (bi[u, w] + MU * (uni[w] + 1) / (n + v + 1)) / ((uni[u] if k else len(learn)) + MU)
+                if k:
+                    before = t[k - 2] if k > 1 else "<s>"
+                    p = (tri[before, u, w] + MU * p) / (bi[before, u] + MU)
+                total += math.log10(p)
+            want.append((i, total))
+        got = sorted((r.doc_id, r.score) for r in score_documents(docs, block_bytes=block, order=3).collect())
+        assert [g[0] for g in got] == [i for i, _ in sorted(want)]
+        assert [g[1] for g in got] == pytest.approx([x for _, x in sorted(want)], rel=1e-9)
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(spark):
     m = score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
     h = m[m.held_out]
