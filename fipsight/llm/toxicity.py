@@ -33,8 +33,7 @@ from fipsight.llm.text import SEPARATORS, _edges, chunks, lower_table, mix, run_
 U = np.uint64
 FOLDS = 3
 STEMS = (4, 5, 6)  # bytes of a word's beginning
-LEAST_TEXTS = 8  # sample texts that must hold a feature, at least; and
-LEAST_SHARE = 0.001  # the share of them
+LEAST_TEXTS = 2  # sample texts that must hold a feature, at least
 KEEP = 0.4  # features that a training visit sees: one toxic word must do, without the others of its text
 
 
@@ -118,7 +117,7 @@ def fit_models(rows: DataFrame, category: int) -> dict[int, Model]:
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         own = [np.frombuffer(k, U) for k in pdf["keys"]]
         used, n = np.unique(np.concatenate([np.zeros(0, U), *own]), return_counts=True)
-        used = used[n >= max(LEAST_TEXTS, LEAST_SHARE * len(own))]
+        used = used[n >= LEAST_TEXTS]
         extra = np.concatenate([np.zeros(0, U), *[chain_key(c) for c in range(category)]])
         size = len(used)
         index, value = [], []
@@ -128,7 +127,7 @@ def fit_models(rows: DataFrame, category: int) -> dict[int, Model]:
             index.append(np.concatenate([at, size + np.arange(category + 1)]))
             value.append(np.concatenate([np.ones(len(at)), np.asarray(before, float), [1.0]]))
         w = ftrl_train(index, value, np.array([y[category] for y in pdf["y"]]), size + category + 1, alpha=1.0,
-                       l1=3.0, l2=0.01, epochs=10, keep=KEEP)
+                       l1=4.0, l2=0.01, epochs=10, keep=KEEP)
         keep = np.flatnonzero(w[:-1])
         keys = np.append(np.concatenate([used, extra])[keep], U(0))
         return pd.DataFrame({"model": int(pdf["model"].iloc[0]), "bias": np.append(np.zeros(len(keep), bool), True),

@@ -28,6 +28,13 @@ def test_held_out_accuracy(tables, chain):
     assert (h.low_quality == 1 - h.quality).mean() > 0.95
 
 
+def test_rare_toxic_words_are_learned(tables, chain):
+    docs, labels = tables
+    m = classify_toxicity(docs, labels, chain).toPandas().merge(labels.toPandas().rename(columns={"toxic": "y"}), on="doc_id")
+    h = m[m.held_out]
+    assert h[h.y == 1].toxic.mean() > 0.80 and h[h.y == 0].toxic.mean() < 0.01
+
+
 def test_probabilities_are_out_of_fold(spark, tables):
     docs, labels = tables
     learn = labels.where("doc_id < 900").select("doc_id", (1 - F.col("quality")).alias("a"), F.col("toxic").alias("b"))
