@@ -124,8 +124,8 @@ def fit_models(rows: DataFrame, category: int) -> dict[int, Model]:
         for k, before in zip(own, pdf["earlier"]):
             at = np.minimum(np.searchsorted(used, k), max(size - 1, 0))
             at = at[used[at] == k] if size else at[:0]
-            index.append(np.concatenate([at, size + np.arange(category + 1)]))
-            value.append(np.concatenate([np.ones(len(at)), np.asarray(before, float), [1.0]]))
+            index.append(np.concatenate([at, size + np.arange(category + 1)]).astype(np.int32))
+            value.append(np.concatenate([np.ones(len(at)), np.asarray(before, float), [1.0]]).astype(np.float32))
         w = ftrl_train(index, value, np.array([y[category] for y in pdf["y"]]), size + category + 1, alpha=1.0,
                        l1=4.0, l2=0.01, epochs=10, keep=KEEP)
         keep = np.flatnonzero(w[:-1])
