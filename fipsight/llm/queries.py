@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fipsight.llm.ann import neighbours_of_rows
+from fipsight.llm.audit import audit_documents
 from fipsight.llm.bm25 import search
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
@@ -73,6 +74,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_model": op2_language_model,
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_bm25": op8_bm25,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -112,4 +118,50 @@ WITH rows AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        CAST(chars AS BIGINT) AS formatted_chars, true AS round_trip
 FROM joined""",
+    "op11_filter_audit": r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), measured AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY text) AS first_id FROM docs
+), flags AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+  SELECT m.part, coalesce(f.good, false) AS good, coalesce(f.toxic, false) AS toxic,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN m.doc_id > first_id THEN 16 ELSE 0 END AS mask
+  FROM measured m LEFT JOIN flags f ON m.doc_id = f.doc_id
+), masks AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failed GROUP BY part, mask
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit <> b.bit AND a.bit <> c.bit AND a.bit <> d.bit
+    AND a.bit <> e.bit AND b.bit <> c.bit AND b.bit <> d.bit AND b.bit <> e.bit AND c.bit <> d.bit AND c.bit <> e.bit
+    AND d.bit <> e.bit
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit,
+         CAST(list_sum(bits[1:step]) AS INTEGER) - bits[step] AS earlier
+  FROM orders, range(1, 6) r(step)
+), taken AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & earlier <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM taken""",
 }
