@@ -12,6 +12,7 @@ from fipsight.llm.bm25 import search
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
 from fipsight.llm.langid import identify
+from fipsight.llm.merkle import verify_documents
 from fipsight.llm.neardup import near_duplicates
 from fipsight.llm.ngram_lm import score_documents
 from fipsight.llm.packing import pack_documents, piece_digests
@@ -78,6 +79,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_documents(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_model": op2_language_model,
@@ -90,6 +95,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
     "op11_filter_audit": op11_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -164,4 +170,64 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
 FROM taken""",
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, text,
+         [CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END,
+          coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+          CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END] AS fields,
+         list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+                                      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS inverse_crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, tree, sha256(array_to_string(fields, '') || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN inverse_crc % 2 = 1 AND text IS NOT NULL
+              THEN sha256(array_to_string(fields, '') || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), '')) END
+           AS tampered_leaf
+  FROM docs
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS size
+  FROM leaves
+), up AS (
+  SELECT tree, 0 AS level, place, size, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (any_value(size) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM up WHERE size > 1 GROUP BY tree, level, place // 3
+), subroots AS (
+  SELECT tree, digest AS subroot, max(level) OVER (PARTITION BY tree) AS height, level FROM up
+), sources AS (
+  SELECT tree, subroot, height, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS size
+  FROM subroots WHERE level = height
+), top AS (
+  SELECT 0 AS level, place, size, subroot AS digest FROM sources
+  UNION ALL
+  SELECT level + 1, place // 3, (any_value(size) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM top WHERE size > 1 GROUP BY level, place // 3
+), nodes AS (
+  SELECT tree, level, place, digest FROM up WHERE size > 1
+  UNION ALL SELECT NULL, level, place, digest FROM top WHERE size > 1
+), siblings AS (
+  SELECT n.tree, n.level, n.place, coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (o.place < n.place), '') AS before,
+         coalesce(string_agg(o.digest, '' ORDER BY o.place) FILTER (o.place > n.place), '') AS behind
+  FROM nodes n JOIN nodes o ON n.tree IS NOT DISTINCT FROM o.tree AND n.level = o.level AND n.place // 3 = o.place // 3
+  GROUP BY n.tree, n.level, n.place
+), paths AS (
+  SELECT p.*, s.subroot, s.height, s.place AS tree_place,
+         row_number() OVER (ORDER BY p.tree, p.place) AS number
+  FROM placed p JOIN sources s ON p.tree = s.tree
+), folded AS (
+  SELECT number, tree, 0 AS level, place, tree_place, height, coalesce(tampered_leaf, leaf) AS digest, '' AS proof FROM paths
+  UNION ALL
+  SELECT f.number, f.tree, f.level + 1, f.place // 3, CASE WHEN f.level < f.height THEN f.tree_place ELSE f.tree_place // 3 END,
+         f.height, sha256(s.before || f.digest || s.behind), f.proof || s.before || s.behind
+  FROM folded f JOIN siblings s ON s.tree IS NOT DISTINCT FROM CASE WHEN f.level < f.height THEN f.tree END
+    AND s.level = CASE WHEN f.level < f.height THEN f.level ELSE f.level - f.height END
+    AND s.place = CASE WHEN f.level < f.height THEN f.place ELSE f.tree_place END
+), ends AS (
+  SELECT number, arg_max(digest, level) AS folded_root, arg_max(proof, level) AS proof FROM folded GROUP BY number
+), root AS (SELECT arg_max(digest, level) AS root FROM top)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM paths JOIN ends USING (number) CROSS JOIN root""",
 }
