@@ -11,6 +11,7 @@ from fipsight.llm.audit import audit_documents
 from fipsight.llm.bm25 import search
 from fipsight.llm.bpe import encode_documents, encoding_digests
 from fipsight.llm.chat import format_conversations, read_back
+from fipsight.llm.decontaminate import contamination_digests, decontaminate
 from fipsight.llm.langid import identify
 from fipsight.llm.merkle import verify_documents
 from fipsight.llm.neardup import near_duplicates
@@ -79,6 +80,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digests(decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_documents(_read(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
     "op11_filter_audit": op11_filter_audit,
+    "op12_decontamination": op12_decontamination,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -170,6 +176,35 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
 FROM taken""",
+    "op12_decontamination": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS number, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[p:p + least(len(words), 10) - 1], ' ') AS said
+  FROM items, unnest(range(1, len(words) - least(len(words), 10) + 2)) u(p) WHERE len(words) > 0
+), sizes AS (SELECT DISTINCT size FROM windows
+), shown AS (
+  SELECT number, size, p, array_to_string(words[p:p + size - 1], ' ') AS said
+  FROM sizes, docs, unnest(range(1, CAST(len(words) - size + 2 AS BIGINT))) u(p)
+), hits AS (
+  SELECT number, p, size, item_id FROM shown JOIN windows USING (size, said)
+), covered AS (
+  SELECT number, count(DISTINCT spot) AS n_hit FROM (SELECT DISTINCT number, p, size FROM hits), unnest(range(p, p + size)) u(spot)
+  GROUP BY number
+), named AS (
+  SELECT number, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY number
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (number) LEFT JOIN named USING (number)""",
     "op13_merkle_manifest": r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, coalesce('+' || source, '') AS tree, text,
