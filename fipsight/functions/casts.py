@@ -19,6 +19,12 @@ def safe_double(col, finite_only: bool = True) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
 
 
+def finite(name: str) -> Column:
+    """A numeric (or numeric text) column as double; NaN, infinity and garbage are NULL (NaN is above infinity)."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.expr(f"CASE WHEN abs(try_cast({quoted} AS DOUBLE)) < double('infinity') THEN try_cast({quoted} AS DOUBLE) END")
+
+
 def safe_long(col) -> Column:
     """Integer parsed from text, or NULL."""
     return _col(col).try_cast("bigint")

@@ -8,13 +8,13 @@ Scale notes
   task (at most ``2 * block_rows`` rows) that emits only the ``k`` best candidates per query
   point; the candidates of all tiles are merged per query point. No pair list is materialised
   and no group is gathered whole.
-* Feature selection with the ``'r2'`` criterion works on the group's Gram table only
-  (``k*(k+1)/2 + k + 1`` rows): no pass over the data after the one moment aggregate.
+* Feature selection with the ``'r2'`` criterion works on the group's moments only (one row for each
+  pattern of present columns): no pass over the data after the one moment aggregate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fipsight.operators.moments import Moments, correlations, map_moment_groups
 from fipsight.operators.rollup import _keys, join_groups
-from fipsight.operators.stats import map_gram_groups
 from fipsight.session import ensure_checkpoint_dir
 
 
@@ -310,25 +310,24 @@ def _r2(R: np.ndarray, r: np.ndarray, subset: Sequence[int]) -> float:
     return float(r[idx] @ b)
 
 
-def floating_forward(R: np.ndarray, r: np.ndarray, k: int) -> tuple[list[int], float]:
-    """SFFS: add the best feature; then drop features (never the one just added) while a
-    smaller subset beats the best subset of that size seen so far (the published variant that
+def floating_search(score: Callable[[Sequence[int]], float], p: int, k: int) -> tuple[list[int], float]:
+    """SFFS over ``p`` features: add the best feature; then drop features (never the one just added)
+    while a smaller subset beats the best subset of that size seen so far (the published variant that
     compares with the current subset's score stops earlier). Ties go to the lower index. Ends, since
     every step back raises the best score of a size. Returns the best subset of size ``min(k, p)``
     and its score."""
-    p = len(r)
     k = min(k, p)
     subset: list[int] = []
     best: dict[int, tuple[float, list[int]]] = {}
     while len(subset) < k:
         cands = [f for f in range(p) if f not in subset]
-        s, neg = max((_r2(R, r, subset + [f]), -f) for f in cands)
+        s, neg = max((score(subset + [f]), -f) for f in cands)
         added = -neg
         subset = subset + [added]
         if len(subset) not in best or s > best[len(subset)][0]:
             best[len(subset)] = (s, sorted(subset))
         while len(subset) > 2:
-            s2, negx = max((_r2(R, r, [x for x in subset if x != y]), -y)
+            s2, negx = max((score([x for x in subset if x != y]), -y)
                            for y in subset if y != added)
             smaller = len(subset) - 1
             if s2 > best.get(smaller, (-np.inf,))[0]:
@@ -339,40 +338,55 @@ def floating_forward(R: np.ndarray, r: np.ndarray, k: int) -> tuple[list[int], f
     return (best[k][1], best[k][0]) if k else ([], 0.0)
 
 
-def select_features(gram: DataFrame, keys, features: Sequence[str], target: str, k: int = 10,
+def floating_forward(R: np.ndarray, r: np.ndarray, k: int) -> tuple[list[int], float]:
+    """``floating_search`` with the R² of one correlation matrix as the score."""
+    return floating_search(lambda subset: _r2(R, r, subset), len(r), k)
+
+
+def select_features(moments: DataFrame, keys, features: Sequence[str], target: str, k: int = 10,
                     allowed: DataFrame | None = None, exclude: Sequence[str] = (),
                     min_rows: int = 10) -> DataFrame:
     """Best ``k`` features per group by floating forward selection, scored by the R² of the
-    standardized least-squares fit (from the group's Gram table).
+    standardized least-squares fit on the complete cases of the candidate subset (from the group's
+    ``pattern_moments``); a subset with fewer than ``min_rows`` complete cases, or with a column that
+    does not vary in them, is no candidate.
 
     ``allowed`` (``(keys, feature)`` rows, e.g. the output of ``frequency_screen``) limits the
     candidates per group; ``exclude`` removes leak columns everywhere. Constant features are
-    unusable. Result ``(keys, features array<string>, r2, n, status)`` with status ``ok``,
-    ``too_few_rows`` or ``too_few_features``.
+    unusable. Result ``(keys, features array<string>, r2, n, status)``, ``n`` the complete cases of the
+    chosen subset, with status ``ok``, ``too_few_rows`` (of the group, or of every subset of that size;
+    then n counts the group's rows with a target) or ``too_few_features``.
     """
-    kk = _keys(keys)
     names = [f for f in features if f not in set(exclude)]
-    schema = T.StructType([gram.schema[c] for c in kk] + [
-        T.StructField("features", T.ArrayType(T.StringType())),
-        T.StructField("r2", T.DoubleType()), T.StructField("n", T.LongType()),
-        T.StructField("status", T.StringType())])
-
-    def run(n: int, gv: dict, allow) -> list[tuple]:
-        def val(a, b):
-            return gv.get((a, b), gv.get((b, a)))
+    fields = [T.StructField("features", T.ArrayType(T.StringType())),
+              T.StructField("r2", T.DoubleType()), T.StructField("n", T.LongType()),
+              T.StructField("status", T.StringType())]
 
-        usable = [f for f in names if (allow is None or f in allow) and val(f, f) is not None]
+    def run(group: Moments, allow) -> list[tuple]:
+        n, mean, cov = group.complete([target])
         if n < min_rows:
             return [([], None, n, "too_few_rows")]
-        if len(usable) < k or val(target, target) is None:
+        usable = [f for f in names if (allow is None or f in allow)
+                  and correlations(*group.complete([f, target])[1:])[1].all()]
+        if len(usable) < k or not correlations(mean, cov)[1][0]:
             return [([], None, n, "too_few_features")]
-        R = np.array([[val(a, b) / n for b in usable] for a in usable])
-        r = np.array([val(a, target) / n for a in usable])
-        chosen, score = floating_forward(R, r, k)
-        return [([usable[i] for i in chosen], score, n, "ok")]
+        known: dict[tuple, float] = {}
+
+        def score(subset: Sequence[int]) -> float:
+            at = tuple(sorted(subset))
+            if at not in known:
+                rows, m, c = group.complete([*(usable[i] for i in at), target])
+                r, varies = correlations(m, c)
+                fits = rows >= min_rows and varies.all()
+                known[at] = _r2(r[:-1, :-1], r[:-1, -1], range(len(at))) if fits else -np.inf
+            return known[at]
+
+        chosen, best = floating_search(score, len(usable), k)
+        if not np.isfinite(best):
+            return [([], None, n, "too_few_rows")]
+        return [([usable[i] for i in chosen], best, group.complete([*(usable[i] for i in chosen), target])[0], "ok")]
 
-    return map_gram_groups(gram, kk, run, schema, ["features", "r2", "n", "status"],
-                           allowed=allowed)
+    return map_moment_groups(moments, keys, run, fields, allowed=allowed)
 
 
 # ------------------------------------------------------------------------------------------

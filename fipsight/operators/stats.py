@@ -2,8 +2,8 @@
 
 Nothing here gathers a group's rows: every statistic is a sum/moment aggregate (map-side partial
 aggregation, so a hot group costs one more partial row per task, not one huge task). Only the
-k×k solve of a regression leaves the JVM, on the already-reduced Gram rows of a group
-(k*(k+1)/2 + k + 1 rows, independent of the data volume).
+k×k solve of a regression leaves the JVM, on the already-reduced moments of a group
+(``moments.pattern_moments``: one row for each pattern of present columns).
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fipsight.functions.casts import finite
 from fipsight.functions.tails import t_tail
+from fipsight.operators.moments import Moments, correlations, map_moment_groups
 from fipsight.operators.rollup import _keys, join_groups, valid_pair
 
 
@@ -80,17 +81,18 @@ def gram_table(df: DataFrame, keys, features: Sequence[str], target: str) -> Dat
 
     Correlations come from merged central moments (``covar_pop`` over the two standard deviations,
     partial aggregation), so a large mean costs no precision. Available cases: a pair's covariance
-    uses the rows in which both columns are present, a deviation all rows of its column (NULL and NaN
-    are missing), so a column that drifts out of some years does not remove the other columns' rows.
-    A feature without spread, or without rows, in a group has ``gram = NULL``; ``ols`` reports it.
+    uses the rows in which both columns are present, a deviation all rows of its column (NULL, NaN
+    and infinite values are missing), so a column that drifts out of some years does not remove the other columns' rows.
+    A feature without spread, or without rows, in a group has ``gram = NULL``. Such pairwise entries
+    describe the data; they need not fit together as one matrix where values are missing, so fits use
+    the complete cases of ``pattern_moments``.
     The aggregate is written as SQL text, which keeps plan building cheap for many features.
     """
     k = _keys(keys)
     feats = list(features)
     cols = feats + [target]
     last = len(cols) - 1
-    base = df.select(*k, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_v{i}")
-                           for i, c in enumerate(cols)])
+    base = df.select(*k, *[finite(c).alias(f"_v{i}") for i, c in enumerate(cols)])
     pairs = [(i, j) for i in range(len(feats)) for j in [*range(i, len(feats)), last]] + [(last, last)]
     aggs = [f"count(_v{last}) AS _n"]
     aggs += [f"stddev_pop(_v{i}) AS _d{i}" for i in range(len(cols))]
@@ -111,107 +113,69 @@ _OLS_FIELDS = [T.StructField("feature", T.StringType()), T.StructField("beta", T
                T.StructField("status", T.StringType())]
 
 
-def ols(gram: DataFrame, keys, features: Sequence[str], target: str, se: str = "pooled",
+def ols(moments: DataFrame, keys, features: Sequence[str], target: str, se: str = "pooled",
         tails: int = 1, allowed: DataFrame | None = None) -> DataFrame:
     """Standardized multivariate OLS per group with t statistics and p-values.
 
-    Input is ``gram_table`` output. Per group (a bounded set of rows) numpy solves
-    ``b = pinv(G) X'y``; the residual sum of squares comes from the moments,
-    ``rss = y'y - 2 b'X'y + b'G b``, so the data is not read a second time. ``dof = n - (1 + k)``.
-    ``se='pooled'`` uses one standard error ``sqrt(s² / ΣX²)`` for every coefficient (ΣX² over the
-    whole standardized matrix); ``se='coef'`` uses ``sqrt(s² · pinv(G)_ii)``. The tail probability
-    is evaluated JVM-side (``t_tail``), one-sided by default. Features that are constant in a
-    group are left out of its fit and reported with status ``constant``. ``allowed`` rows
-    ``(keys, feature)`` (e.g. a per-group selection) restrict each group's fit to its features; a
-    group without any allowed feature is one row without a feature, status ``not_selected``. A
-    perfect fit has an infinite t and p = 0.
+    Input is ``pattern_moments`` output for these columns (or more). A group is fitted on its complete
+    cases: the rows that have the target and every fitted feature, z-scored over those rows. Per group
+    numpy solves ``b = pinv(R) r``; the residual sum of squares comes from the moments,
+    ``rss = n (1 - 2 b'r + b'R b)``, so the data is not read a second time. ``dof = n - (1 + k)`` with n the
+    complete cases. ``se='pooled'`` uses one standard error ``sqrt(s² / ΣX²)`` for every coefficient (ΣX²
+    over the whole standardized matrix); ``se='coef'`` uses ``sqrt(s² · pinv(G)_ii)``. The tail
+    probability is evaluated JVM-side (``t_tail``), one-sided by default.
+
+    Statuses: ``constant`` for a feature without spread (or without rows) in the group, or in the complete
+    cases: it is left out, and the complete cases are those of the others; ``constant_target``;
+    ``no_complete_rows``; ``too_few_rows`` (dof below 1: no t); ``ok``. ``allowed`` rows ``(keys, feature)``
+    (e.g. a per-group selection) restrict each group's fit to its features; a group without any allowed
+    feature is one row without a feature, status ``not_selected``. A perfect fit has an infinite t and
+    p = 0.
     """
-    k = _keys(keys)
     all_feats = list(features)
     if se not in ("pooled", "coef"):
         raise ValueError("se must be 'pooled' or 'coef'")
-    out_cols = ["feature", "beta", "t", "dof", "status"]
 
-    def solve(n: int, g: dict, allow) -> list[tuple]:
+    def solve(group: Moments, allow: set | None) -> list[tuple]:
         feats = all_feats if allow is None else [f for f in all_feats if f in allow]
         if not feats:
             return [(None, None, None, None, "not_selected")]
-        diag_ok = [f for f in feats if g.get((f, f)) is not None]
-        const = [f for f in feats if f not in diag_ok]
-        out = []
-        yy = g.get((target, target))
-        if not diag_ok or yy is None:
-            for f in feats:
-                out.append((f, None, None, None, "constant" if f in const else "constant_target"))
-            return out
-        kk = len(diag_ok)
-        G = np.array([[g.get((a, b), g.get((b, a))) for b in diag_ok] for a in diag_ok],
-                     dtype=float)
-        xy = np.array([g[(a, target)] for a in diag_ok], dtype=float)
-        P = np.linalg.pinv(G)
+        n, mean, cov = group.complete([target])
+        if not correlations(mean, cov)[1][0]:
+            return [(f, None, None, None, "constant_target") for f in feats]
+        alone = {f: correlations(*group.complete([f, target])[1:])[1][0] for f in feats}
+        fitted, status = [f for f in feats if alone[f]], "ok"
+        while fitted:
+            n, mean, cov = group.complete([*fitted, target])
+            if not n:
+                status = "no_complete_rows"
+                break
+            r, varies = correlations(mean, cov)
+            if not varies[-1]:
+                status = "constant_target"
+                break
+            if varies.all():
+                break
+            fitted = [f for f, v in zip(fitted, varies) if v]
+        if not fitted:
+            return [(f, None, None, None, "constant") for f in feats]
+        if status != "ok":
+            return [(f, None, None, None, status if f in fitted else "constant") for f in feats]
+        kk = len(fitted)
+        R, xy = r[:kk, :kk], r[:kk, kk]
+        P = np.linalg.pinv(R)
         b = P @ xy
-        rss = float(yy - 2.0 * b @ xy + b @ G @ b)
+        rss = n * max(float(1.0 - 2.0 * b @ xy + b @ R @ b), 0.0)
         dof = n - (1 + kk)
-        for i, f in enumerate(diag_ok):
+        out = []
+        for i, f in enumerate(fitted):
             if dof <= 0:
                 out.append((f, float(b[i]), None, dof, "too_few_rows"))
                 continue
-            s2 = max(rss, 0.0) / dof
-            sei = np.sqrt(s2 / np.trace(G)) if se == "pooled" else np.sqrt(s2 * P[i, i])
-            t = float(b[i] / sei) if sei > 0 else float(np.copysign(np.inf, b[i]))
-            out.append((f, float(b[i]), t, dof, "ok"))
-        for f in const:
-            out.append((f, None, None, dof, "constant"))
-        return out
-
-    schema = T.StructType([gram.schema[c] for c in k] + _OLS_FIELDS)
-    fitted = map_gram_groups(gram, k, solve, schema, out_cols, allowed=allowed)
-    return fitted.withColumn("p_value", t_tail("t", "dof", tails=tails))
-
+            s2 = rss / dof
+            sei = np.sqrt(s2 / (n * kk)) if se == "pooled" else np.sqrt(s2 * P[i, i] / n)
+            out.append((f, float(b[i]), float(b[i] / sei) if sei > 0 else float(np.copysign(np.inf, b[i])), dof, "ok"))
+        return out + [(f, None, None, dof, "constant") for f in feats if f not in fitted]
 
-def pack_gram(gram: DataFrame, keys, allowed: DataFrame | None = None) -> DataFrame:
-    """One row per group: ``(keys, n, entries array<struct<f1,f2,gram>>, allowed)``; ``allowed`` is
-    NULL without a restriction and empty for a group that the restriction does not name.
-
-    A group's Gram has ``k(k+1)/2 + k + 1`` entries whatever the data volume, so the packed
-    row is bounded. ``allowed`` (``(keys, feature)`` rows) becomes a per-group feature set."""
-    k = _keys(keys)
-    packed = gram.groupBy(*k).agg(F.first("n").alias("n"),
-                                  F.collect_list(F.struct("f1", "f2", "gram")).alias("entries"))
-    if allowed is not None:
-        al = allowed.groupBy(*k).agg(F.collect_set("feature").alias("allowed"))
-        joined = join_groups(packed, al, k, "left")
-        return joined.withColumn("allowed", F.coalesce("allowed", F.array().cast("array<string>")))
-    return packed.withColumn("allowed", F.lit(None).cast("array<string>"))
-
-
-def map_gram_groups(gram: DataFrame, keys, fn, schema: T.StructType, out_cols: list[str],
-                    allowed: DataFrame | None = None) -> DataFrame:
-    """Run ``fn(n, {(f1, f2): gram}, allowed_set_or_None) -> [tuple(out_cols)]`` for every group
-    on its packed Gram row; many groups share one Arrow batch (``mapInPandas``), so there is no
-    per-group Python call overhead and no shuffle beyond the packing aggregate."""
-    k = _keys(keys)
-    packed = pack_gram(gram, k, allowed)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for rec in pdf.to_dict("records"):
-                g = {}
-                for e in rec["entries"]:
-                    v = e["gram"]
-                    g[(e["f1"], e["f2"])] = None if v is None or v != v else float(v)
-                allow = rec["allowed"]
-                allow = None if allow is None or (isinstance(allow, float) and allow != allow) \
-                    else set(allow)
-                for out in fn(int(rec["n"]), g, allow):
-                    rows.append([rec[c] for c in k] + list(out))
-            res = pd.DataFrame(rows, columns=[*k, *out_cols])
-            for f in schema.fields:
-                if isinstance(f.dataType, (T.LongType, T.IntegerType)) and f.name not in k:
-                    res[f.name] = res[f.name].astype("Int64")
-                elif isinstance(f.dataType, T.DoubleType):
-                    res[f.name] = res[f.name].astype("float64")
-            yield res
-
-    return packed.mapInPandas(run, schema)
+    fitted = map_moment_groups(moments, keys, solve, _OLS_FIELDS, allowed=allowed)
+    return fitted.withColumn("p_value", t_tail("t", "dof", tails=tails))

@@ -21,6 +21,7 @@ from fipsight.functions import (composite_id, day_of_year0, fips_from_float_text
 from fipsight.functions.casts import try_typed
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.lookup import fips_lookup
+from fipsight.operators.moments import pattern_moments
 from fipsight.operators.project import (exclude_label, feature_prep, min_length, numeric_where,
                                         select_keep)
 from fipsight.operators.profile import (feature_histogram, frequency_screen, keep_selected,
@@ -749,7 +750,46 @@ def q_group_ols_gram(spark, d):
 
 @query("group_ols")
 def q_group_ols(spark, d):
-    return stats.ols(line_gram(spark, d), OLS_KEYS, OLS_FEATURES, OLS_TARGET)
+    moments = pattern_moments(table(spark, d, "lineitem"), OLS_KEYS, OLS_FEATURES, OLS_TARGET)
+    return stats.ols(moments, OLS_KEYS, OLS_FEATURES, OLS_TARGET)
+
+
+#: Complete cases of two columns that drift: one is there in a part of the year, one for some lines.
+#: Standardised betas, one standard error sqrt(rss / dof / 2n), and the one-sided tail of Student's t by its
+#: finite sums for whole degrees of freedom (odd and even).
+SQL_OLS_MISSING = f"""
+WITH drift AS (SELECT l_returnflag, l_linestatus, CASE WHEN month(l_shipdate) <= 8 THEN l_discount END AS a,
+                      CASE WHEN l_linenumber <> 3 THEN l_tax END AS b,
+                      CASE WHEN l_suppkey % 7 <> 0 THEN l_extendedprice END AS y FROM lineitem),
+m AS (SELECT l_returnflag, l_linestatus, count(*) AS n, corr(a, y) AS ay, corr(b, y) AS by_, corr(a, b) AS ab
+      FROM drift WHERE a IS NOT NULL AND b IS NOT NULL AND y IS NOT NULL GROUP BY ALL),
+f AS (SELECT l_returnflag, l_linestatus, n, n - 3 AS dof,
+             unnest([(ay - ab * by_) / (1 - ab * ab), (by_ - ab * ay) / (1 - ab * ab)]) AS beta,
+             unnest(['early', 'no_third']) AS feature,
+             1 - (ay * ay + by_ * by_ - 2 * ab * ay * by_) / (1 - ab * ab) AS rest FROM m),
+t AS (SELECT *, beta / sqrt(rest / dof / 2) AS t FROM f),
+angle AS (SELECT *, atan(abs(t) / sqrt(dof)) AS a FROM t),
+tail AS (SELECT *, CASE WHEN dof % 2 = 0
+    THEN sin(a) * (1 + list_sum(list_append(list_transform(range(1, dof // 2),
+           lambda j: exp(lgamma(j + 0.5) - lgamma(j + 1) + 2 * j * ln(cos(a))) / sqrt(pi())), 0)))
+    ELSE 2 / pi() * (a + sin(a) * (cos(a) + list_sum(list_append(list_transform(range(1, (dof - 1) // 2),
+           lambda j: exp(lgamma(j + 1) - lgamma(j + 1.5) + (2 * j + 1) * ln(cos(a))) * sqrt(pi()) / 2), 0)))) END AS inside
+    FROM angle)
+SELECT l_returnflag, l_linestatus, feature, {R('beta', 6)} AS beta, {R('t', 4)} AS t, dof, 'ok' AS status,
+       {R('(1 - inside) / 2', 6)} AS p_value FROM tail"""
+
+
+@query("group_ols_missing", SQL_OLS_MISSING)
+def q_group_ols_missing(spark, d):
+    """Regression on columns that drift out of some rows, with its p-values."""
+    li = table(spark, d, "lineitem").select(
+        *OLS_KEYS, F.when(F.month("l_shipdate") <= 8, F.col("l_discount")).alias("early"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_tax")).alias("no_third"),
+        F.when(F.col("l_suppkey") % 7 != 0, F.col(OLS_TARGET)).alias("price"))
+    feats = ["early", "no_third"]
+    fit = stats.ols(pattern_moments(li, OLS_KEYS, feats, "price"), OLS_KEYS, feats, "price")
+    return fit.select(*OLS_KEYS, "feature", rnd("beta", 6).alias("beta"), rnd("t", 4).alias("t"), "dof", "status",
+                      rnd("p_value", 6).alias("p_value"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -818,8 +858,8 @@ def q_select_features(spark, d):
                   F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
                    .otherwise(3).alias("flag_code"))
     screen = frequency_screen(feature_histogram(w, "l_suppkey", SELECT_FEATURES), "l_suppkey")
-    gram = stats.gram_table(w, "l_suppkey", SELECT_FEATURES, "l_extendedprice")
-    return select_features(gram, "l_suppkey", SELECT_FEATURES, "l_extendedprice", k=3,
+    moments = pattern_moments(w, "l_suppkey", SELECT_FEATURES, "l_extendedprice")
+    return select_features(moments, "l_suppkey", SELECT_FEATURES, "l_extendedprice", k=3,
                            allowed=screen)
 
 
@@ -888,8 +928,8 @@ f AS (SELECT l_returnflag, l_linestatus, 'l_quantity' AS feature, {R('r', 6)} AS
 
 def _ols_one(spark, d, allowed=None):
     li = table(spark, d, "lineitem")
-    gram = stats.gram_table(li, OLS_KEYS, ["l_quantity"], OLS_TARGET)
-    fit = stats.ols(gram, OLS_KEYS, ["l_quantity"], OLS_TARGET, allowed=allowed)
+    moments = pattern_moments(li, OLS_KEYS, ["l_quantity"], OLS_TARGET)
+    fit = stats.ols(moments, OLS_KEYS, ["l_quantity"], OLS_TARGET, allowed=allowed)
     return fit.select(*OLS_KEYS, "feature", rnd("beta", 6).alias("beta"), rnd("t", 3).alias("t"), "dof",
                       "status")
 
@@ -932,7 +972,7 @@ FROM p""")
 def q_select_two_features(spark, d):
     from fipsight.operators.select import select_features
     li, feats = table(spark, d, "lineitem"), OLS_FEATURES
-    sel = select_features(stats.gram_table(li, "l_suppkey", feats, OLS_TARGET), "l_suppkey", feats, OLS_TARGET, k=2)
+    sel = select_features(pattern_moments(li, "l_suppkey", feats, OLS_TARGET), "l_suppkey", feats, OLS_TARGET, k=2)
     return sel.select("l_suppkey", "n", "status", F.array_join("features", ",").alias("chosen"), rnd("r2", 6).alias("r2"))
 
 

@@ -27,6 +27,7 @@ from fipsight.operators.forecast import fit_ar, predict_ar
 from fipsight.operators.profile import (feature_histogram, frequency_screen,
                                         selected_histograms)
 from fipsight.operators.project import exclude_label, min_length
+from fipsight.operators.moments import pattern_moments
 from fipsight.operators.select import select_features, select_features_knn
 from fipsight.sources.files import read_csv, with_path_token
 
@@ -119,7 +120,7 @@ def accident_severity(persons: DataFrame, accidents: DataFrame, features: Sequen
                       tails: int = 1, criterion: str = "r2", n_neighbors: int = 2,
                       keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> AccidentResult:
     """Chain 2. ``features`` are numeric accident columns; the eight person counts are added
-    to them. Selection uses the R² criterion on Gram tables, or with ``criterion='knn'`` the
+    to them. Selection uses the R² criterion on complete cases, or with ``criterion='knn'`` the
     cross-validated k-NN rule; histograms and the regression use that selection's features of each
     county only. Text that is no number is missing. ``keep(frame, name)`` may write a stage's table
     and read it back, so that later stages do not compute it again."""
@@ -136,15 +137,15 @@ def accident_severity(persons: DataFrame, accidents: DataFrame, features: Sequen
                               *[F.col(f).try_cast("double").alias(f) for f in feats]), "features")
     hist = keep(feature_histogram(numeric, county, feats), "all_histograms")
     screen = frequency_screen(hist, county)
-    gram = stats.gram_table(numeric, county, feats, target)
+    moments = keep(pattern_moments(numeric, county, feats, target), "moments")
     if criterion == "knn":
         sel = select_features_knn(numeric, county, accident_id, target, feats, k=k,
                                   n_neighbors=n_neighbors, allowed=screen)
     else:
-        sel = select_features(gram, county, feats, target, k=k, allowed=screen)
+        sel = select_features(moments, county, feats, target, k=k, allowed=screen)
     sel = keep(sel, "selection")
     chosen = sel.select(county, F.explode("features").alias("feature"))
-    fit = stats.ols(gram, county, feats, target, tails=tails, allowed=chosen)
+    fit = stats.ols(moments, county, feats, target, tails=tails, allowed=chosen)
     hists = selected_histograms(sel, hist, county)
     return AccidentResult(counts, acc, screen, sel, hists, fit)
 

@@ -4,6 +4,7 @@ groups of their own, 9 vs 10 periods around the correlation guard."""
 from pyspark.sql import functions as F
 
 from fipsight.operators import rollup, series, stats
+from fipsight.operators.moments import pattern_moments
 from fipsight.operators.select import knn_cv_accuracy, select_features
 
 
@@ -12,7 +13,7 @@ def test_empty_inputs(spark):
     assert rollup.daily_mean(e, "fips", "dt", "aqi").count() == 0
     p = spark.createDataFrame([], "fips string, year int, x double, y double")
     assert stats.group_correlation(p, "fips", "x", "y").count() == 0
-    g = stats.gram_table(p, "fips", ["x"], "y")
+    g = pattern_moments(p, "fips", ["x"], "y")
     assert g.count() == 0 and stats.ols(g, "fips", ["x"], "y").count() == 0
     assert select_features(g, "fips", ["x"], "y", k=1).count() == 0
     w = series.sliding_windows(spark.createDataFrame([], "k string, t int, v double"), "k", "t", "v")

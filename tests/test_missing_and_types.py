@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fipsight.functions import composite_id, response_minutes
 from fipsight.operators.lookup import fips_lookup
+from fipsight.operators.moments import pattern_moments
 from fipsight.operators.profile import feature_histogram, value_histogram
 from fipsight.operators.rollup import join_groups, paired_series, person_rollup
 from fipsight.operators.select import (incomplete_points, knn_cv_accuracy, select_features,
@@ -32,7 +33,7 @@ def _reg(spark, groups, n=40, seed=1):
 
 def test_group_outside_the_selection_is_not_fitted(spark):
     df = _reg(spark, ["p", "q"])
-    gram = gram_table(df, "g", ["a", "b", "c"], "y")
+    gram = pattern_moments(df, "g", ["a", "b", "c"], "y")
     allowed = spark.createDataFrame([("p", "a"), ("p", "b")], "g string, feature string")
     rows = {(r.g, r.feature): r.status for r in ols(gram, "g", ["a", "b", "c"], "y", allowed=allowed).collect()}
     assert rows == {("p", "a"): "ok", ("p", "b"): "ok", ("q", None): "not_selected"}
@@ -93,21 +94,22 @@ def test_drifting_nan_and_far_columns_do_not_empty_a_regression(spark):
     assert all(n == 60 for _, n in g.values())
     far = [r[3] for r in rows]
     assert g["far", "y"][0] == pytest.approx(60 * np.corrcoef(np.array(far) - 2e7, t)[0, 1], rel=1e-6)
-    assert {r.status for r in ols(gram, "g", feats, "y").collect()} == {"ok"}
+    assert {r.status for r in ols(pattern_moments(df, "g", feats, "y"), "g", feats, "y").collect()} == {"ok"}
 
 
 def test_perfect_fit_has_p_zero(spark):
     df = spark.createDataFrame([("g", float(i), float(2 * i)) for i in range(20)], "g string, x double, y double")
-    r = ols(gram_table(df, "g", ["x"], "y"), "g", ["x"], "y").first()
+    r = ols(pattern_moments(df, "g", ["x"], "y"), "g", ["x"], "y").first()
     assert r.status == "ok" and r.beta == pytest.approx(1.0) and r.p_value == pytest.approx(0.0, abs=1e-12)
 
 
-def test_gram_plan_of_sixty_features_builds_quickly(spark):
+@pytest.mark.parametrize("build", [gram_table, pattern_moments])
+def test_gram_plan_of_sixty_features_builds_quickly(spark, build):
     feats = [f"f{i}" for i in range(60)]
     df = spark.createDataFrame([], ", ".join(["g string", "y double", *[f"{f} double" for f in feats]]))
-    gram_table(df, "g", feats[:3], "y")
+    build(df, "g", feats[:3], "y")
     t = time.perf_counter()
-    gram_table(df, "g", feats, "y")
+    build(df, "g", feats, "y")
     assert time.perf_counter() - t < 10  # under 3 s on an idle machine
 
 

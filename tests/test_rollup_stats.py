@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fipsight.functions import fips_from_float_text, fips_from_parts, safe_double
 from fipsight.operators import rollup, stats
+from fipsight.operators.moments import pattern_moments
 from fipsight.operators.project import exclude_label, min_length
 
 
@@ -126,7 +127,7 @@ def test_ols_matches_numpy(spark):
     rows += [("d", float(i), 1.0, float(i % 3), float(i % 5), float(i * 2 % 7)) for i in range(40)]
     cols = ["f1", "f2", "f3", "f4"]
     df = spark.createDataFrame(rows, "g string, f1 double, f2 double, f3 double, f4 double, y double")
-    res = stats.ols(stats.gram_table(df, "g", cols, "y"), "g", cols, "y").collect()
+    res = stats.ols(pattern_moments(df, "g", cols, "y"), "g", cols, "y").collect()
     got = {r.feature: r for r in res if r.g == "c"}
     Xn = (X - X.mean(0)) / X.std(0)
     yn = (y - y.mean()) / y.std()
@@ -150,7 +151,7 @@ def test_ols_per_coefficient_se_two_sided(spark):
     y = 0.7 * X[:, 0] + rng.normal(size=n)
     df = spark.createDataFrame([("g", float(a), float(b), float(c)) for (a, b), c in zip(X, y)],
                                "k string, a double, b double, y double")
-    res = {r.feature: r for r in stats.ols(stats.gram_table(df, "k", ["a", "b"], "y"), "k",
+    res = {r.feature: r for r in stats.ols(pattern_moments(df, "k", ["a", "b"], "y"), "k",
                                            ["a", "b"], "y", se="coef", tails=2).collect()}
     Xn = (X - X.mean(0)) / X.std(0)
     yn = (y - y.mean()) / y.std()
