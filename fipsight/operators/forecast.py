@@ -10,12 +10,12 @@ JVM-side expression over the coefficient arrays.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fipsight.operators.rollup import _keys
+from fipsight.operators.moments import map_groups
+from fipsight.operators.rollup import _keys, join_groups
 
 
 def fit_ar(windows: DataFrame, keys, inputs: str = "inputs", targets: str = "targets",
@@ -33,27 +33,20 @@ def fit_ar(windows: DataFrame, keys, inputs: str = "inputs", targets: str = "tar
         exprs += [f"sum(_x[{i}] * _x[{j}]) AS xx_{i}_{j}" for j in range(i, p)]
         exprs += [f"sum(_x[{i}] * _y[{h}]) AS xy_{i}_{h}" for h in range(horizon)]
     moments = base.groupBy(*k).agg(*[F.expr(e) for e in exprs])
-    key_fields = [windows.schema[c] for c in k]
-    schema = T.StructType(key_fields + [
-        T.StructField("n_windows", T.LongType()),
-        T.StructField("coef", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    fields = [T.StructField("n_windows", T.LongType()), T.StructField("coef", T.ArrayType(T.ArrayType(T.DoubleType())))]
 
-    def solve(batches):
-        for pdf in batches:
-            rows = []
-            for d in pdf.to_dict("records"):
-                xx = np.zeros((p, p))
-                for i in range(p):
-                    for j in range(i, p):
-                        xx[i, j] = xx[j, i] = d[f"xx_{i}_{j}"]
-                xy = np.array([[d[f"xy_{i}_{h}"] for h in range(horizon)] for i in range(p)])
-                if ridge:
-                    xx = xx + ridge * np.diag([0.0] + [1.0] * n_inputs)
-                coef = np.linalg.pinv(xx) @ xy          # p x horizon
-                rows.append([d[c] for c in k] + [int(d["_n"]), coef.T.tolist()])
-            yield pd.DataFrame(rows, columns=[*k, "n_windows", "coef"])
+    def solve(row: dict) -> list[tuple]:
+        xx = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                xx[i, j] = xx[j, i] = row[f"xx_{i}_{j}"]
+        xy = np.array([[row[f"xy_{i}_{h}"] for h in range(horizon)] for i in range(p)], float)
+        if ridge:
+            xx = xx + ridge * np.diag([0.0] + [1.0] * n_inputs)
+        coef = np.linalg.pinv(xx) @ xy          # p x horizon
+        return [(row["_n"], coef.T.tolist())]
 
-    return moments.mapInPandas(solve, schema)
+    return map_groups(moments, k, solve, fields)
 
 
 def predict_ar(windows: DataFrame, coef: DataFrame, keys, inputs: str = "inputs",
@@ -66,7 +59,7 @@ def predict_ar(windows: DataFrame, coef: DataFrame, keys, inputs: str = "inputs"
     windows) are kept with a NULL prediction."""
     k = _keys(keys)
     c = coef.select(*k, "coef")
-    j = windows.join(c, on=k, how="left")
+    j = join_groups(windows, c, k, "left")
     x = F.col(inputs).cast("array<double>")
 
     def step(cv):

@@ -71,11 +71,11 @@ def frequency_screen(hist: DataFrame, keys, var: str = "feature", share: float =
 
 
 def keep_selected(long: DataFrame, selection: DataFrame, keys, var: str = "feature") -> DataFrame:
-    """Rows of a long feature table whose (group, feature) is in the selection (left semi join;
-    the selection has one row per group and chosen feature and is broadcast by the planner
-    when small)."""
+    """Rows of a long feature table whose (group, feature) is in the selection (left semi join, a NULL
+    group matches a NULL group; the selection has one row per group and chosen feature and is
+    broadcast by the planner when small)."""
     k = _keys(keys)
-    return long.join(selection.select(*k, var).distinct(), on=[*k, var], how="left_semi")
+    return join_groups(long, selection.select(*k, var).distinct(), [*k, var], "left_semi")
 
 
 def selected_histograms(selection: DataFrame, hist: DataFrame, keys, var: str = "feature",
@@ -89,5 +89,5 @@ def selected_histograms(selection: DataFrame, hist: DataFrame, keys, var: str =
     features (bounded number of distinct values)."""
     k = _keys(keys)
     chosen = selection.select(*k, F.explode(features_col).alias(var))
-    rows = hist.join(chosen, on=[*k, var], how="left_semi")
+    rows = join_groups(hist, chosen, [*k, var], "left_semi")
     return histogram_map(rows, k, var) if as_map else rows

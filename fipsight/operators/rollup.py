@@ -16,8 +16,11 @@ def _keys(keys) -> list[str]:
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
-    """Equi-join on group keys in which a NULL key matches a NULL key; the keys come once."""
+    """Equi-join on group keys in which a NULL key matches a NULL key; the keys come once. Without keys it
+    would be a cross join, so that is refused."""
     k = _keys(keys)
+    if not k:
+        raise ValueError("a group join needs at least one key")
     named = right.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(k)],
                          *[c for c in right.columns if c not in k])
     cond = F.lit(True)
@@ -106,7 +109,7 @@ def paired_series(exposure: DataFrame, outcome: DataFrame, keys, period: str,
     k = _keys(keys)
     entry = F.when(F.col(period).isNotNull(), F.struct(F.col(period), F.col(y)))
     folded = outcome.groupBy(*k).agg(F.map_from_entries(F.collect_list(entry)).alias("_y"))
-    pairs = exposure.join(folded, on=k, how="inner")
+    pairs = join_groups(exposure, folded, k)
     return pairs.withColumn(y, F.try_element_at("_y", F.col(period))).drop("_y")
 
 
