@@ -3,11 +3,11 @@
 Scale notes
 * Ranks inside a group (for stratified folds) come from a range-partitioned sort plus
   per-partition offsets, so a hot group is spread over many tasks instead of one window task.
-* Exact k-nearest neighbours are found tile by tile: each group's points are hashed into blocks
-  of about ``block_rows`` points; every (query block, train block) tile is one bounded pandas
-  task (at most ``2 * block_rows`` rows) that emits only the ``k`` best candidates per query
-  point; the candidates of all tiles are merged per query point. No pair list is materialised
-  and no group is gathered whole.
+* Exact k-nearest neighbours are found tile by tile: a group's points are split into cells around
+  pivots, distance bounds say which points may be neighbours of a cell's queries (``cells``), and each
+  tile of queries and such points (about ``2 * block_rows`` rows) is one pandas task that emits only
+  the ``k`` best candidates per query point; the candidates of all tiles are merged per query point.
+  No pair list is materialised and no group is gathered whole.
 * Feature selection with the ``'r2'`` criterion works on the group's moments only (one row for each
   pattern of present columns): no pass over the data after the one moment aggregate.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fipsight.operators.cells import neighbour_tiles, sq_dist
 from fipsight.operators.moments import Moments, correlations, map_moment_groups
 from fipsight.operators.rollup import _keys, join_groups
 from fipsight.session import ensure_checkpoint_dir
@@ -110,16 +111,6 @@ def _nearest_from_distances(D: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids:
     return r[keep], c[keep], d[keep]
 
 
-def _sq_dist(Qc: np.ndarray, Tm: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
-    """Squared Euclidean distances, dimensions added in column order onto ``base`` (zeros when
-    omitted), so a prefix's matrix extended by one column equals the full computation."""
-    D = np.zeros((len(Qc), len(Tm))) if base is None else base.copy()
-    for j in range(Qc.shape[1]):
-        diff = Qc[:, j][:, None] - Tm[:, j][None, :]
-        D += diff * diff
-    return D
-
-
 def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
           k: int, chunk: int = 4096, max_elems: int = 1 << 22):
     """Exact k nearest rows of ``Tm`` for every row of ``Q`` among rows of another fold;
@@ -128,7 +119,7 @@ def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: n
     step = max(1, min(chunk, max_elems // max(1, Tm.shape[0])))
     rs, cs, ds = [], [], []
     for s in range(0, len(Q), step):
-        r, c, d = _nearest_from_distances(_sq_dist(Q[s:s + step], Tm), qf[s:s + step], tf,
+        r, c, d = _nearest_from_distances(sq_dist(Q[s:s + step], Tm), qf[s:s + step], tf,
                                           tids, k, inplace=True)
         rs.append(r + s)
         cs.append(c)
@@ -159,19 +150,10 @@ def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
 
     ``points``: ``(group..., id long, label long, fold int, vec array<double>)``. Distance is
     squared Euclidean; ties are broken by the smaller id. Returns one row per (query, neighbour).
+    Distance bounds leave out what cannot be near (``cells``).
     """
     g = _keys(group)
-    sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows)))
-                             .cast("int"))
-    p = join_groups(points, sizes.select(*g, "_nb"), g)
-    p = p.withColumn("_blk", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("_nb") - 1)
-    as_query = p.select(*g, F.col("_blk").alias("_qb"), F.explode(others).alias("_tb"),
-                        F.lit(0).alias("_role"), "id", "label", "fold", "vec")
-    as_train = p.select(*g, F.explode(others).alias("_qb"), F.col("_blk").alias("_tb"),
-                        F.lit(1).alias("_role"), "id", "label", "fold", "vec")
-    tiles = as_query.unionByName(as_train)
+    tiles = neighbour_tiles(points, g, k, block_rows)
     key_fields = [points.schema[c] for c in g]
     schema = T.StructType(key_fields + _CAND_FIELDS)
 
@@ -193,7 +175,7 @@ def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
             res.insert(0, c, pdf[c].iloc[0])
         return res[cols]
 
-    cand = tiles.groupBy(*g, "_qb", "_tb").applyInPandas(tile, schema)
+    cand = tiles.groupBy(*g, "qcell", "_qb", "_tb").applyInPandas(tile, schema)
     w = Window.partitionBy(*g, "qid").orderBy("dist", "tid")
     return cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
@@ -404,9 +386,9 @@ def _group_scorer(X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.n
         head = tuple(idx[:-1])
         if head not in prefix:
             prefix.clear()
-            prefix[head] = _sq_dist(X[:, list(head)], X[:, list(head)])
+            prefix[head] = sq_dist(X[:, list(head)], X[:, list(head)])
         last = X[:, list(idx[-1:])]
-        r, c, _ = _nearest_from_distances(_sq_dist(last, last, base=prefix[head]), fold, fold, ids,
+        r, c, _ = _nearest_from_distances(sq_dist(last, last, base=prefix[head]), fold, fold, ids,
                                           n_neighbors, same_fold=same_fold, inplace=True)
         pred, voted = _majority(r, labels[c], len(X))
         right = pred == labels

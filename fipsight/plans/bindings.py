@@ -801,7 +801,8 @@ KNN_FOLDS = 5
 EMB_DIMS = 64
 
 
-def _sql_knn() -> str:
+def _sql_knn(points: str, distance: str) -> str:
+    """``points``: grp, id, label, v; ``distance``: of q.v and t.v."""
     f = KNN_FOLDS
 
     def upto(m, g):
@@ -813,8 +814,7 @@ def _sql_knn() -> str:
         terms.append(f"CASE WHEN {' + '.join(cum)} <= rk THEN 1 ELSE 0 END")
     fold = " + ".join(terms)
     return f"""
-WITH p AS (SELECT vec_id // 500 AS grp, vec_id AS id, cast(label AS bigint) AS label,
-                  cast(embedding AS double[]) AS v FROM embeddings),
+WITH p AS ({points}),
 c AS (SELECT grp, label, count(*) AS n_k FROM p GROUP BY 1, 2),
 s AS (SELECT grp, label, n_k, coalesce(sum(n_k) OVER (PARTITION BY grp ORDER BY label
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s_k FROM c),
@@ -822,8 +822,7 @@ r AS (SELECT p.*, row_number() OVER (PARTITION BY p.grp, p.label ORDER BY p.id)
              s.n_k, s.s_k FROM p JOIN s USING (grp, label)),
 f AS (SELECT grp, id, label, v, cast({fold} AS integer) AS fold FROM r),
 pairs AS (SELECT q.grp, q.id AS qid, q.label AS ql, q.fold AS qf, t.id AS tid, t.label AS tl,
-                 list_sum(list_transform(range(1, {EMB_DIMS + 1}),
-                          lambda i: (q.v[i] - t.v[i]) * (q.v[i] - t.v[i]))) AS d
+                 {distance} AS d
           FROM f q JOIN f t ON q.grp = t.grp AND q.fold <> t.fold),
 nn AS (SELECT * FROM pairs
        QUALIFY row_number() OVER (PARTITION BY grp, qid ORDER BY d, tid) <= {KNN_K}),
@@ -836,13 +835,37 @@ SELECT grp, cast(qf AS integer) AS fold, count(*) AS n_test,
 FROM pred GROUP BY 1, 2"""
 
 
-@query("knn_cv_accuracy", _sql_knn())
+SQL_EMBEDDED = ("SELECT vec_id // 500 AS grp, vec_id AS id, cast(label AS bigint) AS label, "
+                "cast(embedding AS double[]) AS v FROM embeddings")
+
+
+@query("knn_cv_accuracy", _sql_knn(SQL_EMBEDDED, f"""list_sum(list_transform(range(1, {EMB_DIMS + 1}),
+                          lambda i: (q.v[i] - t.v[i]) * (q.v[i] - t.v[i])))"""))
 def q_knn_cv_accuracy(spark, d):
     from fipsight.operators.select import knn_cv_accuracy
     e = table(spark, d, "embeddings").withColumn("grp", F.floor(F.col("vec_id") / 500))  # stand-in counties
     return knn_cv_accuracy(e, "grp", "vec_id", "label", "embedding", k=KNN_K, folds=KNN_FOLDS)
 
 
+#: Whole numbers, so that distances and their ties are exact.
+SQL_SOURCES = ("SELECT source AS grp, doc_id AS id, lang AS label, [n_chars, strlen(text) - n_chars, "
+               "length(text) - length(replace(text, ' ', ''))] AS v FROM documents")
+
+
+@query("knn_cv_skewed", _sql_knn(SQL_SOURCES, """cast((q.v[1] - t.v[1]) * (q.v[1] - t.v[1])
+    + (q.v[2] - t.v[2]) * (q.v[2] - t.v[2]) + (q.v[3] - t.v[3]) * (q.v[3] - t.v[3]) AS double)"""))
+def q_knn_cv_skewed(spark, d):
+    """Groups of very uneven size (one source holds a third of the rows), the largest beyond one block:
+    the language of a text from three of its lengths."""
+    from fipsight.operators.select import knn_cv_accuracy
+    text = table(spark, d, "documents").select(
+        F.col("source").alias("grp"), "doc_id", "lang", "n_chars",
+        (F.octet_length("text") - F.col("n_chars")).alias("wide"),
+        (F.char_length("text") - F.char_length(F.replace("text", F.lit(" "), F.lit("")))).alias("blanks"))
+    return knn_cv_accuracy(text, "grp", "doc_id", "lang", ["n_chars", "wide", "blanks"], k=KNN_K, folds=KNN_FOLDS,
+                           block_rows=128)
+
+
 SELECT_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "ship_month",
                    "ship_dow", "flag_code"]
 
