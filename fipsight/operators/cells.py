@@ -49,6 +49,36 @@ def sq_dist(Qc: np.ndarray, Tm: np.ndarray, base: np.ndarray | None = None) -> n
     return D
 
 
+def nearest_from_distances(D: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
+                            k: int, same_fold: np.ndarray | None = None,
+                            inplace: bool = False):
+    """Given squared distances ``D`` (query rows x train rows), the k nearest train rows of
+    another fold per query row, ties to the smaller id. Returns (query row, train row, dist)
+    ordered by query row, then rank. ``same_fold`` may pass the precomputed fold mask;
+    ``inplace=True`` lets the function overwrite ``D`` (a scratch matrix) instead of copying."""
+    mask = qf[:, None] == tf[None, :] if same_fold is None else same_fold
+    if inplace:
+        np.putmask(D, mask, np.inf)
+    else:
+        D = np.where(mask, np.inf, D)
+    kk = min(k, D.shape[1])
+    if kk == 0 or D.shape[0] == 0:
+        e = np.zeros(0, int)
+        return e, e, np.zeros(0)
+    kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
+    r, c = np.nonzero(D <= kth[:, None])           # k best plus distance ties
+    d = D[r, c]
+    fin = np.isfinite(d)
+    r, c, d = r[fin], c[fin], d[fin]
+    o = np.lexsort((tids[c], d, r))                # per row: by distance, then id
+    r, c, d = r[o], c[o], d[o]
+    pos = np.arange(len(r))
+    first = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
+    rank = pos - np.maximum.accumulate(np.where(first, pos, 0))
+    keep = rank < k
+    return r[keep], c[keep], d[keep]
+
+
 def _matrix(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 

@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fipsight.operators.cells import neighbour_tiles, sq_dist
+from fipsight.operators.cells import nearest_from_distances, neighbour_tiles, sq_dist
 from fipsight.operators.moments import Moments, correlations, map_moment_groups
 from fipsight.operators.rollup import _keys, join_groups
+from fipsight.operators.rounds import mean_score, search_large
 from fipsight.session import ensure_checkpoint_dir
 
 
@@ -81,36 +82,6 @@ def stratified_folds(df: DataFrame, group, label: str, id_col: str, folds: int =
     return j.withColumn(out, fold.cast("int")).drop("_r", "_nk", "_sk")
 
 
-def _nearest_from_distances(D: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
-                            k: int, same_fold: np.ndarray | None = None,
-                            inplace: bool = False):
-    """Given squared distances ``D`` (query rows x train rows), the k nearest train rows of
-    another fold per query row, ties to the smaller id. Returns (query row, train row, dist)
-    ordered by query row, then rank. ``same_fold`` may pass the precomputed fold mask;
-    ``inplace=True`` lets the function overwrite ``D`` (a scratch matrix) instead of copying."""
-    mask = qf[:, None] == tf[None, :] if same_fold is None else same_fold
-    if inplace:
-        np.putmask(D, mask, np.inf)
-    else:
-        D = np.where(mask, np.inf, D)
-    kk = min(k, D.shape[1])
-    if kk == 0 or D.shape[0] == 0:
-        e = np.zeros(0, int)
-        return e, e, np.zeros(0)
-    kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
-    r, c = np.nonzero(D <= kth[:, None])           # k best plus distance ties
-    d = D[r, c]
-    fin = np.isfinite(d)
-    r, c, d = r[fin], c[fin], d[fin]
-    o = np.lexsort((tids[c], d, r))                # per row: by distance, then id
-    r, c, d = r[o], c[o], d[o]
-    pos = np.arange(len(r))
-    first = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
-    rank = pos - np.maximum.accumulate(np.where(first, pos, 0))
-    keep = rank < k
-    return r[keep], c[keep], d[keep]
-
-
 def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: np.ndarray,
           k: int, chunk: int = 4096, max_elems: int = 1 << 22):
     """Exact k nearest rows of ``Tm`` for every row of ``Q`` among rows of another fold;
@@ -119,7 +90,7 @@ def _topk(Q: np.ndarray, Tm: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids: n
     step = max(1, min(chunk, max_elems // max(1, Tm.shape[0])))
     rs, cs, ds = [], [], []
     for s in range(0, len(Q), step):
-        r, c, d = _nearest_from_distances(sq_dist(Q[s:s + step], Tm), qf[s:s + step], tf,
+        r, c, d = nearest_from_distances(sq_dist(Q[s:s + step], Tm), qf[s:s + step], tf,
                                           tids, k, inplace=True)
         rs.append(r + s)
         cs.append(c)
@@ -241,8 +212,9 @@ def _points(df: DataFrame, group: list[str], id_col: str, label: str, vec: Colum
     p = p.where(F.col("id").isNotNull() & F.col("label").isNotNull() & _complete(F.col(name)))
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
     if not isinstance(p.schema["label"].dataType, whole):
-        # the distinct labels of a classifier are few; their rank replaces them
-        codes = p.select("label").distinct().withColumn("_code", F.rank().over(Window.orderBy("label")))
+        # a label's place among the distinct labels replaces it, counted over sorted partitions
+        codes = p.select("label").distinct().withColumn("_one", F.lit(0))
+        codes = distributed_row_number(codes, ["_one"], ["label"], out="_code").drop("_one")
         p = p.join(codes, "label").drop("label").withColumnRenamed("_code", "label")
     if not isinstance(p.schema["id"].dataType, whole):
         p = distributed_row_number(p, group, ["id"], out="_id").drop("id").withColumnRenamed("_id", "id")
@@ -388,11 +360,11 @@ def _group_scorer(X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.n
             prefix.clear()
             prefix[head] = sq_dist(X[:, list(head)], X[:, list(head)])
         last = X[:, list(idx[-1:])]
-        r, c, _ = _nearest_from_distances(sq_dist(last, last, base=prefix[head]), fold, fold, ids,
+        r, c, _ = nearest_from_distances(sq_dist(last, last, base=prefix[head]), fold, fold, ids,
                                           n_neighbors, same_fold=same_fold, inplace=True)
         pred, voted = _majority(r, labels[c], len(X))
         right = pred == labels
-        return float(np.mean([right[voted & (fold == f)].mean() for f in np.unique(fold[voted])]))
+        return mean_score([float(right[voted & (fold == f)].mean()) for f in np.unique(fold[voted])])
 
     return score
 
@@ -436,26 +408,6 @@ def _select_small(points: DataFrame, groups: DataFrame, group: list[str], k: int
     return rows.select(*group, "id", "label", "fold", "x", "pool").groupBy(*group).applyInPandas(search, schema)
 
 
-def _cv_scores(points: DataFrame, cands: DataFrame, group: list[str], n_neighbors: int,
-               block_rows: int) -> DataFrame:
-    """Mean fold accuracy of every candidate subset of the large groups: ``cands`` rows ``(group,
-    cand, idx)`` with ``idx`` the 0-based feature positions; points replicated per candidate, exact
-    tiled neighbours."""
-    gk = [*group, "cand"]
-    p = join_groups(points, cands.select(*group, "cand", "idx"), group)
-    p = p.select(*group, F.col("cand").cast("int").alias("cand"), "id", "label", "fold",
-                 "_gn", F.transform("idx", lambda i: F.col("x")[i]).alias("vec"))
-    counts = knn_fold_counts(p, gk, k=n_neighbors, block_rows=block_rows, size_col="_gn")
-    per_fold = counts.select(*gk, (F.col("n_correct") / F.col("n_test")).alias("acc"))
-    return per_fold.groupBy(*gk).agg(F.avg("acc").alias("score"))
-
-
-def _best_per_group(scored: DataFrame, group: list[str]) -> DataFrame:
-    """Highest score per group; ties to the candidate listed first (lowest position)."""
-    w = Window.partitionBy(*group).orderBy(F.desc("score"), "cand")
-    return scored.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-
-
 def select_features_knn(df: DataFrame, group, id_col: str, label: str, features: Sequence[str],
                         k: int = 10, n_neighbors: int = 2, folds: int = 5,
                         allowed: DataFrame | None = None, exclude: Sequence[str] = (),
@@ -464,10 +416,8 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     the mean accuracy of a ``n_neighbors``-NN classifier under stratified ``folds``-fold
     cross-validation (features unscaled, ties to the lower feature position).
 
-    Groups of at most ``block_rows`` points are searched whole in one task each. For larger groups
-    the driver loops over *rounds*; every round is one Spark job that scores all groups and all their
-    candidate subsets at once with the exact tiled k-NN (points replicated per candidate); the search
-    state (current subset, best subset per size) is a small DataFrame, checkpointed every round. Both
+    Groups of at most ``block_rows`` points are searched whole in one task each; larger groups go
+    through rounds of exact tiles, one job for all groups and candidates of a round (``rounds``). Both
     follow the same rules. Result ``(group, features, score, n, status)``.
     """
     g = _keys(group)
@@ -478,7 +428,6 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     pts = stratified_folds(pts, g, "label", "id", folds)
     sizes = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     pts = join_groups(pts, sizes.select(*g, F.col("n").alias("_gn")), g).checkpoint(eager=True)
-    big_pts = pts.where(F.col("_gn") > block_rows)
     all_idx = F.array(*[F.lit(i) for i in range(len(names))])
     if allowed is not None:
         pos = spark.createDataFrame([(f, i) for i, f in enumerate(names)],
@@ -493,65 +442,10 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
         "status", F.when(F.col("n") < min_rows, "too_few_rows")
                    .when(F.size("pool") < k, "too_few_features").otherwise("ok"))
     small = _select_small(pts.where(F.col("_gn") <= block_rows), groups, g, k, n_neighbors)
-    state = groups.where(F.col("n") > block_rows).where("status = 'ok'").select(
-        *g, "pool", F.array().cast("array<int>").alias("subset"),
-        F.lit(-1).alias("added")).checkpoint(eager=True)
-    best = spark.createDataFrame([], T.StructType(
-        [sizes.schema[c] for c in g] + [T.StructField("size", T.IntegerType()),
-                                        T.StructField("score", T.DoubleType()),
-                                        T.StructField("subset", T.ArrayType(T.IntegerType()))]))
-
-    def record(best, picked):
-        new = picked.select(*g, F.size("subset").alias("size"), "score",
-                            F.sort_array("subset").alias("subset"))
-        both = best.unionByName(new)
-        w = Window.partitionBy(*g, "size").orderBy(F.desc("score"))
-        return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r") \
-                   .checkpoint(eager=True)
-
-    while True:
-        active = state.where(F.size("subset") < k)
-        if active.isEmpty():
-            break
-        # forward: every unused feature of the pool, one candidate each
-        cands = active.select(*g, "subset", F.explode(F.array_except("pool", "subset"))
-                              .alias("cand"))
-        cands = cands.withColumn("idx", F.concat("subset", F.array("cand")))
-        scored = _cv_scores(big_pts, cands, g, n_neighbors, block_rows)
-        picked = _best_per_group(join_groups(scored, cands, [*g, "cand"]), g) \
-            .select(*g, F.col("idx").alias("subset"), "score", F.col("cand").alias("added")) \
-            .checkpoint(eager=True)
-        best = record(best, picked)
-        state = join_groups(state, picked.select(*g, F.col("subset").alias("_s"), F.col("added").alias("_a")),
-                            g, "left") \
-            .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"),
-                    F.coalesce("_a", "added").alias("added")).checkpoint(eager=True)
-        # floating: drop one feature (never the one just added) while that beats the best
-        # subset of the smaller size found so far
-        while True:
-            big = state.where(F.size("subset") > 2)
-            rem = big.select(*g, "subset", F.explode(F.array_remove("subset", F.col("added")))
-                             .alias("cand"))
-            if rem.isEmpty():
-                break
-            rem = rem.withColumn("idx", F.array_remove("subset", F.col("cand")))
-            scored = _cv_scores(big_pts, rem, g, n_neighbors, block_rows)
-            cand_best = _best_per_group(join_groups(scored, rem, [*g, "cand"]), g)
-            prev = best.select(*g, F.col("size").alias("_sz"), F.col("score").alias("_prev"))
-            better = join_groups(cand_best, prev, g, "left") \
-                .where((F.col("_sz") == F.size("idx")) | F.col("_sz").isNull()) \
-                .groupBy(*g).agg(F.first("idx").alias("idx"), F.first("score").alias("score"),
-                                 F.max("_prev").alias("_prev"))
-            better = better.where(F.col("_prev").isNull() | (F.col("score") > F.col("_prev")))
-            better = better.select(*g, F.col("idx").alias("subset"), "score").checkpoint(eager=True)
-            if better.isEmpty():
-                break
-            best = record(best, better)
-            state = join_groups(state, better.select(*g, F.col("subset").alias("_s")), g, "left") \
-                .select(*g, "pool", F.coalesce("_s", "subset").alias("subset"), "added") \
-                .checkpoint(eager=True)
+    large = search_large(pts.where(F.col("_gn") > block_rows), groups.where(F.col("n") > block_rows).where("status = 'ok'"),
+                         g, k, n_neighbors, block_rows)
     names_arr = F.array(*[F.lit(f) for f in names])
-    chosen = best.where(F.col("size") == k).select(*g, "subset", "score").unionByName(small)
+    chosen = large.unionByName(small)
     final = chosen.select(
         *g, F.transform("subset", lambda i: F.element_at(names_arr, i + 1)).alias("features"),
         "score")

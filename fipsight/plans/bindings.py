@@ -801,7 +801,7 @@ KNN_FOLDS = 5
 EMB_DIMS = 64
 
 
-def _sql_knn(points: str, distance: str) -> str:
+def _sql_knn(points: str, distance: str, k: int = KNN_K) -> str:
     """``points``: grp, id, label, v; ``distance``: of q.v and t.v."""
     f = KNN_FOLDS
 
@@ -825,7 +825,7 @@ pairs AS (SELECT q.grp, q.id AS qid, q.label AS ql, q.fold AS qf, t.id AS tid, t
                  {distance} AS d
           FROM f q JOIN f t ON q.grp = t.grp AND q.fold <> t.fold),
 nn AS (SELECT * FROM pairs
-       QUALIFY row_number() OVER (PARTITION BY grp, qid ORDER BY d, tid) <= {KNN_K}),
+       QUALIFY row_number() OVER (PARTITION BY grp, qid ORDER BY d, tid) <= {k}),
 votes AS (SELECT grp, qid, ql, qf, tl, count(*) AS c FROM nn GROUP BY ALL),
 pred AS (SELECT * FROM votes
          QUALIFY row_number() OVER (PARTITION BY grp, qid ORDER BY c DESC, tl) = 1)
@@ -937,6 +937,31 @@ def q_select_features_knn(spark, d):
                                n_neighbors=2, allowed=screen)
 
 
+#: Each of the two features is a group of its own; the better one is chosen, the first if they are equal.
+SQL_ONE_OF_TWO = _sql_knn(
+    "SELECT c_nationkey * 2 + f AS grp, c_custkey AS id, c_mktsegment AS label, "
+    "[CASE f WHEN 0 THEN c_acctbal ELSE cast(c_custkey AS double) END] AS v FROM customer, range(2) u(f)",
+    "(q.v[1] - t.v[1]) * (q.v[1] - t.v[1])", k=2)
+
+
+@query("select_one_knn", f"""
+WITH folds AS ({SQL_ONE_OF_TWO}),
+scores AS (SELECT grp // 2 AS c_nationkey, grp % 2 AS f, list_sum(list(accuracy ORDER BY fold)) / count(*) AS score
+           FROM folds GROUP BY grp),
+best AS (SELECT c_nationkey, arg_max(f, score - f * 1e-13) AS f, max(score) AS score FROM scores GROUP BY 1),
+sizes AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1)
+SELECT c_nationkey, n, CASE WHEN n < 10 THEN 'too_few_rows' ELSE 'ok' END AS status,
+       CASE WHEN n < 10 THEN '' WHEN f = 0 THEN 'c_acctbal' ELSE 'c_custkey' END AS chosen,
+       CASE WHEN n >= 10 THEN {R('score', 6)} END AS score
+FROM sizes LEFT JOIN best USING (c_nationkey)""")
+def q_select_one_knn(spark, d):
+    """The better of two features by the k-NN rule: customers by nation, their market segment as the class."""
+    from fipsight.operators.select import select_features_knn
+    c = table(spark, d, "customer")
+    sel = select_features_knn(c, "c_nationkey", "c_custkey", "c_mktsegment", ["c_acctbal", "c_custkey"], k=1, n_neighbors=2)
+    return sel.select("c_nationkey", "n", "status", F.array_join("features", ",").alias("chosen"), rnd("score", 6).alias("score"))
+
+
 # ---------------------------------------------------------------------------------------------
 # small bindings of the solver operators that SQL can express in closed form
 # ---------------------------------------------------------------------------------------------
