@@ -20,6 +20,7 @@ from fipsight.functions import (composite_id, day_of_year0, fips_from_float_text
                                 response_minutes, safe_double, year_of_id)
 from fipsight.functions.casts import try_typed
 from fipsight.operators import rollup, series, stats
+from fipsight.operators.frequent import feature_screen
 from fipsight.operators.lookup import fips_lookup
 from fipsight.operators.moments import pattern_moments
 from fipsight.operators.project import (exclude_label, feature_prep, min_length, numeric_where,
@@ -700,6 +701,13 @@ def q_frequency_screen(spark, d):
     return frequency_screen(supplier_histogram(spark, d), "l_suppkey")
 
 
+@query("feature_screen", SQL_HIST + """
+SELECT * FROM screen""")
+def q_feature_screen(spark, d):
+    """The same screen from mergeable summaries of the wide rows."""
+    return feature_screen(profile_wide(spark, d), "l_suppkey", PROFILE_FEATURES)
+
+
 @query("selected_features_semi", SQL_HIST + f""",
 wide AS ({SQL_PROFILE_WIDE.format(ids='l_suppkey, l_orderkey, l_linenumber AS line_no')}),
 lg2 AS (UNPIVOT wide ON l_linenumber, flag_code, discount_pct INTO NAME feature VALUE value)
@@ -880,7 +888,7 @@ def q_select_features(spark, d):
                   F.dayofweek("l_shipdate").alias("ship_dow"),
                   F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
                    .otherwise(3).alias("flag_code"))
-    screen = frequency_screen(feature_histogram(w, "l_suppkey", SELECT_FEATURES), "l_suppkey")
+    screen = feature_screen(w, "l_suppkey", SELECT_FEATURES)
     moments = pattern_moments(w, "l_suppkey", SELECT_FEATURES, "l_extendedprice")
     return select_features(moments, "l_suppkey", SELECT_FEATURES, "l_extendedprice", k=3,
                            allowed=screen)
@@ -932,7 +940,7 @@ def q_select_features_knn(spark, d):
                   F.month("l_shipdate").alias("ship_month"),
                   F.dayofweek("l_shipdate").alias("ship_dow"))
     feats = ["l_linenumber", "l_quantity", "l_discount", "l_tax", "ship_month", "ship_dow"]
-    screen = frequency_screen(feature_histogram(w, "l_suppkey", feats), "l_suppkey")
+    screen = feature_screen(w, "l_suppkey", feats)
     return select_features_knn(w, "l_suppkey", "row_id", "flag_code", feats, k=3,
                                n_neighbors=2, allowed=screen)
 

@@ -24,10 +24,9 @@ from fipsight.functions import fips_from_float_text, fips_from_parts, safe_doubl
 from fipsight.functions.casts import int_code
 from fipsight.operators import rollup, series, stats
 from fipsight.operators.forecast import fit_ar, predict_ar
-from fipsight.operators.profile import (feature_histogram, frequency_screen,
-                                        selected_histograms)
-from fipsight.operators.project import exclude_label, min_length
+from fipsight.operators.frequent import chosen_histograms, feature_screen
 from fipsight.operators.moments import pattern_moments
+from fipsight.operators.project import exclude_label, min_length
 from fipsight.operators.select import select_features, select_features_knn
 from fipsight.sources.files import read_csv, with_path_token
 
@@ -135,8 +134,7 @@ def accident_severity(persons: DataFrame, accidents: DataFrame, features: Sequen
     feats = [f for f in list(features) + rollup.PERSON_COUNT_COLUMNS if f not in set(exclude)]
     numeric = keep(acc.select(county, accident_id, F.col(target).try_cast("double").alias(target),
                               *[F.col(f).try_cast("double").alias(f) for f in feats]), "features")
-    hist = keep(feature_histogram(numeric, county, feats), "all_histograms")
-    screen = frequency_screen(hist, county)
+    screen = keep(feature_screen(numeric, county, feats), "screen")
     moments = keep(pattern_moments(numeric, county, feats, target), "moments")
     if criterion == "knn":
         sel = select_features_knn(numeric, county, accident_id, target, feats, k=k,
@@ -146,7 +144,7 @@ def accident_severity(persons: DataFrame, accidents: DataFrame, features: Sequen
     sel = keep(sel, "selection")
     chosen = sel.select(county, F.explode("features").alias("feature"))
     fit = stats.ols(moments, county, feats, target, tails=tails, allowed=chosen)
-    hists = selected_histograms(sel, hist, county)
+    hists = chosen_histograms(numeric, sel, county, feats)
     return AccidentResult(counts, acc, screen, sel, hists, fit)
 
 
