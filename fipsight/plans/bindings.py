@@ -10,6 +10,7 @@ money-scale means to 4, where float summation order could otherwise show.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from fipsight.operators.project import (exclude_label, feature_prep, min_length,
                                         select_keep)
 from fipsight.operators.profile import (feature_histogram, frequency_screen, keep_selected,
                                         unpivot_features)
+from fipsight.session import ensure_checkpoint_dir
+from fipsight.sources.drift import header_census, header_map, read_drifting
 from fipsight.sources.json_flat import flatten_json
 from fipsight.sources.tuple_text import parse_tuple_text
 from fipsight.sources.yearly import column_presence, merge_years
@@ -285,7 +288,42 @@ def q_merge_years(spark, d):
     return yearly_orders(spark, d)
 
 
-@query("column_census", f"""
+def yearly_files(spark, d):
+    """The orders as delimited files by year whose headers differ: even years lack the priority and have
+    their columns in another order."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/yearly-orders-{uuid.uuid4().hex}"
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("string").alias("o_orderdate"),
+                                         "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("file_year"))
+    odd = F.col("file_year") % 2 == 1
+    for name, rows in (("odd", o.where(odd)), ("even", o.where(~odd | odd.isNull()).select(
+            "o_totalprice", "o_orderkey", "o_orderdate", "file_year"))):
+        rows.write.partitionBy("file_year").option("header", True).csv(f"{folder}/{name}")
+    return header_map(spark, folder)
+
+
+YEAR_OF_PATH = r"file_year=(\d+)/"
+
+
+@query("merge_drifting_files", SQL_MERGED)
+def q_merge_drifting_files(spark, d):
+    rows = read_drifting(spark, yearly_files(spark, d), ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"])
+    return rows.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
+                       F.col("o_orderdate").try_cast("timestamp_ntz").alias("o_orderdate"),
+                       F.col("o_totalprice").try_cast("double").alias("o_totalprice"), "o_orderpriority",
+                       F.regexp_extract("file_path", YEAR_OF_PATH, 1).try_cast("int").alias("file_year"))
+
+
+#: A file is there for each year of the orders; the priority is in those of the odd years.
+@query("column_census", """
+WITH years AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL)
+SELECT unnest(['o_orderkey', 'o_orderdate', 'o_totalprice', 'o_orderpriority']) AS column_name,
+       unnest([count(*), count(*), count(*), count(*) FILTER (y % 2 = 1)]) AS n_files
+FROM years""")
+def q_column_census(spark, d):
+    return header_census(spark, yearly_files(spark, d), YEAR_OF_PATH)
+
+
+@query("column_presence", f"""
 WITH m AS ({SQL_MERGED})
 SELECT 'o_orderkey' AS column_name,
        count(DISTINCT CASE WHEN o_orderkey IS NOT NULL THEN file_year END) AS n_files FROM m
@@ -295,7 +333,7 @@ UNION ALL SELECT 'o_totalprice',
        count(DISTINCT CASE WHEN o_totalprice IS NOT NULL THEN file_year END) FROM m
 UNION ALL SELECT 'o_orderpriority',
        count(DISTINCT CASE WHEN o_orderpriority IS NOT NULL THEN file_year END) FROM m""")
-def q_column_census(spark, d):
+def q_column_presence(spark, d):
     return column_presence(yearly_orders(spark, d), "file_year")
 
 

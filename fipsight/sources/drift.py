@@ -10,6 +10,7 @@ of years come from the same map, without a look at the data.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -112,17 +113,23 @@ def _quoted(spark: SparkSession, path: str) -> str:
     return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
 
 
-def header_census(spark: SparkSession, headers: HeaderMap) -> DataFrame:
-    """``(column_name, n_files)``: in how many files each column occurs."""
-    rows = [(path, c) for path, names in headers.files for c in set(names)]
-    each = spark.createDataFrame(rows, "path string, column_name string")
-    return each.groupBy("column_name").agg(F.count_distinct("path").alias("n_files"))
+def header_census(spark: SparkSession, headers: HeaderMap, pattern: str | None = None) -> DataFrame:
+    """``(column_name, n_files)``: in how many files each column occurs. With ``pattern`` the files whose
+    paths share its first group (a year's parts) are one; paths without it are left out."""
+    def name(path: str) -> str | None:
+        if pattern is None:
+            return path
+        m = re.search(pattern, path)
+        return m.group(1) if m else None
+
+    rows = [(name(path), c) for path, names in headers.files for c in set(names) if name(path) is not None]
+    each = spark.createDataFrame(rows, "file string, column_name string")
+    return each.groupBy("column_name").agg(F.count_distinct("file").alias("n_files"))
 
 
 def year_report(spark: SparkSession, headers: HeaderMap, years: Iterable[int], pattern: str) -> DataFrame:
     """``(year, n_files, status)`` of every year wanted: ``ok``, ``empty`` (files without a header) or
     ``missing``. ``pattern`` has the year of a path as its first group."""
-    import re
     found: dict[int, list[bool]] = {}
     for path, names in headers.files:
         m = re.search(pattern, path)

@@ -78,10 +78,15 @@ def read_series_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
                 mode: str = "overwrite") -> None:
-    """Stage hand-over as a (partitioned) Parquet/CSV dataset; later reads prune partitions."""
+    """Stage hand-over as a (partitioned) Parquet/CSV dataset; later reads prune partitions.
+
+    Overwriting a partitioned dataset replaces the partitions that ``df`` has rows in and leaves the
+    others, so a chain that runs once for each pollutant keeps the earlier ones, and running it again
+    for one gives the same dataset. A partition of which ``df`` has no row any more stays. Without
+    ``partition_by`` the whole dataset is replaced."""
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

@@ -93,3 +93,24 @@ def test_no_file_at_all(spark, tmp_path):
     headers = header_map(spark, f"{tmp_path}/*.csv")
     assert headers.files == [] and read_drifting(spark, headers, keep=["a"]).count() == 0
     assert header_census(spark, headers).count() == 0
+
+
+def test_a_year_in_several_parts_counts_once(spark, tmp_path):
+    df = spark.range(40).selectExpr("id", "id % 4 AS file_year", "string(id) AS x").repartition(5)
+    df.write.partitionBy("file_year").option("header", True).csv(f"{tmp_path}/t")
+    census = {r.column_name: r.n_files for r in header_census(spark, header_map(spark, f"{tmp_path}/t"), r"file_year=(\d+)/").collect()}
+    assert census == {"id": 4, "x": 4}
+
+
+def test_a_pollutant_after_another_keeps_both(spark, tmp_path):
+    from fipsight.sources.files import write_table
+
+    def run(pollutant, value):
+        write_table(spark.createDataFrame([("01001", value, pollutant)], "fips string, beta double, pollutant string"),
+                    f"{tmp_path}/reg", partition_by=["pollutant"])
+
+    run("44201", 0.1), run("42401", 0.2), run("44201", 0.3)
+    assert {(r.pollutant, r.beta) for r in spark.read.parquet(f"{tmp_path}/reg").collect()} == {(44201, 0.3), (42401, 0.2)}
+    write_table(spark.range(3).toDF("a"), f"{tmp_path}/whole")
+    write_table(spark.range(2).toDF("a"), f"{tmp_path}/whole")
+    assert spark.read.parquet(f"{tmp_path}/whole").count() == 2
