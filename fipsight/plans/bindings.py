@@ -263,6 +263,27 @@ def q_json_flatten(spark, d):
     return flatten_json(table(spark, d, "events"), "props", keep=["event_id"])
 
 
+@query("json_flatten_nested", """
+SELECT l_orderkey AS id, l_orderkey AS "@key", l_linenumber::bigint AS "@line@no", cast(l_quantity AS bigint) AS "@line@deep@qty",
+       l_returnflag AS "@flags0", CASE WHEN l_linenumber > 2 THEN l_linestatus END AS "@flags1",
+       CASE WHEN l_linenumber % 3 = 0 THEN cast(l_suppkey AS varchar) WHEN l_linenumber % 3 = 1 THEN 'none' END AS "@mixed",
+       CASE WHEN l_linenumber % 3 = 2 THEN l_suppkey END AS "@mixed@in"
+FROM lineitem""")
+def q_json_flatten_nested(spark, d):
+    """Documents with a record path, nested objects, arrays of differing length, and a member that is a number,
+    a text or an object; one document an order, one row a record."""
+    li = table(spark, d, "lineitem")
+    mixed = (F.when(F.col("l_linenumber") % 3 == 0, F.col("l_suppkey").cast("string"))
+             .when(F.col("l_linenumber") % 3 == 1, F.lit('"none"'))
+             .otherwise(F.format_string('{"in": %d}', "l_suppkey")))
+    flags = F.when(F.col("l_linenumber") > 2, F.array("l_returnflag", "l_linestatus")).otherwise(F.array("l_returnflag"))
+    record = F.format_string('{"key": %d, "line": {"no": %d, "deep": {"qty": %d}}, "flags": %s, "mixed": %s, "empty": []}',
+                             "l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint"), F.to_json(flags), mixed)
+    docs = li.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_join(F.collect_list(record), ",").alias("r"))
+    docs = docs.select("id", F.concat(F.lit('{"value": ['), "r", F.lit("]}")).alias("doc"))
+    return flatten_json(docs, "doc", keep=["id"], record_path="$.value")
+
+
 def yearly_orders(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice",
                                          "o_orderpriority")

@@ -10,18 +10,118 @@ object in another gives ``@a`` for the first and ``@a@c`` for the second.
 any length is rows, never columns. ``flatten_json`` gives one column per leaf name (the union over
 all documents), so it suits documents with a bounded set of names.
 
-Spark-side: documents are parsed once into VARIANT and exploded one nesting level at a time
-(``variant_explode``); a small job per level finds out whether a further level exists.
+``flatten_json`` finds the names in one pass: every task walks its documents and keeps the set of (name,
+path, kind of value) it has met, the sets are merged by one aggregate, and the rows are then a projection
+of the VARIANT documents. ``flatten_json_long`` explodes the VARIANT documents one nesting level at a time;
+a small job per level finds out whether a further level exists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_COLUMNS = 20_000
+
+
+class _Number(str):
+    """A number as it is written."""
+
+
+def _no_constant(name: str):
+    raise ValueError(name)
+
+
+def _members(pairs: list) -> dict:
+    out = dict(pairs)
+    if len(out) < len(pairs):
+        raise ValueError("a member name twice")
+    return out
+
+
+def _decoder() -> json.JSONDecoder:
+    return json.JSONDecoder(parse_int=_Number, parse_float=_Number, parse_constant=_no_constant, object_pairs_hook=_members)
+
+
+def _parse(text: str | None, decoder: json.JSONDecoder):
+    """(document, True) or (None, False) for text that is no JSON (as the VARIANT parser sees it, which
+    does not look behind the document)."""
+    try:
+        return decoder.raw_decode(text.lstrip(" \t\r\n"))[0], True
+    except (ValueError, AttributeError, RecursionError):
+        return None, False
+
+
+def _path_steps(path: str) -> list:
+    """Members and positions of a variant path such as ``$.a['b'][0]``."""
+    steps = []
+    for name, quoted, double, place in re.findall(r"""\.([^.\[]+)|\['([^']*)'\]|\["([^"]*)"\]|\[(\d+)\]""", path):
+        steps.append(int(place) if place else name or quoted or double)
+    return steps
+
+
+def _records(doc, steps: list) -> list:
+    """Elements of the array at a path; none if it is not there."""
+    for s in steps:
+        if isinstance(s, int) and isinstance(doc, list) and s < len(doc):
+            doc = doc[s]
+        elif not isinstance(s, int) and isinstance(doc, dict) and s in doc:
+            doc = doc[s]
+        else:
+            return []
+    return doc if isinstance(doc, list) else []
+
+
+def _kind_of(value) -> tuple:
+    """What decides a value's type: values of equal kind have equal types."""
+    if isinstance(value, _Number):
+        digits = re.sub(r"^-|\.", "", value.lower().partition("e")[0])
+        return "number", "e" in value.lower(), len(digits.lstrip("0")), len(value.partition(".")[2]), "." in value
+    return (type(value).__name__,)
+
+
+def _walk(value, name: str, path: str | None, within_array: bool, sep: str, found: dict) -> None:
+    """Note an example of each (name, path, kind) of the leaves below ``value``."""
+    if isinstance(value, dict):
+        for key, v in value.items():
+            quote = "'" if "'" not in key else '"' if '"' not in key else None
+            _walk(v, name + sep + key, None if path is None or quote is None else f"{path}[{quote}{key}{quote}]", False, sep, found)
+    elif isinstance(value, list) and not within_array:
+        for i, v in enumerate(value):
+            _walk(v, f"{name}{i}", None if path is None else f"{path}[{i}]", True, sep, found)
+    elif name:
+        at = (name, path, _kind_of(value))
+        if at not in found:
+            found[at] = value if isinstance(value, _Number) else json.dumps(value if not isinstance(value, list) else [])
+
+
+def json_names(df: DataFrame, col: str, sep: str, prefix: str, record_path: str | None) -> DataFrame:
+    """Distinct ``(name, path, example)`` of the leaves of all documents, an example of each kind of value."""
+    steps = _path_steps(record_path) if record_path else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, decoder = {}, _decoder()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                doc, ok = _parse(text, decoder)
+                if ok:
+                    for d in [doc] if steps is None else _records(doc, steps):
+                        _walk(d, prefix, "$", False, sep, found)
+        rows = [(name, path, example) for (name, path, _), example in found.items()]
+        for i in range(0, len(rows), 10_000):
+            part = rows[i:i + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], pa.string()) for j in range(3)], ["name", "path", "example"])
+
+    each = df.select(F.col(col).cast("string")).mapInArrow(run, "name string, path string, example string")
+    return each.groupBy("name", "path").agg(F.schema_of_variant_agg(F.try_parse_json("example")).alias("type"))
+
+
 def _member_path(parent: Column, key: Column) -> Column:
     """Variant path of a member: variant paths have no escapes, so the quote that the key does not
     contain is used; a key with both quote characters cannot be addressed and has no path."""
@@ -92,11 +192,11 @@ def flatten_json(df: DataFrame, col: str, sep: str = "@", keep: Sequence[str] =
     whose values have one type over all documents gets that type, otherwise it is text."""
     keep = list(keep)
     base = _documents(df, col, keep, record_path)
-    leaves = _leaves(base, [], sep, prefix)
-    if not leaves.where("path IS NULL").isEmpty():
+    found = json_names(df, col, sep, prefix, record_path).orderBy("name", "path").limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} names; use flatten_json_long")
+    if any(r.path is None for r in found):
         raise ValueError("a JSON member name holds both quote characters; it cannot be addressed by a variant path")
-    found = (leaves.groupBy("name", "path").agg(F.schema_of_variant_agg("value").alias("type"))
-             .orderBy("name", "path").collect())  # one row per output column
     by_name: dict[str, list[tuple[str, str]]] = {}
     for r in found:
         by_name.setdefault(r.name, []).append((r.path, r.type))
@@ -107,9 +207,11 @@ def flatten_json(df: DataFrame, col: str, sep: str = "@", keep: Sequence[str] =
         values = []
         for path, kind in places:
             v = F.try_variant_get("_v", path, "variant")
-            if plain:
+            # a document that holds an object here, or an array that is no array's element, has its own names for it
+            nested = ["OBJECT"] if re.search(r"\[\d+\]$", path) else ["OBJECT", "ARRAY"]
+            if plain and kind != "STRING":
                 values.append(F.try_variant_get("_v", path, kind))
-            else:  # a document that holds an object here has its own names for it
-                values.append(F.when(~_kind(v).isin("OBJECT"), _text(v)))
+            else:
+                values.append(F.when(~_kind(v).isin(nested), F.try_variant_get("_v", path, kind) if plain else _text(v)))
         cols.append(F.coalesce(*values).alias(name))
     return base.select(*keep, *cols)
