@@ -21,7 +21,7 @@ from fipsight.functions import (composite_id, day_of_year0, fips_from_float_text
                                 response_minutes, safe_double, year_of_id)
 from fipsight.functions.casts import try_typed
 from fipsight.operators import rollup, series, stats
-from fipsight.operators.frequent import feature_screen
+from fipsight.operators.frequent import chosen_histograms, feature_screen
 from fipsight.operators.lookup import fips_lookup
 from fipsight.operators.moments import pattern_moments
 from fipsight.operators.project import (exclude_label, feature_prep, min_length, numeric_where,
@@ -30,6 +30,7 @@ from fipsight.operators.profile import (feature_histogram, frequency_screen, kee
                                         unpivot_features)
 from fipsight.session import ensure_checkpoint_dir
 from fipsight.sources.drift import header_census, header_map, read_drifting
+from fipsight.sources.files import read_csv, read_series_text, with_path_token, write_single_csv
 from fipsight.sources.json_flat import flatten_json
 from fipsight.sources.tuple_text import parse_tuple_text
 from fipsight.sources.yearly import column_presence, merge_years
@@ -1143,3 +1144,95 @@ def q_composite_id_dirty(spark, d):
         F.when(F.col("o_orderkey") % 7 == 0, "unknown")
         .otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0"))).alias("case"))
     return o.select("o_orderkey", composite_id("case", "year").alias("id"))
+
+
+@query("pca_two_scores", f"""
+SELECT l_orderkey, l_linenumber, l_returnflag,
+       {R("""((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER ()
+           + (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER ()) / sqrt(2)""", 4)} AS score
+FROM lineitem""")
+def q_pca_two_scores(spark, d):
+    """First component scores beside the target; the two columns correlate positively."""
+    from fipsight.operators.decompose import pca_fit, pca_scores
+    kept = ["l_orderkey", "l_linenumber", "l_returnflag"]
+    fit = pca_fit(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"], 2, keep=kept)
+    return pca_scores(fit, keep=kept).select(*kept, rnd(F.col("scores")[0], 4).alias("score"))
+
+
+#: Loadings sqrt(eigenvalue / 2 * n / (n - 1)); the second component's signs are free, so sizes are compared.
+@query("pca_two_loadings", f"""
+WITH m AS (SELECT corr(l_quantity, l_extendedprice) AS r, count(*) AS n FROM lineitem)
+SELECT unnest(['l_quantity', 'l_extendedprice', 'l_quantity', 'l_extendedprice']) AS feature, unnest([0, 0, 1, 1]) AS component,
+       unnest([{R('sqrt((1 + abs(r)) / 2 * n / (n - 1))', 6)}, {R('sqrt((1 + abs(r)) / 2 * n / (n - 1))', 6)},
+               {R('sqrt((1 - abs(r)) / 2 * n / (n - 1))', 6)}, {R('sqrt((1 - abs(r)) / 2 * n / (n - 1))', 6)}]) AS size
+FROM m""")
+def q_pca_two_loadings(spark, d):
+    from fipsight.operators.decompose import loadings
+    return loadings(spark, _pca_two(spark, d)).select("feature", "component", rnd(F.abs("loading"), 6).alias("size"))
+
+
+@query("pca_two_significance", f"""
+SELECT unnest(['l_quantity', 'l_extendedprice']) AS feature, {R('sqrt(count(*) / (count(*) - 1))', 6)} AS significance FROM lineitem""")
+def q_pca_two_significance(spark, d):
+    from fipsight.operators.decompose import loadings, significance
+    found = significance(loadings(spark, _pca_two(spark, d)))
+    return found.select("feature", rnd("significance", 6).alias("significance"))
+
+
+@query("selected_histograms", SQL_HIST + """
+SELECT hist.* FROM hist SEMI JOIN screen USING (l_suppkey, feature)""")
+def q_selected_histograms(spark, d):
+    """Histograms of the features that pass each supplier's screen, from the wide rows."""
+    wide = profile_wide(spark, d)
+    chosen = feature_screen(wide, "l_suppkey", PROFILE_FEATURES).groupBy("l_suppkey").agg(F.collect_list("feature").alias("features"))
+    return chosen_histograms(wide, chosen, "l_suppkey", PROFILE_FEATURES)
+
+
+@query("select_excluding", ORACLE["select_two_features"])
+def q_select_excluding(spark, d):
+    """A column that gives the target away is left out of the selection."""
+    from fipsight.operators.select import select_features
+    li, feats = table(spark, d, "lineitem").withColumn("leak", F.col(OLS_TARGET) * 2 + 1), [*OLS_FEATURES, "leak"]
+    sel = select_features(pattern_moments(li, "l_suppkey", feats, OLS_TARGET), "l_suppkey", feats, OLS_TARGET, k=2, exclude=["leak"])
+    return sel.select("l_suppkey", "n", "status", F.array_join("features", ",").alias("chosen"), rnd("r2", 6).alias("r2"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 2.1 text files: tables written as delimited text to the shared folder and read back
+# ---------------------------------------------------------------------------------------------
+
+
+def _text_folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_scan", """
+SELECT c_custkey, c_name || ' é' AS c_name, c_acctbal, c_mktsegment, NULL::varchar AS phone, CAST(c_nationkey AS varchar) AS nation
+FROM customer""")
+def q_csv_scan(spark, d):
+    """Many files with a header each, not in UTF-8, columns by name and type, one of them absent, and a token
+    of the file's path as a column."""
+    folder = _text_folder(spark, "customers")
+    c = table(spark, d, "customer").withColumn("c_name", F.concat("c_name", F.lit(" é")))
+    c.repartition("c_nationkey").write.partitionBy("c_nationkey").option("header", True).option("encoding", "ISO-8859-1").csv(folder)
+    rows = read_csv(spark, f"{folder}/*/", "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string, phone string",
+                    encoding="ISO-8859-1")
+    return with_path_token(rows, "nation", r"c_nationkey=(\d+)/")
+
+
+@query("series_text", f"""
+SELECT CAST(n_nationkey AS varchar) AS fips, dt, mean_price AS aqi FROM ({SQL_DAILY})""")
+def q_series_text(spark, d):
+    """The hand-over of daily means as lines without a header."""
+    folder = _text_folder(spark, "series")
+    nation_daily(spark, d).select("n_nationkey", "dt", "mean_price").write.csv(folder)
+    return read_series_text(spark, folder)
+
+
+@query("single_report", f"""
+SELECT n_nationkey, year, {R('mean_price', 4)} AS mean_price, n_days FROM ({SQL_YEARLY})""")
+def q_single_report(spark, d):
+    """The final report as one file with a header."""
+    folder = _text_folder(spark, "report")
+    write_single_csv(nation_yearly(spark, d).withColumn("mean_price", rnd("mean_price", 4)), folder)
+    return read_csv(spark, folder, "n_nationkey int, year int, mean_price double, n_days bigint")
