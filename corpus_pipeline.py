@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and reread as the next
 stage's documents. All but the last return the columns of documents, filtered; the last returns the
-pieces of the packed sequences. A repeated doc_id with different texts counts as one document.
+pieces of the packed sequences. Unlike texts that share a doc_id are documents each for themselves.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least doc_id) of each class of near-duplicates."""
+    """One document (the least doc_id, null last) of each class of near-duplicates."""
     return one_of_each(docs)
 
 

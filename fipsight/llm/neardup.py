@@ -24,7 +24,8 @@ Intermediate tables are written to the shared checkpoint folder, so a lost execu
 
 Cases: null, empty and blank texts have no words and stand alone (class id = their doc_id); repeated
 rows and copies fall into one class; a null doc_id is never a class id unless the class has no
-other; empty table = no rows; clashing extra columns are ignored.
+other; an id that several rows have, or none, names no row: such texts are found by their key; very long
+texts are handled in their row; empty table = no rows; clashing extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fipsight.llm.graph import components
 from fipsight.llm.store import Folder, broadcast_ids
@@ -197,30 +199,52 @@ def similarity(a: tuple, b: tuple) -> float:
     return both / (a[2] + b[2] - both)
 
 
-def bag_rows(docs: DataFrame, rows: DataFrame, shared: DataFrame, folder: Folder) -> DataFrame:
-    """key, bag, sig, bands of every node that shares a band; one text stands for each node."""
+def ambiguous_ids(rows: DataFrame, folder: Folder) -> DataFrame:
+    """Ids that do not name one row (column ``near_id``); null names none."""
+    many = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1")
+    return folder.keep(many.select(F.col("doc_id").alias("near_id")), "repeated-ids")
+
+
+def with_keys(docs: DataFrame, text_at: int, key_col: str) -> DataFrame:
+    """All columns of ``docs`` and the key of the text in column ``text_at`` (null without words)."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, off in chunks(batch.column(text_at), 1 << 18):
+                key, count = text_keys(*word_hashes(data, off), j - i)
+                yield pa.RecordBatch.from_arrays(batch.slice(i, j - i).columns + [pa.array(key.view(np.int64), mask=count == 0)],
+                                                 [*names, key_col])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(key_col, T.LongType())]))
+
+
+def bag_rows(docs: DataFrame, rows: DataFrame, shared: DataFrame, many: DataFrame, folder: Folder) -> DataFrame:
+    """key, bag, sig, bands of every node that shares a band; one text stands for each node: that of a row
+    which its id names, or else one found by its key."""
+    named = rows.where("key IS NOT NULL").join(broadcast_ids(many), F.col("doc_id") == F.col("near_id"), "left")
     # copies meet in the partial sums of their task before they are dealt by key
-    nodes = rows.where("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    nodes = named.groupBy("key").agg(F.min(F.when(F.col("near_id").isNull(), F.col("doc_id"))).alias("doc_id"),
+                                     F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     inside = folder.keep(nodes.join(shared.select("key").distinct(), "key", "left_semi"), "texts")
-    one, signed = inside.select("doc_id", "key"), inside.select("key", "sig", "bands")
+    one, signed = inside.where("doc_id IS NOT NULL").select("doc_id", "key"), inside.select("key", "sig", "bands")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            want = batch.column(1).to_numpy()
             for i, j, data, off in chunks(batch.column(0), 1 << 18):
                 words, doc = word_hashes(data, off)
-                key, _ = text_keys(words, doc, j - i)
                 text, shingle, times = bags(words, doc, j - i)
                 edge = np.searchsorted(text, np.arange(j - i + 1))
                 out = [_pack_bag(shingle[a:b], times[a:b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
-                ok = pa.array(key.view(np.int64) == want[i:j])  # a repeated doc_id can have another text
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(out, pa.binary())],
-                                                 ["key", "bag"]).filter(ok)
-
-    cond = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id"))
-    bag = (docs.alias("d").join(broadcast_ids(one).alias("o"), cond).select("text", "key")
-           .mapInArrow(run, "key long, bag binary").dropDuplicates(["key"]))
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(out, pa.binary())], ["key", "bag"])
+
+    d = docs.select("doc_id", "text")
+    bag = d.join(broadcast_ids(one), "doc_id").select("text", "key").mapInArrow(run, "key long, bag binary")
+    rest = inside.where("doc_id IS NULL").select("key")
+    if not rest.isEmpty():  # only texts without an id, or with one that several rows have
+        unnamed = d.join(broadcast_ids(many), F.col("doc_id") == F.col("near_id"), "left").where("doc_id IS NULL OR near_id IS NOT NULL")
+        keyed = with_keys(unnamed.select("text"), 0, "key").join(broadcast_ids(rest), "key").groupBy("key").agg(F.first("text").alias("text"))
+        bag = bag.unionByName(keyed.select("text", "key").mapInArrow(run, "key long, bag binary"))
     return bag.join(signed, "key")
 
 
@@ -313,39 +337,55 @@ def tile_links(tiled: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return tiled.join(nodes, "key").groupBy("band", "i", "j").applyInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, class_size (rows of the class) of every row of ``docs``."""
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    folder = Folder(docs.sparkSession, "neardup")
+def _classified(d: DataFrame, threshold: float, folder: Folder) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, key, c) of every row of ``d`` (doc_id, text), ids that several rows have). ``c`` names the class."""
     rows = folder.keep(signature_rows(d), "signatures")
     shared = folder.keep(shared_bands(rows), "bands")
-    nodes = folder.keep(bag_rows(d, rows, shared, folder), "bags")
+    many = ambiguous_ids(rows, folder)
+    nodes = folder.keep(bag_rows(d, rows, shared, many, folder), "bags")
     star = folder.keep(star_links(shared, nodes, threshold), "star")
     rest = tile_links(tiles(shared, components(star, folder)), nodes, threshold)
     links = folder.keep(star.unionByName(rest), "links")
     labels = components(links, folder).withColumnRenamed("node", "key")
     named = rows.select("doc_id", "key").join(labels, "key", "left")
     # without words: a class for each doc_id
-    named = named.select("doc_id", F.struct(F.coalesce("label", "key").alias("label"),
-                                            F.when(F.col("key").isNull(), F.col("doc_id")).alias("own")).alias("c"))
+    return named.select("doc_id", "key", F.struct(F.coalesce("label", "key").alias("label"),
+                                                  F.when(F.col("key").isNull(), F.col("doc_id")).alias("own")).alias("c")), many
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, class_size (rows of the class) of every row of ``docs``."""
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    named, _ = _classified(d, threshold, Folder(docs.sparkSession, "neardup"))
     classes = named.groupBy("c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return named.join(classes.withColumnRenamed("c", "k"), F.col("c").eqNullSafe(F.col("k"))).select(
         "doc_id", "class_id", "class_size")
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, without those that a class has beside its least doc_id, and
-    one row of a repeated doc_id. Rows with a null doc_id cannot be named and stay."""
+    """One row of each class of ``docs``, all columns: that with the least doc_id (null last), of the rows
+    with that id the one with the least key. Rows are told apart by (doc_id, key), so unlike texts that
+    share an id are decided each for itself, and copies without an id leave one row."""
     folder = Folder(docs.sparkSession, "one-of-each")
-    classes = folder.keep(near_duplicates(docs, threshold, id_col, text_col).where("doc_id IS NOT NULL"), "classes")
-    ids = classes.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("class_id")).alias("goes"),
-                                        F.count("*").alias("times"))
-    goes = folder.keep(ids.where("goes").select(F.col("doc_id").alias("near_copy_id")), "goes")
-    twice = folder.keep(ids.where("NOT goes AND times > 1").select(F.col("doc_id").alias("near_copy_id")), "twice")
-    named = F.col(id_col).cast("long") == F.col("near_copy_id")
-    kept = docs.join(broadcast_ids(goes), named, "left_anti")
-    if twice.isEmpty():
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    named, many = _classified(d, threshold, folder)
+    named = folder.keep(named, "classes")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
+    best = folder.keep(named.groupBy("c").agg(F.min(place).alias("best")).select("best.id", "best.key"), "best")
+    # rows that their id names are decided by it
+    own = named.where("doc_id IS NOT NULL").select("doc_id")
+    goes = folder.keep(own.join(best.where("id IS NOT NULL").select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+                       .distinct().select(F.col("doc_id").alias("near_copy_id")), "goes")
+    at = F.col(id_col).cast("long")
+    kept = docs.join(broadcast_ids(goes), at == F.col("near_copy_id"), "left_anti")
+    unnamed = named.where("doc_id IS NULL").limit(1).count() + many.limit(1).count()
+    if not unnamed:
         return kept
-    again = kept.join(broadcast_ids(twice), named, "left_semi").dropDuplicates([id_col])
-    return kept.join(broadcast_ids(twice), named, "left_anti").unionByName(again)
+    plain = kept.where(at.isNotNull()).join(broadcast_ids(many), at == F.col("near_id"), "left_anti")
+    rest = kept.join(broadcast_ids(many), at == F.col("near_id"), "left").where(at.isNull() | F.col("near_id").isNotNull())
+    names = docs.columns
+    keyed = with_keys(rest.select(*names), names.index(text_col), "near_key")
+    chosen = best.select(F.col("id").alias("near_best_id"), F.col("key").alias("near_best_key"))
+    alone = keyed.join(chosen, at.eqNullSafe(F.col("near_best_id")) & F.col("near_key").eqNullSafe(F.col("near_best_key")), "left_semi")
+    return plain.unionByName(alone.dropDuplicates([id_col, "near_key"]).select(*names))

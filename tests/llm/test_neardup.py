@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from fipsight.llm.graph import components
-from fipsight.llm.neardup import bags, near_duplicates, signatures, similarity
+from fipsight.llm.neardup import bags, near_duplicates, one_of_each, signatures, similarity
 from fipsight.llm.store import Folder
 from fipsight.llm.text import chunks, word_hashes
 
@@ -115,6 +115,33 @@ def test_odd_rows(spark, odd_docs):
         ("4", "4"), ("None", "4"), ("None", "None")]
 
 
+def texts_in_pairs(n):
+    """n texts in near-copy pairs."""
+    return [" ".join(f"p{i // 2}w{k}" for k in range(40 - i % 2)) for i in range(n)]
+
+
+def test_many_rows_without_an_id_or_with_one_id(spark):
+    texts = texts_in_pairs(300)
+    rows = [(None, t) for t in texts[:200]] + [(5, t) for t in texts[200:]]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert len(got) == 300 and all(r.class_size == 2 for r in got)
+    mixed = [(None, t) for t in texts] + [(i, t) for i, t in enumerate(texts) if i % 3]
+    got = near_duplicates(spark.createDataFrame(mixed, "doc_id long, text string")).collect()
+    assert sorted(r.class_size for r in got if r.doc_id is not None) == sorted(
+        2 + sum(j % 3 > 0 for j in (i - i % 2, i - i % 2 + 1)) for i in range(300) if i % 3)
+
+
+def test_rows_are_kept_by_id_and_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, a, "first"), (1, b, "unlike"), (2, a + " more", "near copy"), (None, b, "copy without id"), (None, c, "alone"),
+            (None, c.upper(), "copy of alone"), (7, None, "no words"), (7, "", "no words"), (1, a, "repeated"), (9, c + " x", "named")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, note string")
+    got = sorted((str(r.doc_id), (r.text or "")[:2], r.note) for r in one_of_each(df).collect())
+    assert [(i, t) for i, t, _ in got] == [("1", "a0"), ("1", "b0"), ("7", ""), ("9", "c0")]
+    unnamed = df.where("doc_id IS NULL")
+    assert sorted(r.text[:2].lower() for r in one_of_each(unnamed).collect()) == ["b0", "c0"]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(300, 300), (7, 6)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "u long, v long"), Folder(spark, "t")).collect()}
