@@ -66,20 +66,30 @@ class Moments:
         upper = np.triu_indices(width)
         self.co[:, upper[0], upper[1]] = np.nan_to_num(co)
         self.co[:, upper[1], upper[0]] = self.co[:, upper[0], upper[1]]
+        self.known: dict[bytes, tuple] = {}  # by set of patterns: few sets serve many sets of columns
 
     def complete(self, columns: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
         """(rows, means, population covariances) of the rows in which all ``columns`` are present."""
-        at = [self.place[c] for c in columns]
+        at = np.array([self.place[c] for c in columns])
         inside = self.present[:, at].all(1) & (self.n > 0)
-        weight = self.n[inside]
-        total = weight.sum()
-        if not total:
-            return 0, np.full(len(at), np.nan), np.full((len(at), len(at)), np.nan)
-        means = self.mean[inside][:, at]
-        mean = weight @ means / total
-        off = means - mean
-        within = np.tensordot(weight, self.co[inside][:, at][:, :, at], 1)
-        return int(total), mean, (within + (off * weight[:, None]).T @ off) / total
+        n, mean, cov = self._merged(inside)
+        return n, mean[at], cov[at[:, None], at]
+
+    def _merged(self, inside: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """Moments of some patterns together, for all columns (meant for those that all of them have)."""
+        key = inside.tobytes()
+        if key not in self.known:
+            weight, width = self.n[inside], self.mean.shape[1]
+            total = weight.sum()
+            if not total:
+                self.known[key] = 0, np.full(width, np.nan), np.full((width, width), np.nan)
+            else:
+                means = self.mean[inside]
+                mean = weight @ means / total
+                off = means - mean
+                within = np.tensordot(weight, self.co[inside], 1)
+                self.known[key] = int(total), mean, (within + (off * weight[:, None]).T @ off) / total
+        return self.known[key]
 
     def rows(self, column: str) -> int:
         return int(self.n[self.present[:, self.place[column]]].sum())

@@ -151,8 +151,7 @@ def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
     return cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 
-def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
-                    size_col: str | None = None) -> DataFrame:
+def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024) -> DataFrame:
     """Per (group, fold): test points scored and correctly classified by a k-NN majority vote
     (ties to the smallest label) trained on the other folds of the group.
 
@@ -161,14 +160,12 @@ def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024
     the tiled ``knn_candidates`` path and a distributed vote.
     """
     g = _keys(group)
-    if size_col is not None:          # group sizes already known: a filter, no shuffle
-        small = points.where(F.col(size_col) <= block_rows)
-        big = points.where(F.col(size_col) > block_rows)
-    else:
-        sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-        sized = join_groups(points, sizes, g)
-        small = sized.where(F.col("_n") <= block_rows).drop("_n")
-        big = sized.where(F.col("_n") > block_rows).drop("_n")
+    sizes = points.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > block_rows)
+    small, big = points, None
+    if not large.isEmpty():
+        small = join_groups(points, large, g, "left_anti")
+        big = join_groups(points, large.select(*g), g, "left_semi")
     schema = T.StructType([points.schema[c] for c in g] + [
         T.StructField("fold", T.IntegerType()), T.StructField("n_test", T.LongType()),
         T.StructField("n_correct", T.LongType())])
@@ -191,6 +188,8 @@ def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024
         return out.astype({"fold": "int32", "n_test": "int64", "n_correct": "int64"})
 
     small_counts = small.groupBy(*g).applyInPandas(whole_group, schema)
+    if big is None:
+        return small_counts
     cand = knn_candidates(big, g, k=k, block_rows=block_rows)
     votes = cand.groupBy(*g, "qid", "qlabel", "qfold", "tlabel").agg(F.count(F.lit(1)).alias("c"))
     wv = Window.partitionBy(*g, "qid").orderBy(F.desc("c"), "tlabel")
@@ -442,10 +441,10 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
         "status", F.when(F.col("n") < min_rows, "too_few_rows")
                    .when(F.size("pool") < k, "too_few_features").otherwise("ok"))
     small = _select_small(pts.where(F.col("_gn") <= block_rows), groups, g, k, n_neighbors)
-    large = search_large(pts.where(F.col("_gn") > block_rows), groups.where(F.col("n") > block_rows).where("status = 'ok'"),
-                         g, k, n_neighbors, block_rows)
+    chosen, large = small, groups.where(F.col("n") > block_rows).where("status = 'ok'")
+    if not large.isEmpty():
+        chosen = chosen.unionByName(search_large(pts.where(F.col("_gn") > block_rows), large, g, k, n_neighbors, block_rows))
     names_arr = F.array(*[F.lit(f) for f in names])
-    chosen = large.unionByName(small)
     final = chosen.select(
         *g, F.transform("subset", lambda i: F.element_at(names_arr, i + 1)).alias("features"),
         "score")
