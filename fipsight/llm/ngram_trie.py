@@ -27,18 +27,19 @@ def restore(code: np.ndarray) -> np.ndarray:
 class NgramTrie:
     """Levels 1 .. order of a set of n-grams over 64-bit word hashes, with a code for each full n-gram.
 
-    Words get dense numbers by the sorted dictionary of the trie. A level holds, for every node in
+    Words get dense numbers by the sorted dictionary of the trie, unless the grams are of numbers below
+    ``numbers`` already. A level holds, for every node in
     order, its word number plus the last value before its parent's range, which makes the level one
     rising sequence, and the level below's range starts as another one. A look-up goes down from the
     range of the context: the successor of (value before the range + word number) is the wanted node
     or shows that it is absent.
     """
 
-    def __init__(self, grams: list[np.ndarray], code: np.ndarray):
-        """``grams``: one array of word hashes per position; rows distinct and sorted."""
+    def __init__(self, grams: list[np.ndarray], code: np.ndarray, numbers: int | None = None):
+        """``grams``: one array of word hashes (or numbers) per position; rows distinct and sorted."""
         n = len(code)
-        self.words = np.unique(np.concatenate([np.zeros(0, U), *grams]))
-        ids = [np.searchsorted(self.words, g).astype(np.int64) for g in grams]
+        self.words = np.unique(np.concatenate([np.zeros(0, U), *grams])) if numbers is None else None
+        ids = [self._number(g)[0] for g in grams]
         new = np.zeros(n, bool)
         new[:1] = True
         parts, self.place = [], []
@@ -66,6 +67,13 @@ class NgramTrie:
         self.pointers, self.levels = level[0::2], level[1::2]
         self.codes = np.memmap(self.file, np.uint16, "r", at * 8, (n,)) if n else np.zeros(0, np.uint16)
 
+    def _number(self, g: np.ndarray):
+        """Numbers of words, and which of them the dictionary has."""
+        if self.words is None:
+            return g.astype(np.int64), np.ones(len(g), bool)
+        at = np.minimum(np.searchsorted(self.words, g), max(len(self.words) - 1, 0))
+        return at.astype(np.int64), self.words[at] == g if len(self.words) else np.zeros(len(g), bool)
+
     def find(self, grams: list[np.ndarray], batch: int = 1 << 17) -> np.ndarray:
         """Codes of n-grams (0 if absent); fastest when sorted."""
         out = np.zeros(len(grams[0]), np.uint16)
@@ -75,9 +83,8 @@ class NgramTrie:
             node = np.zeros(min(batch, len(out) - a), np.int64)
             alive = np.ones(len(node), bool)
             for pointers, level, g in zip(self.pointers, self.levels, grams):
-                w = g[a:a + batch]
-                number = np.minimum(np.searchsorted(self.words, w), len(self.words) - 1)
-                alive &= self.words[number] == w
+                number, has = self._number(g[a:a + batch])
+                alive &= has
                 low, high = self._range(pointers, node, alive)
                 node, found = self._successor(level, low, high, number, alive)
                 alive &= found

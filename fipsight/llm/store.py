@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fipsight.session import ensure_checkpoint_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Folder:
     """A new folder below ``spark.checkpoint.dir`` for the tables of one run."""
@@ -18,11 +20,17 @@ class Folder:
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a table and read it back: its lineage ends here."""
+    def keep(self, df: DataFrame, name: str, free: bool = False) -> DataFrame:
+        """Write a table and read it back: its lineage ends here. With ``free`` the shuffle files of the
+        write are removed when it has ended, since no later job can use them."""
         self.count += 1
         path = f"{self.path}/{self.count}-{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true" if free else before)
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
 

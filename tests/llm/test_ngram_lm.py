@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from fipsight.llm.eliasfano import EliasFano, encode
-from fipsight.llm.ngram_lm import MU, score_documents
+from fipsight.llm import ngram_lm
+from fipsight.llm.ngram_lm import MU, Frequent, _gram_order, pack_grams, score_documents, unpack_grams
 from fipsight.llm.ngram_trie import NgramTrie, quantise, restore
 
 
@@ -108,6 +109,44 @@ def test_trie_equals_a_dictionary(order):
     assert NgramTrie([np.zeros(0, np.uint64)] * order, code[:0]).find([words] * order).sum() == 0
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_grams_round_trip(order):
+    rng = np.random.default_rng(order)
+    for top, n in ((4, 50), (70000, 5000), (2 ** 40, 300), (1, 1)):
+        grams = np.unique(rng.integers(0, top, (n, order)), axis=0)
+        got = unpack_grams(pack_grams(list(grams.T)), order)
+        assert (np.stack(got, axis=1) == grams).all()
+    assert [len(g) for g in unpack_grams(pack_grams([np.zeros(0, np.int64)] * order), order)] == [0] * order
+
+
+def test_gram_order_beyond_one_key():
+    grams = list(np.random.default_rng(0).integers(0, 9, (3, 400)))
+    assert (_gram_order(grams, 9) == _gram_order(grams, 1 << 30)).all()
+
+
+def test_numbers_of_frequent_words():
+    words = np.array([3, 8, 9], np.uint64)
+    f = Frequent(words, np.array([2, 0, 1]))
+    assert f.numbers(np.array([9, 1, 8, 10, 3], np.uint64)).tolist() == [1, 3, 0, 3, 2]
+
+
+@pytest.mark.parametrize("frequent", [0, 50])
+def test_few_or_no_frequent_words_and_many_shards(spark, sf, frequent, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = {r.doc_id: r.score for r in score_documents(docs, order=3).collect()}
+    monkeypatch.setattr(ngram_lm, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 5000)
+    got = {r.doc_id: r.score for r in score_documents(docs, block_bytes=60_000, order=3).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+
+
+def test_cleanup_setting_is_restored(spark, odd_docs):
+    from fipsight.llm.store import CLEANUP
+    before = spark.conf.get(CLEANUP)
+    score_documents(odd_docs)
+    assert spark.conf.get(CLEANUP) == before
+
+
 def test_quantised_counts():
     c = np.concatenate([np.arange(40000), 10 ** np.arange(5, 13)])
     r = restore(quantise(c))
