@@ -43,9 +43,11 @@ def sq_dist(Qc: np.ndarray, Tm: np.ndarray, base: np.ndarray | None = None) -> n
     """Squared Euclidean distances, dimensions added in column order onto ``base`` (zeros when
     omitted), so a prefix's matrix extended by one column equals the full computation."""
     D = np.zeros((len(Qc), len(Tm))) if base is None else base.copy()
+    diff = np.empty_like(D)
     for j in range(Qc.shape[1]):
-        diff = Qc[:, j][:, None] - Tm[:, j][None, :]
-        D += diff * diff
+        np.subtract(Qc[:, j][:, None], Tm[:, j][None, :], out=diff)
+        np.multiply(diff, diff, out=diff)
+        D += diff
     return D
 
 
@@ -79,6 +81,19 @@ def nearest_from_distances(D: np.ndarray, qf: np.ndarray, tf: np.ndarray, tids:
     return r[keep], c[keep], d[keep]
 
 
+def nearest_in_order(D: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(column, distance) of the ``k`` smallest entries of every row of ``D``, which is overwritten; equal
+    ones go to the smaller column (put columns in id order), and what is not finite is an infinite distance.
+    For a small ``k``: one pass over ``D`` for each."""
+    rows, kk = np.arange(len(D)), min(k, D.shape[1])
+    at, dist = np.zeros((len(D), k), np.int64), np.full((len(D), k), np.inf)
+    for j in range(kk):
+        at[:, j] = c = D.argmin(1)
+        dist[:, j] = D[rows, c]
+        D[rows, c] = np.inf
+    return at, dist
+
+
 def _matrix(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from fipsight.operators.rollup import _keys, join_groups
 from fipsight.session import ensure_checkpoint_dir
 
-HELD_ROWS = 200_000  # counted values of a column that a task holds before it cuts them to the capacity
+HELD_ROWS = 200_000  # rows that a task counts before it cuts their values to the capacity; counters of half as many stay
 
 
 def _sum(table: pa.Table, by: list[str]) -> pa.Table:
@@ -83,41 +83,54 @@ def value_summaries(df: DataFrame, keys, features: Sequence[str], capacity: int)
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = [None] * len(features)
+        held: list = [[] for _ in features]
         taken: list = [[] for _ in features]
-        sizes = None
+        sizes: list = []
+        waiting = 0  # rows since the last cut
 
-        def cut(i: int) -> None:
-            held[i], off = _cut(_sum(held[i], [*own, "value"]), own, capacity)
+        def cut(i: int) -> int:
+            kept, off = _cut(_sum(pa.concat_tables(held[i]), [*own, "value"]), own, capacity)
+            held[i] = [kept]
             if off is not None:
                 taken[i].append(off)
+            return len(kept)
+
+        def given() -> Iterator[pa.RecordBatch]:
+            for i in range(len(features)):
+                kept = held[i][0]
+                parts = [(False, kept.column("value"), kept.column("c"), 0, 0, kept)]
+                parts += [(True, None, 0, t.column("c"), 0, t) for t in taken[i]] + [(True, None, 0, 0, sizes[0].column("c"), sizes[0])]
+                for total, value, low, err, n, t in parts:
+                    m = len(t)
+                    full = lambda x: pa.array(np.zeros(m, np.int64)) if isinstance(x, int) else x
+                    cells = [pa.array(np.full(m, i, np.int32)), pa.array(np.full(m, total)),
+                             pa.nulls(m, pa.float64()) if value is None else value, full(low), full(err), full(n)]
+                    yield from pa.table([t.column(o) for o in own] + cells, names).to_batches(max_chunksize=50_000)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
             one = pa.array(np.ones(len(table), np.int64))
-            count = _sum(table.select(own).append_column("c", one), own)
-            sizes = count if sizes is None else _sum(pa.concat_tables([sizes, count]), own)
+            sizes.append(_sum(table.select(own).append_column("c", one), own))
             for i in range(len(features)):
                 v = table.column(f"_v{i}")
                 v = pc.if_else(pc.equal(v, 0.0), 0.0, v)  # -0.0 is 0.0
-                got = _sum(table.select(own).append_column("value", v).append_column("c", one), [*own, "value"])
-                held[i] = got if held[i] is None else pa.concat_tables([held[i], got])
-                if len(held[i]) > HELD_ROWS:
-                    cut(i)
-        if sizes is None:
-            return
-        for i in range(len(features)):
-            cut(i)
-            parts = [(False, held[i].column("value"), held[i].column("c"), 0, 0, held[i])]
-            parts += [(True, None, 0, t.column("c"), 0, t) for t in taken[i]] + [(True, None, 0, 0, sizes.column("c"), sizes)]
-            for total, value, low, err, n, t in parts:
-                m = len(t)
-                full = lambda x: pa.array(np.zeros(m, np.int64)) if isinstance(x, int) else x
-                cells = [pa.array(np.full(m, i, np.int32)), pa.array(np.full(m, total)),
-                         pa.nulls(m, pa.float64()) if value is None else value, full(low), full(err), full(n)]
-                yield from pa.table([t.column(o) for o in own] + cells, names).to_batches(max_chunksize=50_000)
+                held[i].append(_sum(table.select(own).append_column("value", v).append_column("c", one), [*own, "value"]))
+            waiting += len(table)
+            if waiting >= HELD_ROWS:
+                waiting = 0
+                sizes = [_sum(pa.concat_tables(sizes), own)]
+                # many groups: their counters leave the task, which starts again, so that no row is summed
+                # again with every batch; summaries merge by adding
+                if max([cut(i) for i in range(len(features))]) + len(sizes[0]) > HELD_ROWS // 2:
+                    yield from given()
+                    held, taken, sizes = [[] for _ in features], [[] for _ in features], []
+        if sizes:
+            sizes = [_sum(pa.concat_tables(sizes), own)]
+            for i in range(len(features)):
+                cut(i)
+            yield from given()
 
     merged = rows.mapInArrow(run, schema).groupBy(*own, "_fi", "_total", "value").agg(
         F.sum("low").alias("low"), F.sum("err").alias("err"), F.sum("n").alias("n"))

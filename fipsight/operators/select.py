@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fipsight.operators.cells import nearest_from_distances, neighbour_tiles, sq_dist
+from fipsight.operators.cells import nearest_from_distances, nearest_in_order, neighbour_tiles, sq_dist
 from fipsight.operators.moments import Moments, correlations, map_moment_groups
 from fipsight.operators.rollup import _keys, join_groups
-from fipsight.operators.rounds import mean_score, search_large
+from fipsight.operators.rounds import mean_score, search_large, vote
 from fipsight.session import ensure_checkpoint_dir
 
 
@@ -349,21 +349,32 @@ def select_features(moments: DataFrame, keys, features: Sequence[str], target: s
 
 def _group_scorer(X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.ndarray, n_neighbors: int):
     """Function from feature positions to the mean fold accuracy in one group that fits a task. A
-    forward candidate's distances are those of the current subset plus one dimension."""
-    same_fold = fold[:, None] == fold[None, :]
+    forward candidate's distances are those of the current subset plus one dimension; rows of the same
+    fold are infinitely far from the start."""
+    order = np.argsort(ids, kind="stable")
+    X, labels = X[order], labels[order]
+    fold = np.unique(fold[order], return_inverse=True)[1]
+    barred = np.where(fold[:, None] == fold[None, :], np.inf, 0.0)
+    finite, D = bool(np.isfinite(X).all()), np.empty(barred.shape)
     prefix: dict[tuple, np.ndarray] = {}
 
     def score(idx: Sequence[int]) -> float:
         head = tuple(idx[:-1])
         if head not in prefix:
             prefix.clear()
-            prefix[head] = sq_dist(X[:, list(head)], X[:, list(head)])
-        last = X[:, list(idx[-1:])]
-        r, c, _ = nearest_from_distances(sq_dist(last, last, base=prefix[head]), fold, fold, ids,
-                                          n_neighbors, same_fold=same_fold, inplace=True)
-        pred, voted = _majority(r, labels[c], len(X))
-        right = pred == labels
-        return mean_score([float(right[voted & (fold == f)].mean()) for f in np.unique(fold[voted])])
+            prefix[head] = sq_dist(X[:, list(head)], X[:, list(head)], base=barred)
+        last = np.ascontiguousarray(X[:, idx[-1]])
+        np.subtract.outer(last, last, out=D)
+        np.multiply(D, D, out=D)
+        np.add(D, prefix[head], out=D)
+        if not finite:
+            D[np.isnan(D)] = np.inf
+        at, dist = nearest_in_order(D, n_neighbors)
+        near = np.isfinite(dist)
+        voted = near.any(1)
+        right = (vote(labels[at], near) == labels) & voted
+        n, n_right = np.bincount(fold[voted]), np.bincount(fold[right], minlength=fold.max() + 1)
+        return mean_score([float(n_right[f] / n[f]) for f in np.flatnonzero(n)])
 
     return score
 
