@@ -1,10 +1,9 @@
 """Floating feature selection by k-NN accuracy in groups that are too large for one task: one job a round.
 
 A round scores, for every group still searching, all subsets that its next decision may need: the current
-subset with one more feature (each) and with one feature less (each but the last added). A tile (query block
-x train block) makes the distance block of the current subset once, and each candidate adds one dimension to
-it (or leaves one out), so points are not copied for each candidate. Dropping is decided before adding,
-both from the same round; a round in which a feature is dropped wastes the other half.
+subset with one more feature (each) and with one feature less (each but the last added). Every subset's
+neighbours are found by boxes of a k-d tree (``boxes``), so a round's work follows the rows. Dropping is decided
+before adding, both from the same round; a round in which a feature is dropped wastes the other half.
 """
 
 from __future__ import annotations
@@ -13,20 +12,16 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fipsight.operators.cells import nearest_from_distances, sq_dist
+from fipsight.operators.boxes import box_rows, site_fold_counts
 from fipsight.operators.moments import map_groups
 from fipsight.operators.rollup import join_groups
 
 _BEST = "array<struct<size: int, score: double, subset: array<int>>>"
 _STATE = f"pool array<int>, subset array<int>, added int, done boolean, best {_BEST}"
-_NEAR = "qid long, qlabel long, qfold int, part long, cands array<int>, dist array<double>, tid array<long>, tlabel array<long>"
-_COUNTS = "cand int, fold int, n_test long, n_correct long"
-_KIND = {"cands": np.int32, "dist": np.float64, "tid": np.int64, "tlabel": np.int64}
 
 
 def candidates(pool: Sequence[int], subset: Sequence[int], added: int, k: int) -> dict[int, list[int]]:
@@ -72,80 +67,17 @@ def vote(labels: np.ndarray, valid: np.ndarray) -> np.ndarray:
     return np.where(votes == votes.max(-1, keepdims=True), labels, np.iinfo(np.int64).max).min(-1)
 
 
-def _points(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(features, fold, id, label) of the rows of a tile."""
-    x = np.asarray(table.column("x").combine_chunks().flatten(), np.float64).reshape(table.num_rows, -1)
-    return x, *(np.asarray(table.column(c).to_numpy(), np.int64) for c in ("fold", "id", "label"))
-
-
 def round_counts(points: DataFrame, state: DataFrame, group: list[str], k: int, n_neighbors: int,
                  block_rows: int) -> DataFrame:
-    """(group, cand, fold, n_test, n_correct) of every candidate of the groups in ``state``.
-
-    A tile returns one row for each query, with its nearest for all candidates as flat lists; the tiles of a
-    query meet in parts of a query block, which stay of one size however many blocks there are."""
-    keys = [points.schema[c] for c in group]
-    blocks = F.ceil(F.col("_gn") / F.lit(block_rows)).cast("int")
-    told = state.select(*group, "_gn", "pool", "subset", "added")
-    active = join_groups(points, state.select(*group), group, "left_semi").withColumn("_nb", blocks)
-    active = active.withColumn("_blk", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("_nb") - 1)
-    row = ["_nb", "id", "label", "fold", "x"]
-    queries = active.select(*group, F.col("_blk").alias("_qb"), F.explode(others).alias("_tb"), F.lit(0).alias("_role"), *row)
-    trains = active.select(*group, F.explode(others).alias("_qb"), F.col("_blk").alias("_tb"), F.lit(1).alias("_role"), *row)
-    told = told.withColumn("_nb", blocks).withColumn("_qb", F.explode(others)).withColumn("_tb", F.explode(others))
-    told = told.withColumn("_role", F.lit(2)).drop("_gn", "_nb")
-    tiles = queries.unionByName(trains).unionByName(told, allowMissingColumns=True)
-
-    def tile(table: pa.Table) -> pa.Table:
-        role = table.column("_role").to_numpy()
-        st = table.filter(pa.array(role == 2)).select(["pool", "subset", "added"]).to_pylist()[0]
-        subset, cands = st["subset"], candidates(st["pool"], st["subset"], st["added"], k)
-        q, t = (table.filter(pa.array(role == r)).combine_chunks() for r in (0, 1))
-        n = q.num_rows
-        made = {"dist": np.full((n, len(cands), n_neighbors), np.inf)}
-        made |= {c: np.zeros(made["dist"].shape, np.int64) for c in ("tid", "tlabel")}
-        if n and t.num_rows:
-            (X, fold, *_), (Y, tfold, ids, labels) = _points(q), _points(t)
-            same_fold = fold[:, None] == tfold[None, :]
-            base = sq_dist(X[:, subset], Y[:, subset])
-            for j, idx in enumerate(cands.values()):
-                grown = len(idx) > len(subset)
-                D = sq_dist(X[:, idx[-1:]], Y[:, idx[-1:]], base=base) if grown else sq_dist(X[:, idx], Y[:, idx])
-                r, c, d = nearest_from_distances(D, fold, tfold, ids, n_neighbors, same_fold=same_fold, inplace=True)
-                rank = np.arange(len(r)) - np.searchsorted(r, r)
-                made["dist"][r, j, rank], made["tid"][r, j, rank], made["tlabel"][r, j, rank] = d, ids[c], labels[c]
-        made = {"cands": np.tile(np.array(list(cands), np.int32), n)} | made
-        subs = max(1, -(-int(q.column("_nb")[0].as_py()) // 16)) if n else 1
-        part = (int(table.column("_qb")[0].as_py()) * subs + np.mod(q.column("id").to_numpy(), subs)).astype(np.int64)
-        lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (v.size // n if n else 0)),
-                                          pa.array(v.ravel().astype(_KIND[x]))) for x, v in made.items()]
-        return pa.table([*(q.column(c) for c in [*group, "id", "label", "fold"]), pa.array(part), *lists],
-                        [*group, "qid", "qlabel", "qfold", "part", *made])
-
-    def merge(table: pa.Table) -> pa.Table:
-        table = table.sort_by("qid").combine_chunks()
-        qid = table.column("qid").to_numpy()
-        first = np.flatnonzero(np.append(True, qid[1:] != qid[:-1]))  # each query has a row from every tile
-        cands = table.column("cands")[0].as_py()
-        shape = (len(first), len(qid) // len(first), len(cands), n_neighbors)
-        dist, tid, label = (np.asarray(table.column(c).combine_chunks().flatten()).reshape(shape).transpose(0, 2, 1, 3)
-                            .reshape(shape[0], shape[2], -1) for c in ("dist", "tid", "tlabel"))
-        order = np.lexsort((tid, dist), axis=-1)[..., :n_neighbors]
-        valid = np.isfinite(np.take_along_axis(dist, order, -1))
-        said = vote(np.take_along_axis(label, order, -1), valid)
-        qlabel, qfold = (table.column(c).to_numpy()[first] for c in ("qlabel", "qfold"))
-        voted = valid.any(-1)
-        right = (said == qlabel[:, None]) & voted
-        out = [(c, int(f), int(voted[qfold == f, j].sum()), int(right[qfold == f, j].sum()))
-               for f in np.unique(qfold) for j, c in enumerate(cands)]
-        own = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
-        zero = pa.array(np.zeros(len(out), np.int64))
-        return pa.table([*(table.column(c).take(zero) for c in group), *own], [*group, "cand", "fold", "n_test", "n_correct"])
-
-    near = tiles.groupBy(*group, "_qb", "_tb").applyInArrow(tile, T.StructType(keys + T.StructType.fromDDL(_NEAR).fields))
-    counts = near.groupBy(*group, "part").applyInArrow(merge, T.StructType(keys + T.StructType.fromDDL(_COUNTS).fields))
-    return counts.groupBy(*group, "cand", "fold").agg(F.sum("n_test").alias("n_test"), F.sum("n_correct").alias("n_correct"))
+    """(group, cand, fold, n_test, n_correct) of every candidate of the groups in ``state``: each candidate
+    is a group of its own, of the points' chosen features."""
+    def each(row: dict) -> list[tuple]:
+        return [(c, idx) for c, idx in candidates(row["pool"], row["subset"], row["added"], k).items()]
+
+    chosen = map_groups(state.select(*group, "pool", "subset", "added"), group, each, T.StructType.fromDDL("cand int, idx array<int>").fields)
+    rows = join_groups(points, chosen, group).select(
+        *group, "cand", "id", "label", "fold", F.transform("idx", lambda i: F.get("x", i)).alias("vec"))
+    return site_fold_counts(rows, [*group, "cand"], n_neighbors, box_rows(block_rows))
 
 
 def search_large(points: DataFrame, groups: DataFrame, group: list[str], k: int, n_neighbors: int,
