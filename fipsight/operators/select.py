@@ -3,7 +3,9 @@
 Scale notes
 * Ranks inside a group (for stratified folds) come from a range-partitioned sort plus
   per-partition offsets, so a hot group is spread over many tasks instead of one window task.
-* Exact k-nearest neighbours are found tile by tile: a group's points are split into cells around
+* Exact k-nearest neighbours in few dimensions are found by boxes of a k-d tree (``boxes``), so the work
+  follows the rows of a group, not their square.
+* In more dimensions they are found tile by tile: a group's points are split into cells around
   pivots, distance bounds say which points may be neighbours of a cell's queries (``cells``), and each
   tile of queries and such points (about ``2 * block_rows`` rows) is one pandas task that emits only
   the ``k`` best candidates per query point; the candidates of all tiles are merged per query point.
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fipsight.operators.boxes import MOST_DIMS, box_rows, site_fold_counts, site_neighbours
 from fipsight.operators.cells import nearest_from_distances, nearest_in_order, neighbour_tiles, sq_dist
 from fipsight.operators.moments import Moments, correlations, map_moment_groups
 from fipsight.operators.rollup import _keys, join_groups
@@ -115,15 +118,25 @@ _CAND_FIELDS = [T.StructField("qid", T.LongType()), T.StructField("qlabel", T.Lo
                 T.StructField("tlabel", T.LongType()), T.StructField("dist", T.DoubleType())]
 
 
+def _dimensions(points: DataFrame) -> int:
+    first = points.select(F.size("vec").alias("n")).first()
+    return first.n if first else 0
+
+
 def knn_candidates(points: DataFrame, group, k: int = 5, block_rows: int = 1024,
                    chunk: int = 4096) -> DataFrame:
     """For every point, its ``k`` nearest points of the same group in other folds.
 
     ``points``: ``(group..., id long, label long, fold int, vec array<double>)``. Distance is
     squared Euclidean; ties are broken by the smaller id. Returns one row per (query, neighbour).
-    Distance bounds leave out what cannot be near (``cells``).
+    Distance bounds leave out what cannot be near (``boxes`` in few dimensions, else ``cells``).
     """
     g = _keys(group)
+    if _dimensions(points) <= MOST_DIMS:
+        near = site_neighbours(points, g, k, box_rows(block_rows))
+        rows = join_groups(points, near, [*g, "fold", "vec"]).withColumn("_near", F.explode("near"))
+        return rows.select(*g, F.col("id").alias("qid"), F.col("label").alias("qlabel"), F.col("fold").alias("qfold"),
+                           F.col("_near.tid").alias("tid"), F.col("_near.tlabel").alias("tlabel"), F.col("_near.dist").alias("dist"))
     tiles = neighbour_tiles(points, g, k, block_rows)
     key_fields = [points.schema[c] for c in g]
     schema = T.StructType(key_fields + _CAND_FIELDS)
@@ -190,6 +203,8 @@ def knn_fold_counts(points: DataFrame, group, k: int = 5, block_rows: int = 1024
     small_counts = small.groupBy(*g).applyInPandas(whole_group, schema)
     if big is None:
         return small_counts
+    if _dimensions(big) <= MOST_DIMS:
+        return small_counts.unionByName(site_fold_counts(big, g, k, box_rows(block_rows)))
     cand = knn_candidates(big, g, k=k, block_rows=block_rows)
     votes = cand.groupBy(*g, "qid", "qlabel", "qfold", "tlabel").agg(F.count(F.lit(1)).alias("c"))
     wv = Window.partitionBy(*g, "qid").orderBy(F.desc("c"), "tlabel")
