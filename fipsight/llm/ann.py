@@ -10,6 +10,8 @@ new member), and each node keeps its ``degree`` best. A hub's reverse neighbours
 they meet, so no group grows with the data. An edge stays new in a direction until it was in that
 direction's sample. Rounds end when few edges are new.
 
+Rows are dealt by key without a number of partitions, so that Spark joins small ones into few tasks.
+
 A search starts at given nodes, expands the best unexpanded nodes of every query's list through the
 graph's edges and each node's ``degree`` best reverse edges in rounds of joins, and ends when each
 list's best nodes are all expanded.
@@ -67,7 +69,7 @@ def _binary_rows(m: np.ndarray) -> pa.Array:
                                                        pa.py_buffer(np.ascontiguousarray(m).tobytes())])
 
 
-def best_edges(rows: DataFrame, most: int, parts: int) -> DataFrame:
+def best_edges(rows: DataFrame, most: int) -> DataFrame:
     """The ``most`` best (sim, then smaller nbr) edges of each node; of a repeated edge the old one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, _ in whole_groups(batches):
@@ -80,7 +82,7 @@ def best_edges(rows: DataFrame, most: int, parts: int) -> DataFrame:
             n = node[order]
             order = order[first_of_groups(np.flatnonzero(np.append(True, n[1:] != n[:-1])), len(n), most)]
             yield from table.take(pa.array(order)).combine_chunks().to_batches()
-    return rows.repartition(parts, "node").sortWithinPartitions("node").mapInArrow(run, rows.schema)
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, rows.schema)
 
 
 FORWARD, REVERSE = 1, 2  # bits of ``fresh``: the edge has not been introduced at its node, at its neighbour
@@ -92,7 +94,7 @@ def _edges(node, nbr, sim) -> pa.RecordBatch:
                                        pa.array(np.full(len(node), FORWARD | REVERSE, np.int32))], ["node", "nbr", "sim", "fresh"])
 
 
-def leaf_edges(nodes: DataFrame, count: int, size: int, parts: int, degree: int, seed: int = 1) -> DataFrame:
+def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, seed: int = 1) -> DataFrame:
     """Edges by brute force inside the leaves of random hyperplane trees."""
     bits = max(0, int(np.ceil(np.log2(max(1, count) / (LEAF / 2)))))
     planes = np.random.default_rng(seed).normal(size=(TREES, bits, size)).astype(np.float32)
@@ -123,7 +125,7 @@ def leaf_edges(nodes: DataFrame, count: int, size: int, parts: int, degree: int,
     sizes = coded.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF).alias("pieces"))
     dealt = coded.join(sizes, "leaf").withColumn("piece", F.pmod(F.xxhash64("node", "leaf"), F.col("pieces")))
     dealt = dealt.select(F.xxhash64("leaf", "piece").alias("leaf"), "node", "vec")
-    return dealt.repartition(parts, "leaf").sortWithinPartitions("leaf").mapInArrow(brute, EDGE)
+    return dealt.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(brute, EDGE)
 
 
 def sampled(edges: DataFrame, turn: int) -> DataFrame:
@@ -148,7 +150,7 @@ def aged(edges: DataFrame, met: DataFrame) -> DataFrame:
     return edges.join(used, ["node", "nbr"], "left").select("node", "nbr", "sim", left.alias("fresh"))
 
 
-def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
+def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
     """New edges between neighbours of one node (``met``) that are better than what they have."""
     worst = edges.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n"))
     worst = worst.select("node", F.when(F.col("n") >= DEGREE, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
@@ -172,7 +174,7 @@ def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame, parts: int) -
             if out:
                 yield _edges(*(np.concatenate(c) for c in zip(*out)))
 
-    return full.repartition(parts, "hub").sortWithinPartitions("hub").mapInArrow(run, EDGE)
+    return full.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, EDGE)
 
 
 def both_ways(edges: DataFrame, degree: int) -> DataFrame:
@@ -190,7 +192,6 @@ class Graph:
                  rounds: int = 30, least_change: float = 0.02):
         spark = rows.sparkSession
         self.folder = Folder(spark, "ann")
-        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         v = self.folder.keep(usable_vectors(rows, id_col, vec_col), "vectors")
         first = v.groupBy("vec").agg(F.min("vec_id").alias("node"))
         top = v.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)), F.max(F.size("vec"))).first()
@@ -198,12 +199,11 @@ class Graph:
         self.nodes = self.folder.keep(first.mapInArrow(_extended(largest), "node long, vec binary"), "nodes")
         self.members = self.folder.keep(v.join(first, "vec").select("node", "vec_id", "vec"), "members")
         count = self.nodes.count()
-        edges = self.folder.keep(best_edges(leaf_edges(self.nodes, count, size + 1, self.parts, degree), degree,
-                                            self.parts), "edges")
+        edges = self.folder.keep(best_edges(leaf_edges(self.nodes, count, size + 1, degree), degree), "edges")
         for turn in range(rounds if count else 0):
             met = self.folder.keep(sampled(edges, turn), "met")
-            known = aged(edges, met).unionByName(introduced(edges, met, self.nodes, self.parts))
-            edges = self.folder.keep(best_edges(known, degree, self.parts), "edges")
+            known = aged(edges, met).unionByName(introduced(edges, met, self.nodes))
+            edges = self.folder.keep(best_edges(known, degree), "edges")
             if edges.where("fresh > 0").count() < least_change * degree * count:
                 break
         self.edges = self.folder.keep(both_ways(edges, degree), "both")
@@ -249,7 +249,7 @@ class Graph:
             steps = open_.join(self.edges, "node").select("query_id", F.col("nbr").alias("node")).distinct()
             steps = steps.join(found, ["query_id", "node"], "left_anti")
             grown = found.withColumn("expanded", F.lit(1)).unionByName(measured(steps))
-            found = self.folder.keep(grown.repartition(self.parts, "query_id").sortWithinPartitions("query_id")
+            found = self.folder.keep(grown.repartition("query_id").sortWithinPartitions("query_id")
                                      .mapInArrow(keep, schema), "found")
             if found.where("expanded = 0").isEmpty():
                 return found
