@@ -274,13 +274,18 @@ def q_json_flatten_nested(spark, d):
     """Documents with a record path, nested objects, arrays of differing length, and a member that is a number,
     a text or an object; one document an order, one row a record."""
     li = table(spark, d, "lineitem")
-    mixed = (F.when(F.col("l_linenumber") % 3 == 0, F.col("l_suppkey").cast("string"))
+    def whole(c):
+        return F.coalesce(F.col(c).cast("bigint").cast("string"), F.lit("null"))
+
+    number, supplier = whole("l_linenumber"), whole("l_suppkey")
+    mixed = (F.when(F.col("l_linenumber") % 3 == 0, supplier)
              .when(F.col("l_linenumber") % 3 == 1, F.lit('"none"'))
-             .otherwise(F.format_string('{"in": %d}', "l_suppkey")))
+             .otherwise(F.concat(F.lit('{"in": '), supplier, F.lit("}"))))
     flags = F.when(F.col("l_linenumber") > 2, F.array("l_returnflag", "l_linestatus")).otherwise(F.array("l_returnflag"))
-    record = F.format_string('{"key": %d, "line": {"no": %d, "deep": {"qty": %d}}, "flags": %s, "mixed": %s, "empty": []}',
-                             "l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint"), F.to_json(flags), mixed)
-    docs = li.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_join(F.collect_list(record), ",").alias("r"))
+    record = F.concat(F.lit('{"key": '), whole("l_orderkey"), F.lit(', "line": {"no": '), number, F.lit(', "deep": {"qty": '),
+                      whole("l_quantity"), F.lit('}}, "flags": '), F.to_json(flags), F.lit(', "mixed": '), mixed,
+                      F.lit(', "empty": []}'))
+    docs = li.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("id")).agg(F.array_join(F.collect_list(record), ",").alias("r"))
     docs = docs.select("id", F.concat(F.lit('{"value": ['), "r", F.lit("]}")).alias("doc"))
     return flatten_json(docs, "doc", keep=["id"], record_path="$.value")
 

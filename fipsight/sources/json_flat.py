@@ -10,8 +10,9 @@ object in another gives ``@a`` for the first and ``@a@c`` for the second.
 any length is rows, never columns. ``flatten_json`` gives one column per leaf name (the union over
 all documents), so it suits documents with a bounded set of names.
 
-``flatten_json`` finds the names in one pass: every task walks its documents and keeps the set of (name,
-path, kind of value) it has met, the sets are merged by one aggregate, and the rows are then a projection
+``flatten_json`` finds the names in one pass: every task decodes its documents to shapes (member names and
+kinds of values), walks each shape that it does not know yet and keeps the set of (name, path, kind of
+value) it has met; the sets are merged by one aggregate, and the rows are then a projection
 of the VARIANT documents. ``flatten_json_long`` explodes the VARIANT documents one nesting level at a time;
 a small job per level finds out whether a further level exists.
 """
@@ -30,30 +31,58 @@ from pyspark.sql import functions as F
 MOST_COLUMNS = 20_000
 
 
+KNOWN_SHAPES = 10_000  # that a task remembers
+
+
 class _Number(str):
-    """A number as it is written."""
+    """The first number of its kind, as it is written."""
 
 
 def _no_constant(name: str):
     raise ValueError(name)
 
 
-def _members(pairs: list) -> dict:
+def _shape(value):
+    """What decides the names and types below a value: the keys and shapes of members, those of elements
+    after None, any text as the empty one."""
+    if type(value) is str:
+        return ""
+    return (None, *map(_shape, value)) if type(value) is list else value
+
+
+def _members(pairs: list) -> tuple:
     out = dict(pairs)
     if len(out) < len(pairs):
         raise ValueError("a member name twice")
-    return out
+    for key, value in pairs:
+        kind = type(value)
+        if kind is str:
+            out[key] = ""
+        elif kind is list:
+            out[key] = _shape(value)
+    return (*out, *out.values())
 
 
 def _decoder() -> json.JSONDecoder:
-    return json.JSONDecoder(parse_int=_Number, parse_float=_Number, parse_constant=_no_constant, object_pairs_hook=_members)
+    """A decoder to shapes; an object is a tuple of its keys, then of their values."""
+    whole, other = {}, {}
+
+    def integer(text: str) -> _Number:
+        size = 0 if text == "0" or text == "-0" else len(text) - (text[0] == "-")
+        found = whole.get(size)
+        return whole.setdefault(size, _Number(text)) if found is None else found
+
+    def decimal(text: str) -> _Number:
+        return other.setdefault(_kind_of(_Number(text)), _Number(text))
+
+    return json.JSONDecoder(parse_int=integer, parse_float=decimal, parse_constant=_no_constant, object_pairs_hook=_members)
 
 
 def _parse(text: str | None, decoder: json.JSONDecoder):
-    """(document, True) or (None, False) for text that is no JSON (as the VARIANT parser sees it, which
+    """(shape, True) or (None, False) for text that is no JSON (as the VARIANT parser sees it, which
     does not look behind the document)."""
     try:
-        return decoder.raw_decode(text.lstrip(" \t\r\n"))[0], True
+        return _shape(decoder.raw_decode(text.lstrip(" \t\r\n"))[0]), True
     except (ValueError, AttributeError, RecursionError):
         return None, False
 
@@ -66,60 +95,79 @@ def _path_steps(path: str) -> list:
     return steps
 
 
-def _records(doc, steps: list) -> list:
-    """Elements of the array at a path; none if it is not there."""
+def _is_array(shape) -> bool:
+    return type(shape) is tuple and shape[:1] == (None,)
+
+
+def _pairs(shape: tuple) -> zip:
+    return zip(shape[:len(shape) // 2], shape[len(shape) // 2:])
+
+
+def _records(doc, steps: list) -> tuple:
+    """Shapes of the elements of the array at a path; none if it is not there."""
     for s in steps:
-        if isinstance(s, int) and isinstance(doc, list) and s < len(doc):
-            doc = doc[s]
-        elif not isinstance(s, int) and isinstance(doc, dict) and s in doc:
-            doc = doc[s]
+        if isinstance(s, int) and _is_array(doc) and s < len(doc) - 1:
+            doc = doc[s + 1]
+        elif not isinstance(s, int) and type(doc) is tuple and not _is_array(doc) and s in doc[:len(doc) // 2]:
+            doc = dict(_pairs(doc))[s]
         else:
-            return []
-    return doc if isinstance(doc, list) else []
+            return ()
+    return doc[1:] if _is_array(doc) else ()
 
 
 def _kind_of(value) -> tuple:
     """What decides a value's type: values of equal kind have equal types."""
     if isinstance(value, _Number):
         digits = re.sub(r"^-|\.", "", value.lower().partition("e")[0])
-        return "number", "e" in value.lower(), len(digits.lstrip("0")), len(value.partition(".")[2]), "." in value
+        end = len(digits.rstrip("0")) if "." in value else 0  # zeros at the end of a fraction are no digits of its type
+        return "number", "e" in value.lower(), len(digits), len(digits.lstrip("0")), end, len(value.partition(".")[2]), "." in value
     return (type(value).__name__,)
 
 
-def _walk(value, name: str, path: str | None, within_array: bool, sep: str, found: dict) -> None:
-    """Note an example of each (name, path, kind) of the leaves below ``value``."""
-    if isinstance(value, dict):
-        for key, v in value.items():
+def _walk(shape, name: str, path: str | None, within_array: bool, sep: str, found: dict) -> None:
+    """Note an example of each (name, path, kind) of the leaves below a shape; None for a value that has
+    names of its own."""
+    if _is_array(shape) and not within_array:
+        found[name, path, "nested"] = None
+        for i, v in enumerate(shape[1:]):
+            _walk(v, f"{name}{i}", None if path is None else f"{path}[{i}]", True, sep, found)
+    elif type(shape) is tuple and not _is_array(shape):
+        found[name, path, "nested"] = None
+        for key, v in _pairs(shape):
             quote = "'" if "'" not in key else '"' if '"' not in key else None
             _walk(v, name + sep + key, None if path is None or quote is None else f"{path}[{quote}{key}{quote}]", False, sep, found)
-    elif isinstance(value, list) and not within_array:
-        for i, v in enumerate(value):
-            _walk(v, f"{name}{i}", None if path is None else f"{path}[{i}]", True, sep, found)
     elif name:
-        at = (name, path, _kind_of(value))
+        at = (name, path, _kind_of(shape))
         if at not in found:
-            found[at] = value if isinstance(value, _Number) else json.dumps(value if not isinstance(value, list) else [])
+            found[at] = shape if isinstance(shape, _Number) else "[]" if type(shape) is tuple else json.dumps(shape)
 
 
 def json_names(df: DataFrame, col: str, sep: str, prefix: str, record_path: str | None) -> DataFrame:
-    """Distinct ``(name, path, example)`` of the leaves of all documents, an example of each kind of value."""
+    """Distinct ``(name, path, type, nested)`` of the leaves of all documents; ``nested``: in some document
+    the path holds a value with names of its own. A document is walked only if its shape is not known."""
     steps = _path_steps(record_path) if record_path else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, decoder = {}, _decoder()
+        found, known, decoder = {}, set(), _decoder()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 doc, ok = _parse(text, decoder)
                 if ok:
-                    for d in [doc] if steps is None else _records(doc, steps):
-                        _walk(d, prefix, "$", False, sep, found)
+                    for d in (doc,) if steps is None else _records(doc, steps):
+                        if (at := (type(d), d)) not in known:  # True is no 1
+                            if len(known) >= KNOWN_SHAPES:
+                                known.clear()
+                            known.add(at)
+                            _walk(d, prefix, "$", False, sep, found)
         rows = [(name, path, example) for (name, path, _), example in found.items()]
         for i in range(0, len(rows), 10_000):
             part = rows[i:i + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], pa.string()) for j in range(3)], ["name", "path", "example"])
 
     each = df.select(F.col(col).cast("string")).mapInArrow(run, "name string, path string, example string")
-    return each.groupBy("name", "path").agg(F.schema_of_variant_agg(F.try_parse_json("example")).alias("type"))
+    return (each.groupBy("name", "path").agg(F.schema_of_variant_agg(F.try_parse_json("example")).alias("type"),
+                                             F.bool_or(F.col("example").isNull()).alias("nested"), F.count("example").alias("n"))
+            .where("n > 0").drop("n"))
 
 
 def _member_path(parent: Column, key: Column) -> Column:
@@ -197,21 +245,22 @@ def flatten_json(df: DataFrame, col: str, sep: str = "@", keep: Sequence[str] =
         raise ValueError(f"more than {MOST_COLUMNS} names; use flatten_json_long")
     if any(r.path is None for r in found):
         raise ValueError("a JSON member name holds both quote characters; it cannot be addressed by a variant path")
-    by_name: dict[str, list[tuple[str, str]]] = {}
+    by_name: dict[str, list[tuple[str, str, bool]]] = {}
     for r in found:
-        by_name.setdefault(r.name, []).append((r.path, r.type))
+        by_name.setdefault(r.name, []).append((r.path, r.type, r.nested))
     cols = []
     for name, places in by_name.items():
-        plain = len({t for _, t in places}) == 1 and places[0][1] not in ("VARIANT", "VOID") and \
+        plain = len({t for _, t, _ in places}) == 1 and places[0][1] not in ("VARIANT", "VOID") and \
             not places[0][1].startswith(("ARRAY", "OBJECT"))
         values = []
-        for path, kind in places:
+        for path, kind, nested in places:
             v = F.try_variant_get("_v", path, "variant")
-            # a document that holds an object here, or an array that is no array's element, has its own names for it
-            nested = ["OBJECT"] if re.search(r"\[\d+\]$", path) else ["OBJECT", "ARRAY"]
-            if plain and kind != "STRING":
-                values.append(F.try_variant_get("_v", path, kind))
-            else:
-                values.append(F.when(~_kind(v).isin(nested), F.try_variant_get("_v", path, kind) if plain else _text(v)))
+            element = re.search(r"\[\d+\]$", path) is not None
+            arrays = element and (kind == "VARIANT" or kind.startswith("ARRAY"))  # as leaves
+            got = _text(v) if arrays else F.try_variant_get("_v", path, kind if plain else "string")
+            if nested and (not plain or kind == "STRING"):
+                # a document that holds an object here, or an array that is no array's element, has its own names for it
+                got = F.when(~_kind(v).isin(["OBJECT"] if element else ["OBJECT", "ARRAY"]), got)
+            values.append(got)
         cols.append(F.coalesce(*values).alias(name))
     return base.select(*keep, *cols)

@@ -1,9 +1,13 @@
 """Names found in one pass against the rows of the long form, on random and malformed documents."""
 
+import contextlib
 import json
 import random
 from decimal import Decimal, InvalidOperation
 
+import pyarrow as pa
+
+from fipsight.sources import json_flat
 from fipsight.sources.json_flat import _path_steps, flatten_json, flatten_json_long
 
 
@@ -48,3 +52,31 @@ def test_a_record_path_below_members_and_no_records(spark):
     df = spark.createDataFrame([('{"r": {"items": [{"k": 1}, {"k": "x"}, 3]}}',), ('{"r": {"items": {"k": 9}}}',), ('{"r": 1}',)], "j string")
     assert sorted(str(x["@k"]) for x in flatten_json(df, "j", record_path="$.r.items").collect()) == ["1", "None", "x"]
     assert flatten_json(df.where("false"), "j").columns == []
+
+
+def test_a_known_shape_is_not_walked_again(spark, monkeypatch):
+    docs = [json.dumps({"v": [{"k": i, "t": f"text {i}", "l": [i, f"{i}"][:1 + i % 2]}, {"k": f"{i}"}]}) for i in range(2000)]
+    df = spark.createDataFrame([(d,) for d in docs], "j string")
+    held, walks = {}, []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, fn, schema: held.update(fn=fn) or (_ for _ in ()).throw(StopIteration()))
+    with contextlib.suppress(StopIteration, RuntimeError):
+        json_flat.json_names(df, "j", "@", "", "$.v")
+    monkeypatch.setattr(json_flat, "_walk", lambda *a, plain=json_flat._walk: (walks.append(a[1]), plain(*a))[1])
+    batches = [pa.RecordBatch.from_pydict({"j": docs[i:i + 100]}) for i in range(0, 2000, 100)]
+    names = {n for b in held["fn"](iter(batches)) for n, e in zip(b.column(0).to_pylist(), b.column(2).to_pylist()) if e is not None}
+    assert names == {"@k", "@t", "@l0", "@l1"}
+    assert walks.count("") < 20  # before: one for each of 4000 records
+
+
+def test_shapes_tell_members_elements_texts_and_numbers_apart(spark):
+    docs = ['{"a": {}, "b": [], "c": [[]], "d": true}', '{"a": "x", "b": "y", "c": [{}], "d": 1}', '{"a": "", "b": 2.50, "c": ["[]"], "d": 1e3}',
+            '{"a": ["a"], "b": {"b": 12345678901234567890}, "c": {"0": 1}, "d": null}', '{"a": "a", "b": -0, "c": [-12, [3]], "d": 0.05}']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs * 3)], "id long, j string")
+    got = {r.id % 5: r.asDict() for r in flatten_json(df, "j", keep=["id"]).collect()}
+    want = {(r.id % 5, r.name): r.value for r in flatten_json_long(df, "j", keep=["id"]).collect()}
+    assert {n for _, n in want} | {"id"} == set(got[0])
+    for (i, name), value in want.items():
+        assert got[i][name] == value or same(got[i][name], value), (i, name)
+    assert [got[i]["@a"] for i in range(5)] == [None, "x", "", None, "a"]
+    assert [got[i]["@c0"] for i in range(5)] == ["[]", None, "[]", None, "-12"]
+    assert sum(v is not None for r in got.values() for k, v in r.items() if k != "id") == sum(v is not None for v in want.values())
