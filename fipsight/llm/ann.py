@@ -10,7 +10,10 @@ new member), and each node keeps its ``degree`` best. A hub's reverse neighbours
 they meet, so no group grows with the data. An edge stays new in a direction until it was in that
 direction's sample. Rounds end when few edges are new.
 
-Rows are dealt by key without a number of partitions, so that Spark joins small ones into few tasks.
+A round of NN-descent deals rows four times: edges by hub, where samples are taken; the sampled members
+by node, where they get their vectors; these by hub, where pairs meet; the new edges, the old ones and the
+marks of what was introduced by node. A round of a search deals four times as well. Rows are dealt by key
+without a number of partitions, so that Spark joins small ones into few tasks.
 
 A search starts at given nodes, expands the best unexpanded nodes of every query's list through the
 graph's edges and each node's ``degree`` best reverse edges in rounds of joins, and ends when each
@@ -70,28 +73,33 @@ def _binary_rows(m: np.ndarray) -> pa.Array:
 
 
 def best_edges(rows: DataFrame, most: int) -> DataFrame:
-    """The ``most`` best (sim, then smaller nbr) edges of each node; of a repeated edge the old one."""
+    """The ``most`` best (sim, then smaller nbr) edges of each node; a repeated edge is new in the directions
+    in which all its rows are, so that a row of ``used`` ends it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, _ in whole_groups(batches):
             node, nbr = table.column("node").to_numpy(), table.column("nbr").to_numpy()
             sim, fresh = table.column("sim").to_numpy(), table.column("fresh").to_numpy()
-            order = np.lexsort((fresh, nbr, node))
-            same = np.append(False, (node[order][1:] == node[order][:-1]) & (nbr[order][1:] == nbr[order][:-1]))
-            order = order[~same]
-            order = order[np.lexsort((nbr[order], -sim[order], node[order]))]
+            order = np.lexsort((-sim, nbr, node))
+            node, nbr = node[order], nbr[order]
+            at = np.flatnonzero(np.append(True, (node[1:] != node[:-1]) | (nbr[1:] != nbr[:-1])))
+            node, nbr, sim, fresh = node[at], nbr[at], sim[order][at], np.bitwise_and.reduceat(fresh[order], at)
+            order = np.lexsort((nbr, -sim, node))
             n = node[order]
             order = order[first_of_groups(np.flatnonzero(np.append(True, n[1:] != n[:-1])), len(n), most)]
-            yield from table.take(pa.array(order)).combine_chunks().to_batches()
-    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, rows.schema)
+            yield pa.RecordBatch.from_arrays([pa.array(node[order], pa.int64()), pa.array(nbr[order], pa.int64()),
+                                              pa.array(sim[order], pa.float32()), pa.array(fresh[order], pa.int32())],
+                                             ["node", "nbr", "sim", "fresh"])
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, EDGE)
 
 
 FORWARD, REVERSE = 1, 2  # bits of ``fresh``: the edge has not been introduced at its node, at its neighbour
 EDGE = "node long, nbr long, sim float, fresh int"
 
 
-def _edges(node, nbr, sim) -> pa.RecordBatch:
+def _edges(node, nbr, sim, fresh=None) -> pa.RecordBatch:
+    fresh = np.full(len(node), FORWARD | REVERSE) if fresh is None else fresh
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(nbr, pa.int64()), pa.array(sim, pa.float32()),
-                                       pa.array(np.full(len(node), FORWARD | REVERSE, np.int32))], ["node", "nbr", "sim", "fresh"])
+                                       pa.array(fresh, pa.int32())], ["node", "nbr", "sim", "fresh"])
 
 
 def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, seed: int = 1) -> DataFrame:
@@ -131,36 +139,46 @@ def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, seed: int =
 def sampled(edges: DataFrame, turn: int) -> DataFrame:
     """hub, node, side, fresh (0/1): what each node introduces in a round, a sample, by the order of a
     hash, of its new and old neighbours in each direction."""
-    def some(mine: str, other: str, side: int) -> DataFrame:
-        near = edges.select(F.col(mine).alias("hub"), F.col(other).alias("node"), F.lit(side).alias("side"),
-                            (F.col("fresh").bitwiseAND(side) > 0).cast("int").alias("fresh"))
-        w = Window.partitionBy("hub", "fresh").orderBy(F.xxhash64("node", "hub", F.lit(turn)))
-        return near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= SAMPLE // 2).drop("r")
+    def end(mine: str, other: str, side: int):
+        return F.struct(F.col(mine).alias("hub"), F.col(other).alias("node"), F.lit(side).alias("side"),
+                        (F.col("fresh").bitwiseAND(side) > 0).cast("int").alias("fresh"))
 
-    return some("node", "nbr", FORWARD).unionByName(some("nbr", "node", REVERSE))
+    ends = edges.select(F.inline(F.array(end("node", "nbr", FORWARD), end("nbr", "node", REVERSE))))
+    w = Window.partitionBy("hub", "side", "fresh").orderBy(F.xxhash64("node", "hub", F.lit(turn)))
+    return ends.repartition("hub").withColumn("r", F.row_number().over(w)).where(F.col("r") <= SAMPLE // 2).drop("r")
+
+
+def _used(hub, node, sides) -> tuple:
+    """Rows node, nbr, sim, fresh that end the newness of edges in the directions ``sides`` (bits) in which
+    they were introduced at ``hub``; they are no edges of their own."""
+    ahead, back = (sides & FORWARD) > 0, (sides & REVERSE) > 0
+    return (np.concatenate([hub[ahead], node[back]]), np.concatenate([node[ahead], hub[back]]),
+            np.full(ahead.sum() + back.sum(), -np.inf, np.float32),
+            np.repeat([REVERSE, FORWARD], [ahead.sum(), back.sum()]))
 
 
 def aged(edges: DataFrame, met: DataFrame) -> DataFrame:
     """The edges, no longer new in the directions in which ``met`` introduced them."""
-    new, ahead = met.where("fresh = 1"), F.col("side") == FORWARD
-    used = (new.select(F.when(ahead, F.col("hub")).otherwise(F.col("node")).alias("node"),
-                       F.when(ahead, F.col("node")).otherwise(F.col("hub")).alias("nbr"), "side")
-            .groupBy("node", "nbr").agg(F.sum("side").cast("int").alias("used")))
-    left = F.col("fresh") - F.coalesce(F.col("used"), F.lit(0))  # only bits that are set can be used
-    return edges.join(used, ["node", "nbr"], "left").select("node", "nbr", "sim", left.alias("fresh"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _edges(*_used(*(batch.column(c).to_numpy() for c in range(3))))
+    used = met.where("fresh = 1").select("hub", "node", "side").mapInArrow(run, EDGE)
+    return best_edges(edges.unionByName(used), 1 << 30)
 
 
 def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
-    """New edges between neighbours of one node (``met``) that are better than what they have."""
+    """New edges between neighbours of one node (``met``) that are better than what they have, and the rows
+    that end the newness of the edges that led to them."""
     worst = edges.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n"))
     worst = worst.select("node", F.when(F.col("n") >= DEGREE, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
-    met = met.groupBy("hub", "node").agg(F.max("fresh").alias("fresh"))
-    full = met.join(nodes.join(worst, "node"), "node").select("hub", "node", "fresh", "worst", "vec")
+    met = met.groupBy("hub", "node").agg(F.sum(F.col("side") * F.col("fresh")).cast("int").alias("sides"))
+    full = met.join(nodes.join(worst, "node"), "node").select("hub", "node", "sides", "worst", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, start in whole_groups(batches, cells=20_000):
-            node, x = table.column("node").to_numpy(), _matrix(table.column("vec"))
-            fresh, worst = table.column("fresh").to_numpy() > 0, table.column("worst").to_numpy()
+            hub, node, x = table.column("hub").to_numpy(), table.column("node").to_numpy(), _matrix(table.column("vec"))
+            sides, worst = table.column("sides").to_numpy(), table.column("worst").to_numpy()
+            fresh = sides > 0
             out = []
             for a, b in zip(start.tolist(), np.append(start[1:], len(node)).tolist()):
                 new = fresh[a:b]
@@ -173,6 +191,7 @@ def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
                 out.append((node[a + i], node[a + j], sim[i, j]))
             if out:
                 yield _edges(*(np.concatenate(c) for c in zip(*out)))
+            yield _edges(*_used(hub, node, sides))
 
     return full.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, EDGE)
 
@@ -185,7 +204,7 @@ def both_ways(edges: DataFrame, degree: int) -> DataFrame:
 
 
 class Graph:
-    """nodes (node, vec with the extra component), members (node, vec_id, vec) and edges (node, nbr)
+    """nodes (node, vec with the extra component), members (node, vec_id, vec) and edges (node, nbrs)
     that a search follows."""
 
     def __init__(self, rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", degree: int = DEGREE,
@@ -201,12 +220,12 @@ class Graph:
         count = self.nodes.count()
         edges = self.folder.keep(best_edges(leaf_edges(self.nodes, count, size + 1, degree), degree), "edges")
         for turn in range(rounds if count else 0):
-            met = self.folder.keep(sampled(edges, turn), "met")
-            known = aged(edges, met).unionByName(introduced(edges, met, self.nodes))
+            known = edges.unionByName(introduced(edges, sampled(edges, turn), self.nodes))
             edges = self.folder.keep(best_edges(known, degree), "edges")
             if edges.where("fresh > 0").count() < least_change * degree * count:
                 break
-        self.edges = self.folder.keep(both_ways(edges, degree), "both")
+        packed = both_ways(edges, degree).groupBy("node").agg(F.collect_list("nbr").alias("nbrs"))
+        self.edges = self.folder.keep(packed, "both")
 
     def longest(self) -> list[int]:
         """The ENTRIES nodes of the longest vectors: by inner product, answers lie around them."""
@@ -240,15 +259,15 @@ class Graph:
         schema = "query_id long, node long, sim float, expanded int"
 
         def measured(pairs: DataFrame) -> DataFrame:
-            return (pairs.join(queries, "query_id").join(self.nodes, "node").select("query_id", "node", "qvec", "vec")
-                    .mapInArrow(measure, schema))
+            return pairs.join(self.nodes, "node").select("query_id", "node", "qvec", "vec").mapInArrow(measure, schema)
 
-        found = self.folder.keep(measured(entries), "found")
+        found = self.folder.keep(measured(entries.join(queries, "query_id")), "found")
         while True:
-            open_ = found.where("expanded = 0").select("query_id", "node")
-            steps = open_.join(self.edges, "node").select("query_id", F.col("nbr").alias("node")).distinct()
-            steps = steps.join(found, ["query_id", "node"], "left_anti")
-            grown = found.withColumn("expanded", F.lit(1)).unionByName(measured(steps))
+            open_ = found.where("expanded = 0").select("query_id", "node").join(self.edges, "node")
+            steps = open_.select("query_id", F.explode("nbrs").alias("node"), F.lit(False).alias("known"))
+            steps = steps.unionByName(found.select("query_id", "node", F.lit(True).alias("known"))).repartition("query_id")
+            steps = steps.groupBy("query_id", "node").agg(F.bool_or("known").alias("known")).where("not known")
+            grown = found.withColumn("expanded", F.lit(1)).unionByName(measured(steps.join(queries, "query_id")))
             found = self.folder.keep(grown.repartition("query_id").sortWithinPartitions("query_id")
                                      .mapInArrow(keep, schema), "found")
             if found.where("expanded = 0").isEmpty():
