@@ -62,6 +62,8 @@ def mean_score(accuracies: list[float]) -> float:
 
 def vote(labels: np.ndarray, valid: np.ndarray) -> np.ndarray:
     """Majority label along the last axis among the valid entries, ties to the smallest label."""
+    if labels.shape[-1] <= 2:  # two votes agree or tie
+        return np.where(valid, labels, np.iinfo(np.int64).max).min(-1)
     votes = ((labels[..., :, None] == labels[..., None, :]) & valid[..., None, :]).sum(-1)
     votes = np.where(valid, votes, 0)
     return np.where(votes == votes.max(-1, keepdims=True), labels, np.iinfo(np.int64).max).min(-1)

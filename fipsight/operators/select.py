@@ -16,10 +16,11 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -362,36 +363,141 @@ def select_features(moments: DataFrame, keys, features: Sequence[str], target: s
 # ------------------------------------------------------------------------------------------
 
 
-def _group_scorer(X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.ndarray, n_neighbors: int):
-    """Function from feature positions to the mean fold accuracy in one group that fits a task. A
-    forward candidate's distances are those of the current subset plus one dimension; rows of the same
-    fold are infinitely far from the start."""
-    order = np.argsort(ids, kind="stable")
-    X, labels = X[order], labels[order]
-    fold = np.unique(fold[order], return_inverse=True)[1]
-    barred = np.where(fold[:, None] == fold[None, :], np.inf, 0.0)
-    finite, D = bool(np.isfinite(X).all()), np.empty(barred.shape)
-    prefix: dict[tuple, np.ndarray] = {}
-
-    def score(idx: Sequence[int]) -> float:
-        head = tuple(idx[:-1])
-        if head not in prefix:
-            prefix.clear()
-            prefix[head] = sq_dist(X[:, list(head)], X[:, list(head)], base=barred)
-        last = np.ascontiguousarray(X[:, idx[-1]])
-        np.subtract.outer(last, last, out=D)
-        np.multiply(D, D, out=D)
-        np.add(D, prefix[head], out=D)
-        if not finite:
-            D[np.isnan(D)] = np.inf
-        at, dist = nearest_in_order(D, n_neighbors)
-        near = np.isfinite(dist)
-        voted = near.any(1)
-        right = (vote(labels[at], near) == labels) & voted
-        n, n_right = np.bincount(fold[voted]), np.bincount(fold[right], minlength=fold.max() + 1)
-        return mean_score([float(n_right[f] / n[f]) for f in np.flatnonzero(n)])
-
-    return score
+#: Distances of a block of rows: few enough to stay in a core's cache through all passes over them.
+_BLOCK_CELLS = 1 << 16
+
+
+def _sort_codes(code: np.ndarray) -> np.ndarray:
+    """Stable order of codes below the number of rows."""
+    return np.argsort(code.astype(np.uint16) if len(code) < 1 << 16 else code, kind="stable")
+
+
+def _equal_neighbours(order: np.ndarray, run: np.ndarray, fold: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows (n, k), complete): for every row the first ``k`` rows (in their order) that are equal and of another
+    fold. ``order`` puts equal rows together in their order; ``run`` is where other ones begin."""
+    f, n = fold[order], len(order)
+
+    def ends(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        start = np.flatnonzero(new)
+        size = np.append(start[1:], n) - start
+        return np.repeat(start, size), np.repeat(start + size, size)
+
+    at, end = ends(run)
+    other = run.copy()
+    other[1:] |= f[1:] != f[:-1]
+    beyond = np.append(ends(other)[1], n)  # the next place of other rows or another fold
+    f_at = np.append(f, -1)
+    rows, complete = np.zeros((n, k), np.int64), np.ones(n, bool)
+    for j in range(k):
+        at = np.where(f_at[at] == f, beyond[at], at)
+        ok = at < end
+        complete &= ok
+        at = np.where(ok, at, n - 1)
+        rows[order, j] = order[at]
+        at = at + 1
+    done = np.empty(n, bool)
+    done[order] = complete
+    return rows, done
+
+
+class _GroupScorer:
+    """Mean fold accuracy of feature positions in one group that fits a task.
+
+    Rows that are equal in the subset are zero away, so a row with ``k`` of them in other folds has its
+    neighbours there (the smallest ids). The others meet all rows, block by block: a forward candidate's distances
+    are those of the current subset plus one dimension; rows of the same fold are infinitely far from the start."""
+
+    def __init__(self, X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.ndarray, k: int):
+        order = np.argsort(ids, kind="stable")
+        self.columns, self.labels, self.k, self.n = np.ascontiguousarray(X[order].T), labels[order], k, len(X)
+        present, self.fold = np.unique(fold[order], return_inverse=True)
+        # each fold's distances to begin with
+        self.barred = np.where(np.arange(len(present))[:, None] == self.fold[None, :], np.inf, 0.0)
+        self.finite = bool(np.isfinite(X).all())
+        self.codes: dict[int, tuple] = {}
+        self.scores: dict[tuple, float] = {}
+
+    def coded(self, j: int) -> tuple:
+        """(values, code of each row, whether unequal values are apart, squared differences if there are few)."""
+        if j not in self.codes:
+            values, code = np.unique(self.columns[j], return_inverse=True)
+            apart = self.finite and bool(((values[1:] - values[:-1]) ** 2 > 0).all())
+            table = np.subtract.outer(values, self.columns[j]) ** 2 if 4 * len(values) <= self.n else None
+            self.codes[j] = values, code, apart, table
+        return self.codes[j]
+
+    def equal(self, head: Sequence[int], more: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, complete) of ``_equal_neighbours`` in ``head`` with each one of ``more``."""
+        m, n = len(more), self.n
+        first = np.arange(n)
+        for j in head:
+            first = first[_sort_codes(self.coded(j)[1][first])]
+        order, run = np.empty((m, n), np.int64), np.zeros((m, n), bool)
+        for i, f in enumerate(more):
+            order[i] = first[_sort_codes(self.coded(f)[1][first])]
+            for j in (*head, f):
+                c = self.coded(j)[1][order[i]]
+                run[i, 1:] |= c[1:] != c[:-1]
+        run[:, 0] = True
+        shift = np.arange(m)[:, None] * n
+        rows, done = _equal_neighbours((order + shift).ravel(), run.ravel(), np.tile(self.fold, m), self.k)
+        return rows.reshape(m, n, self.k) - np.where(done.reshape(m, n), shift, 0)[:, :, None], done.reshape(m, n)
+
+    def squares(self, j: int, rows: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """Squared differences of ``rows`` from all rows."""
+        _, code, _, table = self.coded(j)
+        if table is not None:
+            return np.take(table, code[rows], axis=0, out=out, mode="clip")
+        np.subtract(self.columns[j][rows][:, None], self.columns[j][None, :], out=out)
+        return np.multiply(out, out, out=out)
+
+    def ready(self, head: Sequence[int], more: Sequence[int]) -> None:
+        """Score ``head`` with each one of ``more``: all of them in one pass over the blocks."""
+        more = [f for f in more if self._key([*head, f]) not in self.scores]
+        if not more:
+            return
+        m, n = len(more), self.n
+        if n and all(self.coded(j)[2] for j in (*head, *more)):
+            at, done = self.equal(head, more)
+        else:
+            at, done = np.zeros((m, n, self.k), np.int64), np.zeros((m, n), bool)
+        at[~done] = 0
+        near = np.repeat(done[:, :, None], self.k, axis=2)
+        rows = np.flatnonzero(~done.all(0))
+        step = max(1, _BLOCK_CELLS // max(1, n))
+        base, D, diff = (np.empty((min(step, len(rows)), n)) for _ in range(3))
+        for s in range(0, len(rows), step):
+            r = rows[s:s + step]
+            np.take(self.barred, self.fold[r], axis=0, out=base[:len(r)], mode="clip")
+            for j in head:
+                base[:len(r)] += self.squares(j, r, diff[:len(r)])
+            for i, f in enumerate(more):
+                mine = np.flatnonzero(~done[i, r])
+                to, q = D[:len(mine)], r[mine]
+                np.add(base[mine] if len(mine) < len(r) else base[:len(r)], self.squares(f, q, diff[:len(mine)]), out=to)
+                if not self.finite:
+                    to[np.isnan(to)] = np.inf
+                at[i, q], dist = nearest_in_order(to, self.k)
+                near[i, q] = np.isfinite(dist)
+        voted = near.any(2)
+        right = (vote(self.labels[at], near) == self.labels) & voted
+        p = len(self.barred)
+        where = self.fold + np.arange(m)[:, None] * p
+        tested, n_right = (np.bincount(where[c], minlength=m * p).reshape(m, p) for c in (voted, right))
+        for f, t, c in zip(more, tested, n_right):
+            self.scores[self._key([*head, f])] = mean_score([float(c[i] / t[i]) for i in np.flatnonzero(t)])
+
+    @staticmethod
+    def _key(idx: Sequence[int]) -> tuple:
+        return (*sorted(idx[:2]), *idx[2:])  # the order of the others rounds the sums
+
+    def __call__(self, idx: Sequence[int]) -> float:
+        self.ready(idx[:-1], idx[-1:])
+        return self.scores[self._key(idx)]
+
+
+def _group_scorer(X: np.ndarray, fold: np.ndarray, ids: np.ndarray, labels: np.ndarray, n_neighbors: int) -> _GroupScorer:
+    return _GroupScorer(X, fold, ids, labels, n_neighbors)
 
 
 def _search_group(score, pool: Sequence[int], k: int) -> tuple[list[int], float]:
@@ -399,6 +505,8 @@ def _search_group(score, pool: Sequence[int], k: int) -> tuple[list[int], float]
     subset: list[int] = []
     best: dict[int, tuple[float, list[int]]] = {}
     while len(subset) < k:
+        if isinstance(score, _GroupScorer):
+            score.ready(subset, [f for f in pool if f not in subset])
         value, neg = max((score([*subset, f]), -f) for f in pool if f not in subset)
         added = -neg
         subset = [*subset, added]
@@ -414,23 +522,66 @@ def _search_group(score, pool: Sequence[int], k: int) -> tuple[list[int], float]
     return best[k][1], best[k][0]
 
 
-def _select_small(points: DataFrame, groups: DataFrame, group: list[str], k: int, n_neighbors: int) -> DataFrame:
-    """(group, subset, score) of groups that fit one block: one task runs a group's whole search."""
+def _group_folds(ids: np.ndarray, labels: np.ndarray, folds: int) -> np.ndarray:
+    """The folds that ``stratified_folds`` gives the rows of one group."""
+    order = np.lexsort((ids, labels))
+    start = np.flatnonzero(np.append(True, labels[order][1:] != labels[order][:-1]))
+    size = np.diff(np.append(start, len(ids)))
+    f = np.arange(folds - 1)
+    share = (start + size - 1)[:, None] - f + folds
+    cum = (share // folds - ((start - 1)[:, None] - f + folds) // folds).cumsum(1)
+    rank = np.arange(len(ids)) - np.repeat(start, size)
+    fold = np.empty(len(ids), np.int64)
+    fold[order] = (np.repeat(cum, size, axis=0) <= rank[:, None]).sum(1)
+    return fold
+
+
+def _select_small(points: DataFrame, groups: DataFrame, group: list[str], k: int, n_neighbors: int, folds: int) -> DataFrame:
+    """(group, subset, score) of groups that fit one block: one task makes a group's folds and runs its whole
+    search. A group's rows arrive together, after its one row of ``groups``, which has its pool and its status."""
     schema = T.StructType([points.schema[c] for c in group] + [
         T.StructField("subset", T.ArrayType(T.IntegerType())), T.StructField("score", T.DoubleType())])
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-        scorer = _group_scorer(X, pdf["fold"].to_numpy().astype(np.int64), pdf["id"].to_numpy().astype(np.int64),
-                               pdf["label"].to_numpy().astype(np.int64), n_neighbors)
-        subset, score = _search_group(scorer, [int(i) for i in pdf["pool"].iloc[0]], k)
-        out = pd.DataFrame({"subset": [subset], "score": [score]})
-        for col in reversed(group):
-            out.insert(0, col, pdf[col].iloc[0])
-        return out
-
-    rows = join_groups(points, groups.where("status = 'ok'").select(*group, "pool"), group)
-    return rows.select(*group, "id", "label", "fold", "x", "pool").groupBy(*group).applyInPandas(search, schema)
+    def search(head: pa.Table, rows: pa.Table) -> tuple | None:
+        pool = head.column("pool")[0].as_py()
+        if pool is None:
+            return None
+        X = np.asarray(rows.column("x").combine_chunks().flatten(), np.float64).reshape(len(rows), -1)
+        ids, labels = rows.column("id").to_numpy(), rows.column("label").to_numpy()
+        order = np.lexsort((labels, ids))  # of equal ids the smaller label comes first
+        if (ids[order][1:] == ids[order][:-1]).any():
+            order = np.lexsort((*X.T[::-1], labels, ids))
+        X, ids, labels = X[order], ids[order], labels[order]
+        scorer = _group_scorer(X, _group_folds(ids, labels, folds), ids, labels, n_neighbors)
+        return _search_group(scorer, pool, k)
+
+    def searched(table: pa.Table, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = [search(table.slice(a, 1), table.slice(a + 1, b - a - 1)) for a, b in zip(start, np.append(start[1:], len(table)))]
+        at = [i for i, f in enumerate(found) if f]
+        out = table.select(group).take(pa.array(start[at]))
+        out = out.append_column("subset", pa.array([found[i][0] for i in at], pa.list_(pa.int32())))
+        yield from out.append_column("score", pa.array([found[i][1] for i in at], pa.float64())).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new]).combine_chunks()
+            start = np.flatnonzero(held.column("head").to_numpy())
+            if len(start) > 1:
+                yield from searched(held.slice(0, start[-1]), start[:-1])
+                held = held.slice(start[-1])
+        if held is not None:
+            yield from searched(held, np.array([0]))
+
+    pool = F.when(F.col("status") == "ok", F.col("pool")).alias("pool")
+    heads = groups.select(*group, F.lit(True).alias("head"), pool,
+                          *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in ("id", "label", "x")])
+    rows = points.select(*group, F.lit(False).alias("head"), F.lit(None).cast("array<int>").alias("pool"), "id", "label", "x")
+    dealt = heads.unionByName(rows).repartition(*group).sortWithinPartitions(*group, F.desc("head"))
+    return dealt.mapInArrow(run, schema)
 
 
 def select_features_knn(df: DataFrame, group, id_col: str, label: str, features: Sequence[str],
@@ -441,23 +592,19 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     the mean accuracy of a ``n_neighbors``-NN classifier under stratified ``folds``-fold
     cross-validation (features unscaled, ties to the lower feature position).
 
-    Groups of at most ``block_rows`` points are searched whole in one task each; larger groups go
-    through rounds of exact tiles, one job for all groups and candidates of a round (``rounds``). Both
-    follow the same rules. Result ``(group, features, score, n, status)``.
+    Groups of at most ``block_rows`` points are dealt once and searched whole in one task each, which makes their
+    folds too; larger groups go through rounds of exact tiles, one job for all groups and candidates of a round
+    (``rounds``). Both follow the same rules. Result ``(group, features, score, n, status)``.
     """
     g = _keys(group)
     names = [f for f in features if f not in set(exclude)]
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     pts = _points(df, g, id_col, label, F.array(*[F.col(f).cast("double") for f in names]), "x")
-    pts = stratified_folds(pts, g, "label", "id", folds)
     sizes = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    pts = join_groups(pts, sizes.select(*g, F.col("n").alias("_gn")), g).checkpoint(eager=True)
     all_idx = F.array(*[F.lit(i) for i in range(len(names))])
     if allowed is not None:
-        pos = spark.createDataFrame([(f, i) for i, f in enumerate(names)],
-                                    "feature string, _pos int")
-        al = allowed.join(pos, on="feature", how="inner").groupBy(*g) \
+        at = F.array_position(F.array(*[F.lit(f) for f in names]), F.col("feature")).cast("int") - 1
+        al = allowed.withColumn("_pos", at).where(F.col("_pos") >= 0).groupBy(*g) \
             .agg(F.sort_array(F.collect_set("_pos")).alias("pool"))
         groups = join_groups(sizes, al, g, "left") \
             .withColumn("pool", F.coalesce("pool", F.array().cast("array<int>")))
@@ -466,10 +613,14 @@ def select_features_knn(df: DataFrame, group, id_col: str, label: str, features:
     groups = groups.withColumn(
         "status", F.when(F.col("n") < min_rows, "too_few_rows")
                    .when(F.size("pool") < k, "too_few_features").otherwise("ok"))
-    small = _select_small(pts.where(F.col("_gn") <= block_rows), groups, g, k, n_neighbors)
-    chosen, large = small, groups.where(F.col("n") > block_rows).where("status = 'ok'")
+    beyond = groups.where(F.col("n") > block_rows)
+    few = pts if beyond.isEmpty() else join_groups(pts, beyond.select(*g), g, "left_anti")
+    chosen = _select_small(few, groups.where(F.col("n") <= block_rows), g, k, n_neighbors, folds)
+    large = beyond.where("status = 'ok'")
     if not large.isEmpty():
-        chosen = chosen.unionByName(search_large(pts.where(F.col("_gn") > block_rows), large, g, k, n_neighbors, block_rows))
+        big = join_groups(pts, large.select(*g, F.col("n").alias("_gn")), g)
+        big = stratified_folds(big, g, "label", "id", folds).checkpoint(eager=True)
+        chosen = chosen.unionByName(search_large(big, large, g, k, n_neighbors, block_rows))
     names_arr = F.array(*[F.lit(f) for f in names])
     final = chosen.select(
         *g, F.transform("subset", lambda i: F.element_at(names_arr, i + 1)).alias("features"),
