@@ -10,10 +10,11 @@ new member), and each node keeps its ``degree`` best. A hub's reverse neighbours
 they meet, so no group grows with the data. An edge stays new in a direction until it was in that
 direction's sample. Rounds end when few edges are new.
 
-A round of NN-descent deals rows four times: edges by hub, where samples are taken; the sampled members
-by node, where they get their vectors; these by hub, where pairs meet; the new edges, the old ones and the
-marks of what was introduced by node. A round of a search deals four times as well. Rows are dealt by key
-without a number of partitions, so that Spark joins small ones into few tasks.
+A round of NN-descent deals rows four times, packed by buckets of nodes (``descent``): edges by hub, where samples
+are taken; the sampled members by node, where they get their vectors; these by hub, where pairs meet; the new edges,
+the old ones and the marks of what was introduced by node. ``sampled``, ``introduced`` and ``best_edges`` are the same
+round with a row an edge; the packed one is tested against them. A round of a search deals four times as well. Rows
+are dealt by key without a number of partitions, so that Spark joins small ones into few tasks.
 
 A search starts at given nodes, expands the best unexpanded nodes of every query's list through the
 graph's edges and each node's ``degree`` best reverse edges in rounds of joins, and ends when each
@@ -34,6 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fipsight.llm.descent import (FORWARD, REVERSE, ROW, best, bucket_count, edge_rows, ended, lists, packed_nodes, plain_edges,
+                                  state_of)
+from fipsight.llm.descent import introduced as introduced_packed
 from fipsight.llm.groups import first_of_groups, whole_groups
 from fipsight.llm.store import Folder
 
@@ -79,20 +83,11 @@ def best_edges(rows: DataFrame, most: int) -> DataFrame:
         for table, _ in whole_groups(batches):
             node, nbr = table.column("node").to_numpy(), table.column("nbr").to_numpy()
             sim, fresh = table.column("sim").to_numpy(), table.column("fresh").to_numpy()
-            order = np.lexsort((-sim, nbr, node))
-            node, nbr = node[order], nbr[order]
-            at = np.flatnonzero(np.append(True, (node[1:] != node[:-1]) | (nbr[1:] != nbr[:-1])))
-            node, nbr, sim, fresh = node[at], nbr[at], sim[order][at], np.bitwise_and.reduceat(fresh[order], at)
-            order = np.lexsort((nbr, -sim, node))
-            n = node[order]
-            order = order[first_of_groups(np.flatnonzero(np.append(True, n[1:] != n[:-1])), len(n), most)]
-            yield pa.RecordBatch.from_arrays([pa.array(node[order], pa.int64()), pa.array(nbr[order], pa.int64()),
-                                              pa.array(sim[order], pa.float32()), pa.array(fresh[order], pa.int32())],
-                                             ["node", "nbr", "sim", "fresh"])
+            yield _edges(*best(node, nbr, sim, fresh, most))
     return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, EDGE)
 
 
-FORWARD, REVERSE = 1, 2  # bits of ``fresh``: the edge has not been introduced at its node, at its neighbour
+#: Bits of ``fresh``: FORWARD, REVERSE: the edge has not been introduced at its node, at its neighbour
 EDGE = "node long, nbr long, sim float, fresh int"
 
 
@@ -102,8 +97,8 @@ def _edges(node, nbr, sim, fresh=None) -> pa.RecordBatch:
                                        pa.array(fresh, pa.int32())], ["node", "nbr", "sim", "fresh"])
 
 
-def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, seed: int = 1) -> DataFrame:
-    """Edges by brute force inside the leaves of random hyperplane trees."""
+def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, buckets: int, seed: int = 1) -> DataFrame:
+    """Packed edges by brute force inside the leaves of random hyperplane trees."""
     bits = max(0, int(np.ceil(np.log2(max(1, count) / (LEAF / 2)))))
     planes = np.random.default_rng(seed).normal(size=(TREES, bits, size)).astype(np.float32)
 
@@ -120,6 +115,7 @@ def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, seed: int =
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, start in whole_groups(batches, cells=8 * LEAF):
             node, x = table.column("node").to_numpy(), _matrix(table.column("vec"))
+            out = []
             for a, b in zip(start, np.append(start[1:], len(node))):
                 if b - a < 2:
                     continue
@@ -127,13 +123,16 @@ def leaf_edges(nodes: DataFrame, count: int, size: int, degree: int, seed: int =
                 np.fill_diagonal(sim, -np.inf)
                 k = min(degree, b - a - 1)
                 at = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-                yield _edges(np.repeat(node[a:b], k), node[a:b][at].ravel(), np.take_along_axis(sim, at, 1).ravel())
+                out.append((np.repeat(node[a:b], k), node[a:b][at].ravel(), np.take_along_axis(sim, at, 1).ravel()))
+            if out:
+                node, nbr, sim = (np.concatenate(c) for c in zip(*out))
+                yield from edge_rows(node, nbr, sim, np.full(len(node), FORWARD | REVERSE), buckets)
 
     coded = nodes.mapInArrow(code, "leaf long, node long, vec binary")
     sizes = coded.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF).alias("pieces"))
     dealt = coded.join(sizes, "leaf").withColumn("piece", F.pmod(F.xxhash64("node", "leaf"), F.col("pieces")))
     dealt = dealt.select(F.xxhash64("leaf", "piece").alias("leaf"), "node", "vec")
-    return dealt.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(brute, EDGE)
+    return dealt.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(brute, ROW)
 
 
 def sampled(edges: DataFrame, turn: int) -> DataFrame:
@@ -148,20 +147,11 @@ def sampled(edges: DataFrame, turn: int) -> DataFrame:
     return ends.repartition("hub").withColumn("r", F.row_number().over(w)).where(F.col("r") <= SAMPLE // 2).drop("r")
 
 
-def _used(hub, node, sides) -> tuple:
-    """Rows node, nbr, sim, fresh that end the newness of edges in the directions ``sides`` (bits) in which
-    they were introduced at ``hub``; they are no edges of their own."""
-    ahead, back = (sides & FORWARD) > 0, (sides & REVERSE) > 0
-    return (np.concatenate([hub[ahead], node[back]]), np.concatenate([node[ahead], hub[back]]),
-            np.full(ahead.sum() + back.sum(), -np.inf, np.float32),
-            np.repeat([REVERSE, FORWARD], [ahead.sum(), back.sum()]))
-
-
 def aged(edges: DataFrame, met: DataFrame) -> DataFrame:
     """The edges, no longer new in the directions in which ``met`` introduced them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _edges(*_used(*(batch.column(c).to_numpy() for c in range(3))))
+            yield _edges(*ended(*(batch.column(c).to_numpy() for c in range(3))))
     used = met.where("fresh = 1").select("hub", "node", "side").mapInArrow(run, EDGE)
     return best_edges(edges.unionByName(used), 1 << 30)
 
@@ -191,7 +181,7 @@ def introduced(edges: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
                 out.append((node[a + i], node[a + j], sim[i, j]))
             if out:
                 yield _edges(*(np.concatenate(c) for c in zip(*out)))
-            yield _edges(*_used(hub, node, sides))
+            yield _edges(*ended(hub, node, sides))
 
     return full.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, EDGE)
 
@@ -218,12 +208,15 @@ class Graph:
         self.nodes = self.folder.keep(first.mapInArrow(_extended(largest), "node long, vec binary"), "nodes")
         self.members = self.folder.keep(v.join(first, "vec").select("node", "vec_id", "vec"), "members")
         count = self.nodes.count()
-        edges = self.folder.keep(best_edges(leaf_edges(self.nodes, count, size + 1, degree), degree), "edges")
+        buckets = bucket_count(count, spark.sparkContext.defaultParallelism)
+        packed = packed_nodes(self.nodes, buckets, _matrix).unionByName(leaf_edges(self.nodes, count, size + 1, degree, buckets))
+        state = self.folder.keep(state_of(packed, degree), "edges")
         for turn in range(rounds if count else 0):
-            known = edges.unionByName(introduced(edges, sampled(edges, turn), self.nodes))
-            edges = self.folder.keep(best_edges(known, degree), "edges")
-            if edges.where("fresh > 0").count() < least_change * degree * count:
+            asked = self.folder.keep(lists(state, turn, buckets, SAMPLE), "asked")
+            state = self.folder.keep(state_of(state.unionByName(introduced_packed(state, asked, buckets, degree)), degree), "edges")
+            if (state.agg(F.sum("n")).first()[0] or 0) < least_change * degree * count:
                 break
+        edges = plain_edges(state, EDGE)
         packed = both_ways(edges, degree).groupBy("node").agg(F.collect_list("nbr").alias("nbrs"))
         self.edges = self.folder.keep(packed, "both")
 
